@@ -34,6 +34,7 @@ SCHEMA = (
 )
 
 
+@lru_cache(maxsize=1)
 def byte_alphabet() -> dict[str, int]:
     """The printable character that stands for each byte in byte-level vocabularies, to that byte."""
     printable = [b for b in range(256) if chr(b).isprintable() and b not in (32, 160, 173)]

@@ -4,12 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from wakeline.llm.bpe import op3_bpe
+from wakeline.llm.language import op2_language
+from wakeline.llm.ordermin import op10_ordermin
 from wakeline.llm.packing import op1_packing
+from wakeline.llm.quality import op6_quality
+from wakeline.llm.sharding import op8_sharding
 from wakeline.llm.simhash import op7_simhash
+from wakeline.llm.warc import OP9_SQL, op9_warc
 
 QUERIES: dict[str, Callable] = {
     "op1_packing": op1_packing,
+    "op2_language": op2_language,
+    "op3_bpe": op3_bpe,
+    "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
+    "op8_sharding": op8_sharding,
+    "op9_warc": op9_warc,
+    "op10_ordermin": op10_ordermin,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op9_warc": OP9_SQL}
