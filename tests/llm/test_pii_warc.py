@@ -1,0 +1,85 @@
+import re
+
+from pyspark.sql import functions as F
+
+from wakeline.llm import pii, warc
+
+ENTITIES = ["ann.lee@Mail3.example.com", "4785380592391139", "4111 1111 1111 1111", "152.143.123.131", "+1 (743) 555-3824", "24be64439e3e49cf46b2d7c90f3602a3d0b907ff", "123-45-6789", "Mr. John Smith", "Frau Müller", "господин Иван Петров", "MS. ANNA BELL"]
+
+
+def test_surrogates(make):
+    text = "pay " + " then ".join(ENTITIES) + " end."
+    rows = [(1, text), (2, "again 4785380592391139, and +1-743-555-3824 (ANN.LEE@MAIL3.EXAMPLE.COM)"), (3, "clean text 12 of 2024, no data")]
+    got = {r.doc_id: r for r in pii.with_surrogates(make(rows, extra=True)).collect()}
+    assert got[1].entities == ["email", "card", "card", "ip", "phone", "secret", "ssn", "person", "person", "person", "person"]
+    new = re.fullmatch("pay " + " then ".join(["(.+?)"] * len(ENTITIES)) + r" end\.", got[1].text).groups()
+    assert all(a != b for a, b in zip(new, ENTITIES)) and len(set(new)) == len(new)
+    shape = lambda s: re.sub("[0-9]", "9", s)
+    for k in (1, 2, 4, 6):
+        assert shape(new[k]) == shape(ENTITIES[k])
+    assert all(0 <= int(o) < 256 for o in new[3].split("."))
+    assert re.fullmatch("[0-9a-f]{40}", new[5])
+    luhn = lambda s: sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(re.sub(r"\D", "", s)))) % 10 == 0
+    assert luhn(new[2]) and luhn(new[1]) == luhn(ENTITIES[1])
+    assert new[7].startswith("Mr. ") and new[7].split()[1] in pii.GIVEN["latin", "male"]
+    assert new[8].startswith("Frau ") and len(new[8].split()) == 2
+    assert new[9].split()[1] in pii.GIVEN["cyrillic", "male"]
+    assert new[10].isupper() and new[10].split()[1].title() in pii.GIVEN["latin", "female"]
+    # One surrogate for each entity, whatever the mention's shape and case.
+    assert new[1] in got[2].text and new[0].upper() in got[2].text
+    assert re.sub(r"\D", "", new[4]) in re.sub(r"\D", "", got[2].text)
+    assert got[3].text == rows[2][1] and got[3].entities == []
+    assert got[1].n_chars == len(got[1].text)
+
+
+def test_numbers_are_permuted(spark):
+    df = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("n"))
+    out = df.select(pii.permuted(F.col("n"), "k", "x").alias("m"), pii.permuted(F.col("n"), "other", "x").alias("o")).collect()
+    assert {r.m for r in out} == {f"{i:03d}" for i in range(1000)} and [r.m for r in out] != [r.o for r in out]
+
+
+def test_collisions_are_counted(make):
+    df = make([(1, "x ann@a.com and ann@b.com and ANN@a.com")])
+    assert pii.collisions(df, "k", 0) == 0
+
+
+def test_pii_odd_rows(make, odd_rows):
+    got = pii.with_surrogates(make(odd_rows, extra=True)).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in got) == sorted((str(d), str(t)) for d, t in odd_rows)
+    assert pii.with_surrogates(make([])).count() == 0
+
+
+def capture(n, url, ts, kind="response", status=200, headers=None, body=None):
+    return (n, url, ts, kind, status, headers or {}, body)
+
+
+def test_revisits(spark):
+    rows = [
+        capture(1, "http://www.A.com/x/?b=2&a=1&utm_source=q", 100, headers={"etag": '"1"', "content-type": "text/html", "date": "d1"}, body="one"),
+        capture(2, "https://a.com/x?a=1&b=2#top", 90_000, headers={"etag": '"2"', "date": "d2"}, body="two"),
+        capture(3, "a.com/x?a=1&b=2", 95_000, status=404, body="gone"),
+        capture(10, "http://a.com/x?b=2&a=1", 99, "revisit", 304, {"etag": '"1"'}),
+        capture(11, "http://a.com/x?b=2&a=1", 100, "revisit", 304, {"etag": '"1"'}),
+        capture(12, "http://a.com/x?b=2&a=1", 80_000, "revisit", 304, {"etag": 'W/"1"', "date": "d9", "content-type": "none"}),
+        capture(13, "http://a.com/x?b=2&a=1", 99_000, "revisit", 304, {"etag": '"1"'}),
+        capture(14, "http://a.com/x?b=2&a=1", 99_000, "revisit", 304, {}),
+        capture(15, None, 5, "revisit", 304, {}),
+        capture(16, "http://b.com/", None, "revisit", 304, None),
+        capture(12, "http://a.com/x?b=2&a=1", 80_000, "revisit", 304, {"etag": 'W/"1"', "date": "d9", "content-type": "none"}),
+    ]
+    df = spark.createDataFrame(rows, warc.COLUMNS).withColumn("slot", F.lit("clash"))
+    got = warc.resolve_revisits(df).collect()
+    by = {r.record_id: r for r in got}
+    assert len(got) == 8
+    assert {k: (r.outcome, r.source_id) for k, r in by.items()} == {10: ("no_response", None), 11: ("no_response", None), 12: ("resolved", 1), 13: ("mismatch", 2), 14: ("no_validator", 2), 15: ("no_response", None), 16: ("no_response", None)}
+    assert by[12].headers == {"etag": 'W/"1"', "date": "d9", "content-type": "text/html"} and by[12].body == "one"
+    assert by[13].headers is None and by[13].body is None
+    assert warc.resolve_revisits(df.where("false")).count() == 0
+
+
+def test_warc_round_trip(spark, tmp_path):
+    rows = [capture(1, "http://a.com/1", 1704067200, headers={"content-type": "text/html"}, body="<p>hé\r\n\r\nx</p>"), capture(2, "http://a.com/1", 1704070800, "revisit", 304, {"etag": '"1"'})]
+    warc.warc_text(spark.createDataFrame(rows, warc.COLUMNS).coalesce(1)).write.option("lineSep", "").option("compression", "gzip").text(str(tmp_path / "w"))
+    got = {r.ts: r for r in warc.read_warc(spark, str(tmp_path / "w")).collect()}
+    assert got[1704067200].body == "<p>hé\r\n\r\nx</p>" and got[1704067200].status == 200
+    assert got[1704067200].headers == {"content-type": "text/html"} and got[1704070800].kind == "revisit" and got[1704070800].url == "http://a.com/1"

@@ -8,15 +8,19 @@ from wakeline.llm.bpe import op3_bpe
 from wakeline.llm.language import op2_language
 from wakeline.llm.ordermin import op10_ordermin
 from wakeline.llm.packing import op1_packing
+from wakeline.llm.pii import op4_pii
 from wakeline.llm.quality import op6_quality
 from wakeline.llm.sharding import op8_sharding
 from wakeline.llm.simhash import op7_simhash
+from wakeline.llm.substring import op5_substring
 from wakeline.llm.warc import OP9_SQL, op9_warc
 
 QUERIES: dict[str, Callable] = {
     "op1_packing": op1_packing,
     "op2_language": op2_language,
     "op3_bpe": op3_bpe,
+    "op4_pii": op4_pii,
+    "op5_substring": op5_substring,
     "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
     "op8_sharding": op8_sharding,
