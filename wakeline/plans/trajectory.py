@@ -78,7 +78,7 @@ def leg_segments(spark, d):
 
 
 @query(f"""with {PTS}, dd as (select * from (select *, ts - lag(ts) over (partition by hex order by ts) as step from pts) where step is null or step > 0.5),
-{_cut('dd', 'cut', flags=True)} select hex, seg, count(*) as n_points, sum(case when (flags & 2) <> 0 then 1 else 0 end) as n_flags from cut group by hex, seg""")
+{_cut('dd', 'cut', flags=True)} select hex, seg, count(*) as n_points, cast(sum(case when (flags & 2) <> 0 then 1 else 0 end) as bigint) as n_flags from cut group by hex, seg""")
 def leg_dedupe_flags(spark, d):
     cut = segments.with_segments(segments.distinct_instants(pts(spark, d)), flags=True)
     return cut.groupBy("hex", "seg").agg(F.count("*").alias("n_points"), F.sum((F.col("flags").bitwiseAND(F.lit(2)) != 0).cast("int")).alias("n_flags"))
@@ -335,7 +335,7 @@ def corridor_spacing(spark, d):
 
 @query(f"""with {WAYS}, ab as (select hex, day, seg, max(case when code = 'RIPON' then round(t, 1) end) as a, max(case when code = 'FISK' then round(t, 1) end) as b from ways group by 1, 2, 3),
 st as (select a as t, 1 as dl from ab where a is not null and b is not null union all select b, -1 from ab where a is not null and b is not null),
-lv as (select t, sum(dl) over (order by t, dl desc rows unbounded preceding) as level from st)
+lv as (select t, cast(sum(dl) over (order by t, dl desc rows unbounded preceding) as bigint) as level from st)
 select max(level) as peak, (select min(t) from lv where level = (select max(level) from lv)) as peak_t from lv""")
 def corridor_peak_concurrency(spark, d):
     return corridor.peak_concurrency(_ways(spark, d), "RIPON", "FISK")
@@ -451,7 +451,7 @@ def gap_connectors(spark, d):
     return rows.where("gap_s is not null").withColumn("is_long", F.col("gap_s") > 3600)
 
 
-@query(f"with {LEGS} select hex, leg_idx, n_points, coalesce(sum(n_points) over (partition by hex order by leg_idx rows between unbounded preceding and 1 preceding), 0) as start from legs")
+@query(f"with {LEGS} select hex, leg_idx, n_points, cast(coalesce(sum(n_points) over (partition by hex order by leg_idx rows between unbounded preceding and 1 preceding), 0) as bigint) as start from legs")
 def prefix_offsets(spark, d):
     w = Window.partitionBy("hex").orderBy("leg_idx").rowsBetween(Window.unboundedPreceding, -1)
     return segments.legs(pts(spark, d)).select("hex", "leg_idx", F.col("n_points").cast("long").alias("n_points"), F.coalesce(F.sum("n_points").over(w), F.lit(0)).alias("start"))
@@ -492,6 +492,34 @@ def time_buckets(spark, d):
     return table(spark, d, "events").select("event_id", F.expr("bigint(timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)) div 300 * 300").alias("bucket"), F.date_format("ts", "EEE MMM d").alias("label"))
 
 
+@query(f"""with {WAYS}, {_spacing_sql('FISK')}, near as (select * from gaps where gap_nm < 15), p as (select quantile_cont(gap_nm, 0.98) as p98 from near)
+select hex, day, seg, gap_nm, lead_gs, lead_hex from near, p where gap_nm <= p98""")
+def corridor_gap_scatter(spark, d):
+    near = corridor.spacing(_ways(spark, d), "FISK").where("gap_nm < 15")
+    p98 = near.agg(F.percentile("gap_nm", F.lit(0.98)).alias("p98"))
+    return near.join(F.broadcast(p98), F.col("gap_nm") <= F.col("p98")).select("hex", "day", "seg", "gap_nm", "lead_gs", "lead_hex")
+
+
+@query(f"""with {TRANSITS}, s as (select day, hex, seg, min(ts) as a from tp group by 1, 2, 3),
+o as (select t.*, a from tp t join s using (day, hex, seg)) select hex, day, seg, list_aggregate(list(round(ts - a, 1) order by ts), 'max') as last_t, count(*) as n_pts from o group by hex, day, seg""")
+def corridor_point_series(spark, d):
+    rows = corridor.transit_points(pts(spark, d))
+    point = F.struct("ts", "lon", "lat", "along", "cross", "alt_ft", "gs")
+    series = rows.groupBy("hex", "day", "seg").agg(F.sort_array(F.collect_list(point)).alias("p"))
+    times = F.transform("p", lambda q: F.round(q["ts"] - F.get("p", F.lit(0))["ts"], 1))
+    return series.select("hex", "day", "seg", F.array_max(times).alias("last_t"), F.size("p").alias("n_pts"))
+
+
+@query("""with t as (select cast(1750420800 + range * 21600 as double) as t from range(8)), a as (select t, t / 86400 + 2440587.5 - 2451545.0 as d from t),
+b as (select t, d, radians(fmod(fmod(cast(357.529 as double) + d * cast(0.98560028 as double), 360) + 360, 360)) as g from a),
+c as (select t, d, radians(fmod(fmod(280.459 + d * cast(0.98564736 as double) + 1.915 * sin(g) + 0.020 * sin(2 * g), 360) + 360, 360)) as l, radians(23.439 - d * 0.00000036) as e from b),
+f as (select t, degrees(asin(sin(e) * sin(l))) as lat, degrees(atan2(cos(e) * sin(l), cos(l))) as ra, fmod(fmod(cast(280.46061837 as double) + d * cast(360.98564736629 as double), 360) + 360, 360) as st from c)
+select t, round(lat, 4) as lat, round(fmod(ra - st + 540 + 360, 360) - 180, 4) as lon from f""")
+def subsolar_points(spark, d):
+    times = spark.range(8).select((F.lit(1750420800) + F.col("id") * 21600).cast("double").alias("t"))
+    return times.withColumn("s", geo.subsolar(F.col("t"))).select("t", F.round("s.lat", 4).alias("lat"), F.round("s.lon", 4).alias("lon"))
+
+
 @query()
 def downsample_capped(spark, d):
     return tracks.downsample(segments.with_segments(pts(spark, d)), 40)
