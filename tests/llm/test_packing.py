@@ -76,7 +76,7 @@ def test_equal_lengths_are_not_padded_to_twice(make):
 
 def test_odd_rows(make, odd_rows, spark):
     rows = pack(make(odd_rows, extra=True), PATH).collect()
-    check([r for r in rows if r.doc_id not in (8, None)], Tokenizer.from_file(PATH), {d: t for d, t in odd_rows if d not in (8, None)}, 1024)
+    check(rows, Tokenizer.from_file(PATH), {d: t for d, t in odd_rows if d not in (8, None)}, 1024)
     assert sum(r.start == 0 for r in rows) == len(odd_rows)
     empty = pack(make([]), PATH)
     assert empty.count() == 0 and [f.name for f in empty.schema] == [p.split()[0] for p in SCHEMA.split(", ")]

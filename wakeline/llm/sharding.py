@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline.llm.common import cut_lineage, documents, text_or_empty, without
@@ -83,7 +83,6 @@ def shard(df: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE) ->
     apart and share a shard. Columns of ``df`` with the new names are
     replaced; an empty table gives no rows.
     """
-    spark = df.sparkSession
     text = text_or_empty()
     row_hash = F.xxhash64(text, F.col("doc_id"))
     base = without(df, "size", "text_crc32", "law", "shard", "slot", "grown_shard", "_key", "_size", "_part", "_group")
@@ -103,15 +102,11 @@ def shard(df: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE) ->
     shard_of = F.size(F.filter(places, lambda b: b <= F.col("_key"))).cast("int")
     group_of = F.shiftrightunsigned("_part", 64 - bits)
     counts = keys.select(shard_of.alias("shard"), group_of.alias("_group")).groupBy("shard", "_group").count()
-    counts.createOrReplaceTempView("_shard_counts")
-    offsets = spark.sql(
-        "select shard, _group, sum(count) over (partition by shard order by _group) - count as _before from _shard_counts"
-    )
+    earlier = Window.partitionBy("shard").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("shard", "_group", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_before"))
     dealt = named.select("*", shard_of.alias("shard"), group_of.alias("_group")).join(offsets, ["shard", "_group"])
-    dealt.createOrReplaceTempView("_shard_rows")
-    placed = spark.sql(
-        "select *, _before + row_number() over (partition by shard, _group order by doc_id, _key) - 1 as slot from _shard_rows"
-    )
+    place = F.row_number().over(Window.partitionBy("shard", "_group").orderBy("doc_id", "_key"))
+    placed = dealt.withColumn("slot", F.col("_before") + place - 1)
     return placed.select(
         *[F.col(f"`{c}`") for c in base.columns],
         "size",

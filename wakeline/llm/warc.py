@@ -15,7 +15,7 @@ fetched at the end by record number.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wakeline.llm.common import without
@@ -79,8 +79,13 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def write_warc(captures: DataFrame, path: str, compression: str = "gzip") -> None:
+    """Captures of COLUMNS as WARC 1.0 files, one for each partition."""
+    warc_text(captures).write.option("lineSep", "\r\n").option("compression", compression).text(path)
+
+
 def warc_text(captures: DataFrame) -> DataFrame:
-    """Records of COLUMNS as WARC 1.0 text, one ``value`` each, for ``write.text(..., lineSep="")``."""
+    """Records as WARC 1.0 text, one ``value`` each, but for the line end that closes a record."""
     head = F.concat_ws("\r\n", F.transform(F.map_entries(F.coalesce("headers", F.create_map().cast("map<string,string>"))), lambda e: F.concat(e["key"], F.lit(": "), e["value"])))
     http = F.concat(F.lit("HTTP/1.1 "), F.coalesce(F.col("status").cast("string"), F.lit("200")), F.lit("\r\n"), head, F.lit("\r\n\r\n"), F.coalesce("body", F.lit("")))
     return captures.select(
@@ -90,7 +95,7 @@ def warc_text(captures: DataFrame) -> DataFrame:
             F.lit(">\r\nWARC-Target-URI: "), "url",
             F.lit("\r\nWARC-Date: "), F.date_format(F.timestamp_seconds("ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'"),
             F.lit("\r\nContent-Length: "), F.octet_length(http).cast("string"),
-            F.lit("\r\n\r\n"), http, F.lit("\r\n\r\n"),
+            F.lit("\r\n\r\n"), http, F.lit("\r\n"),
         ).alias("value")
     )
 
@@ -125,23 +130,13 @@ def resolve_revisits(captures: DataFrame, bucket: int = BUCKET) -> DataFrame:
     rows = rows.withColumn("slot", F.floor(F.col("ts") / bucket)).withColumn("offer", offer)
     rows = rows.where(usable)
     lone = captures.where((F.col("kind") == "revisit") & (canonical_url(F.col("url")).isNull() | F.col("ts").isNull()))
-    rows.createOrReplaceTempView("_captures")
-    spark = captures.sparkSession
-    inside = spark.sql("""
-        select * from (
-          select record_id, kind, url_key, ts, slot, headers, etag, modified,
-            last_value(offer, true) over (
-              partition by url_key, slot order by ts, if(kind = 'revisit', 0, 1), record_id
-              rows between unbounded preceding and current row) as near
-          from _captures)
-        where kind = 'revisit'
-    """)
-    spark.sql("select url_key, slot, max_by(offer, struct(ts, record_id)) filter (where offer is not null) as last_offer from _captures group by url_key, slot").createOrReplaceTempView("_capture_slots")
-    before = spark.sql("""
-        select url_key, slot, last_value(last_offer, true) over (
-          partition by url_key order by slot rows between unbounded preceding and 1 preceding) as far
-        from _capture_slots
-    """)
+    revisits_first = F.when(F.col("kind") == "revisit", 0).otherwise(1)  # a revisit is not later than a response of its own second
+    so_far = Window.partitionBy("url_key", "slot").orderBy("ts", revisits_first, "record_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = rows.withColumn("near", F.last("offer", ignorenulls=True).over(so_far)).where(F.col("kind") == "revisit")
+    inside = inside.select("record_id", "url_key", "ts", "slot", "headers", "etag", "modified", "near")
+    lasts = rows.groupBy("url_key", "slot").agg(F.max_by("offer", F.when(F.col("offer").isNotNull(), F.struct("ts", "record_id"))).alias("last_offer"))
+    buckets_before = Window.partitionBy("url_key").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    before = lasts.select("url_key", "slot", F.last("last_offer", ignorenulls=True).over(buckets_before).alias("far"))
     joined = inside.join(before, ["url_key", "slot"], "left").withColumn("source", F.coalesce("near", "far"))
     tags = F.col("etag").isNotNull() & F.col("source.etag").isNotNull()
     dates = F.col("modified").isNotNull() & F.col("source.modified").isNotNull()
