@@ -17,7 +17,7 @@ def write_traces(points: DataFrame, path: str) -> None:
 
 def write_documents(docs: DataFrame, key: str, path: str) -> None:
     """One folder for each key with its JSON document; keys that are no plain names are left out."""
-    docs.where(F.col(key).rlike("^[A-Za-z0-9_-]+$")).select(key, F.col("doc").alias("value")).write.partitionBy(key).text(path, mode="overwrite")
+    docs.where(F.col(key).rlike("^[A-Za-z0-9_-]+$")).select(key, F.col("doc").alias("value")).write.mode("overwrite").partitionBy(key).text(path)
 
 
 def packed_points(points: DataFrame, t0: float) -> DataFrame:
