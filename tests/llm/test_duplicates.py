@@ -106,6 +106,7 @@ def test_passages_are_found_and_clean_rows_left(make, prose):
     for doc_id, n in ((9, 70), (14, 70), (20, 70), (25, 55)):
         s, e = got[doc_id].spans
         assert abs(len(texts[doc_id][s:e].split()) - n) <= 1
+        assert set(got[doc_id].repeats.of) <= ({20} if doc_id == 25 else {3, 9, 14} - {doc_id}) and min(got[doc_id].repeats.start) == s
         assert got[doc_id].kept_text == texts[doc_id][:s] + texts[doc_id][e:]
     assert all(r.kept_text == texts[d] for d, r in got.items() if not r.spans)
     kept = {r.doc_id: r for r in substring.drop_passages(make(rows)).collect()}
