@@ -147,7 +147,7 @@ def fingerprint_edits(df: DataFrame, ranges: int | None = None) -> DataFrame:
     empty table gives no rows.
     """
     spark = df.sparkSession
-    ranges = ranges or 3 * shuffle_partitions(spark)
+    ranges = ranges or shuffle_partitions(spark)
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
     shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)]) if ranges > 1 else F.array(F.lit(0.5))
