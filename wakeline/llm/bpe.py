@@ -24,6 +24,7 @@ import hashlib
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -36,9 +37,9 @@ from wakeline.llm.common import arrow_rows, documents, text_or_empty
 from wakeline.llm.packing import byte_alphabet
 
 WORD_END = "</w>"
-STATES = 200_000
+STATES = 150_000
 PAIRS = 500_000
-WORDS = 300_000
+WORDS = 800_000
 #: Longer pieces are encoded but not remembered.
 LONG_WORD = 64
 #: Symbol of a byte that ends a word, a character outside the byte alphabet.
@@ -139,11 +140,18 @@ class State:
     ``ends[k]`` is (start, token) of the last token of the first k+1 symbols.
     """
 
-    __slots__ = ("before", "ends", "steps", "symbols")
+    __slots__ = ("before", "ends", "last", "steps", "symbols")
 
     def __init__(self, before: int, symbols: str, ends: tuple[tuple[int, int], ...]) -> None:
         self.before, self.symbols, self.ends = before, symbols, ends
         self.steps: dict[str, tuple[tuple[int, ...], State]] = {}
+        self.last: list[int] | None = None
+
+    def rest(self) -> list[int]:
+        """The tokens that are left if the text ends here."""
+        if self.last is None:
+            self.last = [token for _, token in self.chain(len(self.symbols))]
+        return self.last
 
     def chain(self, upto: int) -> list[tuple[int, int]]:
         """(end, token) of the split of the first ``upto`` symbols."""
@@ -161,27 +169,29 @@ class Encoder:
         self.states: dict[tuple[int, str], State] = {}
         self.start = State(-1, "", ())
 
+    def _last(self, state: State, symbols: str) -> tuple[int, int]:
+        """(start, token) of the last token of the state's symbols with one more."""
+        m, size = self.merges, len(symbols)
+        for start in range(max(0, size - 1 - m.lookahead), size):
+            token = m.id_of.get(symbols[start:])
+            if token is not None and m.whole(token):
+                before = state.ends[start - 1][1] if start else state.before
+                if before < 0 or m.fits(before, token):
+                    return start, token
+        raise ValueError(f"no token for the symbol {symbols[-1]!r}")
+
     def _step(self, state: State, symbol: str) -> tuple[tuple[int, ...], State]:
         m = self.merges
         symbols = state.symbols + symbol
         size = len(symbols)
-        found = None
-        for start in range(max(0, size - 1 - m.lookahead), size):
-            token = m.id_of.get(symbols[start:])
-            if token is None or not m.whole(token):
-                continue
-            last = state.ends[start - 1][1] if start else state.before
-            if last < 0 or m.fits(last, token):
-                found = (start, token)
-                break
-        if found is None:
-            raise ValueError(f"no token for the symbol {symbol!r}")
+        found = self._last(state, symbols)
         new = State(state.before, symbols, (*state.ends, found))
-        open_at = [k for k in range(max(0, size - m.lookahead), size) if symbols[k:] in m.beginnings] + [size]
-        chains = [new.chain(k) for k in open_at]
         stable = 0
-        while all(len(c) > stable for c in chains) and len({c[stable] for c in chains}) == 1:
-            stable += 1
+        if symbols not in m.beginnings:  # else a token may yet begin at the last stable boundary
+            open_at = [k for k in range(max(1, size - m.lookahead), size) if symbols[k:] in m.beginnings] + [size]
+            chains = [new.chain(k) for k in open_at]
+            while all(len(c) > stable for c in chains) and len({c[stable] for c in chains}) == 1:
+                stable += 1
         emitted: tuple[int, ...] = ()
         if stable:
             emitted = tuple(t for _, t in chains[0][:stable])
@@ -199,13 +209,21 @@ class Encoder:
         """Token ids, each as soon as it is stable."""
         state = self.start
         for symbol in symbols:
-            step = state.steps.get(symbol)
-            if step is None:
-                step = self._step(state, symbol)
-                state.steps[symbol] = step
+            step = state.steps.get(symbol) or state.steps.setdefault(symbol, self._step(state, symbol))
             yield from step[0]
             state = step[1]
-        yield from (token for _, token in state.chain(len(state.symbols)))
+        yield from state.rest()
+
+    def tokens(self, symbols: str) -> list[int]:
+        """The stream's ids of a short piece, gathered; its end is known, so the last symbol needs no state."""
+        state, out = self.start, []
+        for symbol in symbols[:-1]:
+            step = state.steps.get(symbol) or state.steps.setdefault(symbol, self._step(state, symbol))
+            if step[0]:
+                out += step[0]
+            state = step[1]
+        start, token = self._last(state, state.symbols + symbols[-1])
+        return [*out, *(t for _, t in state.chain(start)), token]
 
 
 class Decoder:
@@ -232,31 +250,32 @@ class Decoder:
         except KeyError:  # an added token
             return self.utf8.decode(b"", True) + string
 
+    def text(self, tokens: Iterable[int]) -> str:
+        """All of a document at once: what feed and close give, joined."""
+        if self.blanks:
+            return " ".join(map(self.strings.__getitem__, tokens))
+        return "".join(map(self.feed, tokens)) + self.close()
+
     def close(self) -> str:
         self.due = False
         return "" if self.blanks else self.utf8.decode(b"", True)
 
 
 class Words(dict):
-    """Word to (ids as bytes), filled as words come; a twin table keeps the decoded text."""
+    """Word to its ids as bytes, filled as words come."""
 
     def __init__(self, codec: Codec) -> None:
         super().__init__()
-        self.codec, self.text = codec, {}
+        self.codec = codec
 
     def __missing__(self, word: str) -> bytes:
-        ids, text = self.codec.word(word)
+        ids = self.codec.word(word)
         if len(self) >= WORDS:
             self.clear()
-            self.text.clear()
         if len(word) <= LONG_WORD:
-            self[word], self.text[word] = ids, text
+            self[word] = ids
         return ids
 
-    def decoded(self, word: str) -> str:
-        text = self.text.get(word)
-        return text if text is not None else self.codec.word(word)[1]
-
 
 class Codec:
     """Encodes and decodes whole texts as the tokenizer file says (word-end BPE with lower-casing)."""
@@ -278,17 +297,13 @@ class Codec:
         self.recent = re.compile("[^\u0000-՗ -⁯₠-₿]")
         self.words = Words(self)
 
-    def word(self, word: str) -> tuple[bytes, str]:
-        """Ids and decoded text of one pre-token."""
-        symbols = [self.alphabet[b] for b in word.encode("utf-8")]
-        return self._coded(symbols)
-
-    def _coded(self, symbols: list[str]) -> tuple[bytes, str]:
+    def word(self, word: str) -> bytes:
+        """Ids of one pre-token."""
+        symbols = "".join(map(self.alphabet.__getitem__, word.encode("utf-8")))
         if self.merges.marks_ends:
-            symbols[-1] = chr(_ENDING + ord(symbols[-1]))
-        ids = np.fromiter(self.encoder.stream(symbols), "<u4")
-        decoder = Decoder(self.merges, blanks=True)
-        return ids.tobytes(), "".join(map(decoder.feed, ids.tolist())) + decoder.close()
+            symbols = symbols[:-1] + chr(_ENDING + ord(symbols[-1]))
+        ids = self.encoder.tokens(symbols) if len(symbols) <= LONG_WORD else self.encoder.stream(symbols)
+        return array("I", ids).tobytes()
 
     def split(self, text: str) -> list[str]:
         """Pre-tokens of a text without added tokens."""
@@ -299,22 +314,18 @@ class Codec:
         back = byte_alphabet()
         return [bytes(back[c] for c in p).decode("utf-8") for p, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
 
-    def encode(self, text: str) -> tuple[bytes, str]:
-        """Ids as little-endian unsigned 32-bit integers, and the text that they decode to."""
-        ids, texts = [], []
+    def encode(self, text: str) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers."""
+        ids = []
         for k, part in enumerate(self.cut.split(text) if "<|" in text else [text]):
             if k % 2:
-                ids.append(np.array([self.added[part]], "<u4").tobytes())
-                texts.append(part)
+                ids.append(array("I", [self.added[part]]).tobytes())
             elif part:
-                words = self.split(part)
-                ids.append(b"".join(map(self.words.__getitem__, words)))
-                texts += map(self.words.decoded, words)
-        return b"".join(ids), " ".join(texts)
+                ids.append(b"".join(map(self.words.__getitem__, self.split(part))))
+        return b"".join(ids)
 
-    def decode(self, ids: list[int]) -> str:
-        decoder = Decoder(self.merges, blanks=True)
-        return "".join(map(decoder.feed, ids)) + decoder.close()
+    def decode(self, ids: Iterable[int]) -> str:
+        return Decoder(self.merges, blanks=True).text(ids)
 
 
 @lru_cache(maxsize=2)
@@ -330,7 +341,7 @@ def encode(df: DataFrame, tokenizer: str) -> DataFrame:
         coder = codec(tokenizer)
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            yield arrow_rows([(d, np.frombuffer(coder.encode(t)[0], "<i4")) for d, t in zip(batch.column("doc_id").to_pylist(), texts)], schema)
+            yield arrow_rows([(d, np.frombuffer(coder.encode(t), "<i4")) for d, t in zip(batch.column("doc_id").to_pylist(), texts)], schema)
 
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, schema)
 
@@ -361,7 +372,8 @@ def digests(df: DataFrame, tokenizer: str) -> DataFrame:
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids, decoded = coder.encode(text)
+                ids = coder.encode(text)
+                decoded = coder.decode(array("I", ids))
                 rows.append((doc_id, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode("utf-8")).hexdigest()))
             yield arrow_rows(rows, schema)
 
