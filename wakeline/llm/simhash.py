@@ -250,11 +250,15 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     """
     prints = cut_lineage(fingerprints(df))
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    # Fingerprints are ordered by their first doc_id (none: last), so a component's smallest
+    # node is its name, and no group of a whole component is ever formed to find it.
+    node = F.struct(F.col("first").isNull().alias("unnamed"), "first", "fp")
+    ends = nodes.select("fp", node.alias("node"))
     links = near_links(nodes.select("fp"))
-    roots = connected(links)  # node, root of fingerprints that have a link
-    labelled = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    smallest = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = labelled.join(smallest, "root").select("fp", "component_id")
+    links = links.join(ends.select(F.col("fp").alias("a"), F.col("node").alias("na")), "a").join(ends.select(F.col("fp").alias("b"), F.col("node").alias("nb")), "b")
+    roots = connected(links.select(F.col("na").alias("a"), F.col("nb").alias("b")))
+    found = roots.select(F.col("node.fp").alias("fp"), F.col("root.first").alias("least"))
+    classes = nodes.join(found, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 

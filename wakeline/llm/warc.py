@@ -153,13 +153,14 @@ def resolve_revisits(captures: DataFrame, bucket: int = BUCKET) -> DataFrame:
     joined = joined.select(
         "record_id", "url_key", "ts", F.col("source.record_id").alias("source_id"), "outcome",
         F.when(resolved, F.map_concat(old, fresh)).alias("headers"),
-        F.when(resolved, F.col("source.record_id")).alias("body_of"),
+        F.when(resolved, F.concat(F.lit("body "), F.col("source.record_id"))).otherwise(F.concat(F.lit("none "), F.coalesce("record_id", F.lit(0)))).alias("body_of"),
     )
     none = lone.select(
         "record_id", canonical_url(F.col("url")).alias("url_key"), "ts", F.lit(None).cast("long").alias("source_id"),
-        F.lit("no_response").alias("outcome"), F.lit(None).cast("map<string,string>").alias("headers"), F.lit(None).cast("long").alias("body_of"),
+        F.lit("no_response").alias("outcome"), F.lit(None).cast("map<string,string>").alias("headers"), F.concat(F.lit("none "), F.coalesce("record_id", F.lit(0))).alias("body_of"),
     )
-    bodies = captures.where(full).groupBy(F.col("record_id").alias("body_of")).agg(F.max("body").alias("body"))
+    # Rows without a body have keys of their own, so that they don't all meet in one task.
+    bodies = captures.where(full).groupBy(F.concat(F.lit("body "), F.col("record_id")).alias("body_of")).agg(F.max("body").alias("body"))
     return joined.unionByName(none).join(bodies, "body_of", "left").drop("body_of")
 
 
