@@ -60,14 +60,37 @@ def projection(lat: Column, lon: Column, cfg: Config = DEFAULT) -> Column:
     return F.array_min(F.array(*found))
 
 
+#: Low-precision solar position, degrees and degrees a day since J2000. Fixed values.
+MEAN_LONGITUDE = (280.46, 0.9856474)
+MEAN_ANOMALY = (357.528, 0.9856003)
+CENTRE = (1.915, 0.02)
+OBLIQUITY = (23.439, -0.0000004)
+SIDEREAL = (280.46061837, 360.98564736629)
+
+
 def subsolar(epoch: Column) -> Column:
-    """struct(lat, lon) of the point under the sun at an epoch second (mean sun, simple declination)."""
+    """struct(lat, lon) of the point under the sun at an epoch second."""
     day = epoch / 86400.0 + 2440587.5 - 2451545.0
-    g = F.radians(F.pmod(F.lit(357.529) + day * 0.98560028, F.lit(360.0)))
-    q = F.lit(280.459) + day * 0.98564736
-    length = F.radians(F.pmod(q + F.sin(g) * 1.915 + F.sin(g * 2) * 0.020, F.lit(360.0)))
-    tilt = F.radians(F.lit(23.439) - day * 0.00000036)
+    turn = lambda pair: F.pmod(F.lit(pair[0]) + day * pair[1], F.lit(360.0))
+    anomaly = F.radians(turn(MEAN_ANOMALY))
+    length = F.radians(turn(MEAN_LONGITUDE) + F.sin(anomaly) * CENTRE[0] + F.sin(anomaly * 2) * CENTRE[1])
+    tilt = F.radians(F.lit(OBLIQUITY[0]) + day * OBLIQUITY[1])
     lat = F.degrees(F.asin(F.sin(tilt) * F.sin(length)))
     right = F.degrees(F.atan2(F.cos(tilt) * F.sin(length), F.cos(length)))
-    star = F.pmod(F.lit(280.46061837) + day * 360.98564736629, F.lit(360.0))
-    return F.struct(lat.alias("lat"), (F.pmod(right - star + 540.0, F.lit(360.0)) - 180.0).alias("lon"))
+    return F.struct(lat.alias("lat"), (F.pmod(right - turn(SIDEREAL) + 180.0, F.lit(360.0)) - 180.0).alias("lon"))
+
+
+def night_ring(lat: Column, lon: Column, step: int = 3) -> Column:
+    """array<struct(lon, lat)> around the night side: the terminator by longitude, then the dark pole."""
+    edge, tilt = 89.9, F.radians(lat)
+
+    def place(x: Column) -> Column:
+        high = F.cos(F.radians(x - lon))
+        line = F.degrees(F.atan(-high / F.tan(tilt)))
+        flat = F.when(high >= 0, -edge).otherwise(edge)  # sun over the equator: the poles are the terminator
+        y = F.when(F.abs(tilt) < 1e-6, flat).otherwise(F.greatest(F.least(line, F.lit(edge)), F.lit(-edge)))
+        return F.struct(x.cast("double").alias("lon"), y.alias("lat"))
+
+    pole = F.when(lat >= 0, -90.0).otherwise(90.0)
+    ends = F.array(*[F.struct(F.lit(x).alias("lon"), pole.alias("lat")) for x in (180.0, -180.0)])
+    return F.concat(F.transform(F.sequence(F.lit(-180), F.lit(180), F.lit(step)), place), ends)

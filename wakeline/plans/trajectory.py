@@ -510,14 +510,28 @@ def corridor_point_series(spark, d):
     return series.select("hex", "day", "seg", F.array_max(times).alias("last_t"), F.size("p").alias("n_pts"))
 
 
-@query("""with t as (select cast(1750420800 + range * 21600 as double) as t from range(8)), a as (select t, t / 86400 + 2440587.5 - 2451545.0 as d from t),
-b as (select t, d, radians(fmod(fmod(cast(357.529 as double) + d * cast(0.98560028 as double), 360) + 360, 360)) as g from a),
-c as (select t, d, radians(fmod(fmod(280.459 + d * cast(0.98564736 as double) + 1.915 * sin(g) + 0.020 * sin(2 * g), 360) + 360, 360)) as l, radians(23.439 - d * 0.00000036) as e from b),
-f as (select t, degrees(asin(sin(e) * sin(l))) as lat, degrees(atan2(cos(e) * sin(l), cos(l))) as ra, fmod(fmod(cast(280.46061837 as double) + d * cast(360.98564736629 as double), 360) + 360, 360) as st from c)
-select t, round(lat, 4) as lat, round(fmod(ra - st + 540 + 360, 360) - 180, 4) as lon from f""")
+SUN = """t as (select cast(1750420800 + range * 21600 as double) as t from range(8)), a as (select t, t / 86400 + 2440587.5 - 2451545.0 as d from t),
+b as (select t, d, radians(fmod(fmod(cast(357.528 as double) + d * cast(0.9856003 as double), 360) + 360, 360)) as g from a),
+c as (select t, d, radians(fmod(fmod(280.46 + d * cast(0.9856474 as double), 360) + 360, 360) + 1.915 * sin(g) + 0.02 * sin(2 * g)) as l, radians(23.439 - d * 0.0000004) as e from b),
+f as (select t, degrees(asin(sin(e) * sin(l))) as la, degrees(atan2(cos(e) * sin(l), cos(l))) as ra, fmod(fmod(cast(280.46061837 as double) + d * cast(360.98564736629 as double), 360) + 360, 360) as st from c),
+sun as (select t, la, fmod(fmod(ra - st + 180, 360) + 360, 360) - 180 as lo from f)"""
+
+
+@query(f"with {SUN} select t, round(la, 4) as lat, round(lo, 4) as lon from sun")
 def subsolar_points(spark, d):
+    return _sun(spark).select("t", F.round("s.lat", 4).alias("lat"), F.round("s.lon", 4).alias("lon"))
+
+
+def _sun(spark) -> DataFrame:
     times = spark.range(8).select((F.lit(1750420800) + F.col("id") * 21600).cast("double").alias("t"))
-    return times.withColumn("s", geo.subsolar(F.col("t"))).select("t", F.round("s.lat", 4).alias("lat"), F.round("s.lon", 4).alias("lon"))
+    return times.withColumn("s", geo.subsolar(F.col("t")))
+
+
+@query(f"""with {SUN} select t, cast(x as double) as lon, round(greatest(least(degrees(atan(-cos(radians(x - lo)) / tan(radians(la)))), 89.9), -89.9), 3) as lat
+from sun, (select -180 + range * 3 as x from range(121)) union all select t, x, case when la >= 0 then -90.0 else 90.0 end from sun, (values (180.0), (-180.0)) v(x)""")
+def night_rings(spark, d):
+    rings = _sun(spark).select("t", F.explode(geo.night_ring(F.col("s.lat"), F.col("s.lon"))).alias("p"))
+    return rings.select("t", "p.lon", F.round("p.lat", 3).alias("lat"))
 
 
 @query()
