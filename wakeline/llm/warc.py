@@ -203,7 +203,7 @@ def op9_warc(spark, sf_dir: str) -> DataFrame:
     return found.select(
         (F.col("record_id") - 1).cast("long").alias("revisit_of"), "record_id", "url_key", "ts", "source_id", "outcome",
         F.col("headers")["date"].alias("header_date"), F.col("headers")["content-type"].alias("header_type"),
-        F.md5("body").alias("body_md5"), F.size("headers").alias("n_headers"),
+        F.md5("body").alias("body_md5"), F.when(F.col("headers").isNotNull(), F.size("headers")).alias("n_headers"),
     )
 
 
