@@ -203,7 +203,7 @@ def op9_warc(spark, sf_dir: str) -> DataFrame:
     return found.select(
         (F.col("record_id") - 1).cast("long").alias("revisit_of"), "record_id", "url_key", "ts", "source_id", "outcome",
         F.col("headers")["date"].alias("header_date"), F.col("headers")["content-type"].alias("header_type"),
-        F.md5("body").alias("body_md5"), F.when(F.col("headers").isNotNull(), F.size("headers")).alias("n_headers"),
+        F.md5("body").alias("body_md5"), F.when(F.col("headers").isNotNull(), F.size("headers")).otherwise(0).alias("n_headers"),
     )
 
 
@@ -251,6 +251,6 @@ select page_id * 2 as revisit_of, page_id * 2 + 1 as record_id, url_key, cast(la
   case when outcome = 'resolved' then cast(later as varchar) end as header_date,
   case when outcome = 'resolved' then 'text/html' end as header_type,
   case when outcome = 'resolved' then md5(r_html) end as body_md5,
-  case when outcome = 'resolved' then 4 end as n_headers
+  case when outcome = 'resolved' then 4 else 0 end as n_headers
 from judged
 """
