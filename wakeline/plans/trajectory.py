@@ -92,9 +92,9 @@ def leg_teleport_split(spark, d):
     return segments.with_segments(far).groupBy("hex", "seg").agg(F.count("*").alias("n_points"), F.min("ts").alias("t_start"))
 
 
-@query(f"with {LEGS} select * from legs")
+@query(f"with {LEGS} select * replace (cast(from_alt as double) as from_alt, cast(to_alt as double) as to_alt) from legs")
 def leg_endpoints_path(spark, d):
-    return segments.legs(pts(spark, d))
+    return segments.legs(pts(spark, d)).withColumns({c: F.col(c).cast("double") for c in ("from_alt", "to_alt")})
 
 
 @query(f"""with {PTS}, shifted as (select *, lat + 0.0285 as la, lon + 0.1243 as lo from pts),
@@ -116,7 +116,7 @@ def latest_per_key(spark, d):
 
 
 @query("""with docs as (select event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events)
-select event_id, k, case k % 3 when 0 then -1 when 1 then cast(trunc(k * 10.7) as int) end as alt_ft, 0 as dt, coalesce(case when k % 2 = 0 then 2 end, 0) as flags
+select event_id, k, case k % 3 when 0 then -1 when 1 then cast(trunc(k * 10.7) as double) end as alt_ft, 0 as dt, coalesce(case when k % 2 = 0 then 2 end, 0) as flags
 from docs where k is not null""")
 def raw_doc_decode(spark, d):
     from wakeline.sources.traces import decode_points
@@ -127,7 +127,7 @@ def raw_doc_decode(spark, d):
     doc = F.concat(F.lit('{"timestamp":0,"trace":[[0,43.5,-88.5,'), alt, F.lit(",90.5,10.0,"), F.when(k % 2 == 0, "2").otherwise("null"), F.lit("]]}"))
     rows = table(spark, d, "events").select("event_id", k.alias("k"), doc.alias("doc")).where("k is not null")
     got = decode_points(rows, "doc", ["event_id", "k"])
-    return got.select("event_id", "k", "alt_ft", F.col("ts").cast("int").alias("dt"), "flags")
+    return got.select("event_id", "k", F.col("alt_ft").cast("double").alias("alt_ft"), F.col("ts").cast("int").alias("dt"), "flags")
 
 
 @query("""select coalesce(nullif(case when p_partkey % 3 = 0 then '' else p_brand end, ''), nullif(case when p_partkey % 2 = 0 then '' else p_type end, ''), p_name) as ident,
