@@ -258,7 +258,9 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     links = links.join(ends.select(F.col("fp").alias("a"), F.col("node").alias("na")), "a").join(ends.select(F.col("fp").alias("b"), F.col("node").alias("nb")), "b")
     roots = connected(links.select(F.col("na").alias("a"), F.col("nb").alias("b")))
     found = roots.select(F.col("node.fp").alias("fp"), F.col("root.first").alias("least"))
-    classes = nodes.join(found, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
+    # Written out, so that the last join is between two plain shuffles and Spark can split the
+    # rows of a fingerprint that very many copies share.
+    classes = cut_lineage(nodes.join(found, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id")))
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
