@@ -37,9 +37,9 @@ from wakeline.llm.common import arrow_rows, documents, text_or_empty
 from wakeline.llm.packing import byte_alphabet
 
 WORD_END = "</w>"
-STATES = 150_000
+STATES = 250_000
 PAIRS = 500_000
-WORDS = 800_000
+WORDS = 1_200_000
 #: Longer pieces are encoded but not remembered.
 LONG_WORD = 64
 #: Symbol of a byte that ends a word, a character outside the byte alphabet.
