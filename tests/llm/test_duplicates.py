@@ -131,6 +131,36 @@ def test_passages_against_brute_force(make):
     assert {r.doc_id for r in substring.find_passages(make(rows)).collect() if r.spans} == expected
 
 
+def test_passage_of_lines_that_earlier_documents_hold(make):
+    """The first document of each shingle has it in another context; the later one has the passage."""
+    rng = random.Random(12)
+    words = lambda n: " ".join(f"v{rng.randrange(100_000)}" for _ in range(n))
+    rows, late = [], []
+    for case in range(20):
+        lines = [words(20) for _ in range(3)]
+        pairs = [" ".join(lines[:2]), " ".join(lines[1:])]  # 40 words: too short
+        rows += [(len(rows) + k, f"{words(50)} {line} {words(50)}") for k, line in enumerate(lines * 2 + pairs * 10)]
+        late += [(1000 + 2 * case + k, f"{words(60)} {' '.join(lines)} {words(60)}") for k in range(2)]
+    got = {r.doc_id: r for r in substring.find_passages(make(rows + late)).collect()}
+    assert {d for d, r in got.items() if r.spans} == {d for d, _ in late if d % 2}
+    assert all(got[d].repeats.of == [d - 1] for d, _ in late if d % 2)
+
+
+def test_contexts_where_a_text_holds_a_shingle_again(make):
+    rng = random.Random(13)
+    words = lambda n: " ".join(f"v{rng.randrange(100_000)}" for _ in range(n))
+    rows, late = [], []
+    for case in range(10):
+        lines = [words(20) for _ in range(3)]
+        pairs = [" ".join(lines[:2]), " ".join(lines[1:])]
+        rows += [(len(rows) + k, f"{words(50)} {pair} {words(50)}") for k, pair in enumerate(pairs * 10)]
+        for k in range(2):
+            alone = " ".join(f"{pair} {words(60)}" for pair in pairs)
+            late.append((1000 + 2 * case + k, f"{alone} {' '.join(lines)} {words(60)}"))
+    got = {r.doc_id for r in substring.find_passages(make(rows + late)).collect() if r.spans}
+    assert got == {d for d, _ in late if d % 2}
+
+
 def test_passages_odd_rows(make, odd_rows):
     got = substring.find_passages(make(odd_rows, extra=True)).collect()
     assert len(got) == len(odd_rows) and all(not r.spans for r in got)

@@ -11,9 +11,16 @@ already finds every exact repeat, and four miss a passage of similarity 0.8
 once in six hundred times.
 
 Nodes meet on (function, min-hash). A node is linked with the first document
-of its hash only, never with all others: blocks of documents are first
+of its hash, never with all others: blocks of documents are first
 reduced inside the task that read them, so a passage that a third of all
-documents share comes to the shuffle once for each block. The linked interval of
+documents share comes to the shuffle once for each block.
+
+The first document of a hash may hold the shingle in another context. So the
+nodes whose hash several documents have meet again on keys of their context,
+and link with the first document of each: every run of PASSAGE shingles in the
+nodes of one function, whose first document surely holds it (so each exact
+repeat is found, whatever the other documents hold), and, for edited passages,
+the smallest and next-smallest shingle under every function. The linked interval of
 the earlier document is then fetched, and the later document's passages are
 verified against it: at least PASSAGE shingles long, with SIMILARITY of them
 in that interval.
@@ -23,6 +30,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -30,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import documents, without
+from wakeline.llm.common import cut_lineage, documents, without
 
 SHINGLE = 5
 #: Shortest passage in words, and in shingles.
@@ -85,15 +93,19 @@ def compact_windows(hashes: np.ndarray, least: int) -> list[tuple[int, int, int]
     return out
 
 
+def function_hashes(base: np.ndarray, j: int) -> np.ndarray:
+    h = base * _ODD[j]
+    h ^= h >> np.uint64(32)
+    return h
+
+
 def document_windows(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys, starts and ends of a text's compact windows under every function; a key once a text."""
     base = shingles(text)
     keys, lows, highs = [], [], []
     if len(base) >= PASSAGE:
         for j in range(FUNCTIONS):
-            h = base * _ODD[j]
-            h ^= h >> np.uint64(32)
-            for l, c, r in compact_windows(h, PASSAGE):
+            for l, c, r in compact_windows(function_hashes(base, j), PASSAGE):
                 keys.append(int(base[c]) ^ j)
                 lows.append(l)
                 highs.append(r)
@@ -102,13 +114,66 @@ def document_windows(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return key, np.array(lows, np.int32)[first], np.array(highs, np.int32)[first]
 
 
-_WINDOWS = "k long, b long, a long, lo int, hi int"
+_INVERSE = np.uint64(pow(int(_MIX), -1, 1 << 64))
+
+
+def run_hashes(base: np.ndarray) -> np.ndarray:
+    """A hash for each run of PASSAGE shingles, by its start."""
+    n = len(base)
+    up = np.cumprod(np.full(n, _MIX, np.uint64))
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(base * up)))
+    out = (total[PASSAGE:] - total[: n - PASSAGE + 1]) * np.cumprod(np.full(n - PASSAGE + 1, _INVERSE, np.uint64))
+    return (out ^ (out >> np.uint64(29))) * _MIX
+
 
+def context_windows(text: str, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, starts and ends of the contexts of a text's nodes with a key in ``shared``; a key once a text.
 
-def _reduce(ids: list[int], found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    A run that another document repeats has shared nodes under all functions,
+    so no others are made.
+    """
+    base = shingles(text)
+    n = len(base) - PASSAGE + 1
+    if n < 1:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
+    covered = np.zeros((FUNCTIONS, n), bool)
+    low, high = np.zeros(n, np.int32), np.zeros(n, np.int32)
+    pairs, spans = [], []
+    for j in range(FUNCTIONS):
+        h = function_hashes(base, j)
+        for value in np.intersect1d(base, shared ^ np.uint64(j)):
+            places = np.flatnonzero(base == value)
+            lower = np.concatenate(([-1], np.flatnonzero(h < h[places[0]]), [len(h)]))
+            at = np.searchsorted(lower, places)
+            starts = np.maximum(lower[at - 1], np.concatenate(([-1], places[:-1]))) + 1
+            for l, c, r in zip(starts.tolist(), places.tolist(), lower[at].tolist()):
+                if r - l < PASSAGE:
+                    continue
+                part = slice(max(l, c - PASSAGE + 1), min(c, r - PASSAGE) + 1)
+                covered[j, part], low[part], high[part] = True, l, r
+                # Passages with c and without the next-smallest place lie on c's side of it.
+                while r - l >= PASSAGE:
+                    sides = [a + int(h[a:b].argmin()) for a, b in ((l, c), (c + 1, r)) if a < b]
+                    d = min(sides, key=lambda x: (h[x], x))
+                    pairs.append(((int(base[c]) * 3 ^ int(base[d])) * int(_MIX) + j) & ((1 << 64) - 1))
+                    spans.append((l, r))
+                    l, r = (d + 1, r) if d < c else (l, d)
+    whole = np.flatnonzero(covered.all(axis=0))
+    span = np.array(spans, np.int32).reshape(-1, 2)
+    key, first = np.unique(np.concatenate((run_hashes(base)[whole], np.array(pairs, np.uint64))), return_index=True)
+    return key, np.concatenate((low[whole], span[:, 0]))[first], np.concatenate((high[whole], span[:, 1]))[first]
+
+
+_WINDOWS = "k long, b long, a long, lo int, hi int, shared boolean"
+
+
+def _reduce(ids: list[int], found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], merge: bool) -> pa.RecordBatch:
     """A block's windows: the first document of each key as it is (a null), the others linked with it.
 
-    Linked rows get a key of their own, so that the shuffle spreads them.
+    Linked rows get a key of their own, so that the shuffle spreads them;
+    merge: one for each two documents. shared: other documents of the block
+    have the first document's key. A document's rows follow each other, which
+    halves the shuffle's bytes.
     """
     doc = np.repeat(np.array(ids, np.int64), [len(f[0]) for f in found])
     key, lo, hi = (np.concatenate([f[i] for f in found]) for i in range(3))
@@ -117,42 +182,72 @@ def _reduce(ids: list[int], found: list[tuple[np.ndarray, np.ndarray, np.ndarray
     new = np.concatenate(([True], key[1:] != key[:-1])) if len(key) else np.zeros(0, bool)
     head = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0)) if len(key) else np.zeros(0, np.int64)
     same = ~new & (doc == doc[head])  # rows of one doc_id
+    shared = np.zeros(len(key), bool)
+    shared[head[~same & ~new]] = True
     k = np.where(new, key, (doc.astype(np.uint64) * _MIX) ^ key)
-    keep = ~same
-    a = pa.array(doc[head][keep], mask=new[keep])
+    keep = np.flatnonzero(~same)
+    keep = keep[np.lexsort((hi[keep], lo[keep], doc[head][keep], new[keep], doc[keep]))]
+    k, b, a, new, shared = k[keep], doc[keep], doc[head][keep], new[keep], shared[keep]
     lows, highs = lo[head][keep], hi[head][keep]
-    return pa.RecordBatch.from_arrays([pa.array(k[keep].view(np.int64)), pa.array(doc[keep]), a, pa.array(lows), pa.array(highs)], names=["k", "b", "a", "lo", "hi"])
+    if merge and len(k):
+        first = np.flatnonzero(new | np.concatenate(([True], (b[1:] != b[:-1]) | (a[1:] != a[:-1]) | new[:-1])))
+        lows, highs = np.minimum.reduceat(lows, first), np.maximum.reduceat(highs, first)
+        k, b, a, new, shared = (x[first] for x in (k, b, a, new, shared))
+    arrays = [pa.array(k.view(np.int64)), pa.array(b), pa.array(a, mask=new), pa.array(lows), pa.array(highs), pa.array(shared)]
+    return pa.RecordBatch.from_arrays(arrays, names=[f.split()[0] for f in _WINDOWS.split(", ")])
+
+
+def _blocks(documents: Iterator[tuple[int, tuple]], merge: bool) -> Iterator[pa.RecordBatch]:
+    while block := list(islice(documents, BLOCK)):
+        yield _reduce([d for d, _ in block], [w for _, w in block], merge)
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    ids: list[int] = []
-    found: list = []
-    for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-            ids.append(doc_id)
-            found.append(document_windows(text))
-            if len(ids) == BLOCK:
-                yield _reduce(ids, found)
-                ids, found = [], []
-    if ids:
-        yield _reduce(ids, found)
+    rows = (row for batch in batches for row in zip(*(batch.column(i).to_pylist() for i in range(2))))
+    yield from _blocks(((d, document_windows(t)) for d, t in rows), False)
+
+
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keys(doc: int, nodes: list[dict]) -> np.ndarray:
+        own = np.array([doc], np.int64).astype(np.uint64) * _MIX
+        k = np.array([n["k"] for n in nodes], np.int64).view(np.uint64)
+        return np.where([n["linked"] for n in nodes], k ^ own, k)
+
+    rows = (row for batch in batches for row in zip(*(batch.column(i).to_pylist() for i in range(3))))
+    yield from _blocks(((d, context_windows(t, keys(d, n))) for d, t, n in rows if t is not None), True)
 
 
 def passage_links(df: DataFrame) -> DataFrame:
     """(b, a, lo, hi): document b may repeat passages of the shingles [lo, hi) of document a, a < b."""
     named = df.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     rows = named.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_windows, _WINDOWS)
+    # Written out, for the links and for the contexts.
+    rows = cut_lineage(_with_first(rows))
+    nodes = rows.groupBy("b").agg(F.collect_set(F.struct("k", F.col("a").isNotNull().alias("linked"))).alias("_nodes"))
+    others = [F.col(f"`{c}`") for c in df.columns if c not in ("doc_id", "text")]
+    # The join deals the same rows and columns as those of find_passages do (_contexts reads the first three).
+    met = df.where(F.col("doc_id").isNotNull()).join(nodes, df["doc_id"] == nodes["b"])
+    met = met.select(nodes["b"], F.col("text").cast("string"), "_nodes", *others).mapInArrow(_contexts, _WINDOWS)
+    links = _links(rows).unionByName(_links(_with_first(met)))
+    return links.groupBy("b", "a").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+
+
+def _with_first(rows: DataFrame) -> DataFrame:
+    """Rows whose key several documents have, with ``first``: the key's first document and its interval."""
+    keyed = Window.partitionBy("k")
     centre = F.when(F.col("a").isNull(), F.struct("b", "lo", "hi"))
-    rows = rows.withColumn("first", F.min(centre).over(Window.partitionBy("k")))
+    rows = rows.withColumns({"first": F.min(centre).over(keyed), "last": F.max("b").over(keyed)})
+    return rows.where(F.col("a").isNotNull() | F.col("shared") | (F.col("first.b") < F.col("last"))).drop("last")
+
+
+def _links(rows: DataFrame) -> DataFrame:
     linked = F.col("a").isNotNull()
-    rows = rows.where(linked | (F.col("b") > F.col("first.b")))
-    links = rows.select(
+    return rows.where(linked | (F.col("b") > F.col("first.b"))).select(
         "b",
         F.coalesce("a", "first.b").alias("a"),
         F.when(linked, F.col("lo")).otherwise(F.col("first.lo")).alias("lo"),
         F.when(linked, F.col("hi")).otherwise(F.col("first.hi")).alias("hi"),
     )
-    return links.groupBy("b", "a").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
 
 def matching_runs(mine: np.ndarray, other: np.ndarray) -> list[tuple[int, int]]:
