@@ -161,6 +161,29 @@ def test_contexts_where_a_text_holds_a_shingle_again(make):
     assert got == {d for d, _ in late if d % 2}
 
 
+def test_matching_runs_against_brute_force():
+    def brute(held):
+        found = set()
+        for s in range(len(held)):
+            for e in range(s + substring.PASSAGE, len(held) + 1):
+                gaps = "".join("x" if h else "." for h in held[s:e])
+                if held[s] and held[e - 1] and 10 * sum(held[s:e]) >= 8 * (e - s) and "." * (substring.PASSAGE // 2 + 1) not in gaps:
+                    found.add((s, e))
+        return sorted(f for f in found if not any(g != f and g[0] <= f[0] and f[1] <= g[1] for g in found))
+
+    edits = [k < 8 or 13 <= k < 21 or 26 <= k < 52 for k in range(52)]
+    rng, cases = random.Random(9), [edits, edits[::-1]]
+    for _ in range(150):
+        held = []
+        while len(held) < 110:
+            held += [True] * rng.randint(1, 25) + [False] * rng.choice([1, 3, 5, 5, 8, 23, 24])
+        cases.append(held)
+    for held in cases:
+        mine = np.arange(len(held), dtype=np.uint32)
+        assert substring.matching_runs(mine, mine[np.array(held)]) == brute(held)
+    assert brute(edits) == [(0, 52)] and sum(map(bool, map(brute, cases))) > 40
+
+
 def test_passages_odd_rows(make, odd_rows):
     got = substring.find_passages(make(odd_rows, extra=True)).collect()
     assert len(got) == len(odd_rows) and all(not r.spans for r in got)

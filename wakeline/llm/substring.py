@@ -251,20 +251,29 @@ def _links(rows: DataFrame) -> DataFrame:
 
 
 def matching_runs(mine: np.ndarray, other: np.ndarray) -> list[tuple[int, int]]:
-    """Runs [s, e) of ``mine`` of at least PASSAGE places, SIMILARITY of them in ``other``."""
+    """The maximal runs [s, e) of ``mine`` of at least PASSAGE places, SIMILARITY of them in ``other``.
+
+    They start and end with places in ``other`` and leave at most PASSAGE // 2
+    places in a row out; runs may overlap, none lies within another.
+    """
     at = np.flatnonzero(np.isin(mine, other))
     if len(at) < SIMILARITY * PASSAGE:
         return []
     cut = np.flatnonzero(np.diff(at) > 1)
     starts, ends = at[np.concatenate(([0], cut + 1))].tolist(), (at[np.concatenate((cut, [len(at) - 1]))] + 1).tolist()
-    out, s, e, matched = [], starts[0], ends[0], ends[0] - starts[0]
-    for s2, e2 in [*zip(starts[1:], ends[1:]), (len(mine) + PASSAGE, len(mine) + PASSAGE + 1)]:
-        if matched + e2 - s2 >= SIMILARITY * (e2 - s) and s2 - e <= PASSAGE // 2:
-            e, matched = e2, matched + e2 - s2
-            continue
-        if e - s >= PASSAGE:
-            out.append((s, e))
-        s, e, matched = s2, e2, e2 - s2
+    s, e = np.array(starts), np.array(ends)
+    before = np.concatenate(([0], np.cumsum(e - s)))  # matched places before each run
+    share = round(100 * SIMILARITY)
+    # From run i to run j is similar enough where last[j] >= first[i].
+    first, last = 100 * before[:-1] - share * s, 100 * before[1:] - share * e
+    parts = np.concatenate(([0], np.flatnonzero(s[1:] - e[:-1] > PASSAGE // 2) + 1, [len(s)])).tolist()
+    out: list[tuple[int, int]] = []
+    for i, j in zip(parts, parts[1:]):
+        best = np.maximum.accumulate(last[i:j][::-1])  # of the runs from each one on, from the right
+        far = j - 1 - np.searchsorted(best, first[i:j])  # the furthest run that is similar enough
+        for x, y in zip(s[i:j].tolist(), e[far].tolist()):
+            if y - x >= PASSAGE and (not out or y > out[-1][1]):
+                out.append((x, y))
     return out
 
 
