@@ -71,6 +71,20 @@ def test_language_held_out(spark):
     assert one.lang_pred == "aa" and 0.65 < one.score < 0.85
 
 
+def test_every_labelled_language_is_learned(spark):
+    """300 languages, each with words of its own two letters; the last ones are the rarest."""
+    rows = []
+    for k in range(300):
+        one, two = chr(0x4E00 + 2 * k), chr(0x4E01 + 2 * k)
+        words = f"{one}{two}{one} {two}{one}{one} {one}{one}{two}{two} {two}{two}{one}"
+        rows += [(len(rows) + n, f"{words} {words}", f"l{k:03}") for n in range(2 if k < 280 else 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    names, model = language.train(df.withColumn("pick", F.xxhash64("doc_id")))
+    assert names == [f"l{k:03}" for k in range(300)] and model.shape == (language.TABLE, 300)
+    got = {r.doc_id: r.lang_pred for r in language.identify(df.where("doc_id >= 540"), names, model).collect()}
+    assert got == {d: lang for d, _, lang in rows if d >= 540}
+
+
 def test_language_odd_rows(make, odd_rows, spark):
     df = make(odd_rows, extra=True)
     names, model = language.train(df.withColumn("pick", F.xxhash64("doc_id")))

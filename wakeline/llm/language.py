@@ -25,12 +25,14 @@ from wakeline.llm.common import arrow_rows, documents, text_or_empty
 TABLE = 1 << 16
 #: Labelled rows that a language's model is fitted on, about.
 SAMPLE = 2_000
-#: Languages of a model at most; the most frequent ones are learned.
-LANGUAGES = 256
 ROUNDS = 12
 SMOOTHING = 0.5
 #: Documents that are worked together in a task have so many code points at most, or are one document.
 BLOCK = 1 << 20
+#: With more languages than these the blocks are smaller, for a task's memory.
+WIDE = 64
+#: Trigrams that are counted at once.
+COUNTED = 1 << 20
 
 
 def trigrams(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -64,32 +66,38 @@ def has_letter(text: str) -> bool:
     return any(c.isalpha() for c in text)
 
 
-def train(df: DataFrame, sample: int = SAMPLE, languages: int = LANGUAGES) -> tuple[list[str], np.ndarray]:
+def train(df: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     """Languages and their (TABLE, languages) log-likelihoods from ``df``'s (text, lang, pick).
 
     About ``sample`` rows of each language are read, those with the smallest
-    ``pick`` (a hash of the row); the trigram counts come back as one row for
+    ``pick`` (a hash of the row). Every language is learned; the trigram counts come back as one row for
     each language and trigram, TABLE of them a language at most.
     """
     known = df.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()}
-    names = sorted(sizes)
+    sizes = known.groupBy("lang").count()
+    names = sorted(r["lang"] for r in sizes.select("lang").collect())
     if not names:
         return [], np.zeros((TABLE, 0), np.float32)
-    limit = F.lit(0.0)
-    for name in names:
-        limit = F.when(F.col("lang") == name, min(1.0, sample / sizes[name])).otherwise(limit)
     # An arithmetic test on a uniform hash: no shuffle, and the same rows at every retry.
-    picked = known.where(F.pmod("pick", F.lit(1_000_003)) < limit * 1_000_003).select("lang", "text")
+    share = F.least(F.lit(1.0), F.lit(sample) / F.col("count"))
+    picked = known.join(F.broadcast(sizes), "lang").where(F.pmod("pick", F.lit(1_000_003)) < share * 1_000_003).select("lang", "text")
     number = {name: i for i, name in enumerate(names)}
 
+    def counted(codes: list[np.ndarray]) -> pa.RecordBatch:
+        code, n = np.unique(np.concatenate(codes), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(code // TABLE), pa.array(code % TABLE), pa.array(n)], names=["lang", "spot", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((len(number), TABLE), np.int64)
+        codes, size = [], 0
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                table[number[lang]] += np.bincount(trigrams(text)[0], minlength=TABLE)
-        lang, spot = np.nonzero(table)
-        yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(spot), pa.array(table[lang, spot])], names=["lang", "spot", "n"])
+                codes.append(number[lang] * TABLE + trigrams(text)[0])
+                size += len(codes[-1])
+                if size > COUNTED:
+                    yield counted(codes)
+                    codes, size = [], 0
+        if codes:
+            yield counted(codes)
 
     found = picked.mapInArrow(count, "lang long, spot long, n long").groupBy("lang", "spot").agg(F.sum("n").alias("n")).collect()
     table = np.full((TABLE, len(names)), SMOOTHING)
@@ -174,6 +182,7 @@ def identify(df: DataFrame, names: list[str], model: np.ndarray) -> DataFrame:
     """
     schema = "doc_id long, lang_pred string, score double"
     shared = df.sparkSession.sparkContext.broadcast(model)
+    block = BLOCK * WIDE // max(WIDE, len(names))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,7 +190,7 @@ def identify(df: DataFrame, names: list[str], model: np.ndarray) -> DataFrame:
             first = 0
             while first < len(texts):
                 last, size = first, 0
-                while last < len(texts) and (last == first or size + len(texts[last]) <= BLOCK):
+                while last < len(texts) and (last == first or size + len(texts[last]) <= block):
                     size += len(texts[last])
                     last += 1
                 top, share = infer(texts[first:last], shared.value) if names else ([-1] * (last - first), [0.0] * (last - first))
