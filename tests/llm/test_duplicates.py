@@ -2,73 +2,10 @@ import random
 
 import numpy as np
 
-from wakeline.llm import sharding, simhash, substring
+from wakeline.llm import sharding, substring
 from wakeline.llm.components import connected
 
 
-def brute_components(rows):
-    prints = [(d, simhash.fingerprint_text(t or "")) for d, t in rows]
-    root = list(range(len(prints)))
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for i in range(len(prints)):
-        for j in range(i):
-            if bin(prints[i][1] ^ prints[j][1]).count("1") <= 4:
-                a, b = find(i), find(j)
-                root[max(a, b)] = min(a, b)
-    least = {}
-    for i, (d, _) in enumerate(prints):
-        r = find(i)
-        least[r] = min(x for x in (least.get(r), d) if x is not None) if least.get(r) is not None or d is not None else None
-    return sorted(((d, least[find(i)]) for i, (d, _) in enumerate(prints)), key=str)
-
-
-def near_copies(prose):
-    rng, rows = random.Random(2), []
-    for group in range(12):
-        words = prose(group, 150).split()
-        for k in range(6):
-            copy = list(words)
-            for _ in range(k % 3):
-                copy[rng.randrange(len(copy))] = "changed"
-            rows.append((len(rows) + 1, " ".join(copy)))
-    return rows
-
-
-def test_simhash_components(make, prose, odd_rows):
-    rows = near_copies(prose) + [(100 + d if d else None, t) for d, t in odd_rows]
-    got = simhash.near_duplicates(make(rows, extra=True)).collect()
-    assert sorted(((r.doc_id, r.component_id) for r in got), key=str) == brute_components(rows)
-    assert simhash.near_duplicates(make([])).count() == 0
-    kept = simhash.deduplicate(make(rows)).collect()
-    firsts = {c for _, c in brute_components(rows) if c is not None}
-    assert {r.doc_id for r in kept if r.doc_id is not None} == firsts
-    assert sum(r.doc_id is None for r in kept) == 2
-
-
-def test_hot_groups_are_searched_in_chunks(spark):
-    rng = np.random.default_rng(3)
-    centres = rng.integers(0, 1 << 63, 4, dtype=np.uint64)
-    values = np.unique(np.concatenate([c ^ np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, (60, 4)).astype(np.uint64), axis=1) for c in centres]))
-    df = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "fp long")
-    whole, cut = (connected(simhash.near_links(df, chunk=c)).collect() for c in (10_000, 7))
-    assert sorted(whole) == sorted(cut) and len(whole) > 100
-
-
-def test_gray_index_finds_all_pairs():
-    rng = np.random.default_rng(8)
-    values = np.unique(rng.integers(0, 1 << 10, 300).astype(np.uint64))
-    index = simhash.GrayIndex(values)
-    ranks = simhash.gray_rank(index.values)
-    assert (ranks[1:] > ranks[:-1]).all()
-    found = {tuple(sorted((int(index.values[a]), int(index.values[b])))) for u, v in simhash.linked_pairs(index, index, budget=64) for a, b in zip(u, v) if a != b}
-    assert found == {(int(a), int(b)) for i, a in enumerate(values) for b in values[i + 1 :] if int(a ^ b).bit_count() <= 4}
-
-
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(100, 101), (7, 7)], "a long, b long")
     assert {r.node: r.root for r in connected(links).collect()} == {**{i: 0 for i in range(31)}, 100: 100, 101: 100}

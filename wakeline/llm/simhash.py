@@ -1,27 +1,36 @@
 """Operator 7, SimHash near-duplicates by a Gray-order hierarchical index.
 
 Fingerprints within four differing bits are linked and the links' connected
-components reported. Six blocks of bits are cut from a fingerprint; four
-differing bits leave at least two of the six untouched, so every linked pair
-meets under at least one of the fifteen choices of two blocks. Inside such a
-group the fingerprints are sorted by Gray rank and indexed by a hierarchy of
-runs: a node keeps the bits that all its members share; two nodes whose shared
-bits already differ in more than four places are dropped with everything
-below them.
-
-Only distinct fingerprints are searched. A group emits a spanning forest of
-its links (never all pairs); a group above ``chunk`` members is dealt out as
-pairs of Gray-order chunks to separate tasks, so no task holds it whole.
+components reported. All links come from the index: fingerprints are sorted
+by Gray rank, and runs of FAN of them, runs of those runs and so on are nodes that
+keep the bits all their members share. Two nodes whose shared bits already
+differ in more than four places are dropped with everything below them; as a
+node's shared bits are among its children's, differences accumulate on the way
+down. Two nodes whose members are all connected already are dropped too, so a
+group emits a spanning forest of its links and never all pairs.
+
+The index is dealt to tasks by blocks of bits: four differing bits leave one
+of five blocks untouched, two of six, three of seven. Equal blocks make a
+group with a tree of its own; of each block so many bits are used that a group of
+unrelated fingerprints has about GROUP members however many there are in all
+(``key_columns``). Groups of over ``chunk`` members are cut into Gray-rank
+ranges, and each pair of ranges whose shared bits are near enough goes to a task
+of its own, so no task holds such a group whole.
+
+``similar`` is for texts: five-word shingles, a Jaccard similarity. Four bits
+are far less than similarity 0.8, so the index's links are joined by those of
+a second sketch (bands of min-hashes), and every link is verified on the texts.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wakeline.llm.common import arrow_rows, cut_lineage, documents, shuffle_partitions, text_or_empty
@@ -31,27 +40,48 @@ BITS = 4
 SEED = 42
 WORDS = 4
 CHUNK = 20_000
-#: First bit and width of the six blocks.
-BLOCKS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))
-LEAF = 16
-FAN = 8
-
-
-def fingerprint_text(text: str, words: int = WORDS) -> int:
-    """SimHash of a text's word shingles, as an unsigned 64-bit integer; zero without words."""
+#: Members of a group of unrelated fingerprints, about.
+GROUP = 2_048
+FAN = 4
+#: Gray-rank ranges that a group can be cut into.
+RANGES = 4_096
+#: Fingerprints that a task searches at once, or one group or pair of ranges.
+AT_ONCE = 1 << 16
+
+#: For ``similar``: words of a shingle, similarity, and the bands of min-hashes.
+SHINGLE = 5
+SIMILARITY = 0.8
+BANDS = 10
+ROWS = 4
+_ODD = np.random.default_rng(70707).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def shingle_hashes(text: str, words: int = WORDS) -> np.ndarray:
+    """XXH64 of each word shingle of a text, A-Z lower-cased; fewer words are one shingle, none none."""
     from xxhash import xxh64_intdigest
 
-    lowered = text.encode("utf-8").lower()  # bytes.lower() touches A-Z alone
-    tokens = lowered.split()  # on exactly space and \t to \r
+    tokens = text.encode("utf-8", "surrogatepass").lower().split()  # bytes.lower() touches A-Z alone, split() cuts on exactly space and \t to \r
     if not tokens:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(tokens)
     ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
     width = min(words, len(tokens))
     starts = np.concatenate(([0], ends[:-1] + 1))[: len(tokens) - width + 1].tolist()
-    hashes = np.fromiter((xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts, ends[width - 1 :].tolist())), np.uint64, len(starts))
+    return np.fromiter((xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts, ends[width - 1 :].tolist())), np.uint64, len(starts))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """A bit is 1 if set in over half the hashes; zero without hashes."""
+    if not len(hashes):
+        return 0
     ones = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(starts), bitorder="little").view(np.uint64)[0])
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
+
+
+def fingerprint_text(text: str, words: int = WORDS) -> int:
+    """SimHash of a text's word shingles, as an unsigned 64-bit integer; zero without words."""
+    return fingerprint_of(shingle_hashes(text, words))
 
 
 def signed(value: int) -> int:
@@ -66,53 +96,10 @@ def gray_rank(values: np.ndarray) -> np.ndarray:
     return rank
 
 
-class GrayIndex:
-    """Runs of Gray-sorted fingerprints; level 0 has the single values, each level above joins FAN runs.
-
-    A node holds the bits shared by its run (mask) and their values (pattern).
-    """
-
-    def __init__(self, values: np.ndarray) -> None:
-        self.values = values[np.argsort(gray_rank(values), kind="stable")]
-        both, either = self.values, self.values
-        self.levels = [(~np.zeros_like(both), both)]
-        while len(both) > 1:
-            cuts = np.arange(0, len(both), FAN)
-            both, either = np.bitwise_and.reduceat(both, cuts), np.bitwise_or.reduceat(either, cuts)
-            self.levels.append((~(both ^ either), both))
-
-
-def linked_pairs(a: GrayIndex, b: GrayIndex, bits: int = BITS, budget: int = 400_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs (into a.values, b.values) within ``bits``, in blocks of bounded size.
-
-    A stack of node pairs is worked depth first, at most ``budget`` pairs at
-    once, so memory stays bounded however many pairs there are. Every pair
-    descends the taller side; a leaf pair is exact.
-    """
-    stack = [(len(a.levels) - 1, len(b.levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
-    while stack:
-        la, lb, u, v = stack.pop()
-        (ma, pa_), (mb, pb) = a.levels[la], b.levels[lb]
-        near = np.bitwise_count((pa_[u] ^ pb[v]) & ma[u] & mb[v]) <= bits
-        u, v = u[near], v[near]
-        if a is b and la == lb:
-            u, v = u[u <= v], v[u <= v]
-        if not len(u):
-            continue
-        if la == lb == 0:
-            yield u, v
-            continue
-        step = max(1, budget // FAN)
-        for k in range(0, len(u), step):
-            x, y = u[k : k + step], v[k : k + step]
-            if la >= lb:
-                child, size = x[:, None] * FAN + np.arange(FAN), len(a.levels[la - 1][1])
-                keep = child < size
-                stack.append((la - 1, lb, child[keep], np.broadcast_to(y[:, None], child.shape)[keep]))
-            else:
-                child, size = y[:, None] * FAN + np.arange(FAN), len(b.levels[lb - 1][1])
-                keep = child < size
-                stack.append((la, lb - 1, np.broadcast_to(x[:, None], child.shape)[keep], child[keep]))
+def gray_rank_column(value: Column) -> Column:
+    for shift in (1, 2, 4, 8, 16, 32):
+        value = value.bitwiseXOR(F.shiftrightunsigned(value, shift))
+    return value
 
 
 class Forest:
@@ -121,12 +108,15 @@ class Forest:
     def __init__(self, n: int) -> None:
         self.root = np.arange(n)
 
-    def join(self, u: np.ndarray, v: np.ndarray) -> None:
+    def join(self, u: np.ndarray, v: np.ndarray) -> bool:
+        """Whether the links connected anything new."""
+        changed = False
         while True:
             ru, rv = self.root[u], self.root[v]
             apart = ru != rv
             if not apart.any():
-                return
+                return changed
+            changed = True
             u, v, ru, rv = u[apart], v[apart], ru[apart], rv[apart]
             np.minimum.at(self.root, np.maximum(ru, rv), np.minimum(ru, rv))
             while True:
@@ -136,99 +126,202 @@ class Forest:
                 self.root = up
 
 
-def spanning_links(left: np.ndarray, right: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links within one chunk, or between two chunks."""
-    a = GrayIndex(left)
-    b = a if right is None else GrayIndex(right)
-    values = a.values if right is None else np.concatenate((a.values, b.values))
-    shift = 0 if right is None else len(a.values)
-    forest = Forest(len(values))
-    for u, v in linked_pairs(a, b):
-        forest.join(u, v + shift)
-    other = np.flatnonzero(forest.root != np.arange(len(values)))
-    return values[forest.root[other]], values[other]
-
-
-def _small_links(key: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links inside runs of equal key of at most LEAF rows: the leaves of the index, all at once."""
-    found: list[tuple[np.ndarray, np.ndarray]] = []
-    for d in range(1, min(LEAF, len(key))):
-        same = np.flatnonzero(key[d:] == key[:-d])
-        if not len(same):
-            break
-        near = same[np.bitwise_count(values[same] ^ values[same + d]) <= BITS]
-        found.append((values[near], values[near + d]))
-    if not found:
-        return values[:0], values[:0]
-    return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
+class GrayIndex:
+    """A tree for each group of fingerprints: level 0 has the values in Gray order, each level above runs of FAN nodes.
+
+    A node holds the bits shared by its run (mask) and their values
+    (pattern). All trees have as many levels as the tallest; at the top each
+    group is one node.
+    """
+
+    def __init__(self, values: np.ndarray, starts: np.ndarray) -> None:
+        sizes = np.diff(np.append(starts, len(values)))
+        group = np.repeat(np.arange(len(starts)), sizes)
+        self.group = group
+        self.values = values[np.lexsort((gray_rank(values), group))]
+        both, either = self.values, self.values
+        self.levels = [(~np.zeros_like(both), both)]
+        self.children: list[np.ndarray] = [np.arange(len(both) + 1)]
+        while sizes.max() > 1:
+            within = np.arange(len(both)) - np.repeat(starts, sizes)
+            cuts = np.flatnonzero(within % FAN == 0)
+            self.children.append(np.append(cuts, len(both)))
+            both, either = np.bitwise_and.reduceat(both, cuts), np.bitwise_or.reduceat(either, cuts)
+            self.levels.append((~(both ^ either), both))
+            sizes = -(-sizes // FAN)
+            starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+        self.linked = Forest(len(self.values))
+        self._roots: list[tuple[np.ndarray, np.ndarray]] | None = None
+        #: Pairs of nodes that were compared, and those dropped by their bits or as connected already.
+        self.compared = self.dropped = self.known = 0
+
+    def _connected(self, level: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """Whether all members of both nodes are in one component."""
+        if self._roots is None:
+            least = most = self.linked.root
+            self._roots = [(least, most)]
+            for children in self.children[1:]:
+                least, most = np.minimum.reduceat(least, children[:-1]), np.maximum.reduceat(most, children[:-1])
+                self._roots.append((least, most))
+        least, most = self._roots[level]
+        return (least[u] == most[v]) & (most[u] == least[v])
+
+    def _link(self, u: np.ndarray, v: np.ndarray) -> None:
+        if self.linked.join(u, v):
+            self._roots = None
+
+    def _neighbours(self, bits: int) -> None:
+        """Links of near neighbours in Gray order: most of a cluster, before any node is opened."""
+        for d in range(1, FAN + 1):
+            near = np.flatnonzero((self.group[d:] == self.group[:-d]) & (np.bitwise_count(self.values[d:] ^ self.values[:-d]) <= bits))
+            self._link(near, near + d)
+
+    def search(self, u: np.ndarray, v: np.ndarray, bits: int = BITS, budget: int = 1 << 18) -> None:
+        """Connect all within ``bits`` between the groups u[i] and v[i] (or inside one, where they are the same).
+
+        Worked depth first, about ``budget`` pairs of nodes at once, so memory stays bounded.
+        """
+        if (u == v).any():
+            self._neighbours(bits)
+        step, i = max(1, budget // FAN**2), np.arange(FAN)
+        stack = [(len(self.levels) - 1, u, v, True)]
+        while stack:
+            level, u, v, new = stack.pop()
+            if new:
+                mask, pattern = self.levels[level]
+                near = np.bitwise_count((pattern[u] ^ pattern[v]) & mask[u] & mask[v]) <= bits
+                self.compared += len(u)
+                self.dropped += len(u) - int(np.count_nonzero(near))
+                u, v = u[near], v[near]
+                if not level:
+                    apart = u != v
+                    self._link(u[apart], v[apart])
+                    continue
+            if not len(u):
+                continue
+            if len(u) > step:
+                stack.append((level, u[step:], v[step:], False))
+                u, v = u[:step], v[:step]
+            known = self._connected(level, u, v)
+            self.known += int(np.count_nonzero(known))
+            u, v = u[~known], v[~known]
+            first = self.children[level]
+            a, b = first[u][:, None, None] + i[:, None], first[v][:, None, None] + i
+            there = (a < first[u + 1][:, None, None]) & (b < first[v + 1][:, None, None])
+            there &= (u != v)[:, None, None] | (a < b if level == 1 else a <= b)
+            a, b = np.broadcast_arrays(a, b)
+            stack.append((level - 1, a[there], b[there], True))
+
+    def forest(self) -> tuple[np.ndarray, np.ndarray]:
+        """A spanning forest of the links found."""
+        other = np.flatnonzero(self.linked.root != np.arange(len(self.values)))
+        return self.values[self.linked.root[other]], self.values[other]
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Places where sorted rows differ from the row before, the first included."""
+    new = np.zeros(len(columns[0]), bool)
+    new[0] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def indexed(key: np.ndarray, cell: np.ndarray, side: np.ndarray, fp: np.ndarray) -> GrayIndex:
+    """The searched index over rows sorted by (key, cell, side): inside a cell of one side, between the sides of one with two."""
+    starts = _changes(key, cell, side)
+    index = GrayIndex(fp, starts)
+    cells = np.searchsorted(starts, _changes(key, cell))
+    two = np.diff(np.append(cells, len(starts))) == 2
+    index.search(cells, cells + two)
+    return index
 
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, cell, side, fp) sorted by key and cell to links (a, b)."""
-    rest: tuple[np.ndarray, ...] | None = None
-
-    def groups(cols: tuple[np.ndarray, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        key, cell, side, fp = cols
-        new = np.flatnonzero((key[1:] != key[:-1]) | (cell[1:] != cell[:-1])) + 1
-        starts = np.concatenate(([0], new))
-        sizes = np.diff(np.append(starts, len(key)))
-        number = np.repeat(np.arange(len(starts)), sizes)
-        small = np.repeat(sizes <= LEAF, sizes) & (cell == 0)
-        yield _small_links(number[small], fp[small])
-        for s, n in zip(starts.tolist(), sizes.tolist()):
-            if n > LEAF or cell[s]:
-                left, right = fp[s : s + n][side[s : s + n] == 0], fp[s : s + n][side[s : s + n] == 1]
-                if len(left) and (len(right) or not side[s : s + n].any()):
-                    yield spanning_links(left, right if len(right) else None)
-
-    def out(cols: tuple[np.ndarray, ...]) -> pa.RecordBatch:
-        pairs = list(groups(cols))
-        a, b = (np.concatenate([p[i] for p in pairs]).view(np.int64) for i in (0, 1))
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+    """Rows (key, cell, side, fp) sorted by the first three to links (a, b)."""
 
+    def out(columns: list[np.ndarray]) -> pa.RecordBatch:
+        a, b = indexed(*columns).forest()
+        return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+
+    held: list[list[np.ndarray]] = []
     for batch in batches:
-        cols = tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-        cols = (*cols[:3], cols[3].view(np.uint64))
-        if not len(cols[0]):
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+        held.append([*columns[:3], columns[3].view(np.uint64)])
+        if sum(len(h[0]) for h in held) < AT_ONCE:
             continue
-        if rest is not None:
-            cols = tuple(np.concatenate(x) for x in zip(rest, cols))
-        key, cell = cols[0], cols[1]
-        cut = int(np.flatnonzero((key != key[-1]) | (cell != cell[-1]))[-1]) + 1 if ((key != key[-1]) | (cell != cell[-1])).any() else 0
-        rest = tuple(c[cut:] for c in cols)
+        columns = [np.concatenate(c) for c in zip(*held)]
+        cut = int(_changes(*columns[:2])[-1])  # the last cell may go on
+        held = [[c[cut:] for c in columns]]
         if cut:
-            yield out(tuple(c[:cut] for c in cols))
-    if rest is not None:
-        yield out(rest)
+            yield out([c[:cut] for c in columns])
+    if held:
+        yield out([np.concatenate(c) for c in zip(*held)])
+
+
+def key_columns(count: int) -> list[Column]:
+    """Group keys of ``fp``, such that two fingerprints within BITS share one at least.
+
+    BITS + k blocks leave k of them untouched. The fewest blocks are taken that make
+    groups of GROUP unrelated fingerprints, and no more bits of a block than
+    that needs; a few fingerprints are one group.
+    """
+    wanted = math.ceil(math.log2(max(1, count / GROUP)))
+    if not wanted:
+        return [F.lit(0).cast("long")]
+    for kept in (1, 2, 3, 4):
+        width = 64 // (BITS + kept)
+        if kept * width >= wanted or kept == 4:
+            break
+    used = min(width, math.ceil(wanted / kept))
+    keys = []
+    for number, chosen in enumerate(combinations(range(BITS + kept), kept)):
+        key = F.lit(number).cast("long")
+        for block in chosen:
+            key = F.shiftleft(key, used).bitwiseOR(F.shiftrightunsigned("fp", block * width).bitwiseAND(F.lit((1 << used) - 1)))
+        keys.append(key)
+    return keys
 
 
 def near_links(fingerprints: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Links (a, b) that connect what lies within BITS among distinct ``fp`` longs."""
-    keys = []
-    for number, ((p, n), (q, m)) in enumerate(combinations(BLOCKS, 2)):
-        one = F.shiftrightunsigned("fp", p).bitwiseAND(F.lit((1 << n) - 1))
-        two = F.shiftrightunsigned("fp", q).bitwiseAND(F.lit((1 << m) - 1))
-        keys.append(F.lit(number << 22) + F.shiftleft(one, m) + two)
-    rows = fingerprints.select("fp", F.explode(F.array(*keys)).alias("key"))
-    # Keys with one member hold no pair; keys above `chunk` are cut into Gray chunks.
-    sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    rows = rows.join(sizes, "key").withColumn("chunks", F.ceil(F.col("n") / F.lit(chunk)).cast("int"))
-    own = F.when(F.col("chunks") > 1, F.pmod(F.xxhash64("fp"), F.col("chunks"))).otherwise(F.lit(0)).cast("int")
-    rows = rows.withColumn("own", own)
-    cells = F.transform(
-        F.sequence(F.lit(0), F.col("chunks") - 1),
-        lambda o: F.struct(
-            (F.least("own", o) * F.col("chunks") + F.greatest("own", o)).cast("int").alias("cell"),
-            F.when(F.col("own") <= o, 0).otherwise(1).alias("side"),
-        ),
-    )
-    rows = rows.select("key", "fp", F.explode(cells).alias("c")).select("key", "c.cell", "c.side", "fp")
-    dealt = rows.repartition(shuffle_partitions(fingerprints.sparkSession), "key", "cell").sortWithinPartitions("key", "cell")
-    return dealt.mapInArrow(_search, "a long, b long")
+    rows = fingerprints.select("fp", F.explode(F.array(*key_columns(fingerprints.count()))).alias("key"))
+    hot = cut_lineage(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > chunk))
+    cells = rows.select("key", F.lit(0).alias("cell"), F.lit(0).alias("side"), "fp")
+    if not hot.isEmpty():
+        cells = cells.join(hot, "key", "left_anti").unionByName(_range_pairs(rows.join(hot, "key"), chunk))
+    dealt = cells.repartition(shuffle_partitions(fingerprints.sparkSession), "key", "cell").sortWithinPartitions("key", "cell", "side")
+    return dealt.select("key", "cell", "side", "fp").mapInArrow(_search, "a long, b long")
+
+
+def _range_pairs(rows: DataFrame, chunk: int) -> DataFrame:
+    """Rows (key, n, fp) of large groups, once for each pair of Gray-rank ranges that may hold links."""
+    rows = rows.withColumn("rank", gray_rank_column(F.col("fp")))
+    shares = F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)])
+    cuts = rows.groupBy("key").agg(F.percentile_approx("rank", shares, 10 * RANGES).alias("cuts"), F.max("n").alias("n"))
+    stride = F.greatest(F.lit(1), F.floor(RANGES / F.ceil(F.col("n") / chunk)))
+    cuts = cuts.select("key", F.filter("cuts", lambda c, i: (i + 1) % stride == 0).alias("cuts"))
+    rows = rows.join(cuts, "key").select("key", "fp", F.size(F.filter("cuts", lambda c: c <= F.col("rank"))).alias("own"))
+    nodes = rows.groupBy("key", "own").agg(F.bit_and("fp").alias("all"), F.bit_or("fp").alias("some"))
+    mask = F.bitwise_not(F.col("all").bitwiseXOR(F.col("some")))
+    left = nodes.select("key", F.col("own").alias("u"), F.col("all").alias("ua"), mask.alias("um"))
+    right = nodes.select("key", F.col("own").alias("v"), F.col("all").alias("va"), mask.alias("vm"))
+    apart = F.bit_count(F.col("ua").bitwiseXOR(F.col("va")).bitwiseAND(F.col("um")).bitwiseAND(F.col("vm")))
+    pairs = left.join(right, "key").where((F.col("u") <= F.col("v")) & (apart <= BITS)).select("key", "u", "v")
+    ends = F.when(F.col("u") == F.col("v"), F.array(F.struct(F.col("u").alias("own"), F.lit(0).alias("side"))))
+    ends = ends.otherwise(F.array(F.struct(F.col("u").alias("own"), F.lit(0).alias("side")), F.struct(F.col("v").alias("own"), F.lit(1).alias("side"))))
+    wanted = pairs.select("key", (F.col("u") * (RANGES + 1) + F.col("v") + 1).alias("cell"), F.inline(ends))
+    return rows.join(wanted, ["key", "own"]).select("key", "cell", "side", "fp")
 
 
 def fingerprints(df: DataFrame) -> DataFrame:
-    """``df`` with ``fp``, the signed long of each text's SimHash (null text: zero)."""
+    """(doc_id, fp) of each row of ``df`` (doc_id, text); fp is the signed long of the text's SimHash.
+
+    A null text counts as empty; repeated rows are answered one for one; an empty
+    table gives no rows; other columns are ignored.
+    """
     schema = "at long, fp long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,7 +342,7 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     like any other. Extra columns are ignored; an empty table gives no rows.
     """
     prints = cut_lineage(fingerprints(df))
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    nodes = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
     # Fingerprints are ordered by their first doc_id (none: last), so a component's smallest
     # node is its name, and no group of a whole component is ever formed to find it.
     node = F.struct(F.col("first").isNull().alias("unnamed"), "first", "fp")
@@ -264,16 +357,135 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
-def deduplicate(df: DataFrame) -> DataFrame:
-    """Rows of ``df`` that are the first of their near-duplicate component.
+_SKETCH = "at long, whole binary, fp long, bands array<long>"
+
+
+def sketch(text: str, words: int) -> tuple[bytes, int, list[int]]:
+    """A text's exact hash (of its words), SimHash and bands of min-hashes."""
+    from xxhash import xxh3_128_digest
+
+    hashes = shingle_hashes(text, words)
+    whole = xxh3_128_digest(b" ".join(text.encode("utf-8", "surrogatepass").lower().split()))
+    if not len(hashes):
+        return whole, 0, []
+    low = np.empty(len(_ODD), np.uint64)
+    step = max(1, (1 << 16) // len(hashes))
+    for k in range(0, len(_ODD), step):
+        mixed = hashes[None, :] * _ODD[k : k + step, None]
+        low[k : k + step] = (mixed ^ (mixed >> np.uint64(32))).min(axis=1)
+    bands = np.arange(BANDS, dtype=np.uint64)
+    for row in low.reshape(BANDS, ROWS).T:
+        bands = (bands ^ (bands >> np.uint64(29))) * _MIX + row
+    return whole, signed(fingerprint_of(hashes)), bands.view(np.int64).tolist()
+
+
+def _sketches(df: DataFrame, words: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield arrow_rows([(d, *sketch(t, words)) for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())], _SKETCH)
+
+    slim = df.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    return slim.mapInArrow(run, _SKETCH).withColumnRenamed("at", "doc_id")
+
+
+def _candidates(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of nodes (first, fp, bands) that may be similar: index links, equal fingerprints, shared bands.
+
+    In a band each node meets one other, its leader by one of two random orders,
+    so that a band which very many nodes share gives no more pairs than nodes.
+    """
+    heads = nodes.groupBy("fp").agg(F.min("first").alias("head"))
+    links = near_links(heads.select("fp"))
+    a, b = (heads.select(F.col("fp").alias(c), F.col("head").alias(f"{c}_head")) for c in "ab")
+    near = links.join(a, "a").join(b, "b").select(F.col("a_head").alias("a"), F.col("b_head").alias("b"))
+    same = nodes.join(heads, "fp").select(F.col("first").alias("a"), F.col("head").alias("b"))
+    banded = nodes.select("first", F.posexplode("bands").alias("band", "key"))
+    order = F.xxhash64("first", F.col("band") % 2)
+    leaders = banded.groupBy("key").agg(F.min(F.struct(order.alias("order"), "first")).alias("leader"), F.count("*").alias("n")).where(F.col("n") > 1)
+    met = banded.join(leaders, "key").select(F.col("first").alias("a"), F.col("leader.first").alias("b"))
+    pairs = near.union(same).union(met).where("a <> b")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def jaccard(mine: np.ndarray, other: np.ndarray) -> float:
+    """Similarity of two sorted arrays of distinct hashes; two empty ones are alike."""
+    if not len(mine) or not len(other):
+        return float(len(mine) == len(other))
+    at = np.minimum(np.searchsorted(other, mine), len(other) - 1)
+    shared = int(np.count_nonzero(other[at] == mine))
+    return shared / (len(mine) + len(other) - shared)
+
+
+def similar(df: DataFrame, words: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id, component_id) of the documents of ``df`` (doc_id, text) by links of a Jaccard similarity of word shingles.
+
+    Texts with the same words (A-Z lower-cased) are one node. Candidate links
+    come from the Gray index and from bands of min-hashes; each is verified on
+    the two texts' shingle sets, so no component holds a link below
+    ``similarity``. A pair of 0.8 shares no band once in two hundred times.
+    component_id is the component's smallest doc_id. Rows with a null doc_id
+    are left out; repeated rows are one document; a null text counts as empty; an empty
+    table gives no rows.
+    """
+    named = df.where(F.col("doc_id").isNotNull())
+    sketches = cut_lineage(_sketches(named, words))
+    nodes = cut_lineage(sketches.groupBy("whole").agg(F.min("doc_id").alias("first"), F.min("fp").alias("fp"), F.min("bands").alias("bands")).drop("whole"))
+    pairs = cut_lineage(_candidates(nodes))
+    members = sketches.select("doc_id", "whole")
+    firsts = members.groupBy("whole").agg(F.min("doc_id").alias("first"))
+    # The first of its node, for each document; a link like any other, but certain.
+    copies = members.join(firsts, "whole").where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
+    links = _verified(named, pairs, words, similarity).union(copies)
+    roots = connected(links)
+    everyone = members.select("doc_id").distinct()
+    found = everyone.join(roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left")
+    return found.select("doc_id", F.coalesce("root", "doc_id").alias("component_id"))
+
+
+def _verified(named: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose texts are similar. One text's shingles are brought to the other, 4 bytes each."""
+
+    def distinct(text: str) -> np.ndarray:
+        return np.unique(shingle_hashes(text, words).astype(np.uint32))
+
+    def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, b""
+        for batch in batches:
+            rows = []
+            for a, b, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if text != last:  # rows of one text come together after the join
+                    last, held = text, distinct(text).tobytes()
+                rows.append((a, b, held))
+            yield arrow_rows(rows, "a long, to long, held binary")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, mine = None, np.zeros(0, np.uint32)
+        for batch in batches:
+            rows = []
+            for a, b, held, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if text != last:
+                    last, mine = text, distinct(text)
+                if jaccard(mine, np.frombuffer(held, np.uint32)) >= similarity:
+                    rows.append((a, b))
+            yield arrow_rows(rows, "a long, b long")
+
+    # Both joins deal the same columns by doc_id, so Spark shuffles the texts once.
+    texts = named.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    carried = texts.join(pairs, texts["doc_id"] == pairs["a"]).select("a", "b", "text").mapInArrow(carry, "a long, to long, held binary")
+    met = texts.join(carried, texts["doc_id"] == carried["to"]).select("a", "to", "held", "text")
+    return met.mapInArrow(compare, "a long, b long")
+
+
+def deduplicate(df: DataFrame, words: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """Rows of ``df`` that are the first of their component of ``similar``.
 
     The document whose doc_id names the component stays. Rows that share a
     doc_id are one document and stay or go together; rows with a null doc_id
     stay, for nothing tells them apart. All columns pass through.
     """
-    keep = near_duplicates(df).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = df.join(keep, "doc_id", "left_semi").select([F.col(f"`{c}`") for c in df.columns])
-    return kept.unionByName(df.where(F.col("doc_id").isNull()))
+    groups = similar(df.select("doc_id", "text"), words, similarity)
+    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
+    return df.join(gone, df["doc_id"] == gone["_gone"], "left_anti").select([F.col(f"`{c}`") for c in df.columns])
 
 
 def op7_simhash(spark, sf_dir: str) -> DataFrame:
