@@ -1,6 +1,8 @@
 import random
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from wakeline.llm import sharding, substring
 from wakeline.llm.components import connected
@@ -11,14 +13,52 @@ def test_components_of_a_path(spark):
     assert {r.node: r.root for r in connected(links).collect()} == {**{i: 0 for i in range(31)}, 100: 100, 101: 100}
 
 
-def test_compact_windows_cover_each_subsequence():
+def test_run_minima_are_the_nodes_of_the_cartesian_tree():
     rng = np.random.default_rng(4)
-    h = rng.permutation(60).astype(np.uint64)
-    windows = substring.compact_windows(h, 5)
-    for i in range(60):
-        for j in range(i + 5, 61):
-            c = i + int(h[i:j].argmin())
-            assert sum(l <= i and j <= r and k == c for l, k, r in windows) == 1
+    for n in (46, 47, 300):
+        h = rng.permutation(n).astype(np.uint64) << np.uint64(30)
+        h[rng.integers(0, n, n // 5)] = h[0]  # ties: the first place is the node
+
+        def nodes(low, high):
+            if high - low < substring.PASSAGE:
+                return set()
+            c = low + int(h[low:high].argmin())
+            return {c} | nodes(low, c) | nodes(c + 1, high)
+
+        at = substring.run_minima(substring.minima_levels(h))
+        assert at.tolist() == [s + int(h[s : s + substring.PASSAGE].argmin()) for s in range(n - substring.PASSAGE + 1)]
+        assert set(at.tolist()) == nodes(0, n)
+
+
+def test_contexts_against_plain_minima():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 62, 200, dtype=np.uint64)
+    block = substring.Block([(7, 0, base[:120]), (8, 0, base[120:])])
+    everything = [np.ones(200, bool)] * substring.FUNCTIONS
+    key, at, kind = block.contexts(everything)
+    runs = [s for s in range(155) if s + substring.PASSAGE <= 120 or s >= 120]
+    assert sorted(at[kind == substring.RUN].tolist()) == [s + substring.PASSAGE // 2 for s in runs]
+    pairs = set()
+    for j in range(substring.FUNCTIONS):
+        h = substring.function_hashes(base, j)
+        for s in runs:
+            c, d = sorted(range(s, s + substring.PASSAGE), key=lambda x: int(h[x]))[:2]
+            pairs.add((j, c, d))
+    assert len(at[kind == substring.PAIR]) == len(pairs)
+    assert sorted(at[kind == substring.PAIR].tolist()) == sorted(c for _, c, _ in pairs)
+
+
+def test_links_are_joined_as_intervals():
+    rows = [
+        (9, 1, 100, 500, 0), (9, 1, 110, 509, 1),  # near each other in both: counts
+        (9, 1, 300, 900, 2),  # alone
+        (9, 1, 400, 50, 0), (9, 1, 410, 2000, 1),  # near in one text only
+        (9, 2, 10, 700, substring.RUN), (9, 2, 60, 760, substring.PAIR),  # contexts count alone; their intervals meet
+        (9, 9, 0, 0, substring.OWN),
+    ]
+    got = substring.joined_intervals(*(np.array(c) for c in zip(*rows)))
+    half = substring.HALF
+    assert list(zip(*(c.tolist() for c in got))) == [(9, 1, 500 - half, 509 + half), (9, 2, 700 - half, 760 + half), (9, 9, 0, 0)]
 
 
 def planted(prose):
@@ -121,9 +161,69 @@ def test_matching_runs_against_brute_force():
     assert brute(edits) == [(0, 52)] and sum(map(bool, map(brute, cases))) > 40
 
 
+def edited_passages(seed, cases=60, decoys=False):
+    """Rows, and for each late document its passage's similarity in shingles to the earlier one's."""
+    rng = random.Random(seed)
+    words = lambda n: [f"v{rng.randrange(200_000)}" for _ in range(n)]
+    rows, share = [], {}
+    for case in range(cases):
+        passage = words(rng.randint(52, 200))
+        copy = list(passage)
+        for _ in range(rng.randint(0, 10)):
+            spot = rng.randrange(len(copy))
+            copy[spot : spot + rng.randint(0, 1)] = words(rng.randint(0, 2))
+        if decoys:  # earlier documents that hold parts of the passage, each too short
+            for k in range(0, len(copy), 15):
+                rows.append((len(rows), " ".join(words(40) + copy[k : k + 22] + words(40))))
+        sets = [{tuple(p[i : i + 5]) for i in range(len(p) - 4)} for p in (passage, copy)]
+        share[1_000_001 + 2 * case] = len(sets[0] & sets[1]) / len(sets[1]) if len(copy) >= 50 else 0
+        rows += [(1_000_000 + 2 * case, " ".join(words(70) + passage + words(60))), (1_000_001 + 2 * case, " ".join(words(50) + copy + words(80)))]
+    return rows, share
+
+
+@pytest.mark.parametrize("decoys", [False, True])
+def test_recall_of_edited_passages(make, decoys):
+    rows, share = edited_passages(31 + decoys, 60, decoys)
+    got = {r.doc_id for r in substring.find_passages(make(rows)).collect() if r.spans}
+    near = {d for d, s in share.items() if s >= 0.8}
+    assert len(near) > 30 and len(near & got) >= 0.9 * len(near)
+    assert not got - set(share)
+
+
+def test_repeats_within_a_document(make, prose):
+    passage = prose("p", 70).split()
+    edited = [*passage[:30], "different", *passage[31:]]
+    rows = [(1, " ".join([*prose("a", 60).split(), *passage, *prose("b", 60).split(), *edited, *prose("c", 40).split()])), (2, prose("d", 200))]
+    got = {r.doc_id: r for r in substring.find_passages(make(rows)).collect()}
+    s, e = got[1].spans
+    assert abs(len(got[1].text[s:e].split()) - 70) <= 1 and got[1].text.index(" ".join(passage)) + 300 < s and set(got[1].repeats.of) == {1}
+    assert not got[2].spans
+
+
+def test_equal_texts(make, prose):
+    long, short = prose("long", 90), prose("short", 30)
+    rows = [(5, long), (3, long), (9, long), (4, short), (6, short), (9, long), (7, prose("other", 90))]
+    got = substring.find_passages(make(rows)).collect()
+    assert sorted((r.doc_id, len(r.spans), list(r.repeats.of)) for r in got) == [(3, 0, []), (4, 0, []), (5, 2, [3]), (6, 0, []), (7, 0, []), (9, 2, [3]), (9, 2, [3])]
+    assert sorted(r.doc_id for r in substring.drop_passages(make(rows)).collect()) == [3, 4, 6, 7]
+
+
+def test_passages_with_clashing_columns(make, prose):
+    rows = [(1, prose("p", 80)), (2, prose("q", 60) + " " + prose("p", 80)), (3, None)]
+    names = ("a", "b", "lo", "hi", "k", "at", "first", "digest", "spans", "kept_text", "repeats", "_cut", "_clips", "_own0", "Text2")
+    df = make(rows)
+    for name in names:
+        df = df.withColumn(name, F.lit("mine"))
+    got = {r.doc_id: r for r in substring.drop_passages(df).collect()}
+    assert set(got) == {1, 2, 3} and all(r[n] == "mine" for r in got.values() for n in names)
+    assert len(got[2].text.split()) < 62 and got[2].n_chars == len(got[2].text) and got[3].text is None
+
+
 def test_passages_odd_rows(make, odd_rows):
     got = substring.find_passages(make(odd_rows, extra=True)).collect()
-    assert len(got) == len(odd_rows) and all(not r.spans for r in got)
+    assert len(got) == len(odd_rows)
+    # A text of one word again and again repeats itself; random words of a short list don't.
+    assert {r.doc_id for r in got if r.spans} == {11}
     assert substring.find_passages(make([])).count() == 0
 
 

@@ -4,11 +4,10 @@ A text is a sequence of hashed five-word shingles. Under one hash function,
 the Cartesian tree of the sequence's hashes groups all subsequences by the
 place of their minimum: the node at c with span [l, r) stands for every
 subsequence inside the span that contains c, and they all have c's hash as
-min-hash. Only nodes at least as long as the shortest passage are kept, about
-2 n / PASSAGE of them. Two passages with similarity s share a node's hash
-under each of FUNCTIONS functions with probability s, so one function
-already finds every exact repeat, and four miss a passage of similarity 0.8
-once in six hundred times.
+min-hash. Only nodes at least as long as the shortest passage matter; they are
+the minima of all runs of PASSAGE shingles, about 2 n / PASSAGE of them, and are
+found for many texts at once (``run_minima``). Two passages with similarity s share
+a node's hash under each of FUNCTIONS functions with probability s.
 
 Nodes meet on (function, min-hash). A node is linked with the first document
 of its hash, never with all others: blocks of documents are first
@@ -17,28 +16,33 @@ documents share comes to the shuffle once for each block.
 
 The first document of a hash may hold the shingle in another context. So the
 nodes whose hash several documents have meet again on keys of their context,
-and link with the first document of each: every run of PASSAGE shingles in the
-nodes of one function, whose first document surely holds it (so each exact
+and link with the first document of each: every run of PASSAGE shingles whose minima
+are such nodes under all functions, whose first document surely holds it (so each exact
 repeat is found, whatever the other documents hold), and, for edited passages,
-the smallest and next-smallest shingle under every function. The linked interval of
-the earlier document is then fetched, and the later document's passages are
-verified against it: at least PASSAGE shingles long, with SIMILARITY of them
-in that interval.
+the smallest and next-smallest shingle of a run under every function.
+
+The links of two documents are then joined as intervals: a link counts where
+another lies within PASSAGE of it in both texts, and the windows around the
+links that count make up the intervals of the earlier document. Their shingles are
+fetched, and the later document's passages are verified against each interval:
+at least PASSAGE shingles long, with SIMILARITY of them in it.
+
+Documents with equal texts need no search: all but the first repeat it whole. A passage
+that a document holds twice is found in the text itself.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import cut_lineage, documents, without
+from wakeline.llm.common import cut_lineage, documents, shuffle_partitions, without
 
 SHINGLE = 5
 #: Shortest passage in words, and in shingles.
@@ -46,12 +50,24 @@ WORDS = 50
 PASSAGE = WORDS - SHINGLE + 1
 SIMILARITY = 0.8
 FUNCTIONS = 4
-#: Documents whose windows are reduced together in a task.
-BLOCK = 4_096
+#: Shingles whose windows are reduced together in a task.
+BLOCK = 1 << 21
+#: Longer texts are worked in overlapping parts of so many shingles.
+PART = 1 << 22
+#: Shingles of the earlier text on either side of a link that are fetched.
+HALF = 64
+#: Links of a block's contexts are thinned to one in so many places.
+THIN = 16
+#: How far a copy's place may move against the original's between neighbouring matches within one text.
+DRIFT = 24
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _ODD = np.random.default_rng(50505).integers(0, 1 << 63, FUNCTIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_INVERSE = np.uint64(pow(int(_MIX), -1, 1 << 64))
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_PLACES = np.uint64((1 << 24) - 1)
+#: Kinds of links: 0 to FUNCTIONS - 1 a node of that function, then contexts, then a repeat within a document.
+RUN, PAIR, OWN = FUNCTIONS, FUNCTIONS + 1, FUNCTIONS + 2
 
 
 def shingles(text: str) -> np.ndarray:
@@ -69,52 +85,30 @@ def shingles(text: str) -> np.ndarray:
     return out
 
 
-def compact_windows(hashes: np.ndarray, least: int) -> list[tuple[int, int, int]]:
-    """(l, c, r) of the Cartesian tree's nodes whose span [l, r) has at least ``least`` places.
-
-    Where the minimum occurs several times its first place is the node, and
-    the gaps between the places are searched on.
-    """
-    out, stack = [], [(0, len(hashes))]
-    while stack:
-        l, r = stack.pop()
-        if r - l < least:
-            continue
-        part = hashes[l:r]
-        c = l + int(part.argmin())
-        out.append((l, c, r))
-        again = np.flatnonzero(hashes[c + 1 : r] == hashes[c])
-        if len(again):
-            cuts = [c, *(again + c + 1).tolist(), r]
-            stack += [(a + 1, b) for a, b in zip(cuts, cuts[1:])]
-        else:
-            stack.append((c + 1, r))
-        stack.append((l, c))
-    return out
-
-
 def function_hashes(base: np.ndarray, j: int) -> np.ndarray:
     h = base * _ODD[j]
     h ^= h >> np.uint64(32)
     return h
 
 
-def document_windows(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys, starts and ends of a text's compact windows under every function; a key once a text."""
-    base = shingles(text)
-    keys, lows, highs = [], [], []
-    if len(base) >= PASSAGE:
-        for j in range(FUNCTIONS):
-            for l, c, r in compact_windows(function_hashes(base, j), PASSAGE):
-                keys.append(int(base[c]) ^ j)
-                lows.append(l)
-                highs.append(r)
-    key = np.array(keys, np.uint64)
-    key, first = np.unique(key, return_index=True)
-    return key, np.array(lows, np.int32)[first], np.array(highs, np.int32)[first]
+def minima_levels(hashes: np.ndarray) -> list[np.ndarray]:
+    """Minima of all runs of 1, 2, 4 ... 32 hashes by their start, each with its place in the low 24 bits (first of equals)."""
+    levels = [(hashes & ~_PLACES) | np.arange(len(hashes), dtype=np.uint64)]
+    while (size := 1 << len(levels)) <= PASSAGE:
+        last = levels[-1]
+        levels.append(np.minimum(last[: max(0, len(last) - size // 2)], last[size // 2 :]))
+    return levels
 
 
-_INVERSE = np.uint64(pow(int(_MIX), -1, 1 << 64))
+def run_minima(levels: list[np.ndarray]) -> np.ndarray:
+    """Place of the minimum of each run of PASSAGE hashes, by its start.
+
+    The places are the Cartesian tree's nodes of at least PASSAGE; the starts
+    that a place has are those of the shortest subsequences in the node's span.
+    """
+    last, size = levels[-1], 1 << (len(levels) - 1)
+    n = len(levels[0]) - PASSAGE + 1
+    return (np.minimum(last[:n], last[PASSAGE - size : PASSAGE - size + n]) & _PLACES).astype(np.int64)
 
 
 def run_hashes(base: np.ndarray) -> np.ndarray:
@@ -126,137 +120,254 @@ def run_hashes(base: np.ndarray) -> np.ndarray:
     return (out ^ (out >> np.uint64(29))) * _MIX
 
 
-def context_windows(text: str, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys, starts and ends of the contexts of a text's nodes with a key in ``shared``; a key once a text.
-
-    A run that another document repeats has shared nodes under all functions,
-    so no others are made.
-    """
-    base = shingles(text)
-    n = len(base) - PASSAGE + 1
-    if n < 1:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
-    covered = np.zeros((FUNCTIONS, n), bool)
-    low, high = np.zeros(n, np.int32), np.zeros(n, np.int32)
-    pairs, spans = [], []
-    for j in range(FUNCTIONS):
-        h = function_hashes(base, j)
-        for value in np.intersect1d(base, shared ^ np.uint64(j)):
-            places = np.flatnonzero(base == value)
-            lower = np.concatenate(([-1], np.flatnonzero(h < h[places[0]]), [len(h)]))
-            at = np.searchsorted(lower, places)
-            starts = np.maximum(lower[at - 1], np.concatenate(([-1], places[:-1]))) + 1
-            for l, c, r in zip(starts.tolist(), places.tolist(), lower[at].tolist()):
-                if r - l < PASSAGE:
-                    continue
-                part = slice(max(l, c - PASSAGE + 1), min(c, r - PASSAGE) + 1)
-                covered[j, part], low[part], high[part] = True, l, r
-                # Passages with c and without the next-smallest place lie on c's side of it.
-                while r - l >= PASSAGE:
-                    sides = [a + int(h[a:b].argmin()) for a, b in ((l, c), (c + 1, r)) if a < b]
-                    d = min(sides, key=lambda x: (h[x], x))
-                    pairs.append(((int(base[c]) * 3 ^ int(base[d])) * int(_MIX) + j) & ((1 << 64) - 1))
-                    spans.append((l, r))
-                    l, r = (d + 1, r) if d < c else (l, d)
-    whole = np.flatnonzero(covered.all(axis=0))
-    span = np.array(spans, np.int32).reshape(-1, 2)
-    key, first = np.unique(np.concatenate((run_hashes(base)[whole], np.array(pairs, np.uint64))), return_index=True)
-    return key, np.concatenate((low[whole], span[:, 0]))[first], np.concatenate((high[whole], span[:, 1]))[first]
-
-
-_WINDOWS = "k long, b long, a long, lo int, hi int, shared boolean"
-
-
-def _reduce(ids: list[int], found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], merge: bool) -> pa.RecordBatch:
-    """A block's windows: the first document of each key as it is (a null), the others linked with it.
-
-    Linked rows get a key of their own, so that the shuffle spreads them;
-    merge: one for each two documents. shared: other documents of the block
-    have the first document's key. A document's rows follow each other, which
-    halves the shuffle's bytes.
+class Block:
+    """The shingles of several texts in a row, parts of long ones overlapping by PASSAGE - 1."""
+
+    def __init__(self, parts: list[tuple[int, int, np.ndarray]]) -> None:
+        self.base = np.concatenate([p[2] for p in parts])
+        sizes = [len(p[2]) for p in parts]
+        self.starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+        self.part = np.repeat(np.arange(len(parts)), sizes)
+        self.doc = np.array([p[0] for p in parts], np.int64)[self.part]
+        #: Each place's place in its text.
+        self.place = np.arange(len(self.base)) - (self.starts - np.array([p[1] for p in parts]))[self.part]
+        n = max(0, len(self.base) - PASSAGE + 1)
+        #: Starts of runs that lie within one text.
+        self.runs = np.flatnonzero(self.part[:n] == self.part[PASSAGE - 1 : PASSAGE - 1 + n])
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Key, place in the block and kind of each compact window."""
+        keys, places, kinds = [], [], []
+        if len(self.runs):
+            for j in range(FUNCTIONS):
+                at = run_minima(minima_levels(function_hashes(self.base, j)))[self.runs]
+                at = np.unique(at[np.concatenate(([True], at[1:] != at[:-1]))])
+                keys.append(self.base[at] ^ np.uint64(j))
+                places.append(at)
+                kinds.append(np.full(len(at), j))
+        empty = np.zeros(0, np.int64)
+        return tuple(np.concatenate(x) if x else empty.astype(t) for x, t in ((keys, np.uint64), (places, np.int64), (kinds, np.int64)))
+
+    def contexts(self, shared: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Key, place and kind of each context; ``shared[j]`` marks places that are shared nodes of function j.
+
+        A run that another document repeats has shared nodes under all functions,
+        so no other runs are taken.
+        """
+        runs = self.runs
+        whole = np.ones(len(runs), bool)
+        keys, places, kinds = [], [], []
+        for j in range(FUNCTIONS):
+            if not len(runs):
+                break
+            levels = minima_levels(function_hashes(self.base, j))
+            c = run_minima(levels)[runs]
+            covered = shared[j][c]
+            whole &= covered
+            s, c = runs[covered], c[covered]
+            # The next-smallest shingle of a run is the smaller of the minima before and behind c.
+            size, table = np.array([(1 << k) for k in range(len(levels))]), levels
+            second = np.full(len(s), np.iinfo(np.uint64).max, np.uint64)
+            for low, high in ((s, c), (c + 1, s + PASSAGE)):
+                for k in range(len(levels)):
+                    of = np.flatnonzero((high - low >= size[k]) & (high - low < 2 * size[k]))
+                    second[of] = np.minimum(second[of], np.minimum(table[k][low[of]], table[k][high[of] - size[k]]))
+            d = (second & _PLACES).astype(np.int64)
+            pair = np.unique((c << 24) | d)
+            c, d = pair >> 24, pair & int(_PLACES)
+            keys.append((self.base[c] * np.uint64(3) ^ self.base[d]) * _MIX + np.uint64(j))
+            places.append(c)
+            kinds.append(np.full(len(c), PAIR))
+        at = runs[whole]
+        keys.append(run_hashes(self.base)[at] if len(at) else np.zeros(0, np.uint64))
+        places.append(at + PASSAGE // 2)
+        kinds.append(np.full(len(at), RUN))
+        return np.concatenate(keys), np.concatenate(places), np.concatenate(kinds)
+
+
+_LINKS = "k long, b long, a long, at long"
+
+
+def _reduced(block: Block, key: np.ndarray, at: np.ndarray, kind: np.ndarray, thin: bool) -> pa.RecordBatch:
+    """A block's windows: those of the first document of each key (a null), the others linked with it.
+
+    Linked rows get a key of their own, so that the shuffle spreads them. ``at``
+    holds the place in b, whether other documents of the block have the key,
+    the kind and the place in a. A document's rows follow each other, which halves the
+    shuffle's bytes. thin: one link for THIN places is enough.
     """
-    doc = np.repeat(np.array(ids, np.int64), [len(f[0]) for f in found])
-    key, lo, hi = (np.concatenate([f[i] for f in found]) for i in range(3))
-    order = np.lexsort((doc, key))
-    key, doc, lo, hi = key[order], doc[order], lo[order], hi[order]
-    new = np.concatenate(([True], key[1:] != key[:-1])) if len(key) else np.zeros(0, bool)
-    head = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0)) if len(key) else np.zeros(0, np.int64)
-    same = ~new & (doc == doc[head])  # rows of one doc_id
-    shared = np.zeros(len(key), bool)
-    shared[head[~same & ~new]] = True
-    k = np.where(new, key, (doc.astype(np.uint64) * _MIX) ^ key)
-    keep = np.flatnonzero(~same)
-    keep = keep[np.lexsort((hi[keep], lo[keep], doc[head][keep], new[keep], doc[keep]))]
-    k, b, a, new, shared = k[keep], doc[keep], doc[head][keep], new[keep], shared[keep]
-    lows, highs = lo[head][keep], hi[head][keep]
-    if merge and len(k):
-        first = np.flatnonzero(new | np.concatenate(([True], (b[1:] != b[:-1]) | (a[1:] != a[:-1]) | new[:-1])))
-        lows, highs = np.minimum.reduceat(lows, first), np.maximum.reduceat(highs, first)
-        k, b, a, new, shared = (x[first] for x in (k, b, a, new, shared))
-    arrays = [pa.array(k.view(np.int64)), pa.array(b), pa.array(a, mask=new), pa.array(lows), pa.array(highs), pa.array(shared)]
-    return pa.RecordBatch.from_arrays(arrays, names=[f.split()[0] for f in _WINDOWS.split(", ")])
-
-
-def _blocks(documents: Iterator[tuple[int, tuple]], merge: bool) -> Iterator[pa.RecordBatch]:
-    while block := list(islice(documents, BLOCK)):
-        yield _reduce([d for d, _ in block], [w for _, w in block], merge)
+    doc, place = block.doc[at], block.place[at]
+    order = np.lexsort((place, doc, key))
+    key, doc, place, kind = key[order], doc[order], place[order], kind[order]
+    n = len(key)
+    new = np.ones(n, bool)
+    new[1:] = key[1:] != key[:-1]
+    head = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    linked = doc != doc[head]
+    shared = np.zeros(n, bool)
+    shared[head[linked]] = True
+    shared = shared[head] & ~linked
+    k = np.where(linked, (doc.astype(np.uint64) * _MIX) ^ (key >> np.uint64(8)), key)
+    a, a_place = doc[head], np.where(linked, place[head], 0)
+    order = np.lexsort((place, a_place // THIN, np.where(linked, a, -1), doc)) if thin else np.lexsort((place, doc))
+    k, b, a, a_place, place, kind, linked, shared = (x[order] for x in (k, doc, a, a_place, place, kind, linked, shared))
+    packed = (place << 32) | (shared.astype(np.int64) << 31) | (kind << 28) | a_place
+    if thin and n:
+        same = linked[1:] & linked[:-1] & (b[1:] == b[:-1]) & (a[1:] == a[:-1]) & (a_place[1:] // THIN == a_place[:-1] // THIN)
+        keep = np.concatenate(([True], ~same))
+        k, b, a, packed, linked = k[keep], b[keep], a[keep], packed[keep], linked[keep]
+    arrays = [pa.array(k.view(np.int64)), pa.array(b), pa.array(a, mask=~linked), pa.array(packed)]
+    return pa.RecordBatch.from_arrays(arrays, names=["k", "b", "a", "at"])
+
+
+def own_repeats(mine: np.ndarray) -> list[tuple[int, int]]:
+    """Runs [s, e) of a text's shingles that repeat an earlier part of the text, as ``matching_runs`` has them."""
+    _, first, back = np.unique(mine, return_index=True, return_inverse=True)
+    moved = np.arange(len(mine)) - first[back]
+    at = np.flatnonzero(moved >= PASSAGE)
+    if len(at) < SIMILARITY * PASSAGE:
+        return []
+    moved = moved[at]
+    cuts = np.flatnonzero((np.abs(np.diff(moved)) > DRIFT) | (np.diff(at) > PASSAGE // 2)) + 1
+    return [run for part in np.split(at, cuts) for run in runs_of(part)]
+
+
+def _blocks(rows: Iterator[tuple], limit: int) -> Iterator[tuple[Block, list[tuple]]]:
+    """Blocks of rows (doc_id, text, ...) with the rows; texts too short for a passage are left out."""
+    parts: list[tuple[int, int, np.ndarray]] = []
+    held: list[tuple] = []
+    size = 0
+    for row in rows:
+        base = shingles(row[1])
+        if len(base) < PASSAGE:
+            continue
+        step = PART - PASSAGE + 1
+        for low in range(0, max(1, len(base) - PASSAGE + 1), step):
+            part = base[low : low + PART]
+            if parts and size + len(part) > limit:
+                yield Block(parts), held
+                parts, held, size = [], [], 0
+            parts.append((row[0], low, part))
+            held.append(row)
+            size += len(part)
+    if parts:
+        yield Block(parts), held
+
+
+def _rows(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(batch.column(i).to_pylist() for i in range(columns)))
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = (row for batch in batches for row in zip(*(batch.column(i).to_pylist() for i in range(2))))
-    yield from _blocks(((d, document_windows(t)) for d, t in rows), False)
+    for block, _ in _blocks(_rows(batches, 2), BLOCK):
+        yield _reduced(block, *block.windows(), thin=False)
+        # Texts that hold enough shingles twice are searched for repeats of their own.
+        order = np.lexsort((block.base, block.doc))
+        base, doc = block.base[order], block.doc[order]
+        twice = doc[1:][(base[1:] == base[:-1]) & (doc[1:] == doc[:-1])]
+        own, n = np.unique(twice, return_counts=True)
+        own = own[n >= SIMILARITY * PASSAGE]
+        if len(own):
+            arrays = [pa.array((own.astype(np.uint64) * _MIX).view(np.int64)), pa.array(own), pa.array(own), pa.array(np.full(len(own), OWN << 28))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["k", "b", "a", "at"])
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def keys(doc: int, nodes: list[dict]) -> np.ndarray:
-        own = np.array([doc], np.int64).astype(np.uint64) * _MIX
-        k = np.array([n["k"] for n in nodes], np.int64).view(np.uint64)
-        return np.where([n["linked"] for n in nodes], k ^ own, k)
+    """Rows (doc_id, text, nodes); a node is its place, times 8, plus its function."""
+    for block, rows in _blocks((r for r in _rows(batches, 3) if r[1] is not None), BLOCK // 2):
+        shared = [np.zeros(len(block.base), bool) for _ in range(FUNCTIONS)]
+        for number, (start, row) in enumerate(zip(block.starts.tolist(), rows)):
+            nodes = np.array(row[2], np.int64)
+            end = block.starts[number + 1] if number + 1 < len(rows) else len(block.base)
+            at = start + (nodes >> 3) - block.place[start]
+            fits = (at >= start) & (at < end)
+            for j in range(FUNCTIONS):
+                shared[j][at[fits & (nodes & 7 == j)]] = True
+        yield _reduced(block, *block.contexts(shared), thin=True)
 
-    rows = (row for batch in batches for row in zip(*(batch.column(i).to_pylist() for i in range(3))))
-    yield from _blocks(((d, context_windows(t, keys(d, n))) for d, t, n in rows if t is not None), True)
 
+def _with_first(rows: DataFrame) -> DataFrame:
+    """Rows whose key several documents have, with ``first`` (b, at), the key's first document and its place."""
+    keyed = Window.partitionBy("k")
+    rows = rows.withColumns({"first": F.min(F.when(F.col("a").isNull(), F.struct("b", "at"))).over(keyed), "last": F.max("b").over(keyed)})
+    held = F.col("at").bitwiseAND(F.lit(1 << 31)) != 0
+    return rows.where(F.col("a").isNotNull() | held | (F.col("first.b") < F.col("last"))).drop("last")
 
-def passage_links(df: DataFrame) -> DataFrame:
-    """(b, a, lo, hi): document b may repeat passages of the shingles [lo, hi) of document a, a < b."""
-    named = df.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    rows = named.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_windows, _WINDOWS)
-    # Written out, for the links and for the contexts.
-    rows = cut_lineage(_with_first(rows))
-    nodes = rows.groupBy("b").agg(F.collect_set(F.struct("k", F.col("a").isNotNull().alias("linked"))).alias("_nodes"))
-    others = [F.col(f"`{c}`") for c in df.columns if c not in ("doc_id", "text")]
-    # The join deals the same rows and columns as those of find_passages do (_contexts reads the first three).
-    met = df.where(F.col("doc_id").isNotNull()).join(nodes, df["doc_id"] == nodes["b"])
-    met = met.select(nodes["b"], F.col("text").cast("string"), "_nodes", *others).mapInArrow(_contexts, _WINDOWS)
-    links = _links(rows).unionByName(_links(_with_first(met)))
-    return links.groupBy("b", "a").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
+def _place(at: Column) -> Column:
+    return F.shiftright(at, 32)
 
-def _with_first(rows: DataFrame) -> DataFrame:
-    """Rows whose key several documents have, with ``first``: the key's first document and its interval."""
-    keyed = Window.partitionBy("k")
-    centre = F.when(F.col("a").isNull(), F.struct("b", "lo", "hi"))
-    rows = rows.withColumns({"first": F.min(centre).over(keyed), "last": F.max("b").over(keyed)})
-    return rows.where(F.col("a").isNotNull() | F.col("shared") | (F.col("first.b") < F.col("last"))).drop("last")
+
+def _kind(at: Column) -> Column:
+    return F.shiftright(at, 28).bitwiseAND(F.lit(7))
 
 
 def _links(rows: DataFrame) -> DataFrame:
+    """(b, a, cb, ca, kind) of the linked rows, and of the others with their key's first document."""
     linked = F.col("a").isNotNull()
     return rows.where(linked | (F.col("b") > F.col("first.b"))).select(
         "b",
         F.coalesce("a", "first.b").alias("a"),
-        F.when(linked, F.col("lo")).otherwise(F.col("first.lo")).alias("lo"),
-        F.when(linked, F.col("hi")).otherwise(F.col("first.hi")).alias("hi"),
+        _place(F.col("at")).alias("cb"),
+        F.when(linked, F.col("at").bitwiseAND(F.lit((1 << 28) - 1))).otherwise(_place(F.col("first.at"))).alias("ca"),
+        _kind(F.col("at")).alias("kind"),
     )
 
 
-def matching_runs(mine: np.ndarray, other: np.ndarray) -> list[tuple[int, int]]:
-    """The maximal runs [s, e) of ``mine`` of at least PASSAGE places, SIMILARITY of them in ``other``.
+def joined_intervals(b: np.ndarray, a: np.ndarray, cb: np.ndarray, ca: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(b, a, lo, hi): disjoint intervals of a around the links that count; links sorted by (b, a, cb).
+
+    A context counts by itself, a node's link with another link within PASSAGE
+    of it in b and not much further in a. A document's repeats of its own have
+    one empty interval.
+    """
+    fine = kind >= FUNCTIONS
+    for lag in range(1, 2 * FUNCTIONS + 1):
+        near = (b[lag:] == b[:-lag]) & (a[lag:] == a[:-lag]) & (cb[lag:] - cb[:-lag] <= PASSAGE) & (np.abs(ca[lag:] - ca[:-lag]) <= PASSAGE + PASSAGE // 4)
+        fine[lag:] |= near
+        fine[:-lag] |= near
+    b, a, ca, kind = b[fine], a[fine], ca[fine], kind[fine]
+    order = np.lexsort((ca, a, b))
+    b, a, ca, kind = b[order], a[order], ca[order], kind[order]
+    lo, hi = np.maximum(ca - HALF, 0), ca + HALF
+    lo, hi = np.where(kind == OWN, 0, lo), np.where(kind == OWN, 0, hi)
+    if not len(b):
+        return b, a, lo, hi
+    new = np.ones(len(b), bool)
+    new[1:] = (b[1:] != b[:-1]) | (a[1:] != a[:-1]) | (lo[1:] > hi[:-1])
+    first = np.flatnonzero(new)
+    return b[first], a[first], lo[first], np.append(hi[first[1:] - 1], hi[-1])
+
+
+def _intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (b, a, cb, ca, kind), sorted, to (b, a, lo, hi)."""
+
+    def out(columns: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in joined_intervals(*columns)], names=["b", "a", "lo", "hi"])
+
+    held: list[np.ndarray] | None = None
+    for batch in batches:
+        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+        if held is not None:
+            columns = [np.concatenate(c) for c in zip(held, columns)]
+        if not len(columns[0]):
+            continue
+        other = np.flatnonzero((columns[0] != columns[0][-1]) | (columns[1] != columns[1][-1]))
+        cut = int(other[-1]) + 1 if len(other) else 0  # the last two documents' links may go on
+        held = [c[cut:] for c in columns]
+        if cut:
+            yield out([c[:cut] for c in columns])
+    if held is not None:
+        yield out(held)
+
 
-    They start and end with places in ``other`` and leave at most PASSAGE // 2
+def runs_of(at: np.ndarray) -> list[tuple[int, int]]:
+    """The maximal runs [s, e) of at least PASSAGE places, SIMILARITY of them among the ascending places ``at``.
+
+    They start and end with such places and leave at most PASSAGE // 2
     places in a row out; runs may overlap, none lies within another.
     """
-    at = np.flatnonzero(np.isin(mine, other))
     if len(at) < SIMILARITY * PASSAGE:
         return []
     cut = np.flatnonzero(np.diff(at) > 1)
@@ -277,16 +388,31 @@ def matching_runs(mine: np.ndarray, other: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def matches(text: str, clips: list[tuple[int, bytes]]) -> list[tuple[int, int, int]]:
-    """(start, end, document) of each passage of the text that repeats one of a clip, in code points."""
-    mine = shingles(text).astype(np.uint32)
-    runs = [(s, e, of) for of, clip in clips for s, e in matching_runs(mine, np.frombuffer(clip, np.uint32))]
+def matching_runs(mine: np.ndarray, other: np.ndarray) -> list[tuple[int, int]]:
+    """``runs_of`` the places of ``mine`` whose shingle is in ``other``."""
+    return runs_of(np.flatnonzero(np.isin(mine, other)))
+
+
+def matches(text: str, clips: list[tuple[int, bytes]], own: int | None = None) -> list[tuple[int, int, int]]:
+    """(start, end, document) of each passage of the text that repeats one of a clip, in code points.
+
+    A clip of the document ``own`` stands for the earlier parts of the text itself.
+    """
+    base = shingles(text)
+    mine = base.astype(np.uint32)
+    runs = {(s, e, of) for of, clip in clips for s, e in (own_repeats(base) if of == own else matching_runs(mine, np.frombuffer(clip, np.uint32)))}
     if not runs:
         return []
     places = [m.span() for m in _WORD.finditer(text)]
     return sorted((places[s][0], places[e + SHINGLE - 2][1], of) for s, e, of in runs)
 
 
+def whole(text: str, of: int) -> list[tuple[int, int, int]]:
+    """The one match of a text that is an equal text's copy; none if it is too short."""
+    places = [m.span() for m in _WORD.finditer(text)]
+    return [(places[0][0], places[-1][1], of)] if len(places) >= WORDS else []
+
+
 def joined(found: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
     """Disjoint spans that cover the matches."""
     out: list[tuple[int, int]] = []
@@ -298,35 +424,60 @@ def joined(found: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def find_passages(df: DataFrame) -> DataFrame:
-    """``df`` with ``spans``, ``kept_text`` and ``repeats``.
+def _copies(texts: DataFrame) -> DataFrame:
+    """(doc_id, first, digest): documents whose text an earlier one has too, with the first that has it."""
+    known = texts.select("doc_id", F.unhex(F.md5("text")).alias("digest")).where(F.col("digest").isNotNull())
+    firsts = known.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    copies = known.join(firsts.drop("last"), "digest").where("doc_id > first")
+    # A doc_id with several texts counts by one of them.
+    return copies.groupBy("doc_id").agg(F.min(F.struct("first", "digest")).alias("c")).select("doc_id", "c.first", "c.digest")
 
-    spans: start and end code point of each repeated passage, in turn.
-    repeats: arrays start, end and of, a place for each match with an earlier document.
 
-    A passage of at least WORDS words counts as repeated if a document with a
-    smaller doc_id holds one of SIMILARITY; the first document keeps it. Rows
-    that share a doc_id are one document and no repeats of each other. Rows
-    with a null doc_id or text have no spans; a null text stays null. Columns
-    of ``df`` with the new names are replaced; an empty table gives no rows.
-    """
-    df = without(df, "spans", "kept_text", "repeats", "_clips", "_cut")
-    links = passage_links(df)
+def passage_links(texts: DataFrame, copies: DataFrame, others: list[str]) -> DataFrame:
+    """(b, a, lo, hi): document b may repeat passages of the shingles [lo, hi) of document a <= b; ``copies`` are left out as b."""
+    rows = texts.where(F.col("text").isNotNull()).select("doc_id", "text").mapInArrow(_windows, _LINKS)
+    rows = _with_first(rows).join(copies.select("doc_id"), F.col("b") == F.col("doc_id"), "left_anti")
+    # Written out, for the links and for the contexts.
+    rows = cut_lineage(rows)
+    nodes = rows.where(_kind(F.col("at")) < FUNCTIONS).groupBy("b").agg(F.collect_set(_place(F.col("at")) * 8 + _kind(F.col("at"))).alias("_nodes"))
+    # The join deals the same rows and columns as those of _found do (_contexts reads the first three).
+    met = texts.join(nodes, texts["doc_id"] == nodes["b"]).select("b", "text", "_nodes", *others).mapInArrow(_contexts, _LINKS)
+    links = _links(rows).unionByName(_links(_with_first(met)))
+    dealt = links.repartition(shuffle_partitions(texts.sparkSession), "b").sortWithinPartitions("b", "a", "cb")
+    return dealt.mapInArrow(_intervals, "b long, a long, lo long, hi long")
+
+
+_CUT = "struct<spans:array<int>,kept_text:string,start:array<int>,end:array<int>,of:array<long>>"
+
+
+def _found(df: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
+    """``df`` under names of its own with ``_cut``, and each old column by its new name."""
+    names = {c: c if c in ("doc_id", "text") else f"_own{i}" for i, c in enumerate(df.columns)}
+    base = df.select([F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    base = base.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
+    others = [n for n in base.columns if n not in ("doc_id", "text")]
+    texts = base.where(F.col("doc_id").isNotNull())
+    copies = cut_lineage(_copies(texts))
+    links = passage_links(texts, copies, others)
 
     @F.pandas_udf("binary")
     def clip(texts: pd.Series, lo: pd.Series, hi: pd.Series, *others: pd.Series) -> pd.Series:
         out, last, hashed = [], None, None
         for text, a, b in zip(texts, lo, hi):
             if text != last:  # rows of one document come together after the join
-                last, hashed = text, shingles(text).astype(np.uint32)
+                last, hashed = text, shingles(text or "").astype(np.uint32)
             out.append(hashed[a:b].tobytes())
         return pd.Series(out, dtype=object)
 
-    @F.pandas_udf("struct<spans:array<int>,kept_text:string,start:array<int>,end:array<int>,of:array<long>>")
-    def cut(texts: pd.Series, sources: pd.Series, clips: pd.Series) -> pd.DataFrame:
+    @F.pandas_udf(_CUT)
+    def cut(ids: pd.Series, texts: pd.Series, sources: pd.Series, clips: pd.Series, firsts: pd.Series) -> pd.DataFrame:
         rows = []
-        for text, of, parts in zip(texts, sources, clips):
-            found = matches(text, list(zip(of.tolist(), parts))) if text is not None and parts is not None else []
+        for own, text, of, parts, first in zip(ids, texts, sources, clips, firsts):
+            found = []
+            if text is not None and not pd.isna(first):
+                found = whole(text, int(first))
+            elif text is not None and parts is not None:
+                found = matches(text, list(zip(of.tolist(), parts)), own)
             spans = joined(found)
             for s, e in reversed(spans):
                 text = text[:s] + text[e:]
@@ -335,32 +486,57 @@ def find_passages(df: DataFrame) -> DataFrame:
 
     # Both joins deal the same rows and columns by doc_id (hence the columns that clip
     # doesn't use), so Spark shuffles the texts once and reads them twice.
-    named = df.where(F.col("doc_id").isNotNull())
-    others = [F.col(f"`{c}`") for c in df.columns if c not in ("doc_id", "text")]
-    earlier = named.join(links, named["doc_id"] == links["a"])
+    earlier = texts.join(links, texts["doc_id"] == links["a"])
     clips = earlier.select("b", F.struct("a", clip("text", "lo", "hi", *others).alias("clip")).alias("c"))
     clips = clips.groupBy("b").agg(F.collect_list("c").alias("_clips"))
-    out = named.join(clips, named["doc_id"] == clips["b"], "left").drop("b")
-    out = out.withColumn("_cut", cut("text", "_clips.a", "_clips.clip"))
-    own = [F.col(f"`{c}`") for c in df.columns]
+    same = copies.select(F.col("doc_id").alias("_copy"), F.col("first").alias("_first"), F.col("digest").alias("_digest"))
+    out = texts.join(clips, texts["doc_id"] == clips["b"], "left").join(same, texts["doc_id"] == same["_copy"], "left")
+    # The number of the first equal text; null where there is none.
+    first = F.when(F.col("_digest").isNotNull() & (F.unhex(F.md5("text")) == F.col("_digest")), F.col("_first"))
+    out = out.select(*base.columns, cut("doc_id", "text", "_clips.a", "_clips.clip", first).alias("_cut"))
+    none = F.struct(
+        F.array().cast("array<int>").alias("spans"), F.col("text").alias("kept_text"), F.array().cast("array<int>").alias("start"),
+        F.array().cast("array<int>").alias("end"), F.array().cast("array<long>").alias("of"),
+    )
+    unnamed = base.where(F.col("doc_id").isNull()).select(*base.columns, none.alias("_cut"))
+    return out.unionByName(unnamed), {c: F.col(n).alias(c) for c, n in names.items()}
+
+
+def find_passages(df: DataFrame) -> DataFrame:
+    """``df`` with ``spans``, ``kept_text`` and ``repeats``.
+
+    spans: start and end code point of each repeated passage, in turn.
+    repeats: arrays start, end and of, a place for each match with an earlier
+    document, or with an earlier part of the document itself.
+
+    A passage of at least WORDS words counts as repeated if a document with a
+    smaller doc_id, or the text before it, holds one of SIMILARITY; the first keeps it. Rows
+    that share a doc_id are one document and no repeats of each other. Rows
+    with a null doc_id or text have no spans; a null text stays null. Columns
+    of ``df`` with the new names are replaced, all others pass through; an empty table gives no rows.
+    """
+    found, own = _found(without(df, "spans", "kept_text", "repeats"))
     repeats = F.struct(*[F.col(f"_cut.{c}").alias(c) for c in ("start", "end", "of")]).alias("repeats")
-    out = out.select(*own, F.col("_cut.spans").alias("spans"), F.col("_cut.kept_text").alias("kept_text"), repeats)
-    unnamed = df.where(F.col("doc_id").isNull())
-    none = F.struct(*[F.array().cast(f"array<{t}>").alias(c) for c, t in (("start", "int"), ("end", "int"), ("of", "long"))]).alias("repeats")
-    return out.unionByName(unnamed.select(*own, F.array().cast("array<int>").alias("spans"), F.col("text").alias("kept_text"), none))
+    return found.select(*own.values(), F.col("_cut.spans").alias("spans"), F.col("_cut.kept_text").alias("kept_text"), repeats)
 
 
 def drop_passages(df: DataFrame) -> DataFrame:
-    """``df`` without its repeated passages; documents that are left without a word go."""
-    found = find_passages(df)
-    text = F.col("kept_text")
-    gone = (F.size("spans") > 0) & (F.length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", "")) == 0)
-    replaced = {"text": text, **({"n_chars": F.coalesce(F.length(text).cast("long"), F.col("n_chars"))} if "n_chars" in df.columns else {})}
-    return found.where(~gone).withColumns(replaced).select([F.col(f"`{c}`") for c in df.columns])
+    """``df`` without its repeated passages; documents that are left without a word go.
+
+    n_chars, where there is such a column, follows the new text; all other columns stay as they are.
+    """
+    found, own = _found(df)
+    text = F.col("_cut.kept_text")
+    some = F.size("_cut.spans") > 0
+    found = found.where(~(some & (F.length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", "")) == 0)))
+    own["text"] = text.alias("text")
+    if "n_chars" in own:
+        own["n_chars"] = F.when(some, F.length(text).cast("long")).otherwise(own["n_chars"]).alias("n_chars")
+    return found.select(*own.values())
 
 
 def op5_substring(spark, sf_dir: str) -> DataFrame:
-    """A row for each passage of a document that repeats one of an earlier document (documents without one have no row)."""
+    """A row for each passage of a document that repeats an earlier one (documents without one have no row)."""
     found = find_passages(documents(spark, sf_dir).select("doc_id", "text"))
     parts = F.arrays_zip(*[F.col(f"repeats.{c}").alias(c) for c in ("start", "end", "of")])
     rows = found.select("doc_id", "spans", F.explode(parts).alias("r"))
