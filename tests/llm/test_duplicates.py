@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -229,7 +230,14 @@ def test_passages_odd_rows(make, odd_rows):
 
 def test_sharding(make, prose, odd_rows):
     rows = [(i, prose(i % 150, 20 + i % 90)) for i in range(600)] + [(1000 + i, prose(7, 200)) for i in range(100)]
-    got = sharding.shard(make(rows, extra=True), shards=4, tolerance=0.02).collect()
+    got = sharding.shard(make(rows, extra=True).withColumn("_before", F.lit("clash")), shards=4, tolerance=0.02).collect()
+    # Against a plain sort: each row once, sizes and checksums of its text, shards in key order.
+    texts = dict(rows)
+    assert sorted((r.doc_id, r.size, r.text_crc32) for r in got) == sorted((d, len(t.encode()) + 1, zlib.crc32(t.encode())) for d, t in rows)
+    of_text = {}
+    for r in got:
+        of_text.setdefault(texts[r.doc_id], set()).add(r.shard)
+    assert all(len(s) == 1 for t, s in of_text.items() if t != prose(7, 200))
     sizes = [sum(r.size for r in got if r.shard == s) for s in range(4)]
     assert max(sizes) < 1.05 * min(sizes)
     for s in range(4):

@@ -15,7 +15,7 @@ WORD_PATH = public_tokenizers.path("word_bpe_49k.json")
 def test_bpe_equals_the_tokenizer():
     codec, library = bpe.codec(WORD_PATH), Tokenizer.from_file(WORD_PATH)
     rng = random.Random(3)
-    texts = ["", " ", "<|startoftext|>Hi<|endoftext|> you", "İSTANBUL ΣΑΣ don't 'S", "a" * 3000, "</w> a</w>"]
+    texts = ["", " ", "<|startoftext|>Hi<|endoftext|> you", "İSTANBUL ΣΑΣ don't 'S", "a" * 3000, "</w> a</w>", "a\x1cb\x85c\xa0d\u2028e \u0301x", "x<|endoftext|>\u0301y <|endoftext|><|startoftext|>"]
     for k in range(600):
         alphabet = ["abcdeehillnoprsstttuwxyz", "!?.,-=#*/\\()[]{}~^_+<>|&%$@:;'\"", "".join(map(chr, range(160, 1400, 7))), "日本語テキスト😀 ab 12"][k % 4]
         texts.append("".join(rng.choice(alphabet) for _ in range(rng.randint(1, 60))))
@@ -24,8 +24,6 @@ def test_bpe_equals_the_tokenizer():
         got = codec.encode(text)
         assert np.frombuffer(got, "<u4").tolist() == ids
         assert codec.decode(ids) == library.decode(ids, skip_special_tokens=False)
-        decoder = bpe.Decoder(codec.merges, blanks=True)
-        assert "".join(map(decoder.feed, ids)) + decoder.close() == codec.decode(ids)
 
 
 def test_bpe_state_stays_small():
@@ -39,12 +37,31 @@ def test_bpe_state_stays_small():
     assert longest <= 3 * codec.merges.lookahead
 
 
-def test_byte_decoder_holds_unfinished_characters():
-    class Two:
-        strings = {0: "Ã", 1: "©", 2: "a"}
+def test_byte_decoder_against_the_tokenizer():
+    """Random ids split characters anywhere; the machine never holds more than an unfinished one."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    codec, library = bpe.codec(path), Tokenizer.from_file(path)
+    rng = random.Random(7)
+    rare = [i for t, i in library.get_vocab().items() if len(t) == 1]
+    for k in range(400):
+        ids = [rng.choice(rare) if rng.random() < 0.5 else rng.randrange(50_257) for _ in range(rng.randint(0, 60))]
+        assert codec.decode(ids) == library.decode(ids, skip_special_tokens=False)
+    text = "ünï 日本 😀" * 50
+    ids, decoder, out = library.encode(text, add_special_tokens=False).ids, codec.decoder(), ""
+    for token in ids:
+        out += decoder.feed(token)
+        assert text.startswith(out) and len(decoder.utf8.getstate()[0]) <= 3
+    assert out + decoder.close() == text
+    assert np.frombuffer(codec.encode(text), "<u4").tolist() == ids
+
 
-    decoder = bpe.Decoder(Two, blanks=False)
-    assert [decoder.feed(0), decoder.feed(1), decoder.feed(2), decoder.close()] == ["", "é", "a", ""]
+def test_full_tables_change_nothing(monkeypatch):
+    monkeypatch.setattr(bpe, "CHUNKS", 3)
+    monkeypatch.setattr(bpe, "WORDS", 3)
+    monkeypatch.setattr(bpe, "STATES", 5)
+    small, codec = bpe.Codec(WORD_PATH), bpe.codec(WORD_PATH)
+    for text in ("the cat, the hat; the very long words of it", "unbelievably many unrememberable words"):
+        assert small.encode(text) == codec.encode(text)
 
 
 def test_bpe_odd_rows(make, odd_rows):
@@ -146,13 +163,106 @@ def test_order_minhash_rows(make, odd_rows, prose):
     assert len(alone) == 1 and alone[0].near_next == 1.0
 
 
+def plain_order_minhash(text):
+    """Selection, text order and tuples spelled out with Python integers."""
+    mask = (1 << 64) - 1
+    mix = 0x9E3779B97F4A7C15
+
+    def mixed(x):
+        x = ((x ^ x >> 29) * 0xBF58476D1CE4E5B9) & mask
+        return x ^ x >> 32
+
+    width = min(ordermin.KMER, len(text))
+    grams = [text[i : i + width] for i in range(len(text) - width + 1)] if text else []
+    base, count = [], {}
+    for gram in grams:
+        h = 0
+        for c in gram:
+            h = ((h + ord(c) + 1) * mix) & mask
+        h = mixed(h)
+        n = count[gram] = count.get(gram, -1) + 1
+        base.append(mixed((h + n * mix) & mask) if n else h)
+    out = []
+    for odd in ordermin._ODD.tolist():
+        chosen = sorted(range(len(base)), key=lambda i: ((base[i] * odd) & mask, i))[: ordermin.TUPLE]
+        h = 0
+        for t, i in enumerate(sorted(chosen)):
+            h = mixed((h * mix + base[i] + t + 1) & mask)
+        out.append(h >> 32 if base else 0)
+    return out
+
+
 def test_order_minhash_brute_force():
-    text = "the cat and the hat and the cat sat"
-    k, points = ordermin.KMER, np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    base = ordermin.numbered_kmers(points)
-    grams = [text[i : i + k] for i in range(len(text) - k + 1)]
-    numbered = [(g, grams[:i].count(g)) for i, g in enumerate(grams)]
-    assert len(set(base.tolist())) == len(set(numbered)) == len(base)
-    assert (ordermin.order_minhash(text) == ordermin.order_minhash(text)).all()
-    swapped = ordermin.order_minhash("and the cat sat the cat and the hat")
-    assert ordermin.likeness(ordermin.order_minhash(text), swapped) < 1
+    rng = random.Random(2)
+    texts = ["", "a", "abc", "aaaaaaaaaaaaaaa", "the cat and the hat and the cat sat", "ünï 日本 😀" * 9]
+    texts += ["".join(rng.choice("abc ") for _ in range(rng.randint(1, 300))) for _ in range(60)]
+    for text in texts:
+        assert ordermin.order_minhash(text).tolist() == plain_order_minhash(text)
+
+
+def test_order_counts():
+    """Moving the halves of a text keeps its k-mers but not their order."""
+    text, moved = "the cat and the hat ran off; a dog in a bog sat on", " a dog in a bog sat onthe cat and the hat ran off;"
+    assert ordermin.likeness(ordermin.order_minhash(text), ordermin.order_minhash(moved)) < 0.8
+    assert ordermin.likeness(ordermin.order_minhash(text), ordermin.order_minhash(text[:-1] + "x")) > 0.7
+
+
+def test_mixture_against_plain_em():
+    """EM with dictionaries, one text at a time, over the same likelihoods."""
+    rng = np.random.default_rng(6)
+    model = np.log(rng.dirichlet(np.full(language.TABLE, 0.05), 4).T + 1e-9).astype(np.float32)
+    letters = "abcdefghij"
+    texts = [" ".join("".join(rng.choice(list(letters), 4)) for _ in range(int(n))) for n in rng.integers(1, 40, 25)]
+    top, share = language.infer(texts, model)
+    for text, k, s in zip(texts, top.tolist(), share.tolist()):
+        spots, starts = language.trigrams(text)
+        ends = [*starts[1:].tolist(), len(spots)]
+        logs = [[sum(float(model[spots[i], lang]) for i in range(a, b)) for lang in range(4)] for a, b in zip(starts.tolist(), ends)]
+        like = [[np.exp(x - max(row)) for x in row] for row in logs]
+        penalty = 0.5 * np.log(max(len(like), 2))
+        whole = [sum(np.log(max(row[lang], 1e-30)) for row in like) for lang in range(4)]
+        best = {int(np.argmax(whole)): 1.0}
+        worth = max(whole) - penalty
+        while len(best) < 4:
+            mixed = [sum(row[x] * w for x, w in best.items()) for row in like]
+            gain = {x: sum(max(0.0, np.log(max(row[x], 1e-30) / max(m, 1e-30))) for row, m in zip(like, mixed)) for x in range(4) if x not in best}
+            new = max(gain, key=lambda x: gain[x])
+            size = len(best) + 1
+            trial = {x: w * (1 - 1 / size) for x, w in best.items()} | {new: 1 / size}
+            for _ in range(language.ROUNDS):
+                shares = dict.fromkeys(trial, 0.0)
+                for row in like:
+                    total = max(sum(row[x] * w for x, w in trial.items()), 1e-30)
+                    for x, w in trial.items():
+                        shares[x] += row[x] * w / total / len(like)
+                trial = shares
+            total = sum(np.log(max(sum(row[x] * w for x, w in trial.items()), 1e-30)) for row in like)
+            if total - size * penalty <= worth:
+                break
+            best, worth = trial, total - size * penalty
+        assert abs(max(best.values()) - s) < 1e-3
+        assert max(best, key=lambda x: best[x]) == k or sorted(best.values())[-1] - sorted(best.values())[-2] < 1e-3
+
+
+def test_learner_finds_a_conjunction():
+    """Bad rows need two conditions; a plain search over all threshold pairs agrees."""
+    rng = np.random.default_rng(1)
+    n = 3000
+    values = {"x": rng.random(n), "y": rng.random(n), "noise": rng.random(n)}
+    bad = (values["x"] > 0.6) & (values["y"] <= 0.4)
+    rules = quality.learn_rules(values, bad, rng.integers(0, 3, n))
+    caught = np.zeros(n, bool)
+    for rule in rules:
+        caught |= quality._covers(rule, values, np.ones(n, bool))
+    assert any({c.feature for c in rule} == {"x", "y"} for rule in rules)
+    assert np.count_nonzero(caught & ~bad) < 0.01 * n and np.count_nonzero(caught & bad) > 0.9 * np.count_nonzero(bad)
+    # Noise teaches nothing: what growing finds there is pruned or refused.
+    assert quality.learn_rules(values, rng.random(n) < 0.3, rng.integers(0, 3, n)) == []
+
+
+def test_repeated_labels_count_once(make, prose, spark):
+    rows = [(i, prose(i) if i % 4 else " ".join(w + "##" for w in prose(i).split())) for i in range(200)]
+    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(200)] + [(1, 1)] * 500 + [(2, None)], "doc_id long, quality int")
+    docs = make(rows + rows[:3] * 20)
+    rules = quality.fit(docs, labels)
+    assert rules and rules == quality.fit(make(rows), labels.dropDuplicates())

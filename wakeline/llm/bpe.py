@@ -10,11 +10,12 @@ all open boundaries agree on are stable and emitted at once. The merge list's
 sufficient lookahead is thus the longest token less one symbol
 (``Merges.lookahead``); no more symbols need be held to decide a boundary.
 States and steps are tabulated when first met, in tables of bounded size, and so are
-whole words.
+whole words and chunks of text between ASCII white space.
 
 Decoding. A second machine takes token ids one by one and holds at most an
 unfinished UTF-8 sequence (byte-level decoding) or whether a blank is due
-(tokenizers without a decoder join token strings with blanks).
+(tokenizers without a decoder join token strings with blanks). Text comes out
+as it is finished; nothing waits for the document's end.
 """
 
 from __future__ import annotations
@@ -23,9 +24,8 @@ import codecs
 import hashlib
 import json
 import re
-import unicodedata
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -37,11 +37,15 @@ from wakeline.llm.common import arrow_rows, documents, text_or_empty
 from wakeline.llm.packing import byte_alphabet
 
 WORD_END = "</w>"
-STATES = 250_000
-PAIRS = 500_000
-WORDS = 1_200_000
-#: Longer pieces are encoded but not remembered.
+#: Entries that a task's tables hold at most; a full table is begun anew.
+STATES = 100_000
+PAIRS = 200_000
+WORDS = 400_000
+CHUNKS = 400_000
+#: Longer words and chunks are encoded but not remembered.
 LONG_WORD = 64
+#: Token ids whose text is passed on together.
+PIECES = 8_192
 #: Symbol of a byte that ends a word, a character outside the byte alphabet.
 _ENDING = 0x1000
 
@@ -233,99 +237,104 @@ class Decoder:
     UTF-8, ill-formed ones replaced.
     """
 
-    def __init__(self, merges: Merges, blanks: bool) -> None:
-        self.strings, self.blanks = merges.strings, blanks
+    def __init__(self, strings: dict[int, str], blanks: bool) -> None:
+        self.strings, self.blanks = strings, blanks
         self.bytes = byte_alphabet()
         self.utf8 = codecs.getincrementaldecoder("utf-8")("replace")
         self.due = False
 
     def feed(self, token: int) -> str:
+        """The text that the token finishes."""
         string = self.strings[token]
         if self.blanks:
-            out = " " + string if self.due else string
+            if self.due:
+                return " " + string
             self.due = True
-            return out
+            return string
         try:
-            return self.utf8.decode(bytes(self.bytes[c] for c in string))
+            return self.utf8.decode(bytes([self.bytes[c] for c in string]))
         except KeyError:  # an added token
             return self.utf8.decode(b"", True) + string
 
-    def text(self, tokens: Iterable[int]) -> str:
-        """All of a document at once: what feed and close give, joined."""
-        if self.blanks:
-            return " ".join(map(self.strings.__getitem__, tokens))
-        return "".join(map(self.feed, tokens)) + self.close()
-
     def close(self) -> str:
+        """What an unfinished character becomes."""
         self.due = False
         return "" if self.blanks else self.utf8.decode(b"", True)
 
+    def stream(self, tokens: Sequence[int]) -> Iterator[str]:
+        """The text of all tokens, in parts of at most PIECES tokens."""
+        for k in range(0, len(tokens), PIECES):
+            yield "".join(map(self.feed, tokens[k : k + PIECES]))
+        yield self.close()
+
 
-class Words(dict):
-    """Word to its ids as bytes, filled as words come."""
+class Table(dict):
+    """Keys to values that are made when first asked for; begun anew when full."""
 
-    def __init__(self, codec: Codec) -> None:
+    def __init__(self, make: Callable, most: int) -> None:
         super().__init__()
-        self.codec = codec
+        self.make, self.most = make, most
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self.codec.word(word)
-        if len(self) >= WORDS:
-            self.clear()
-        if len(word) <= LONG_WORD:
-            self[word] = ids
-        return ids
+    def __missing__(self, key):
+        value = self.make(key)
+        if len(key) <= LONG_WORD:
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = value
+        return value
 
 
 class Codec:
-    """Encodes and decodes whole texts as the tokenizer file says (word-end BPE with lower-casing)."""
+    """Encodes and decodes whole texts as the tokenizer file says.
+
+    Texts are cut at ASCII white space first, where the file's pre-tokenizer drops
+    all white space: no rule of its normalizer reaches over it. Chunks are normalized and cut into
+    words by the tokenizers library, by whatever the file says; merging is the transducer's.
+    """
 
     def __init__(self, path: str) -> None:
-        import regex
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.merges = Merges(spec)
         self.encoder = Encoder(self.merges)
-        self.library = Tokenizer.from_file(path)
-        self.alphabet = {b: c for c, b in byte_alphabet().items()}
+        library = Tokenizer.from_file(path)
+        self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.cut = re.compile("(" + "|".join(map(re.escape, self.added)) + ")")
-        self.pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-        # Characters whose class or case may differ between Unicode versions: the library itself splits such texts.
-        self.recent = re.compile("[^\u0000-՗ -⁯₠-₿]")
-        self.words = Words(self)
+        self.cut = re.compile("(" + "|".join(map(re.escape, self.added)) + ")") if self.added else None
+        steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        self.local = any(s.get("behavior") == "Removed" and s.get("invert") for s in steps) and not any(re.search(r"\s", t) for t in self.added)
+        self.blanks = spec["decoder"] is None
+        self.words, self.chunks = Table(self.word, WORDS), Table(self.chunk, CHUNKS)
 
     def word(self, word: str) -> bytes:
-        """Ids of one pre-token."""
-        symbols = "".join(map(self.alphabet.__getitem__, word.encode("utf-8")))
-        if self.merges.marks_ends:
-            symbols = symbols[:-1] + chr(_ENDING + ord(symbols[-1]))
+        """Ids of one pre-token, given in the byte alphabet."""
+        symbols = word[:-1] + chr(_ENDING + ord(word[-1])) if self.merges.marks_ends else word
         ids = self.encoder.tokens(symbols) if len(symbols) <= LONG_WORD else self.encoder.stream(symbols)
         return array("I", ids).tobytes()
 
-    def split(self, text: str) -> list[str]:
-        """Pre-tokens of a text without added tokens."""
-        if self.recent.search(text) is None:
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-            return self.pieces.findall(text)
-        normal = self.library.normalizer.normalize_str(text)
-        back = byte_alphabet()
-        return [bytes(back[c] for c in p).decode("utf-8") for p, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
-
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        ids = []
-        for k, part in enumerate(self.cut.split(text) if "<|" in text else [text]):
+    def chunk(self, chunk: bytes) -> bytes:
+        """Ids of a piece of text that may hold added tokens."""
+        text, ids = chunk.decode("utf-8"), []
+        for k, part in enumerate(self.cut.split(text) if self.cut else [text]):
             if k % 2:
                 ids.append(array("I", [self.added[part]]).tobytes())
             elif part:
-                ids.append(b"".join(map(self.words.__getitem__, self.split(part))))
+                normal = self.normalizer.normalize_str(part) if self.normalizer else part
+                ids += [self.words[word] for word, _ in self.pre_tokenizer.pre_tokenize_str(normal)]
         return b"".join(ids)
 
-    def decode(self, ids: Iterable[int]) -> str:
-        return Decoder(self.merges, blanks=True).text(ids)
+    def encode(self, text: str) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers."""
+        raw = text.encode("utf-8")  # bytes.split() cuts at exactly space and \t to \r
+        return b"".join(map(self.chunks.__getitem__, raw.split())) if self.local else self.chunk(raw)
+
+    def decoder(self) -> Decoder:
+        return Decoder(self.merges.strings, self.blanks)
+
+    def decode(self, ids: Sequence[int]) -> str:
+        return "".join(self.decoder().stream(ids))
 
 
 @lru_cache(maxsize=2)
@@ -373,8 +382,10 @@ def digests(df: DataFrame, tokenizer: str) -> DataFrame:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 ids = coder.encode(text)
-                decoded = coder.decode(array("I", ids))
-                rows.append((doc_id, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode("utf-8")).hexdigest()))
+                decoded = hashlib.sha256()
+                for part in coder.decoder().stream(array("I", ids)):
+                    decoded.update(part.encode("utf-8"))
+                rows.append((doc_id, len(ids) // 4, hashlib.sha256(ids).hexdigest(), decoded.hexdigest()))
             yield arrow_rows(rows, schema)
 
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, schema)

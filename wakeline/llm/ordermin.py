@@ -46,9 +46,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def numbered_kmers(points: np.ndarray, k: int = KMER) -> np.ndarray:
     """A 64-bit hash for each k-mer of code points together with its occurrence number.
 
-    A text shorter than k is one k-mer; an empty text has none. Occurrences
-    are told apart by 40 bits of hash, up to 2**24 k-mers; beyond that by a
-    stable sort of whole hashes.
+    A text shorter than k is one k-mer; an empty text has none.
     """
     if not len(points):
         return np.zeros(0, np.uint64)
@@ -59,13 +57,8 @@ def numbered_kmers(points: np.ndarray, k: int = KMER) -> np.ndarray:
     for i in range(width):
         rolled = (rolled + x[i : i + n] + np.uint64(1)) * _MIX
     base = _mixed(rolled)
-    if n < 1 << 24:
-        low = np.uint64((1 << 24) - 1)
-        packed = np.sort((base & ~low) | np.arange(n, dtype=np.uint64))
-        order, value = (packed & low).astype(np.int64), packed >> np.uint64(24)
-    else:
-        order = np.argsort(base, kind="stable")
-        value = base[order]
+    order = np.argsort(base, kind="stable")
+    value = base[order]
     new = np.concatenate(([True], value[1:] != value[:-1]))
     if new.all():
         return base

@@ -4,11 +4,10 @@ A task streams its documents, tokenizes them and keeps of each piece only
 ``(doc_id, start, length, crc)``. Overlong documents are first cut into full
 windows; what is left of them is packed by best-fit decreasing over a block
 of bounded size. A segment tree indexed by remaining capacity finds the
-tightest open window. Windows that best fit leaves with more than
-``slack`` ids of room are dissolved and their pieces laid end to end into
-full windows, so that a corpus of equally long documents is not padded to
-twice its size; the last, unfilled window of a block is carried into the next
-one. No shuffle is needed: a block's windows depend on that block alone.
+tightest open window. As many windows are open from the start as the block's ids need,
+so a block is padded by less than one window: a piece for which no open window has room
+is cut at the widest one, and its rest placed in its turn. No shuffle is
+needed: a block's windows depend on that block alone.
 """
 
 from __future__ import annotations
@@ -27,7 +26,6 @@ from wakeline.llm.common import arrow_rows, text_or_empty
 
 WINDOW = 1024
 BLOCK = 16_384
-SLACK = 16
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
     "sequence_id long, offset long, padded_to long"
@@ -47,8 +45,10 @@ def byte_bpe(path: str):
     """An encoder with the ids of the tokenizer file at ``path``.
 
     The file's vocabulary drives tiktoken's byte-pair loop, which gives the
-    tokenizers library's ids (tests compare them over every code point) in a
-    quarter of the time. The added token's string stays a special token.
+    tokenizers library's ids (tests compare them over code points of all planes) in a
+    quarter of the time. The file names its pre-tokenizer (byte level, with the pattern built
+    into the library) and not the pattern, hence the constant here. The added token's
+    string stays a special token.
     """
     import tiktoken
 
@@ -67,7 +67,7 @@ class CapacityTree:
     """Open windows by remaining capacity 0..size, as a segment tree of counts.
 
     ``tightest(need)`` descends to the smallest capacity of at least ``need``
-    that some open window has, in O(log size).
+    that some open window has, ``widest()`` to the largest, in O(log size).
     """
 
     def __init__(self, size: int) -> None:
@@ -104,43 +104,57 @@ class CapacityTree:
             node = 2 * node + (not count[2 * node])
         return node - self.leaves
 
+    def widest(self) -> int:
+        node = 1
+        while node < self.leaves:
+            node = 2 * node + (self.count[2 * node + 1] > 0)
+        return node - self.leaves
 
-def best_fit_decreasing(lengths: np.ndarray, size: int) -> list[list[int]]:
-    """Windows as lists of indices of ``lengths``; ties keep input order."""
-    tree, windows = CapacityTree(size), []
-    for i in np.argsort(-lengths, kind="stable").tolist():
-        need = int(lengths[i])
-        room = tree.tightest(need)
-        if room is None:
-            window, room = len(windows), size
-            windows.append([])
-        else:
-            window = tree.pop(room)
-        windows[window].append(i)
-        if room > need:
-            tree.push(room - need, window)
+
+def best_fit_decreasing(lengths: list[int], size: int) -> list[list[tuple[int, int, int]]]:
+    """Windows as lists of (index of ``lengths``, start, length), as few windows as can hold all.
+
+    The longest piece comes first, of equal ones the first; lengths are below or at ``size``.
+    """
+    tree = CapacityTree(size)
+    windows: list[list[tuple[int, int, int]]] = [[] for _ in range(-(-sum(lengths) // size))]
+    for window in reversed(range(len(windows))):
+        tree.push(size, window)
+    waiting: list[list[tuple[int, int]]] = [[] for _ in range(size + 1)]
+    for i, length in enumerate(lengths):
+        waiting[length].append((i, 0))
+    for length in range(size, 0, -1):
+        for i, start in waiting[length]:
+            room = tree.tightest(length)
+            if room is None:
+                room = tree.widest()
+                waiting[length - room].append((i, start + room))
+            window, taken = tree.pop(room), min(room, length)
+            windows[window].append((i, start, taken))
+            if room > taken:
+                tree.push(room - taken, window)
     return windows
 
 
 class Packer:
     """Packs one task's pieces, a block at a time.
 
-    A piece is ``[doc_id, start, ids, doc_tokens]`` with ids as a uint32 array.
+    A piece is ``(doc_id, start, ids, doc_tokens)`` with ids as a uint32 array.
     """
 
-    def __init__(self, first_sequence: int, size: int, slack: int) -> None:
-        self.sequence, self.size, self.slack = first_sequence, size, slack
-        self.waiting: list[list] = []
+    def __init__(self, first_sequence: int, size: int) -> None:
+        self.sequence, self.size = first_sequence, size
+        self.waiting: list[tuple] = []
         self.rows: list[tuple] = []
 
     def add(self, doc_id, ids: np.ndarray) -> None:
         whole = len(ids) - len(ids) % self.size
         for start in range(0, whole, self.size):
-            self._close([[doc_id, start, ids[start : start + self.size], len(ids)]])
+            self._close([(doc_id, start, ids[start : start + self.size], len(ids))])
         if whole < len(ids):
-            self.waiting.append([doc_id, whole, ids[whole:].copy(), len(ids)])
+            self.waiting.append((doc_id, whole, ids[whole:].copy(), len(ids)))
 
-    def _close(self, pieces: list[list]) -> None:
+    def _close(self, pieces: list[tuple]) -> None:
         used = sum(len(p[2]) for p in pieces)
         padded = used if used & (used - 1) == 0 else self.size
         offset = 0
@@ -149,36 +163,17 @@ class Packer:
             offset += len(ids)
         self.sequence += 1
 
-    def pack(self, last: bool) -> None:
-        if not self.waiting:
-            return
+    def pack(self) -> None:
         pieces, self.waiting = self.waiting, []
-        loose: list[list] = []
-        for window in best_fit_decreasing(np.array([len(p[2]) for p in pieces]), self.size):
-            members = [pieces[i] for i in window]
-            if sum(len(p[2]) for p in members) >= self.size - self.slack:
-                self._close(members)
-            else:
-                loose += members
-        held, room = [], self.size
-        for doc_id, start, ids, total in loose:
-            while len(ids) >= room:
-                self._close([*held, [doc_id, start, ids[:room], total]])
-                start, ids, held, room = start + room, ids[room:], [], self.size
-            if len(ids):
-                held.append([doc_id, start, ids, total])
-                room -= len(ids)
-        if held and last:
-            self._close(held)
-        else:
-            self.waiting = held
+        for window in best_fit_decreasing([len(p[2]) for p in pieces], self.size):
+            self._close([(pieces[i][0], pieces[i][1] + start, pieces[i][2][start : start + length], pieces[i][3]) for i, start, length in window])
 
     def take(self) -> list[tuple]:
         rows, self.rows = self.rows, []
         return rows
 
 
-def pack(df: DataFrame, tokenizer: str, size: int = WINDOW, block: int = BLOCK, slack: int = SLACK, end_id: int = 0) -> DataFrame:
+def pack(df: DataFrame, tokenizer: str, size: int = WINDOW, block: int = BLOCK, end_id: int = 0) -> DataFrame:
     """One row per piece of ``df``'s (doc_id, text), columns as ``SCHEMA``.
 
     A null text counts as empty (its one id is ``end_id``); null or repeated
@@ -192,15 +187,15 @@ def pack(df: DataFrame, tokenizer: str, size: int = WINDOW, block: int = BLOCK,
         from pyspark import TaskContext
 
         encoder = byte_bpe(tokenizer)
-        packer = Packer(TaskContext.get().partitionId() << 32, size, slack)
+        packer = Packer(TaskContext.get().partitionId() << 32, size)
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 packer.add(doc_id, np.array([*encoder.encode(text, allowed_special="all"), end_id], dtype="<u4"))
                 if len(packer.waiting) >= block:
-                    packer.pack(last=False)
+                    packer.pack()
                 if len(packer.rows) >= 50_000:
                     yield arrow_rows(packer.take(), SCHEMA)
-        packer.pack(last=True)
+        packer.pack()
         yield arrow_rows(packer.take(), SCHEMA)
 
     slim = df.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))

@@ -59,7 +59,7 @@ def _less(text: Column, characters: str) -> Column:
 def _repeat_words(words: Column) -> Column:
     """Words inside WINDOW-word windows that occur at least twice.
 
-    Windows are hashed, sorted with their places, and equal neighbours kept;
+    Windows are hashed to 64 bits, sorted with their places, and equal neighbours kept;
     the words under the kept places are counted from the gaps between them.
     """
     count = F.size(words)
@@ -207,9 +207,10 @@ def fit(df: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[Rule]:
     """Rules for rows of ``df`` (doc_id, text) whose label (doc_id, quality 0 or 1) is 0.
 
     Only rows that pass the base limits are learned from. Rows without a
-    label, or with a null one, are ignored; no labels give no rules.
+    label, or with a null one, are ignored; no labels give no rules. A doc_id
+    that is labelled or held several times counts once, by its lowest label and numbers.
     """
-    known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "quality")
+    known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     count = known.count()
     if not count:
         return []
@@ -217,7 +218,8 @@ def fit(df: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[Rule]:
     chosen = known.where(pick < F.lit(min(1.0, sample / count) * 1_000_003))  # about `sample` rows: small enough to broadcast
     rows = with_statistics(df.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")).where(~base_failed())
     fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(3)).alias("fold")
-    got = sorted(rows.select("doc_id", "quality", fold, *FEATURES).collect())
+    picked = rows.select("doc_id", fold, F.struct("quality", *FEATURES).alias("row")).groupBy("doc_id", "fold").agg(F.min("row").alias("row"))
+    got = sorted(picked.select("doc_id", "fold", "row.*").collect())
     if not got:
         return []
     values = {name: np.array([r[name] for r in got], float) for name in FEATURES}

@@ -85,7 +85,7 @@ def shard(df: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE) ->
     """
     text = text_or_empty()
     row_hash = F.xxhash64(text, F.col("doc_id"))
-    base = without(df, "size", "text_crc32", "law", "shard", "slot", "grown_shard", "_key", "_size", "_part", "_group")
+    base = without(df, "size", "text_crc32", "law", "shard", "slot", "grown_shard", "_key", "_size", "_part", "_group", "_before")
     named = base.select(
         "*",
         (F.octet_length(text).cast("long") + 1).alias("size"),
