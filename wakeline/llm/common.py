@@ -48,6 +48,12 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def own_names(df: DataFrame, *kept: str) -> tuple[DataFrame, dict[str, Column]]:
+    """``df`` with all columns but ``kept`` under names that no operator uses, and each old column by its new name."""
+    names = {c: c if c in kept else f"_own{i}" for i, c in enumerate(df.columns)}
+    return df.select([F.col(f"`{c}`").alias(n) for c, n in names.items()]), {c: F.col(n).alias(c) for c, n in names.items()}
+
+
 _ARROW = {
     "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(),
     "boolean": pa.bool_(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64()),

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import SPACE, documents, text_or_empty, without
+from wakeline.llm.common import SPACE, documents, own_names, text_or_empty, without
 
 #: Labelled rows that rules are learned from, about; a hash of doc_id picks them.
 SAMPLE = 6_000
@@ -249,6 +249,12 @@ def judge(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return out.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
 
 
+def keep(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Rows of ``df`` that ``judge`` keeps; columns and values stay as they are, whatever their names."""
+    base, own = own_names(df, "text")
+    return judge(base, rules).where("kept").select(*own.values())
+
+
 def op6_quality(spark, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     rules = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import cut_lineage, documents, shuffle_partitions, without
+from wakeline.llm.common import cut_lineage, documents, own_names, shuffle_partitions, without
 
 SHINGLE = 5
 #: Shortest passage in words, and in shingles.
@@ -452,8 +452,7 @@ _CUT = "struct<spans:array<int>,kept_text:string,start:array<int>,end:array<int>
 
 def _found(df: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
     """``df`` under names of its own with ``_cut``, and each old column by its new name."""
-    names = {c: c if c in ("doc_id", "text") else f"_own{i}" for i, c in enumerate(df.columns)}
-    base = df.select([F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    base, own = own_names(df, "doc_id", "text")
     base = base.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
     others = [n for n in base.columns if n not in ("doc_id", "text")]
     texts = base.where(F.col("doc_id").isNotNull())
@@ -499,7 +498,7 @@ def _found(df: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
         F.array().cast("array<int>").alias("end"), F.array().cast("array<long>").alias("of"),
     )
     unnamed = base.where(F.col("doc_id").isNull()).select(*base.columns, none.alias("_cut"))
-    return out.unionByName(unnamed), {c: F.col(n).alias(c) for c, n in names.items()}
+    return out.unionByName(unnamed), own
 
 
 def find_passages(df: DataFrame) -> DataFrame:
