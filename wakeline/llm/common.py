@@ -17,20 +17,24 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder, ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``. A local session that
-    names none gets one of its own; on a cluster that is an error, as the
-    executors would write to their own disks.
+    A local session that names none gets one of its own; on a cluster that is
+    an error, as the executors would write to their own disks.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         folder = context.getConf().get("spark.checkpoint.dir")
         if folder is None and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
