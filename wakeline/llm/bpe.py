@@ -37,10 +37,10 @@ from wakeline.llm.common import arrow_rows, documents, text_or_empty
 from wakeline.llm.packing import byte_alphabet
 
 WORD_END = "</w>"
-#: Entries that a task's tables hold at most; a full table is begun anew.
-STATES = 100_000
-PAIRS = 200_000
-WORDS = 400_000
+#: Entries that a task's tables hold at most.
+STATES = 250_000
+PAIRS = 400_000
+WORDS = 800_000
 CHUNKS = 400_000
 #: Longer words and chunks are encoded but not remembered.
 LONG_WORD = 64
@@ -269,16 +269,24 @@ class Decoder:
 
 
 class Table(dict):
-    """Keys to values that are made when first asked for; begun anew when full."""
+    """Keys to values that are made when first asked for.
+
+    A full table is put aside and begun anew; what is asked for again comes back from
+    the one put aside, so frequent keys stay.
+    """
 
     def __init__(self, make: Callable, most: int) -> None:
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most = make, most // 2
+        self.aside: dict = {}
 
     def __missing__(self, key):
-        value = self.make(key)
+        value = self.aside.get(key)
+        if value is None:
+            value = self.make(key)
         if len(key) <= LONG_WORD:
             if len(self) >= self.most:
+                self.aside = dict(self)
                 self.clear()
             self[key] = value
         return value
@@ -289,7 +297,8 @@ class Codec:
 
     Texts are cut at ASCII white space first, where the file's pre-tokenizer drops
     all white space: no rule of its normalizer reaches over it. Chunks are normalized and cut into
-    words by the tokenizers library, by whatever the file says; merging is the transducer's.
+    words by the tokenizers library, by whatever the file says, but for chunks of ASCII letters
+    alone, which are a word each; merging is the transducer's.
     """
 
     def __init__(self, path: str) -> None:
@@ -305,6 +314,7 @@ class Codec:
         self.cut = re.compile("(" + "|".join(map(re.escape, self.added)) + ")") if self.added else None
         steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
         self.local = any(s.get("behavior") == "Removed" and s.get("invert") for s in steps) and not any(re.search(r"\s", t) for t in self.added)
+        self.plain = self.local and not any(t.isalpha() for t in self.added) and [w for w, _ in self.pre_tokenizer.pre_tokenize_str(self.normalizer.normalize_str("Ab"))] == ["ab"]
         self.blanks = spec["decoder"] is None
         self.words, self.chunks = Table(self.word, WORDS), Table(self.chunk, CHUNKS)
 
@@ -316,6 +326,8 @@ class Codec:
 
     def chunk(self, chunk: bytes) -> bytes:
         """Ids of a piece of text that may hold added tokens."""
+        if self.plain and chunk.isalpha():  # bytes.isalpha(): ASCII letters only, one word under any Unicode version
+            return self.words[chunk.lower().decode("ascii")]
         text, ids = chunk.decode("utf-8"), []
         for k, part in enumerate(self.cut.split(text) if self.cut else [text]):
             if k % 2:
