@@ -1,3 +1,4 @@
+import math
 """Hand-made cases for the trajectory operators."""
 
 import gzip
@@ -125,31 +126,38 @@ def test_heading_wrap_and_region(spark):
     assert abs(sun.lat - 23.4) < 0.1 and abs(sun.lon) < 1.0
 
 
-def brute_keep(ts, near, track):
-    kept, t, h = [0], ts[0], track[0]
-    for i in range(1, len(ts) - 1):
-        d = track[i] - h
-        turned = d == d and abs((d + 180) % 360 - 180) >= 12
-        if ts[i] - t >= (15 if near[i] else 60) or turned:
-            kept.append(i)
-            t, h = ts[i], track[i] if track[i] == track[i] else h
-    return [*kept, len(ts) - 1]
+def is_kept(i, before, ts, near, track):
+    """The rule for one place, given the places kept before it."""
+    if i in (0, len(ts) - 1):
+        return True
+    headings = [track[k] for k in before if k == 0 or not math.isnan(track[k])]
+    off = abs((track[i] - headings[-1] + 540) % 360 - 180)
+    return ts[i] - ts[before[-1]] >= (15 if near[i] else 60) or off >= 12
 
 
 def test_downsample(spark):
     rng = np.random.default_rng(2)
     ts, near = np.cumsum(rng.integers(1, 30, 400)).astype(float), rng.random(400) < 0.5
     track = np.where(rng.random(400) < 0.1, np.nan, np.cumsum(rng.normal(0, 5, 400)) % 360)
-    assert tracks.keep_greedily(ts, near, track).tolist() == brute_keep(ts, near, track)
-    assert tracks.keep_greedily(ts[:2], near, track).tolist() == [0, 1]
-    assert len(tracks.thin(np.arange(401), 400)) == 400
+    wait = np.where(near, 15.0, 60.0)
+    kept = tracks.kept_places(ts, wait, track, 12.0)
+    assert kept == [i for i in range(400) if is_kept(i, [k for k in kept if k < i], ts, near, track)]
+    assert tracks.kept_places(ts[:2], wait[:2], track[:2], 12.0) == [0, 1] and tracks.kept_places(ts[:1], wait[:1], track[:1], 12.0) == [0]
     rows = [(1, i * 20, 44.0, -88.5, 0, 0) for i in range(300)] + [(1, 100_000 + i * 20, 44.0, -88.5, 0, 0) for i in range(30)]
     cut = segments.with_segments(points(spark, rows))
-    assert tracks.downsample(cut, 50).groupBy("seg").count().orderBy("seg").collect()[0]["count"] == 50
+    got = [r.ts for r in tracks.downsample(cut, 50).where("seg = 0").orderBy("ts").collect()]
+    assert got == [20.0 * int(i) for i in np.linspace(0, 299, 50)]
     shares = {r.seg: r.n for r in tracks.downsample(cut, 110, share=True).groupBy("seg").agg(F.count("*").alias("n")).collect()}
     assert shares == {0: 100, 1: 10}
 
 
+def test_day_partitions_are_pruned(spark, tmp_path):
+    spark.range(30).selectExpr("id", "id % 3 as day").write.partitionBy("day").parquet(str(tmp_path / "p"))
+    one = spark.read.parquet(str(tmp_path / "p")).where(F.col("day") == 2)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and one.count() == 10
+
+
 def test_histogram_edges(spark):
     df = spark.createDataFrame([(39.9,), (40.0,), (190.0,), (190.1,), (None,), (44.999,)], "v double")
     got = {r.bin: r.n for r in corridor.histogram(df, "v", 40.0, 190.0, 30).collect()}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline.config import DEFAULT, Config
@@ -68,8 +68,15 @@ def airport_index(traffic: DataFrame) -> DataFrame:
     return counts.orderBy(F.desc(F.col("arrivals") + F.col("departures")), "ident")
 
 
-def airport_documents(traffic: DataFrame) -> DataFrame:
-    """One JSON document for each ident, its touches by time."""
+def airport_parts(traffic: DataFrame, size: int = 1_000) -> DataFrame:
+    """(ident, part, arrivals, departures, touches): an ident's touches by time, ``size`` of them a part, so no hub is one value."""
+    by_time = Window.partitionBy("ident").orderBy("t_start", "t_end", "hex", "dir")
+    rows = traffic.withColumn("part", F.floor((F.row_number().over(by_time) - 1) / size))
     item = F.struct("t_start", "t_end", "hex", "dir", "other")
-    docs = traffic.groupBy("ident").agg(F.sort_array(F.collect_list(item)).alias("touches"), F.count_if(F.col("dir") == "arrival").alias("arrivals"), F.count_if(F.col("dir") == "departure").alias("departures"))
-    return docs.select("ident", F.to_json(F.struct("ident", "arrivals", "departures", "touches")).alias("doc"))
+    is_dir = lambda name: F.count_if(F.col("dir") == name)
+    return rows.groupBy("ident", "part").agg(F.sort_array(F.collect_list(item)).alias("touches"), is_dir("arrival").alias("arrivals"), is_dir("departure").alias("departures"))
+
+
+def airport_documents(traffic: DataFrame, size: int = 1_000) -> DataFrame:
+    """(ident, part, doc): the parts as JSON."""
+    return airport_parts(traffic, size).select("ident", "part", F.to_json(F.struct("ident", "part", "arrivals", "departures", "touches")).alias("doc"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,57 +13,84 @@ from wakeline.config import DEFAULT, Config
 from wakeline.functions.geo import flat_nm
 
 
-def keep_greedily(ts: np.ndarray, near: np.ndarray, track: np.ndarray, cfg: Config = DEFAULT) -> np.ndarray:
-    """Places kept: both ends, and those late enough, or turned enough, since the last kept one.
+def kept_places(ts: np.ndarray, wait: np.ndarray, track: np.ndarray, turn: float) -> list[int]:
+    """Places of a segment that a display keeps: both ends, and each first place that is due.
 
-    An unknown heading neither counts as a turn nor replaces the last known one.
+    A place is due once its own wait has passed since the last kept one, or
+    its heading is ``turn`` degrees off the last one known there; an unknown
+    heading is never off. The next due place is looked for in ever longer stretches.
     """
-    n = len(ts)
-    if n <= 2:
-        return np.arange(n)
-    wait = np.where(near, cfg.near_interval_s, cfg.far_interval_s)
-    kept, last_t, last_track = [0], ts[0], track[0]
-    for i in range(1, n - 1):
-        turn = abs((track[i] - last_track + 180) % 360 - 180)  # NaN compares false
-        if ts[i] - last_t >= wait[i] or turn >= cfg.heading_deg:
-            kept.append(i)
-            last_t = ts[i]
-            if not np.isnan(track[i]):
-                last_track = track[i]
-    return np.array([*kept, n - 1])
-
-
-def thin(kept: np.ndarray, most: int) -> np.ndarray:
-    return kept if len(kept) <= most else kept[np.linspace(0, len(kept) - 1, most).astype(int)]
+    places, end = [0], len(ts) - 1
+    known = track[0]
+    at, reach = 1, 16
+    while at < end:
+        stretch = slice(at, min(end, at + reach))
+        off = np.abs(np.remainder(track[stretch] - known + 180.0, 360.0) - 180.0)
+        due = np.flatnonzero((ts[stretch] - ts[places[-1]] >= wait[stretch]) | (off >= turn))
+        if not len(due):
+            at, reach = stretch.stop, 2 * reach
+            continue
+        place = at + int(due[0])
+        places.append(place)
+        known = known if np.isnan(track[place]) else track[place]
+        at, reach = place + 1, 16
+    return places if not end else [*places, end]
+
+
+def _walk(cfg: Config) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (hex, seg, ts, near, track) sorted by segment and time to the kept (hex, seg, ts), many segments at once."""
+
+    def kept(rows: pa.Table) -> pa.RecordBatch:
+        ids = [rows.column(c).to_numpy() for c in ("hex", "seg")]
+        ts, near, track = (rows.column(c).to_numpy() for c in ("ts", "near", "track"))
+        wait = np.where(near, cfg.near_interval_s, cfg.far_interval_s)
+        new = np.flatnonzero((np.diff(ids[0]) != 0) | (np.diff(ids[1]) != 0)) + 1
+        places = [a + i for a, b in zip([0, *new.tolist()], [*new.tolist(), len(ts)]) for i in kept_places(ts[a:b], wait[a:b], track[a:b], cfg.heading_deg)]
+        return rows.select(["hex", "seg", "ts"]).take(places).combine_chunks().to_batches()[0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            held = rows if held is None else pa.concat_tables([held, rows])
+            last = (held.column("hex").to_numpy() != held.column("hex")[-1].as_py()) | (held.column("seg").to_numpy() != held.column("seg")[-1].as_py()) if held.num_rows else np.zeros(0, bool)
+            if last.any():  # the last segment may go on in the next batch
+                cut = int(np.flatnonzero(last)[-1]) + 1
+                yield kept(held.slice(0, cut))
+                held = held.slice(cut)
+        if held is not None and held.num_rows:
+            yield kept(held)
+
+    return run
 
 
 def downsample(points: DataFrame, most: int, cfg: Config = DEFAULT, share: bool = False) -> DataFrame:
     """Kept points (hex, seg, ts) of each segment.
 
-    Each next choice depends on the last one, so a segment is walked in a
-    grouped function. ``share``: ``most`` is a budget for the entity, dealt to
-    its segments by their kept points, four at least; else it holds for each segment.
+    Each next choice depends on the last one, so sorted partitions are walked
+    segment by segment. ``share``: ``most`` is a budget for the entity, dealt to
+    its segments by their kept points, four at least; else it holds for each
+    segment. Too many points are thinned evenly, by their rank. A segment of one point keeps it.
     """
-    rows = points.select("hex", "seg", "ts", (flat_nm(F.col("lat") - cfg.anchor_lat, F.col("lon") - cfg.anchor_lon, cfg) <= cfg.near_nm).alias("near"), F.col("track").cast("double").alias("track"))
-
-    def walk(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("ts", kind="stable")
-        kept = keep_greedily(part["ts"].to_numpy(), part["near"].to_numpy(bool), part["track"].to_numpy(float), cfg)
-        if not share:
-            kept = thin(kept, most)
-        return part.iloc[kept][["hex", "seg", "ts"]]
-
-    kept = rows.groupBy("hex", "seg").applyInPandas(walk, "hex long, seg long, ts double")
-    if not share:
-        return kept
+    near = flat_nm(F.col("lat") - cfg.anchor_lat, F.col("lon") - cfg.anchor_lon, cfg) <= cfg.near_nm
+    heading = F.coalesce(F.col("track").cast("double"), F.lit(float("nan")))
+    rows = points.select(F.col("hex").cast("long").alias("hex"), F.col("seg").cast("long").alias("seg"), F.col("ts").cast("double").alias("ts"), F.coalesce(near, F.lit(False)).alias("near"), heading.alias("track"))
+    rows = rows.repartition("hex", "seg").sortWithinPartitions("hex", "seg", "ts")
+    kept = rows.mapInArrow(_walk(cfg), "hex long, seg long, ts double")
     w, seg = Window.partitionBy("hex"), Window.partitionBy("hex", "seg")
-    kept = kept.withColumns({"n": F.count("*").over(w), "k": F.count("*").over(seg), "r": F.row_number().over(seg.orderBy("ts")) - 1})
-    cap = F.when((F.col("n") > most) & (F.col("k") > 4), F.greatest(F.lit(4), F.floor(F.col("k") * most / F.col("n")))).otherwise(F.col("k")).cast("int")
-    kept = kept.withColumn("cap", F.least(cap, F.col("k")))
-    # Places floor(j (k-1) / (cap-1)), j = 0 .. cap-1: r is one of them if that j rounds back to it.
-    j = F.ceil(F.col("r") * (F.col("cap") - 1) / F.greatest(F.col("k") - 1, F.lit(1)))
-    back = F.floor(j * (F.col("k") - 1) / F.greatest(F.col("cap") - 1, F.lit(1)))
-    return kept.where((F.col("cap") == F.col("k")) | (back == F.col("r"))).select("hex", "seg", "ts")
+    kept = kept.withColumns({"k": F.count("*").over(seg), "r": F.row_number().over(seg.orderBy("ts")) - 1})
+    cap = F.least("k", F.lit(most))
+    if share:
+        kept = kept.withColumn("n", F.count("*").over(w))
+        cap = F.when((F.col("n") > most) & (F.col("k") > 4), F.least("k", F.greatest(F.lit(4), F.floor(F.col("k") * most / F.col("n"))))).otherwise(F.col("k"))
+    kept = kept.withColumn("cap", cap.cast("long"))
+    # Ranks floor(j step) stay, j = 0 .. cap - 1; the j of a rank is its quotient or next to it.
+    step = (F.col("k") - 1) / F.nullif(F.col("cap") - 1, F.lit(0))
+    j = F.ceil(F.try_divide("r", step))
+    stays = F.lit(False)
+    for by in (-1, 0, 1):
+        stays = stays | (F.floor((j + by) * step) == F.col("r"))
+    return kept.where((F.col("cap") == F.col("k")) | (F.col("r") == F.col("k") - 1) | stays).select("hex", "seg", "ts")
 
 
 def at_times(series: DataFrame, keys: list[str], x: str, values: list[str], queries: DataFrame, q: str) -> DataFrame:
@@ -78,6 +107,22 @@ def at_times(series: DataFrame, keys: list[str], x: str, values: list[str], quer
     return out.select(*keys, q, *mixed)
 
 
+def headings_at(points: DataFrame, queries: DataFrame, bucket_s: int = 600) -> DataFrame:
+    """(hex, q, lat, lon, heading) at queries (hex, q), between two points of a track; headings turn the short way.
+
+    Brackets and queries meet by entity and time bucket, so a long track is not met whole.
+    """
+    w = Window.partitionBy("hex").orderBy("ts")
+    after = {f"_{c}2": F.lead(c).over(w) for c in ("ts", "lat", "lon", "track")}
+    rows = points.select("hex", "ts", "lat", "lon", "track").withColumns(after).where("_ts2 > ts")
+    rows = rows.withColumn("_bucket", F.explode(F.sequence(F.floor(F.col("ts") / bucket_s), F.floor(F.col("_ts2") / bucket_s))))
+    met = rows.join(queries.withColumn("_bucket", F.floor(F.col("q") / bucket_s)), ["hex", "_bucket"]).where("q >= ts and q < _ts2")
+    f = (F.col("q") - F.col("ts")) / (F.col("_ts2") - F.col("ts"))
+    turn = F.pmod(F.col("_track2") - F.col("track") + 540, F.lit(360.0)) - 180
+    between = lambda c: (F.col(c) + (F.col(f"_{c}2") - F.col(c)) * f).alias(c)
+    return met.select("hex", "q", between("lat"), between("lon"), F.pmod(F.col("track") + turn * f + 360, F.lit(360.0)).alias("heading"))
+
+
 def points_in_spans(points: DataFrame, spans: DataFrame, slack: float = 1.0, least: int = 2) -> DataFrame:
     """How many points of an entity lie in each of its spans (hex, leg_idx, t_start, t_end), with slack; at least ``least``."""
     joined = points.select("hex", "ts").join(spans, "hex").where(F.col("ts").between(F.col("t_start") - slack, F.col("t_end") + slack))

@@ -534,16 +534,27 @@ def night_rings(spark, d):
     return rings.select("t", "p.lon", F.round("p.lat", 3).alias("lat"))
 
 
-@query()
+def _downsample_sql(most: int, share: bool) -> str:
+    """The rule point by point: a recursive walk along each segment, then the ranks that stay."""
+    cap = f"case when n > {most} and k > 4 then least(k, greatest(4, cast(floor(k * {num(most)} / n) as bigint))) else k end" if share else f"least(k, {most})"
+    return f"""with recursive {PTS}, {_cut('pts', 'seg0')},
+p as (select hex, seg, ts, track, {flat(f'lat - {num(C.anchor_lat)}', f'lon - {num(C.anchor_lon)}')} <= {num(C.near_nm)} as near,
+  row_number() over (partition by hex, seg order by ts) as i, count(*) over (partition by hex, seg) as m from seg0),
+walk as (select hex, seg, i, ts, ts as last_ts, track as head, true as kept from p where i = 1
+  union all select hex, seg, i, ts, case when due then ts else last_ts end, case when due then track else head end, due from (
+    select p.hex, p.seg, p.i, p.ts, p.track, w.last_ts, w.head, (p.i = p.m or p.ts - w.last_ts >= case when p.near then 15 else 60 end
+      or abs((p.track - w.head + 540) - 360 * floor((p.track - w.head + 540) / 360) - 180) >= 12) as due
+    from walk w join p on p.hex = w.hex and p.seg = w.seg and p.i = w.i + 1)),
+held as (select hex, seg, ts, count(*) over (partition by hex, seg) as k, count(*) over (partition by hex) as n, row_number() over (partition by hex, seg order by ts) - 1 as r from walk where kept),
+capped as (select *, {cap} as cap from held)
+select hex, seg, ts from capped c where cap = k or r = k - 1 or exists (select 1 from range({most}) j where j.range < c.cap and cast(floor(j.range * ((c.k - 1) / cast(nullif(c.cap - 1, 0) as double))) as bigint) = c.r)"""
+
+
+@query(_downsample_sql(40, False))
 def downsample_capped(spark, d):
     return tracks.downsample(segments.with_segments(pts(spark, d)), 40)
 
 
-@query()
+@query(_downsample_sql(60, True))
 def downsample_budget(spark, d):
     return tracks.downsample(segments.with_segments(pts(spark, d)), 60, share=True)
-
-
-@query()
-def airport_documents(spark, d):
-    return places.airport_documents(places.touches(chain(spark, d)))

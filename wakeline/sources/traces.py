@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import gzip
 import io
+import re
 import tarfile
+import zlib
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+#: Name of an entity's document in an archive. Fixed value.
+DOCUMENT = re.compile(r"(?:^|/)trace_full_(?P<code>[^/]*?)(?:\.json)?$")
 AIRPORT_SCHEMA = "id string, ident string, type string, name string, latitude_deg string, longitude_deg string, elevation_ft string, continent string, iso_country string, iso_region string, municipality string, scheduled_service string, gps_code string, icao_code string"
 
 
@@ -34,24 +38,71 @@ def decode_points(docs: DataFrame, column: str, keep: list[str]) -> DataFrame:
     )
 
 
-class _Joined(io.RawIOBase):
-    """Parts of a split file as one stream; one part is open at a time."""
+class _Parts:
+    """The parts of a split file, read on as one; one part is open at a time."""
 
     def __init__(self, paths: list[str]) -> None:
-        self.paths, self.part = list(paths), None
-
-    def readable(self) -> bool:
-        return True
-
-    def readinto(self, buffer) -> int:
-        while self.part is not None or self.paths:
-            if self.part is None:
-                self.part = open(self.paths.pop(0), "rb")  # noqa: SIM115
-            if n := self.part.readinto(buffer):
-                return n
-            self.part.close()
-            self.part = None
-        return 0
+        self.rest = iter(paths)
+        self.part = io.BytesIO()
+
+    def read(self, size: int) -> bytes:
+        got = []
+        while size:
+            piece = self.part.read(size)
+            if not piece:
+                self.part.close()
+                path = next(self.rest, None)
+                if path is None:
+                    break
+                self.part = open(path, "rb", buffering=1 << 22)  # noqa: SIM115
+            got.append(piece)
+            size -= len(piece)
+        return b"".join(got)
+
+
+#: Bytes of a block of a tar file.
+BLOCK = 512
+
+
+def tar_files(parts: _Parts) -> Iterator[tuple[str, bytes]]:
+    """(name, bytes) of each regular file: a header block, then the bytes filled up to whole blocks; an empty block ends it."""
+    name = None
+    while (header := parts.read(BLOCK)).strip(b"\0"):
+        info = tarfile.TarInfo.frombuf(header, "utf-8", "surrogateescape")
+        data = parts.read(-(-info.size // BLOCK) * BLOCK)[: info.size]
+        if info.type == tarfile.GNUTYPE_LONGNAME:
+            name = data.rstrip(b"\0").decode("utf-8", "surrogateescape")
+        elif info.type == tarfile.XHDTYPE:
+            paths = re.findall(rb"\d+ path=([^\n]*)\n", data)
+            name = paths[-1].decode("utf-8", "surrogateescape") if paths else None
+        else:
+            if info.isreg():
+                yield name or info.name, data
+            name = None
+
+
+def unpacked(data: bytes) -> bytes | None:
+    """A document's bytes; gzip is told by its first two bytes, None if it is broken."""
+    if not data.startswith(b"\x1f\x8b"):
+        return data
+    try:
+        return gzip.decompress(data)
+    except (OSError, EOFError, zlib.error):
+        return None
+
+
+def may_hold(doc: Column, *tokens: list[str]) -> Column:
+    """Whether a raw document holds one of each list of tokens: a test on its bytes, before any parsing.
+
+    Sound for fields that are always written with one of these prefixes.
+    """
+    test = F.lit(True)
+    for choice in tokens:
+        some = F.lit(False)
+        for token in choice:
+            some = some | doc.contains(token)
+        test = test & some
+    return test
 
 
 class _Day(InputPartition):
@@ -73,25 +124,18 @@ class _Reader(DataSourceReader):
         return list(days)
 
     def read(self, partition: _Day) -> Iterator[tuple]:
-        with tarfile.open(fileobj=io.BufferedReader(_Joined(partition.paths), 1 << 22), mode="r|") as tar:
-            for member in tar:
-                name = member.name.rsplit("/", 1)[-1]
-                if not member.isfile() or not name.startswith("trace_full_"):
-                    continue
-                code = name.removeprefix("trace_full_").removesuffix(".json")
-                if self.hexes and code not in self.hexes:  # told by the name, before anything is unpacked
-                    continue
-                data = tar.extractfile(member).read()
-                if data[:2] == b"\x1f\x8b":
-                    try:
-                        data = gzip.decompress(data)
-                    except (OSError, EOFError):
-                        continue
-                yield partition.day, code, data.decode("utf-8", "replace")
+        for path, data in tar_files(_Parts(partition.paths)):
+            found = DOCUMENT.search(path)
+            # The code is told by the name, before anything is unpacked.
+            if found and (not self.hexes or found["code"] in self.hexes) and (doc := unpacked(data)) is not None:
+                yield partition.day, found["code"], doc.decode("utf-8", "replace")
 
 
 class TraceArchive(DataSource):
-    """``format("trace_archive")``: (day, hex, doc) of split tar archives, a folder and a partition for each day."""
+    """``format("trace_archive")``: (day, hex, doc) of split tar archives, a folder and a partition for each day.
+
+    Python reads the files, so they lie in a file system that driver and executors mount at one path.
+    """
 
     @classmethod
     def name(cls) -> str:
