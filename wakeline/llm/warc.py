@@ -15,6 +15,11 @@ fetched at the end by record number.
 
 from __future__ import annotations
 
+import re
+import zlib
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,7 +32,7 @@ PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "la
 #: Query parameters that name no other page. Fixed values.
 TRACKING = ("utm_[a-z]+", "ref", "fbclid", "gclid")
 
-COLUMNS = "record_id long, url string, ts long, kind string, status int, headers map<string,string>, body string"
+COLUMNS = "record_id long, url string, ts long, kind string, status int, headers map<string,string>, body binary"
 
 
 def canonical_url(url: Column) -> Column:
@@ -48,46 +53,118 @@ def canonical_url(url: Column) -> Column:
     return F.concat(host, path, F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(""))
 
 
+#: Bytes of a WARC file, packed or unpacked, that a task may hold; files are about 1 GB by convention.
+LARGEST = 1 << 31
+
+
+def _inflated(data: bytes) -> Iterator[bytes]:
+    """The bytes of a plain file, or of the members of a gzip file one after the other, in pieces."""
+    if not data.startswith(b"\x1f\x8b"):
+        yield data
+        return
+    rest = memoryview(data)
+    while len(rest):
+        member = zlib.decompressobj(zlib.MAX_WBITS | 16)
+        at = 0
+        while not member.eof and at < len(rest):
+            yield member.decompress(rest[at : at + (1 << 20)])
+            at += 1 << 20
+        rest = rest[min(at, len(rest)) - len(member.unused_data) :] if member.eof else rest[len(rest) :]
+        while len(rest) and rest[0] == 0:  # padding between members
+            rest = rest[1:]
+
+
+def _fields(block: bytes) -> tuple[bytes, dict[str, str]]:
+    """First line and header fields, names in lower case; a name that comes twice keeps its last value."""
+    first, *lines = block.split(b"\n")
+    pairs = (line.rstrip(b"\r").partition(b":") for line in lines)
+    return first.rstrip(b"\r"), {k.decode("utf-8", "replace").strip().lower(): v.decode("utf-8", "replace").strip() for k, colon, v in pairs if colon}
+
+
+def _split_head(data: bytes) -> tuple[bytes, bytes]:
+    """A head and what follows the empty line that ends it."""
+    end = re.search(rb"\r?\n\r?\n", data)
+    return (data[: end.start()], data[end.end() :]) if end else (data, b"")
+
+
+def parse_warc(pieces: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Header fields and content block of each record of a WARC file of any version.
+
+    A record's block is as long as its Content-Length says, whatever it holds.
+    Bytes before a version line are passed over; a record that is cut off, or has no valid length, ends the file.
+    """
+    pieces, held = iter(pieces), bytearray()
+
+    def more() -> bool:
+        piece = next(pieces, None)
+        held.extend(piece or b"")
+        return piece is not None
+
+    while True:
+        while (head := re.search(rb"(?:^|\n)(WARC/\d+\.\d+\r?\n(?:[^\r\n]+\r?\n)*)\r?\n", bytes(held[:65_536]))) is None:
+            if len(held) > 65_536 or not more():
+                return
+        _, fields = _fields(head.group(1))
+        if not fields.get("content-length", "").isdigit():
+            return
+        start, size = head.end(), int(fields["content-length"])
+        while len(held) < start + size:
+            if not more():
+                return
+        yield fields, bytes(held[start : start + size])
+        del held[: start + size]
+
+
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Records of WARC 1.0 files (plain or gzip members) as COLUMNS.
+    """Response and revisit records of WARC files (plain or gzip members, versions 1.0 and 1.1) as COLUMNS.
 
-    Spark's text reader splits files at the version line, so any store that
-    Spark reads will do, plain files are split over tasks and no file is held
-    whole. Records of other kinds than response and revisit are left out.
-    ``record_id`` is a hash of the WARC-Record-ID. Header names are lower-cased; a name that comes
-    twice keeps its last value.
+    Spark's binary reader finds and opens the files, so any store that Spark reads will
+    do; a file is a task's unit and holds at most LARGEST bytes (a larger one fails).
+    Blocks are cut by Content-Length and bodies are bytes, so no content can be taken for a border.
+    Other kinds of records are left out. ``record_id`` is a hash of the
+    WARC-Record-ID. Header names are lower-cased; a name that comes twice keeps
+    its last value. A revisit's body is null; a file that is no WARC gives no rows.
     """
-    raw = spark.read.text(path, lineSep="WARC/1.0\r\n").where(F.trim("value") != "")
+    names = "id string, url string, date string, kind string, status int, headers map<string,string>, body binary"
 
-    def fields(block: Column) -> Column:
-        lines = F.filter(F.split(block, "\r\n"), lambda s: s.contains(":"))
-        pairs = F.transform(lines, lambda s: F.struct(F.lower(F.trim(F.substring_index(s, ":", 1))).alias("k"), F.trim(F.regexp_replace(s, "^[^:]*:", "")).alias("v")))
-        last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["k"] == p["k"]))
-        return F.map_from_entries(last)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.string()] * 4 + [pa.int32(), pa.map_(pa.string(), pa.string()), pa.binary()]
+        for batch in batches:
+            for content in batch.column("content"):
+                rows, size = [], 0
+                for warc, block in parse_warc(_inflated(content.as_py())):
+                    kind = warc.get("warc-type")
+                    if kind not in ("response", "revisit"):
+                        continue
+                    head, body = _split_head(block)
+                    line, headers = _fields(head)
+                    status = re.match(rb"HTTP/[0-9.]+ (\d{3})", line)
+                    rows.append((warc.get("warc-record-id"), warc.get("warc-target-uri"), warc.get("warc-date"), kind, int(status.group(1)) if status else None, list(headers.items()), body if kind == "response" else None))
+                    size += len(block)
+                    if size > 1 << 24:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=[n.split()[0] for n in names.split(", ")])
+                        rows, size = [], 0
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=[n.split()[0] for n in names.split(", ")])
 
-    parts = raw.select(F.split("value", "\r\n\r\n", 3).alias("p"))
-    got = parts.select(fields(F.get("p", F.lit(0))).alias("warc"), F.get("p", F.lit(1)).alias("http"), F.get("p", F.lit(2)).alias("rest"))
-    got = got.where(F.col("warc")["warc-type"].isin("response", "revisit"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    small = F.when(F.col("length") < LARGEST, F.col("content")).otherwise(F.raise_error(F.concat(F.lit("too large a WARC file: "), "path")).cast("binary"))
+    got = files.select(small.alias("content")).mapInArrow(run, names)
     return got.select(
-        F.xxhash64(F.col("warc")["warc-record-id"]).alias("record_id"),
-        F.col("warc")["warc-target-uri"].alias("url"),
-        F.unix_timestamp(F.to_timestamp(F.col("warc")["warc-date"], "yyyy-MM-dd'T'HH:mm:ssX")).alias("ts"),
-        F.col("warc")["warc-type"].alias("kind"),
-        F.regexp_extract("http", r"^HTTP/[0-9.]+ (\d{3})", 1).try_cast("int").alias("status"),
-        fields(F.regexp_replace("http", "^[^\r\n]*(\r\n|$)", "")).alias("headers"),
-        F.when(F.col("warc")["warc-type"] == "response", F.regexp_replace(F.coalesce("rest", F.lit("")), "\r\n\r\n$", "")).alias("body"),
-    )
+        F.xxhash64("id").alias("record_id"), "url", F.unix_timestamp(F.try_to_timestamp("date")).alias("ts"), "kind", "status", "headers", "body",
+    )
 
 
-def write_warc(captures: DataFrame, path: str, compression: str = "gzip") -> None:
-    """Captures of COLUMNS as WARC 1.0 files, one for each partition."""
-    warc_text(captures).write.option("lineSep", "\r\n").option("compression", compression).text(path)
+def write_warc(captures: DataFrame, path: str) -> None:
+    """Captures of COLUMNS as WARC 1.0 records, a folder of part files. Bodies must be UTF-8: Spark's text writer holds text."""
+    warc_text(captures).write.option("lineSep", "\r\n").option("compression", "gzip").text(path)
 
 
 def warc_text(captures: DataFrame) -> DataFrame:
     """Records as WARC 1.0 text, one ``value`` each, but for the line end that closes a record."""
-    head = F.concat_ws("\r\n", F.transform(F.map_entries(F.coalesce("headers", F.create_map().cast("map<string,string>"))), lambda e: F.concat(e["key"], F.lit(": "), e["value"])))
-    http = F.concat(F.lit("HTTP/1.1 "), F.coalesce(F.col("status").cast("string"), F.lit("200")), F.lit("\r\n"), head, F.lit("\r\n\r\n"), F.coalesce("body", F.lit("")))
+    fields = F.map_entries(F.coalesce("headers", F.create_map().cast("map<string,string>")))
+    head = F.array_join(F.transform(fields, lambda e: F.concat(e["key"], F.lit(": "), e["value"], F.lit("\r\n"))), "")
+    http = F.concat(F.lit("HTTP/1.1 "), F.coalesce(F.col("status").cast("string"), F.lit("200")), F.lit("\r\n"), head, F.lit("\r\n"), F.coalesce(F.col("body").cast("string"), F.lit("")))
     return captures.select(
         F.concat(
             F.lit("WARC/1.0\r\nWARC-Type: "), "kind",
@@ -116,7 +193,10 @@ def resolve_revisits(captures: DataFrame, bucket: int = BUCKET) -> DataFrame:
     validator present on both sides differs) or ``no_validator`` (neither side
     shares one). Only a resolved row has merged headers and a body. Repeated
     revisits are answered one for one; responses that share a record_id are one.
+    Header names count in any case (one name in two cases is an error of the captures).
     """
+    lower = F.map_from_entries(F.transform(F.map_entries("headers"), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value"))))
+    captures = captures.withColumn("headers", lower)
     head = F.col("headers")
     rows = captures.select(
         "record_id", canonical_url(F.col("url")).alias("url_key"), "ts", "kind", "status",
@@ -170,9 +250,9 @@ def page_captures(pages: DataFrame) -> DataFrame:
     Page p is fetched in full p minutes after 2024-01-01 and asked for again
     (with another scheme, and a fragment) 12 hours and p mod 11 hours later. Every
     seventh revisit carries a stale entity tag, every fifth none but a date,
-    and every 35th neither.
+    and every 35th neither. A page without a page_id has captures without number and time.
     """
-    base = without(pages, "etag", "modified", "at").where(F.col("page_id").isNotNull())
+    base = without(pages, "etag", "modified", "at")
     base = base.select(
         F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"),
         (F.lit(1704067200) + F.col("page_id") * 60).cast("long").alias("at"),
@@ -183,7 +263,7 @@ def page_captures(pages: DataFrame) -> DataFrame:
     response = base.select(
         (page * 2).alias("record_id"), "url", F.col("at").alias("ts"), F.lit("response").alias("kind"), F.lit(200).alias("status"),
         text(("content-type", F.lit("text/html")), ("etag", F.col("etag")), ("last-modified", F.col("modified")), ("date", F.col("at").cast("string"))).alias("headers"),
-        F.col("html").alias("body"),
+        F.col("html").cast("binary").alias("body"),
     )
     later = (F.col("at") + 43200 + F.pmod("page_id", F.lit(11)) * 3600).cast("long")
     tag = F.when(page % 5 == 0, None).when(page % 7 == 0, '"stale"').otherwise(F.concat(F.lit("W/"), F.col("etag")))
@@ -192,7 +272,7 @@ def page_captures(pages: DataFrame) -> DataFrame:
         F.concat(F.regexp_replace(F.regexp_replace("url", "^https?:", "HTTP:"), "#.*$", ""), F.lit("#again")).alias("url"),
         later.alias("ts"), F.lit("revisit").alias("kind"), F.lit(304).alias("status"),
         text(("content-type", F.lit("none")), ("etag", tag), ("last-modified", F.when(page % 35 == 0, None).otherwise(F.col("modified"))), ("date", later.cast("string"))).alias("headers"),
-        F.lit(None).cast("string").alias("body"),
+        F.lit(None).cast("binary").alias("body"),
     )
     return response.unionByName(revisit)
 
@@ -212,7 +292,7 @@ OP9_SQL = r"""
 with base as (
   select page_id, url, coalesce(html, '') as html, 1704067200 + page_id * 60 as fetched,
     md5(coalesce(html, '')) as tag, 'day ' || cast(page_id as varchar) as modified
-  from pages where page_id is not null
+  from pages
 ),
 bare as (
   select *, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') as rest from base
