@@ -237,8 +237,8 @@ class Decoder:
     UTF-8, ill-formed ones replaced.
     """
 
-    def __init__(self, strings: dict[int, str], blanks: bool) -> None:
-        self.strings, self.blanks = strings, blanks
+    def __init__(self, strings: dict[int, str], spaced: dict[int, str], blanks: bool) -> None:
+        self.strings, self.spaced, self.blanks = strings, spaced, blanks
         self.bytes = byte_alphabet()
         self.utf8 = codecs.getincrementaldecoder("utf-8")("replace")
         self.due = False
@@ -248,7 +248,7 @@ class Decoder:
         string = self.strings[token]
         if self.blanks:
             if self.due:
-                return " " + string
+                return self.spaced[token]
             self.due = True
             return string
         try:
@@ -263,8 +263,14 @@ class Decoder:
 
     def stream(self, tokens: Sequence[int]) -> Iterator[str]:
         """The text of all tokens, in parts of at most PIECES tokens."""
-        for k in range(0, len(tokens), PIECES):
-            yield "".join(map(self.feed, tokens[k : k + PIECES]))
+        first = 0
+        if self.blanks and len(tokens) and not self.due:
+            yield self.feed(tokens[0])
+            first = 1
+        # Where a blank is due, and stays so, a token's text is a look in the table.
+        step = self.spaced.__getitem__ if self.due else self.feed
+        for k in range(first, len(tokens), PIECES):
+            yield "".join(map(step, tokens[k : k + PIECES]))
         yield self.close()
 
 
@@ -316,6 +322,7 @@ class Codec:
         self.local = any(s.get("behavior") == "Removed" and s.get("invert") for s in steps) and not any(re.search(r"\s", t) for t in self.added)
         self.plain = self.local and not any(t.isalpha() for t in self.added) and [w for w, _ in self.pre_tokenizer.pre_tokenize_str(self.normalizer.normalize_str("Ab"))] == ["ab"]
         self.blanks = spec["decoder"] is None
+        self.spaced = {i: " " + t for i, t in self.merges.strings.items()}
         self.words, self.chunks = Table(self.word, WORDS), Table(self.chunk, CHUNKS)
 
     def word(self, word: str) -> bytes:
@@ -343,7 +350,7 @@ class Codec:
         return b"".join(map(self.chunks.__getitem__, raw.split())) if self.local else self.chunk(raw)
 
     def decoder(self) -> Decoder:
-        return Decoder(self.merges.strings, self.blanks)
+        return Decoder(self.merges.strings, self.spaced, self.blanks)
 
     def decode(self, ids: Sequence[int]) -> str:
         return "".join(self.decoder().stream(ids))
