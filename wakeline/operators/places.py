@@ -30,24 +30,39 @@ def _cells_in_band(band):
     return F.greatest(F.floor(F.lit(360.0) / (F.lit(BAND) / F.cos(F.radians(edge)))), F.lit(1))
 
 
-def nearest_airport(probes: DataFrame, airports: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+def _around(airports: DataFrame) -> DataFrame:
+    """(band, cell, places): the airports that may be near a probe of each cell, as structs of ident, elev, lat and lon."""
+    place = F.struct("ident", "elev", F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"))
+    band = F.floor(F.col("lat") / BAND)
+    rows = airports.withColumn("place", place).withColumn("band", F.explode(F.array(band - 1, band, band + 1)))
+    nearby = F.transform(F.array(*[F.lit(i) for i in (-1, 0, 1)]), lambda i: F.pmod(_cell(F.col("band")) + i, _cells_in_band(F.col("band"))))
+    rows = rows.withColumn("cell", F.explode(F.array_distinct(nearby)))
+    return rows.groupBy("band", "cell").agg(F.collect_list("place").alias("places"))
+
+
+def _cell(band):
+    return F.floor((F.col("lon") + 180.0) / 360.0 * _cells_in_band(band))
+
+
+def nearest_airport(probes: DataFrame, airports: DataFrame, cfg: Config = DEFAULT, few: int = 100_000) -> DataFrame:
     """(id, ident, dist_nm): the nearest airport within the snap radius of each probe (id, lat, lon, alt_ft).
 
     The altitude guard comes after the choice, with no second choice; a
     probe near the anchor and low is the anchor's. Probes without an answer have a
-    null ident.
+    null ident. Each cell carries the airports around it, so a probe meets one row and
+    chooses within it. Up to ``few`` airports are broadcast and probes are not shuffled; more are joined by cell.
     """
+    around = _around(airports)
+    if airports.limit(few + 1).count() <= few:
+        around = F.broadcast(around)
     band = F.floor(F.col("lat") / BAND)
-    cell = lambda b: F.floor((F.col("lon") + 180.0) / 360.0 * _cells_in_band(b))
-    fixed = airports.select(F.col("ident"), F.col("elev"), F.col("lat").alias("alat"), F.col("lon").alias("alon"), band.alias("band"), cell(band).alias("cell"))
-    near = probes.withColumn("band", F.explode(F.array(band - 1, band, band + 1)))
-    near = near.withColumn("cell", F.explode(F.transform(F.array(*[F.lit(i) for i in (-1, 0, 1)]), lambda i: F.pmod(cell(F.col("band")) + i, _cells_in_band(F.col("band"))))))
-    d = great_circle_nm(F.col("lat"), F.col("lon"), F.col("alat"), F.col("alon"), cfg)
-    found = near.join(fixed, ["band", "cell"]).withColumn("d", d).where(F.col("d") <= cfg.snap_nm)
-    best = found.groupBy("id").agg(F.min_by(F.struct("ident", "elev", "d"), F.struct("d", "ident")).alias("best"))
-    out = probes.join(best, "id", "left")
+    probes = probes.select("id", "lat", "lon", "alt_ft").withColumns({"band": band, "cell": F.pmod(_cell(band), _cells_in_band(band))})
+    arc = lambda a, b: great_circle_nm(F.col("lat"), F.col("lon"), a, b, cfg)
+    measured = F.transform("places", lambda x: F.struct(arc(x["lat"], x["lon"]).alias("d"), x["ident"].alias("ident"), x["elev"].alias("elev")))
+    best = F.array_min(F.filter(measured, lambda x: x["d"] <= cfg.snap_nm))
+    out = probes.join(around, ["band", "cell"], "left").withColumn("best", best)
     high = (F.col("alt_ft") >= 0) & (F.col("alt_ft") > F.col("best.elev") + cfg.snap_agl_ft)
-    home = great_circle_nm(F.col("lat"), F.col("lon"), F.lit(cfg.anchor_lat), F.lit(cfg.anchor_lon), cfg) <= cfg.visit_radius_nm
+    home = arc(F.lit(cfg.anchor_lat), F.lit(cfg.anchor_lon)) <= cfg.visit_radius_nm
     low = F.col("alt_ft").isNull() | (F.col("alt_ft") < 0) | (F.col("alt_ft") <= cfg.visit_ceiling_ft)
     ident = F.when(home & low, cfg.anchor).when(F.coalesce(high, F.lit(False)), None).otherwise(F.col("best.ident"))
     return out.select("id", ident.alias("ident"), F.col("best.d").alias("dist_nm"))

@@ -93,16 +93,19 @@ def downsample(points: DataFrame, most: int, cfg: Config = DEFAULT, share: bool
     return kept.where((F.col("cap") == F.col("k")) | (F.col("r") == F.col("k") - 1) | stays).select("hex", "seg", "ts")
 
 
-def at_times(series: DataFrame, keys: list[str], x: str, values: list[str], queries: DataFrame, q: str) -> DataFrame:
+def at_times(series: DataFrame, keys: list[str], x: str, values: list[str], queries: DataFrame, q: str, bucket: float = 600.0) -> DataFrame:
     """Values linearly interpolated at queries (keys, q); null bracket values give null, outside gives no row.
 
-    A bracket is a row with the next one; queries meet brackets by key.
+    A bracket is a row with the next one; queries meet brackets by key and
+    bucket of ``x``, so that a long series isn't met whole.
     """
     w = Window.partitionBy(*keys).orderBy(x)
     rows = series.select(*keys, x, *values, F.lead(x).over(w).alias("_x2"), *[F.lead(v).over(w).alias(f"_{v}2") for v in values])
+    number = lambda c: F.floor(c / bucket)
+    rows = rows.where(F.col(x).isNotNull()).withColumn("_bucket", F.explode(F.sequence(number(F.col(x)), number(F.coalesce("_x2", x)))))
     inside = (F.col(q) >= F.col(x)) & F.coalesce(F.col(q) < F.col("_x2"), F.col(q) == F.col(x))
     share = (F.col(q) - F.col(x)) / (F.col("_x2") - F.col(x))
-    out = rows.join(queries, keys).where(inside)
+    out = rows.join(queries.withColumn("_bucket", number(F.col(q))), [*keys, "_bucket"]).where(inside)
     mixed = [F.when(F.col("_x2").isNull(), F.col(v).cast("double")).otherwise(F.col(v) + (F.col(f"_{v}2") - F.col(v)) * share).alias(v) for v in values]
     return out.select(*keys, q, *mixed)
 
@@ -143,9 +146,9 @@ def overlaps(spans: DataFrame, by: str) -> DataFrame:
 
 
 def followers(points: DataFrame, ids: list[str]) -> DataFrame:
-    """For each point (day, id, ts, along): the nearest transit ahead and behind at that instant.
+    """For each point (day, id, ts, along): how far the nearest transits ahead and behind are at that instant, and which.
 
-    Neighbours' positions are interpolated between their points; brackets are dealt by day and minute.
+    Of two at one distance the smaller id counts. Neighbours' positions are interpolated between their points; brackets are dealt by day and minute.
     """
     w = Window.partitionBy("day", *ids).orderBy("ts")
     me = F.struct(*ids)
@@ -159,7 +162,9 @@ def followers(points: DataFrame, ids: list[str]) -> DataFrame:
     there = F.col("b.along") + (F.col("b.along2") - F.col("b.along")) * (F.col("o.ts") - F.col("b.ts")) / (F.col("b.ts2") - F.col("b.ts"))
     met = met.select(F.col("o.day").alias("day"), F.col("o.id").alias("id"), F.col("o.ts").alias("ts"), F.col("b.id").alias("other"), (there - F.col("o.along")).alias("diff"))
     ahead, behind = F.when(F.col("diff") > 0, F.col("diff")), F.when(F.col("diff") < 0, -F.col("diff"))
-    return met.groupBy("day", "id", "ts").agg(F.min(ahead).alias("ahead_nm"), F.min(behind).alias("behind_nm"), F.count("*").alias("n_near"))
+    of = lambda nm: F.min(F.when(nm.isNotNull(), F.struct(nm.alias("nm"), F.col("other"))))
+    near = met.groupBy("day", "id", "ts").agg(of(ahead).alias("a"), of(behind).alias("b"), F.count("*").alias("n_near"))
+    return near.select("day", "id", "ts", F.col("a.nm").alias("ahead_nm"), F.col("b.nm").alias("behind_nm"), F.col("a.other").alias("ahead"), F.col("b.other").alias("behind"), "n_near")
 
 
 def visits(points: DataFrame, cfg: Config = DEFAULT, least: int = 2) -> DataFrame:

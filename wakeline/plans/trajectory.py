@@ -399,12 +399,14 @@ def transit_overlaps(spark, d):
 
 
 @query(f"""with {TRANSITS}, l as (select *, lead(ts) over w as ts2, lead(along) over w as along2 from tp window w as (partition by day, hex, seg order by ts)),
-m as (select o.day, o.hex, o.seg, o.ts, b.along + (b.along2 - b.along) * (o.ts - b.ts) / (b.ts2 - b.ts) - o.along as diff
+m as (select o.day, o.hex, o.seg, o.ts, b.along + (b.along2 - b.along) * (o.ts - b.ts) / (b.ts2 - b.ts) - o.along as diff, b.hex as o_hex, b.seg as o_seg
   from tp o join l b on o.day = b.day and (o.hex <> b.hex or o.seg <> b.seg) and o.ts >= b.ts and o.ts < b.ts2)
-select day, hex, seg, ts, round(min(case when diff > 0 then diff end), 6) as ahead_nm, round(min(case when diff < 0 then -diff end), 6) as behind_nm, count(*) as n_near from m group by 1, 2, 3, 4""")
+select day, hex, seg, ts, round(min(case when diff > 0 then diff end), 6) as ahead_nm, round(min(case when diff < 0 then -diff end), 6) as behind_nm,
+  (arg_min(o_hex, {{'d': diff, 'h': o_hex, 's': o_seg}}) filter (where diff > 0))::bigint as ahead_hex, (arg_min(o_hex, {{'d': -diff, 'h': o_hex, 's': o_seg}}) filter (where diff < 0))::bigint as behind_hex,
+  count(*) as n_near from m group by 1, 2, 3, 4""")
 def follow_neighbours(spark, d):
     found = tracks.followers(corridor.transit_points(pts(spark, d)), ["hex", "seg"])
-    return found.select("day", "id.hex", "id.seg", "ts", F.round("ahead_nm", 6).alias("ahead_nm"), F.round("behind_nm", 6).alias("behind_nm"), "n_near")
+    return found.select("day", "id.hex", "id.seg", "ts", F.round("ahead_nm", 6).alias("ahead_nm"), F.round("behind_nm", 6).alias("behind_nm"), F.col("ahead.hex").cast("long").alias("ahead_hex"), F.col("behind.hex").cast("long").alias("behind_hex"), "n_near")
 
 
 @query(f"""with {PTS}, q as (select hex, min(ts) + 1000 as q from pts group by hex), l as (select *, lead(ts) over w as ts2, lead(lat) over w as lat2, lead(alt_ft) over w as alt2 from pts window w as (partition by hex order by ts))
