@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -29,7 +30,35 @@ def checkpoint_folder(spark: SparkSession) -> str:
         if folder is None and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints"))
-    return context._jsc.sc().getCheckpointDir().get()
+    # Spark gives each application a folder of its own in there; it goes when the driver's JVM ends.
+    return _until_exit(spark, context._jsc.sc().getCheckpointDir().get())
+
+
+def _until_exit(spark: SparkSession, folder: str) -> str:
+    path, store = _at(spark, folder)
+    store.deleteOnExit(path)
+    return folder
+
+
+def _at(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder beside the checkpoints, in the store that all executors share."""
+    return f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path, store = _at(spark, folder)
+    store.delete(path, True)
+
+
+def written(df: DataFrame, folder: str) -> DataFrame:
+    """``df`` written as Parquet and read back."""
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
