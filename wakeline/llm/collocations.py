@@ -16,30 +16,34 @@ Bounds: counters, a part of the candidates and a part of the words have fixed si
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import delete_folder, documents, scratch_folder, text_or_empty, written
+from wakeline.llm.common import arrow_batches, delete_folder, documents, scratch_folder, text_or_empty, written
 
 LEAST = 100
 LONGEST = 5
 TOP = 2_000
 #: Counters of a pass over the buckets, and windows for each of them, about.
-BUCKETS = 1 << 22
-LOAD = 16
+BUCKETS = 1 << 20
+LOAD = 32
 #: Candidates of a pass, about, and words of one.
 PART = 1 << 21
 WORDS = 1 << 20
 #: Words of a chunk.
-CHUNK = 1 << 17
+CHUNK = 1 << 14
+#: Bytes of an Arrow batch and of a row group of chunks: a task holds some of its chunks at a time, not all.
+BATCH, GROUP = "8m", 8 << 20
 #: Bits of a word's number, and of a phrase's.
 BITS = 31
-SPLITS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", b"\n" * 10)
+SPLITS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", b"\n" * 10 + b" ")
 SLICE = 1 << 20
 
 
@@ -89,15 +93,20 @@ class Slots:
         return np.where((slots >= 0) & (self.keys[np.maximum(slots, 0)] == keys), slots, -1)
 
 
-def pieces(text: str) -> Iterator[list[bytes]]:
-    """The words of each piece of a text, A-Z lower-cased; a long text is taken slice by slice."""
+def slices(text: str) -> Iterator[bytes]:
+    """A text's bytes, A-Z lower-cased, with one mark for all that ends a piece and one for blanks; a long text in parts that end with a piece."""
     data = text.encode("utf-8", "surrogatepass").lower().translate(SPLITS)
     at = 0
     while at < len(data):
         end = data.find(b"\n", at + SLICE)
-        end = len(data) if end < 0 else end
-        yield from (words for piece in data[at:end].split(b"\n") if (words := piece.split()))
-        at = end + 1
+        end = len(data) if end < 0 else end + 1
+        yield data[at:end]
+        at = end
+
+
+def tokens(part: bytes) -> list[bytes]:
+    """Words, and a mark at each piece's end."""
+    return [t for t in part.replace(b"\n", b" \n ").split(b" ") if t]
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,8 +120,8 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lang, text in zip(*(batch.column(i).to_pylist() for i in range(2))):
             own = counts.setdefault(lang, Counter())
-            for words in pieces(text):
-                own.update(words)
+            for part in slices(text):
+                own.update(part.split())
             if sum(map(len, counts.values())) > 1 << 18:
                 yield rows(counts)
                 counts = {}
@@ -120,23 +129,23 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _tokens(chunk: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, text) to chunks (lang, own, tokens, words) of one language: words by line, an empty line between pieces.
+    """(lang, text) to chunks (lang, own, tokens, words) of one language: words, and marks where pieces end.
 
     A chunk ends with some words of the next one, for the windows that begin in it. Words have no numbers yet.
     """
     shared = LONGEST - 1
 
     def row(lang: str, held: list[bytes], own: int) -> pa.RecordBatch:
-        cells = [pa.array([lang], pa.string()), pa.array([own], pa.int32()), pa.array([b"\n".join(held)], pa.binary()), pa.nulls(1, pa.binary())]
+        cells = [pa.array([lang], pa.string()), pa.array([own], pa.int32()), pa.array([b" ".join(held)], pa.binary()), pa.nulls(1, pa.binary())]
         return pa.RecordBatch.from_arrays(cells, names=["lang", "own", "tokens", "words"])
 
     held: dict[str, list[bytes]] = {}
     for batch in batches:
         for lang, text in zip(*(batch.column(i).to_pylist() for i in range(2))):
             own = held.setdefault(lang, [])
-            for words in pieces(text):
-                own.extend(words)
-                own.append(b"")
+            for part in slices(text):
+                own.extend(tokens(part))
+                own.append(b"\n")
                 while len(own) >= chunk + shared:
                     yield row(lang, own[: chunk + shared], chunk)
                     del own[:chunk]
@@ -153,8 +162,8 @@ def _numbered(told, last: bool) -> Callable:
         numbers: dict[str, dict[bytes, int]] = told.value
         for batch in batches:
             for lang, own, tokens, known in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                get, split = numbers.get(lang, {}).get, tokens.split(b"\n")
-                new = np.fromiter((get(word, -1) for word in split), np.int32, len(split))
+                split = tokens.split(b" ")
+                new = np.fromiter(map(numbers.get(lang, {}).get, split, repeat(-1)), np.int32, len(split))
                 words = (new if known is None else np.maximum(new, np.frombuffer(known, np.int32))).tobytes()
                 kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary()] if last else [pa.string(), pa.int32(), pa.binary(), pa.binary()]
                 row = (own, words, words, None) if last else (lang, own, tokens, words)
@@ -173,10 +182,10 @@ def windows(words: np.ndarray, at: np.ndarray, k: int, own: int) -> tuple[np.nda
     return places, (at[places].astype(np.int64) << BITS) | words[places + k - 1]
 
 
-def _keys(rows: Iterator, k: int) -> Iterator[np.ndarray]:
-    """Keys of all windows of a task's chunks, a few chunks' at a time."""
+def _keys(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[np.ndarray]:
+    """Keys of all windows of a task's chunks (own, words, at), a few chunks' at a time."""
     held, size = [], 0
-    for own, words, at in rows:
+    for own, words, at in (tuple(c[i].as_py() for c in b.columns) for b in batches for i in range(b.num_rows)):
         keys = windows(np.frombuffer(words, np.int32), np.frombuffer(at, np.int32), k, own)[1]
         held.append(keys)
         size += len(keys)
@@ -187,18 +196,28 @@ def _keys(rows: Iterator, k: int) -> Iterator[np.ndarray]:
         yield np.concatenate(held)
 
 
+def _few(chunks: DataFrame) -> DataFrame:
+    """What windows need, in as many tasks as the cluster has cores: each makes one array, or each key once."""
+    return chunks.select("own", "words", "at").coalesce(max(2, chunks.sparkSession.sparkContext.defaultParallelism))
+
+
 def _tree_sum(chunks: DataFrame, k: int, size: int, places: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
     """How often each place below ``size`` is met by the windows' keys; arrays of tasks are summed as a tree."""
 
-    def count(rows: Iterator) -> Iterator[np.ndarray]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
-        for keys in _keys(rows, k):
+        for keys in _keys(batches, k):
             total += np.bincount(places(keys), minlength=size)
-        yield total
+        yield pa.RecordBatch.from_arrays([pa.array([packed(total)], pa.binary())], names=["counts"])
 
-    # One array a task: tasks are as few as the cluster has cores.
-    few = chunks.select("own", "words", "at").coalesce(max(2, chunks.sparkSession.sparkContext.defaultParallelism))
-    return few.rdd.map(tuple).mapPartitions(count).treeReduce(np.add, 2)
+    def packed(counts: np.ndarray) -> bytes:  # most counts are small
+        return zlib.compress(counts.tobytes(), 1)
+
+    def unpacked(counts: bytes) -> np.ndarray:
+        return np.frombuffer(zlib.decompress(counts), np.int64)
+
+    arrays = _few(chunks).mapInArrow(count, "counts binary").rdd.map(lambda r: bytes(r["counts"]))
+    return unpacked(arrays.treeReduce(lambda a, b: packed(unpacked(a) + unpacked(b)), 2))
 
 
 def _bucket(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
@@ -223,8 +242,7 @@ def _candidates(chunks: DataFrame, k: int, n_windows: int, least: int) -> DataFr
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = told.value
-        rows = (r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(3))))
-        for keys in _keys(rows, k):
+        for keys in _keys(batches, k):
             part, bucket = _bucket(keys, parts)
             at = part * BUCKETS + bucket
             yield pa.RecordBatch.from_arrays([pa.array(np.unique(keys[(bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1]), pa.int64())], names=["key"])
@@ -232,20 +250,35 @@ def _candidates(chunks: DataFrame, k: int, n_windows: int, least: int) -> DataFr
     return chunks.select("own", "words", "at").mapInArrow(distinct, "key long").distinct()
 
 
-def _marked(slots, before: int, k: int) -> Callable:
-    """Chunks with the numbers of the frequent phrases of k words put down in ``next`` where they begin."""
+def _needed(words: np.ndarray, at: np.ndarray, own: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """(own, words, at) without the places that no longer window can use; nothing follows on where some are left out."""
+    begins = np.flatnonzero((at[:-1] >= 0) & (at[1:] >= 0))
+    kept = np.zeros(len(at) + LONGEST + 1, bool)
+    for i in range(LONGEST + 1):
+        kept[begins + i] = True
+    places = np.flatnonzero(kept[: len(at)])
+    left = at[places]
+    left[np.flatnonzero(np.diff(places) > 1)] = -1
+    return int(np.searchsorted(places, own)), words[places], left
+
+
+def _marked(slots, before: int, k: int, last: bool) -> Callable:
+    """Chunks with the numbers of the frequent phrases of k words put down in ``next`` where they begin; the last time they are ``at``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = []
-            for words, at, known in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
-                words, at = np.frombuffer(words, np.int32), np.frombuffer(at, np.int32)
-                new = np.full(len(words), -1, np.int32) if known is None else np.frombuffer(known, np.int32).copy()
-                places, keys = windows(words, at, k, len(words))
-                slot = slots.value[keys]
-                new[places[slot >= 0]] = before + slot[slot >= 0]
-                made.append(new.tobytes())
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(made, pa.binary())], names=["own", "words", "at", "next"])
+        for own, words, at, known in (tuple(c[i].as_py() for c in b.columns) for b in batches for i in range(b.num_rows)):
+            numbers, old = np.frombuffer(words, np.int32), np.frombuffer(at, np.int32)
+            new = np.full(len(old), -1, np.int32) if known is None else np.frombuffer(known, np.int32).copy()
+            places, keys = windows(numbers, old, k, len(old))
+            slot = slots.value[keys]
+            new[places[slot >= 0]] = before + slot[slot >= 0]
+            if last:
+                own, numbers, new = _needed(numbers, new, own)
+                row = (own, numbers.tobytes(), new.tobytes(), None)
+            else:
+                row = (own, words, at, new.tobytes())
+            kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)], names=["own", "words", "at", "next"])
 
     return run
 
@@ -263,7 +296,7 @@ class _Levels:
         """Chunks written anew; the ones before are deleted."""
         self.steps += 1
         folder = f"{self.folder}/chunks{self.steps}"
-        self.chunks = written(chunks, folder)
+        self.chunks = written(chunks, folder, GROUP)
         if self.held:
             delete_folder(self.spark, self.held)
         self.held = folder
@@ -289,17 +322,18 @@ class _Levels:
             slots = Slots(own)
             told = self.spark.sparkContext.broadcast(slots)
             counts = _tree_sum(self.chunks, k, len(own) + 1, lambda x, told=told: told.value[x] + 1)[1:]
-            told.unpersist()
+            told.destroy()
             often = counts >= self.least
             kept = Slots(slots.keys[often])
             f = counts[slots[kept.keys]] if len(kept.keys) else np.zeros(0, np.int64)
             rows = pa.table({"id": pa.array(found + np.arange(len(f)), pa.int64()), "key": pa.array(kept.keys, pa.int64()), "f": pa.array(f, pa.int64())})
             self.spark.createDataFrame(rows).write.mode("append").parquet(place)
-            chunks = self.chunks.mapInArrow(_marked(self.spark.sparkContext.broadcast(kept), found, k), _CHUNKS)
+            numbers = self.spark.sparkContext.broadcast(kept)
+            self.keep(self.chunks.mapInArrow(_marked(numbers, found, k, j == parts - 1), _CHUNKS))
+            numbers.destroy()
             found, met = found + len(f), met + int(f.sum())
             if found >= 1 << BITS:
                 raise OverflowError(f"more frequent phrases of {k} words than 31 bits number")
-            self.keep(chunks if j < parts - 1 else chunks.select("own", "words", F.col("next").alias("at"), F.lit(None).cast("binary").alias("next")))
         delete_folder(self.spark, f"{self.folder}/keys{k}")
         return self.spark.read.schema("id long, key long, f long").parquet(place), met
 
@@ -343,6 +377,14 @@ def collocations(df: DataFrame, least: int = LEAST, longest: int = LONGEST, top:
     if not 2 <= longest <= LONGEST:
         raise ValueError(f"phrases have 2 to {LONGEST} words")
     spark = df.sparkSession
+    with arrow_batches(spark, BATCH):
+        tables, sizes = _levels(df, least, longest, part, words_part, chunk)
+    return _best(tables, sizes, top)
+
+
+def _levels(df: DataFrame, least: int, longest: int, part: int, words_part: int, chunk: int) -> tuple[list[DataFrame], DataFrame]:
+    """The tables of frequent phrases of 2, 3, ... words, and how many words each language has."""
+    spark = df.sparkSession
     level = _Levels(spark, least, part)
     texts = df.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text_or_empty().alias("text"))
     counts = written(texts.mapInArrow(_count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("f")), f"{level.folder}/counts")
@@ -357,7 +399,7 @@ def collocations(df: DataFrame, least: int = LEAST, longest: int = LONGEST, top:
         shorter = written(_with_parts(phrases, shorter, words, k), f"{level.folder}/level{k}")
         tables.append(shorter)
     delete_folder(spark, level.held)
-    return _best(tables, sizes, top)
+    return tables, sizes
 
 
 def _best(tables: list[DataFrame], sizes: DataFrame, top: int) -> DataFrame:

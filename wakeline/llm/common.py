@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,9 +56,21 @@ def delete_folder(spark: SparkSession, folder: str) -> None:
     store.delete(path, True)
 
 
-def written(df: DataFrame, folder: str) -> DataFrame:
-    """``df`` written as Parquet and read back."""
-    df.write.parquet(folder)
+@contextlib.contextmanager
+def arrow_batches(spark: SparkSession, size: str) -> Iterator[None]:
+    """Arrow batches to Python of at most about ``size`` while jobs of long rows run; the session's setting comes back."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def written(df: DataFrame, folder: str, block: int | None = None) -> DataFrame:
+    """``df`` written as Parquet and read back; ``block``: bytes of a row group, which readers of long rows hold whole."""
+    (df.write.option("parquet.block.size", block) if block else df.write).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
