@@ -224,11 +224,6 @@ def test_sinks(spark, tmp_path):
     df = points(spark, line(30)).withColumn("day", F.lit("2026-07-14"))
     sinks.write_traces(df, str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t")).where("day = '2026-07-14'").count() == 30
-    docs = spark.createDataFrame([("KOSH", "{}"), ("../x", "{}")], "ident string, doc string")
-    sinks.write_documents(docs, "ident", str(tmp_path / "d"))
-    assert [p.name for p in (tmp_path / "d").glob("ident=*")] == ["ident=KOSH"]
-    back = sinks.unpacked_points(sinks.packed_points(segments.with_segments(df), 0.0)).orderBy("i").collect()
-    assert len(back) == 30 and back[3].t == 30.0 and abs(back[3].lon + 88.497) < 1e-4 and back[3].alt == 0.0
 
 
 def test_streams(spark, tmp_path):
@@ -241,3 +236,142 @@ def test_streams(spark, tmp_path):
         q.awaitTermination(60)
     assert [r.n_points for r in spark.table("legs").collect()] == [20]
     assert spark.table("buckets").where("n = 20").count() == 1
+
+
+def test_points_in_spans_as_plain_join(spark):
+    rng = np.random.default_rng(3)
+    pts = [(int(h), float(t)) for h, t in zip(rng.integers(0, 3, 900), rng.integers(0, 400_000, 900))] + [(None, 5.0), (1, None)] + [(9, float(i)) for i in range(1000)]
+    legs = [(int(h), i, float(a), float(a + n)) for i, (h, a, n) in enumerate(zip(rng.integers(0, 4, 200), rng.integers(0, 400_000, 200), rng.integers(0, 90_000, 200)))]
+    legs += [(9, 1000 + i, float(i), float(i + 3)) for i in range(1000)]
+    got = tracks.points_in_spans(spark.createDataFrame(pts, "hex long, ts double"), spark.createDataFrame(legs, "hex long, leg_idx long, t_start double, t_end double")).collect()
+    want = {(h, i): n for h, i, a, b in legs if (n := sum(1 for p, t in pts if p == h and t is not None and a - 1 <= t <= b + 1)) >= 2}
+    assert {(r.hex, r.leg_idx): r.n for r in got} == want
+
+
+def test_stab_counts(spark):
+    spans = [(0.0, 10.0), (10.0, 20.0), (9.9, 9.95), (-50.0, -1.0), (35.0, 500.0), (95.0, 400.0), (5.0, 5.0)]
+    got = tracks.stab_counts(spark.createDataFrame(spans, "t_start double, t_end double"), 0.0, 5.0, 20).collect()
+    assert {r.t: r.n for r in got} == {5.0 * i: sum(a <= 5.0 * i <= b for a, b in spans) for i in range(20)}
+
+
+def test_spacing_over_hours(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(rng.integers(0, 50)), d, i, "FISK", float(d * 86400 + int(rng.integers(0, 86400)) // 7 * 7), float(rng.integers(60, 120))) for d in (0, 1) for i in range(60)]
+    got = corridor.spacing(spark.createDataFrame(rows, "hex long, day long, seg long, code string, t double, gs double"), "FISK").collect()
+    want = []
+    for day in (0, 1):
+        own = sorted((t, h, s, g) for h, d, s, _, t, g in rows if d == day)
+        want += [(h, day, s, t - t0, h0, g0) for (t0, h0, _, g0), (t, h, s, _) in zip(own, own[1:])]
+    assert sorted((r.hex, r.day, r.seg, r.gap_s, r.lead_hex, r.lead_gs) for r in got) == sorted(want)
+
+
+def test_quantiles_by_counting(spark):
+    from wakeline.operators.quantiles import exact_quantiles
+
+    rng = np.random.default_rng(6)
+    values = {0: rng.normal(0, 1e6, 500), 1: np.array([1.5]), 2: np.repeat([3.0, 7.0], 200), 3: np.concatenate([rng.normal(1e-9, 1e-12, 300), [1e12, -1e300]]), None: np.array([2.0, 4.0])}
+    rows = [(g, float(v), int(i)) for g, vs in values.items() for i, v in enumerate(vs)] + [(0, None, None), (0, float("nan"), None), (7, None, None)]
+    df = spark.createDataFrame(rows, "g int, a double, b int")
+    for cells in (2, 256):
+        got = {(r.g, r.column, r.i): r.value for r in exact_quantiles(df, "g", ["a", "b"], [0.0, 0.25, 0.5, 0.98, 1.0], cells).collect()}
+        assert {k[0] for k in got} == set(values)
+        for g, vs in values.items():
+            for i, q in enumerate((0.0, 0.25, 0.5, 0.98, 1.0)):
+                assert math.isclose(got[g, "a", i], float(np.quantile(vs, q)), rel_tol=1e-12)
+                assert got[g, "b", i] == float(np.quantile(np.arange(len(vs)), q))
+
+
+def test_rounding_as_python(spark):
+    from wakeline.functions.rounding import round_half_even
+
+    rng = np.random.default_rng(8)
+    values = [2.675, 0.5, 1.5, 2.5, -2.5, 1.005, 0.125, 0.375, 2.5e15 + 0.5, 1e300, -0.045, 0.045, 1e-320, 0.05, 0.15, 0.25, 0.35, 4503599627370497.5]
+    values += [float(v) for v in rng.normal(0, 1000, 300)] + [i / 8 for i in range(-40, 40)] + [i / 1000 for i in range(995, 1030)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (0, 1, 2, 3, 9):
+        got = df.select("v", round_half_even(F.col("v"), digits).alias("r")).collect()
+        assert [(r.v, r.r) for r in got] == [(v, round(v, digits)) for v in values]
+    odd = spark.createDataFrame([(None,), (float("inf"),), (float("nan"),)], "v double").select(round_half_even(F.col("v"), 1).alias("r")).collect()
+    assert odd[0].r is None and odd[1].r == float("inf") and math.isnan(odd[2].r)
+
+
+def test_shared_clock_from_manifest(spark, tmp_path):
+    from wakeline.operators import reports
+
+    legs = spark.createDataFrame([(1, 1000.7, 1010.2), (2, 1500.0, 1600.0)], "hex long, t_start double, t_end double")
+    starts = lambda m: sorted(r.start_s for r in reports.on_shared_clock(legs, m).collect())
+    path = str(tmp_path / "manifest.json")
+    assert reports.window_start(spark, path) is None and starts(None) == [0, 500]
+    (tmp_path / "manifest.json").write_text('{"window_start": 900,\n "journeys": [{"id": 0}]}')
+    assert starts(reports.window_start(spark, path)) == [100, 600]
+    (tmp_path / "manifest.json").write_text('{"journeys": []}')
+    assert starts(reports.window_start(spark, path)) == [0, 500]
+
+
+def test_neighbours_at_one_instant(spark):
+    rows = [(0, h, 0, 100.0 + 300 * i, 10.0 * h + i) for h in (1, 2) for i in range(4)] + [(0, 3, 0, 5000.0, 1.0), (1, 4, 0, 250.0, 1.0)]
+    df = spark.createDataFrame(rows, "day long, hex long, seg long, ts double, alt double")
+    asked = spark.createDataFrame([(0, 250.0), (0, 1000.0), (0, 1001.0), (0, 5000.0)], "day long, q double")
+    got = tracks.neighbours_at(df, asked, ["hex", "seg"], ["alt"]).collect()
+    assert sorted((r.q, r.hex, r.alt) for r in got) == [(250.0, 1, 10.5), (250.0, 2, 20.5), (1000.0, 1, 13.0), (1000.0, 2, 23.0), (5000.0, 3, 1.0)]
+
+
+def test_stream_segments_as_batch(spark, tmp_path):
+    """Gaps, teleports, flags and repeated instants, points out of order over several files: as the batch operator cuts them."""
+    from wakeline.streaming.segments import stream_tracks
+
+    rng = np.random.default_rng(9)
+    rows = []
+    for h in ("aa", "bb", "cc"):
+        ts, lat = 1_000_000.0, 44.0
+        for i in range(120):
+            ts += float(rng.choice([0.2, 5, 20, 20, 20, 950]))
+            lat += float(rng.choice([0, 0.001, 0.001, 0.4]))
+            rows.append((h, ts, lat, -88.5, 2 if i % 37 == 36 else 0))
+    schema = "hex string, ts double, lat double, lon double, flags int"
+    late = sorted(rows, key=lambda r: r[1] + float(rng.uniform(0, 300)))
+    late = [*late, (None, 5.0, 1.0, 1.0, 0), ("zz", 9_000_000.0, 44.0, -88.5, 0)]
+    folder = str(tmp_path / "in")
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        for i in range(4):
+            spark.createDataFrame(late[i * 91 : (i + 1) * 91], schema).coalesce(1).write.mode("append").parquet(folder)
+        out = stream_tracks(stream, "10 minutes").writeStream.format("memory").queryName("tracks_out").outputMode("append")
+        query = out.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        query.awaitTermination(240)
+    finally:
+        spark.conf.unset(provider)
+    got = sorted((r.hex, r.ts, r.seg) for r in spark.table("tracks_out").collect())
+    batch = segments.with_segments(segments.distinct_instants(spark.createDataFrame(rows, schema)), flags=True)
+    want = sorted((r.hex, r.ts, r.seg) for r in batch.collect())
+    assert len({s for _, _, s in want}) > 20
+    assert got == want
+
+
+def test_airport_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(
+        'id,ident,type,name,latitude_deg,longitude_deg,elevation_ft,continent,iso_country,iso_region,municipality,scheduled_service,gps_code,icao_code\n'
+        '1,K1,small_airport,"One, old",44.0,-88.0,800,NA,US,US-WI,Town,no,,KONE\n2,K2,heliport,Two,1,2,,NA,US,US-IL,,no,KTWO,\n3,A0,closed,Three,9,9,,NA,US,US-XX,Other,no,,KONE\n'
+    )
+    raw = traces.read_airports(spark, str(tmp_path / "a.csv"))
+    assert [tuple(r) for r in places.airport_dimension(raw).collect()] == [("KONE", "One, old", 44.0, -88.0, 800.0)]
+    names = {r.ident: tuple(r)[1:] for r in places.airport_names(raw).collect()}
+    assert names == {"KONE": ("Three", "Other", "US-XX", 9.0, 9.0), "KTWO": ("Two", None, "US-IL", 1.0, 2.0)}
+
+
+def test_airport_files_have_all_fields(spark, tmp_path):
+    from wakeline.sources.documents import write_documents
+
+    legs = spark.createDataFrame([("a1", "KOSH", "KX", 10.0, 20.0), ("b2", None, "KOSH", 5.0, 8.0), ("a1", "../x", "KOSH", 30.0, 40.0)], "hex string, from_apt string, to_apt string, t_start double, t_end double")
+    airports = spark.createDataFrame([("KOSH", "Wittman", "Oshkosh", "US-WI", 43.98, None)], "ident string, name string, city string, iso_region string, lat double, lon double")
+    craft = spark.createDataFrame([("a1", "N1", "C172", None)], "hex string, reg string, type string, desc string")
+    write_documents(places.airport_documents(places.airport_parts(places.touches(legs), airports, craft, 2)), str(tmp_path), "touches")
+    got = {p.stem: json.loads(p.read_text()) for p in tmp_path.iterdir()}
+    touch = lambda h, d, o, a, b: {"hex": h, "reg": "N1" if h == "a1" else None, "type": "C172" if h == "a1" else None, "desc": None, "dir": d, "other": o, "t_start": a, "t_end": b}
+    assert got == {
+        "KOSH": {"ident": "KOSH", "name": "Wittman", "city": "Oshkosh", "iso_region": "US-WI", "lat": 43.98, "lon": None, "arrivals": 2, "departures": 1, "touches": [touch("b2", "arrival", None, 5.0, 8.0), touch("a1", "departure", "KX", 10.0, 20.0), touch("a1", "arrival", "../x", 30.0, 40.0)]},
+        "KX": {"ident": "KX", "arrivals": 1, "departures": 0, "touches": [touch("a1", "arrival", "KOSH", 10.0, 20.0)]},
+    }

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from wakeline.config import DEFAULT, Config
+
 
 def long_type(description: Column, code: Column) -> Column:
     """The description, else the type code; null if both are."""
@@ -48,3 +50,8 @@ def minutes(seconds: Column) -> Column:
 def file_name(name: Column) -> Column:
     """Lower case, everything but letters and digits an underscore."""
     return F.regexp_replace(F.lower(name), "[^a-z0-9]", "_")
+
+
+def local_date(epoch: Column, cfg: Config = DEFAULT) -> Column:
+    """The day of epoch seconds in the configured zone."""
+    return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(cfg.zone), F.timestamp_seconds(epoch).cast("timestamp_ntz")))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wakeline.config import DEFAULT, Config
 from wakeline.functions.geo import projection
+from wakeline.operators.quantiles import exact_quantiles
 from wakeline.operators.segments import with_segments
 
 
@@ -61,12 +62,22 @@ def segment_speeds(points: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
 
 
 def spacing(points: DataFrame, code: str) -> DataFrame:
-    """In-trail spacing at a waypoint: gap to the transit before on the same day, from rounded times and speeds."""
+    """In-trail spacing at a waypoint: gap to the transit before on the same day, from rounded times and speeds.
+
+    Rows follow each other within an hour; an hour's first one follows the last one of the day's hour before, of
+    which a day has two dozen.
+    """
     rows = points.where(F.col("code") == code).select("hex", "day", "seg", F.round("t", 1).alias("t"), F.round("gs", 1).alias("gs"))
-    w = Window.partitionBy("day").orderBy("t", "hex", "seg")
-    rows = rows.withColumns({"t0": F.lag("t").over(w), "lead_gs": F.lag("gs").over(w), "lead_hex": F.lag("hex").over(w)}).where("t0 is not null")
-    gap = F.col("t") - F.col("t0")
-    return rows.select("hex", "day", "seg", F.round(gap, 1).alias("gap_s"), F.round(gap * (F.col("gs") + F.col("lead_gs")) / 2 / 3600, 3).alias("gap_nm"), "lead_hex", "lead_gs")
+    rows = rows.where("t is not null").withColumn("hour", F.floor(F.col("t") / 3600))
+    state, order = F.struct("t", "gs", "hex"), F.struct("t", "hex", "seg")
+    last = rows.groupBy("day", "hour").agg(F.max_by(state, order).alias("last"))
+    hours = last.groupBy("day").agg(F.sort_array(F.collect_list(F.struct("hour", "last"))).alias("h"))
+    carried = hours.select("day", F.explode(F.transform("h", lambda x, i: F.struct(x["hour"].alias("hour"), F.get("h", i - 1)["last"].alias("carry"))))).select("day", "col.hour", "col.carry")
+    w = Window.partitionBy("day", "hour").orderBy("t", "hex", "seg")
+    rows = rows.withColumn("lead", F.lag(state).over(w)).join(carried, ["day", "hour"]).withColumn("lead", F.coalesce("lead", "carry")).where("lead is not null")
+    gap = F.col("t") - F.col("lead.t")
+    lead_gs = F.col("lead.gs")
+    return rows.select("hex", "day", "seg", F.round(gap, 1).alias("gap_s"), F.round(gap * (F.col("gs") + lead_gs) / 2 / 3600, 3).alias("gap_nm"), F.col("lead.hex").alias("lead_hex"), lead_gs.alias("lead_gs"))
 
 
 def peak_concurrency(points: DataFrame, first: str, last: str) -> DataFrame:
@@ -95,14 +106,19 @@ def histogram(rows: DataFrame, value: str, low: float, high: float, bins: int) -
 
 
 def along_profile(points: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
-    """Exact quartiles of gs and altitude for each nautical mile along; null below three points."""
+    """Exact quartiles of gs and altitude for each nautical mile along; null below three points.
+
+    Quartiles are found by counting, so no bin's values are held together.
+    """
     bins = max(1, math.ceil(max(cfg.waypoint_nm.values())))
-    rows = points.withColumn("bin", F.least(F.greatest(F.col("along").cast("int"), F.lit(0)), F.lit(bins - 1)))
-    q = lambda c: F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    got = rows.groupBy("bin").agg(F.count("*").alias("n"), q("gs").alias("g"), q("alt_ft").alias("a"))
+    rows = points.select(F.least(F.greatest(F.col("along").cast("int"), F.lit(0)), F.lit(bins - 1)).alias("bin"), "gs", "alt_ft")
+    found = exact_quantiles(rows, "bin", ["gs", "alt_ft"], [0.25, 0.5, 0.75])
+    named = {("gs", 0): ("gs_p25", 1), ("gs", 1): ("gs_median", 1), ("gs", 2): ("gs_p75", 1), ("alt_ft", 0): ("alt_p25", 0), ("alt_ft", 1): ("alt_median", 0), ("alt_ft", 2): ("alt_p75", 0)}
+    one = lambda c, i: F.max(F.when((F.col("column") == c) & (F.col("i") == i), F.col("value")))
+    wide = found.groupBy("bin").agg(*[one(c, i).alias(name) for (c, i), (name, _) in named.items()])
+    got = rows.groupBy("bin").agg(F.count("*").alias("n")).join(F.broadcast(wide), "bin", "left")  # a row for each bin
     enough = F.col("n") >= 3
-    cols = [F.when(enough, F.round(F.get(x, F.lit(i)), d)).alias(name) for x, d, names in (("g", 1, ("gs_p25", "gs_median", "gs_p75")), ("a", 0, ("alt_p25", "alt_median", "alt_p75"))) for i, name in enumerate(names)]
-    return got.select("bin", (F.col("bin") + 0.5).cast("double").alias("centre"), "n", *cols)
+    return got.select("bin", (F.col("bin") + 0.5).cast("double").alias("centre"), "n", *[F.when(enough, F.round(name, d)).alias(name) for name, d in named.values()])
 
 
 def on_profile(points: DataFrame, cfg: Config = DEFAULT) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wakeline.config import DEFAULT, Config
 from wakeline.functions.geo import great_circle_nm
+from wakeline.operators.reports import numbered
 
 #: Degrees of latitude of a grid band; a snap radius of 3 nm is just under it.
 BAND = 0.05
@@ -83,15 +84,39 @@ def airport_index(traffic: DataFrame) -> DataFrame:
     return counts.orderBy(F.desc(F.col("arrivals") + F.col("departures")), "ident")
 
 
-def airport_parts(traffic: DataFrame, size: int = 1_000) -> DataFrame:
-    """(ident, part, arrivals, departures, touches): an ident's touches by time, ``size`` of them a part, so no hub is one value."""
-    by_time = Window.partitionBy("ident").orderBy("t_start", "t_end", "hex", "dir")
-    rows = traffic.withColumn("part", F.floor((F.row_number().over(by_time) - 1) / size))
-    item = F.struct("t_start", "t_end", "hex", "dir", "other")
-    is_dir = lambda name: F.count_if(F.col("dir") == name)
-    return rows.groupBy("ident", "part").agg(F.sort_array(F.collect_list(item)).alias("touches"), is_dir("arrival").alias("arrivals"), is_dir("departure").alias("departures"))
+def airport_names(raw: DataFrame) -> DataFrame:
+    """(ident, name, city, iso_region, lat, lon) of the airport file, a row for each ident: of several rows the first by their own ident counts."""
+    filled = lambda c: F.nullif(F.col(c), F.lit(""))
+    number = lambda c: F.col(c).try_cast("double")
+    facts = F.struct("name", F.col("municipality").alias("city"), "iso_region", number("latitude_deg").alias("lat"), number("longitude_deg").alias("lon"))
+    rows = raw.select(F.coalesce(filled("icao_code"), filled("gps_code"), F.col("ident")).alias("ident"), F.col("ident").alias("own"), facts.alias("facts"))
+    return rows.groupBy("ident").agg(F.min_by("facts", F.struct("own", "facts")).alias("facts")).select("ident", "facts.*")
+
 
+def airport_parts(traffic: DataFrame, airports: DataFrame, aircraft: DataFrame, size: int = 1_000) -> DataFrame:
+    """(ident, part, known, name, city, iso_region, lat, lon, arrivals, departures, touches) of touches: an airport's touches by time, ``size`` of them a part.
 
-def airport_documents(traffic: DataFrame, size: int = 1_000) -> DataFrame:
-    """(ident, part, doc): the parts as JSON."""
-    return airport_parts(traffic, size).select("ident", "part", F.to_json(F.struct("ident", "part", "arrivals", "departures", "touches")).alias("doc"))
+    ``arrivals`` and ``departures`` are the whole airport's; ``touches`` are structs with the aircraft's reg, type and desc (hex, reg, type, desc),
+    null where it isn't known, as are the airport's facts (``known`` tells). Touches are numbered within days, so a hub is neither one value nor one window.
+    """
+    rows = numbered(traffic, "t_start", ["t_end", "hex", "dir"], within=["ident"]).withColumn("part", F.floor(F.col("id") / size))
+    rows = rows.join(aircraft.select("hex", "reg", "type", "desc"), "hex", "left")
+    item = F.struct("id", F.struct("hex", "reg", "type", "desc", "dir", "other", F.col("t_start").cast("double").alias("t_start"), F.col("t_end").cast("double").alias("t_end")).alias("x"))
+    parts = rows.groupBy("ident", "part").agg(F.transform(F.sort_array(F.collect_list(item)), lambda i: i["x"]).alias("touches"))
+    facts = airports.select("ident", "name", "city", "iso_region", "lat", "lon", F.lit(True).alias("known"))
+    heads = airport_index(traffic).join(facts, "ident", "left")
+    return parts.join(heads, "ident").withColumn("known", F.coalesce("known", F.lit(False)))
+
+
+def airport_documents(parts: DataFrame) -> DataFrame:
+    """(key, part, head, items) for ``sources.documents``: JSON without the facts of an airport that isn't known, with nulls otherwise."""
+    as_json = lambda *c: F.to_json(F.struct(*c), {"ignoreNullFields": "false"})
+    counts = ["arrivals", "departures"]
+    head = F.when(F.col("known"), as_json("ident", "name", "city", "iso_region", "lat", "lon", *counts)).otherwise(as_json("ident", *counts))
+    return parts.select(F.col("ident").alias("key"), "part", head.alias("head"), F.to_json("touches", {"ignoreNullFields": "false"}).alias("items"))
+
+
+def airport_list(traffic: DataFrame, airports: DataFrame) -> DataFrame:
+    """(ident, name, city, iso_region, lat, lon, arrivals, departures), the busiest first."""
+    named = airport_index(traffic).join(airports.select("ident", "name", "city", "iso_region", "lat", "lon"), "ident", "left")
+    return named.select("ident", "name", "city", "iso_region", "lat", "lon", "arrivals", "departures").orderBy(F.desc(F.col("arrivals") + F.col("departures")), "ident")

@@ -6,11 +6,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline.config import DEFAULT, Config
 from wakeline.functions.geo import flat_nm
+from wakeline.operators.reports import numbered
 
 
 def kept_places(ts: np.ndarray, wait: np.ndarray, track: np.ndarray, turn: float) -> list[int]:
@@ -37,29 +39,41 @@ def kept_places(ts: np.ndarray, wait: np.ndarray, track: np.ndarray, turn: float
     return places if not end else [*places, end]
 
 
+def _borders(rows: pa.Table) -> np.ndarray:
+    """Places where another (hex, seg) begins; ids of any type, a null one being an id of its own."""
+    new = np.zeros(max(0, rows.num_rows - 1), bool)
+    for name in ("hex", "seg"):
+        codes = pc.dictionary_encode(rows.column(name).combine_chunks(), null_encoding="encode").indices.to_numpy()
+        new |= np.diff(codes) != 0
+    return np.flatnonzero(new) + 1
+
+
 def _walk(cfg: Config) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows (hex, seg, ts, near, track) sorted by segment and time to the kept (hex, seg, ts), many segments at once."""
 
-    def kept(rows: pa.Table) -> pa.RecordBatch:
-        ids = [rows.column(c).to_numpy() for c in ("hex", "seg")]
+    def kept(parts: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+        rows = pa.concat_tables(parts).combine_chunks()
         ts, near, track = (rows.column(c).to_numpy() for c in ("ts", "near", "track"))
         wait = np.where(near, cfg.near_interval_s, cfg.far_interval_s)
-        new = np.flatnonzero((np.diff(ids[0]) != 0) | (np.diff(ids[1]) != 0)) + 1
-        places = [a + i for a, b in zip([0, *new.tolist()], [*new.tolist(), len(ts)]) for i in kept_places(ts[a:b], wait[a:b], track[a:b], cfg.heading_deg)]
-        return rows.select(["hex", "seg", "ts"]).take(places).combine_chunks().to_batches()[0]
+        new = _borders(rows).tolist()
+        places = [a + i for a, b in zip([0, *new], [*new, len(ts)]) for i in kept_places(ts[a:b], wait[a:b], track[a:b], cfg.heading_deg)]
+        yield from rows.select(["hex", "seg", "ts"]).take(places).combine_chunks().to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
+        held: list[pa.Table] = []  # a segment's rows so far; only new rows are looked through for its end
         for batch in batches:
+            if not batch.num_rows:
+                continue
             rows = pa.Table.from_batches([batch])
-            held = rows if held is None else pa.concat_tables([held, rows])
-            last = (held.column("hex").to_numpy() != held.column("hex")[-1].as_py()) | (held.column("seg").to_numpy() != held.column("seg")[-1].as_py()) if held.num_rows else np.zeros(0, bool)
-            if last.any():  # the last segment may go on in the next batch
-                cut = int(np.flatnonzero(last)[-1]) + 1
-                yield kept(held.slice(0, cut))
-                held = held.slice(cut)
-        if held is not None and held.num_rows:
-            yield kept(held)
+            joined = pa.concat_tables([held[-1].slice(held[-1].num_rows - 1), rows]) if held else rows
+            new = _borders(joined) - (1 if held else 0)
+            if len(new):  # the last segment may go on in the next batch
+                yield from kept([*held, rows.slice(0, int(new[-1]))])
+                held = []
+                rows = rows.slice(int(new[-1]))
+            held.append(rows)
+        if held:
+            yield from kept(held)
 
     return run
 
@@ -71,12 +85,13 @@ def downsample(points: DataFrame, most: int, cfg: Config = DEFAULT, share: bool
     segment by segment. ``share``: ``most`` is a budget for the entity, dealt to
     its segments by their kept points, four at least; else it holds for each
     segment. Too many points are thinned evenly, by their rank. A segment of one point keeps it.
+    Ids keep their types; null ids are one entity, or segment, of their own.
     """
     near = flat_nm(F.col("lat") - cfg.anchor_lat, F.col("lon") - cfg.anchor_lon, cfg) <= cfg.near_nm
     heading = F.coalesce(F.col("track").cast("double"), F.lit(float("nan")))
-    rows = points.select(F.col("hex").cast("long").alias("hex"), F.col("seg").cast("long").alias("seg"), F.col("ts").cast("double").alias("ts"), F.coalesce(near, F.lit(False)).alias("near"), heading.alias("track"))
+    rows = points.select("hex", "seg", F.col("ts").cast("double").alias("ts"), F.coalesce(near, F.lit(False)).alias("near"), heading.alias("track"))
     rows = rows.repartition("hex", "seg").sortWithinPartitions("hex", "seg", "ts")
-    kept = rows.mapInArrow(_walk(cfg), "hex long, seg long, ts double")
+    kept = rows.mapInArrow(_walk(cfg), rows.select("hex", "seg", "ts").schema)
     w, seg = Window.partitionBy("hex"), Window.partitionBy("hex", "seg")
     kept = kept.withColumns({"k": F.count("*").over(seg), "r": F.row_number().over(seg.orderBy("ts")) - 1})
     cap = F.least("k", F.lit(most))
@@ -127,9 +142,50 @@ def headings_at(points: DataFrame, queries: DataFrame, bucket_s: int = 600) -> D
 
 
 def points_in_spans(points: DataFrame, spans: DataFrame, slack: float = 1.0, least: int = 2) -> DataFrame:
-    """How many points of an entity lie in each of its spans (hex, leg_idx, t_start, t_end), with slack; at least ``least``."""
-    joined = points.select("hex", "ts").join(spans, "hex").where(F.col("ts").between(F.col("t_start") - slack, F.col("t_end") + slack))
-    return joined.groupBy("hex", "leg_idx").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    """How many points of an entity lie in each of its spans (hex, leg_idx, t_start, t_end), with slack; at least ``least``.
+
+    One sweep over the points and the spans' edges: a span has the points before its end that are not before its start, so
+    an entity's points never meet its spans one by one. Rows without an entity or an instant count nowhere.
+    """
+    at = points.where("hex is not null and ts is not null").select("hex", F.col("ts").alias("t"), F.lit(1).alias("kind"), F.lit(None).cast(spans.schema["leg_idx"].dataType).alias("leg_idx"))
+    edges = F.array(F.struct((F.col("t_start") - slack).alias("t"), F.lit(0).alias("kind")), F.struct((F.col("t_end") + slack).alias("t"), F.lit(2).alias("kind")))
+    sides = spans.where("hex is not null and t_start <= t_end").select("hex", F.explode(edges).alias("e"), "leg_idx").select("hex", "e.t", "e.kind", "leg_idx")
+    rows = at.union(sides).withColumn("one", F.col("kind") % 2)
+    passed = numbered(rows, "t", ["kind"], within=["hex"], size="one").where("kind <> 1")
+    counts = passed.groupBy("hex", "leg_idx").agg(F.sum(F.when(F.col("kind") == 2, F.col("start")).otherwise(-F.col("start"))).alias("n"))
+    return counts.where(F.col("n") >= least)
+
+
+def stab_counts(spans: DataFrame, t0: float, step: float, times: int) -> DataFrame:
+    """(t, n): spans (t_start, t_end) that hold each of ``times`` instants from t0 on, ends included.
+
+    A span adds one at its first instant and takes it back after its last; the running sum is the count.
+    """
+    place = lambda f, c: f((F.col(c) - t0) / step)
+    first, after = F.greatest(place(F.ceil, "t_start"), F.lit(0)), F.least(place(F.floor, "t_end") + 1, F.lit(times))
+    steps = spans.withColumns({"_a": first, "_b": after}).where("_a < _b")
+    steps = steps.select(F.explode(F.array(F.struct(F.col("_a").alias("i"), F.lit(1).alias("d")), F.struct(F.col("_b").alias("i"), F.lit(-1).alias("d")))).alias("e"))
+    net = steps.groupBy(F.col("e.i").alias("i")).agg(F.sum("e.d").alias("net"))
+    grid = spans.sparkSession.range(times).select(F.col("id").alias("i"), (F.lit(float(t0)) + F.col("id") * step).alias("t"))
+    rows = numbered(grid.join(net, "i", "left").withColumn("net", F.coalesce("net", F.lit(0))), "t", [], size="net")
+    return rows.select("t", (F.col("start") + F.col("net")).alias("n"))
+
+
+def neighbours_at(transits: DataFrame, instants: DataFrame, ids: list[str], values: list[str]) -> DataFrame:
+    """(day, q, ids, values): the state of every transit (day, ids, ts, values) under way at each instant (day, q).
+
+    A transit is under way from its first to its last point, both included; values are interpolated. Brackets and
+    instants meet by day and ten minutes.
+    """
+    keys = ["day", *ids]
+    w = Window.partitionBy(*keys).orderBy("ts")
+    after = {f"_{c}2": F.lead(c).over(w) for c in ("ts", *values)}
+    rows = transits.select(*keys, "ts", *values).withColumns(after)
+    rows = rows.where("_ts2 is null or _ts2 > ts").withColumn("_bucket", F.explode(F.sequence(F.floor(F.col("ts") / 600), F.floor(F.coalesce("_ts2", "ts") / 600))))
+    met = rows.join(instants.select("day", "q", F.floor(F.col("q") / 600).alias("_bucket")), ["day", "_bucket"])
+    met = met.where((F.col("q") >= F.col("ts")) & F.coalesce(F.col("q") < F.col("_ts2"), F.col("q") == F.col("ts")))
+    share = (F.col("q") - F.col("ts")) / (F.col("_ts2") - F.col("ts"))
+    return met.select("day", "q", *ids, *[F.coalesce(F.col(c) + (F.col(f"_{c}2") - F.col(c)) * share, F.when(F.col("q") == F.col("ts"), F.col(c))).alias(c) for c in values])
 
 
 def overlaps(spans: DataFrame, by: str) -> DataFrame:
@@ -162,9 +218,13 @@ def followers(points: DataFrame, ids: list[str]) -> DataFrame:
     there = F.col("b.along") + (F.col("b.along2") - F.col("b.along")) * (F.col("o.ts") - F.col("b.ts")) / (F.col("b.ts2") - F.col("b.ts"))
     met = met.select(F.col("o.day").alias("day"), F.col("o.id").alias("id"), F.col("o.ts").alias("ts"), F.col("b.id").alias("other"), (there - F.col("o.along")).alias("diff"))
     ahead, behind = F.when(F.col("diff") > 0, F.col("diff")), F.when(F.col("diff") < 0, -F.col("diff"))
-    of = lambda nm: F.min(F.when(nm.isNotNull(), F.struct(nm.alias("nm"), F.col("other"))))
-    near = met.groupBy("day", "id", "ts").agg(of(ahead).alias("a"), of(behind).alias("b"), F.count("*").alias("n_near"))
-    return near.select("day", "id", "ts", F.col("a.nm").alias("ahead_nm"), F.col("b.nm").alias("behind_nm"), F.col("a.other").alias("ahead"), F.col("b.other").alias("behind"), "n_near")
+    keys = ["day", "id", "ts"]
+    # Least distances first, by hash aggregation over doubles; ids only of the few rows at that distance.
+    least = met.groupBy(*keys).agg(F.min(ahead).alias("ahead_nm"), F.min(behind).alias("behind_nm"), F.count("*").alias("n_near"))
+    near = met.join(least, keys).where((F.col("diff") == F.col("ahead_nm")) | (-F.col("diff") == F.col("behind_nm")))
+    other = lambda at: F.min(F.when(at, F.col("other")))
+    who = near.groupBy(*keys).agg(other(F.col("diff") == F.col("ahead_nm")).alias("ahead"), other(-F.col("diff") == F.col("behind_nm")).alias("behind"))
+    return least.join(who, keys, "left").select(*keys, "ahead_nm", "behind_nm", "ahead", "behind", "n_near")
 
 
 def visits(points: DataFrame, cfg: Config = DEFAULT, least: int = 2) -> DataFrame:
@@ -185,7 +245,3 @@ def visits(points: DataFrame, cfg: Config = DEFAULT, least: int = 2) -> DataFram
         F.max(hit(F.col("_g"))).alias("saw_ground"), F.count(hit(F.lit(1))).alias("n_hits"),
     )
     return rows.where(F.col("n_hits") >= least)
-
-
-def local_date(epoch: Column, cfg: Config = DEFAULT) -> Column:
-    return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(cfg.zone), F.timestamp_seconds(epoch).cast("timestamp_ntz")))

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wakeline.config import DEFAULT
-from wakeline.functions import labels
-from wakeline.operators import corridor, journeys, places, reports, tracks
+from wakeline.functions import geo, labels
+from wakeline.functions.rounding import round_half_even
+from wakeline.operators import corridor, journeys, places, reports, segments, tracks
 from wakeline.plans.adapters import CHAIN, PTS, chain, pts, table
-from wakeline.plans.trajectory import CORRIDOR, ORDERS, TRANSITS, WAYS, _journey_sql, _spacing_sql, _ways, query
+from wakeline.plans.trajectory import LEGS, ORDERS, TRANSITS, WAYS, _cut, _journey_sql, _spacing_sql, _ways, num, query
+from wakeline.sources import sinks
 from wakeline.sources.traces import may_hold
 
 C = DEFAULT
@@ -22,10 +24,22 @@ def byte_prefilter(spark, d):
     return table(spark, d, "documents").where(may_hold(F.col("text"), *TOKENS)).select("doc_id")
 
 
-@query(f"with {_journey_sql('inbound')} select cast(strftime(to_timestamp(t_start) at time zone 'UTC', '%Y-%m') as varchar) as month, count(*) as n from inbound where direction = 'inbound' and t_start >= 700000000 group by 1")
+#: Journeys of both directions; a CTE named both.
+BOTH = f"both_ as (select * from (with {_journey_sql('inbound')} select * from inbound) union all by name select * from (with {_journey_sql('outbound')} select * from outbound))"
+
+
+def _both(spark, d) -> DataFrame:
+    legs = chain(spark, d)
+    return journeys.journeys(legs, "inbound", ORDERS).unionByName(journeys.journeys(legs, "outbound", ORDERS))
+
+
+_LOCAL = lambda t: f"strftime((make_timestamp(cast({t} * 1000000 as bigint)) at time zone 'UTC') at time zone 'America/Chicago', '%Y-%m-%d')"
+
+
+@query(f"with {BOTH} select {_LOCAL('t_start')} as day, count(*) as n, sum(total_nm) as nm from both_ where direction = 'outbound' and {_LOCAL('t_start')} >= '1995-01-01' group by 1")
 def journeys_by_direction(spark, d):
-    found = journeys.journeys(chain(spark, d), "inbound", ORDERS).where("direction = 'inbound' and t_start >= 700000000")
-    return found.groupBy(F.date_format(F.timestamp_seconds("t_start"), "yyyy-MM").alias("month")).agg(F.count("*").alias("n"))
+    day = labels.local_date(F.col("t_start")).cast("string")
+    return _both(spark, d).where("direction = 'outbound'").groupBy(day.alias("day")).agg(F.count("*").alias("n"), F.sum("total_nm").alias("nm")).where("day >= '1995-01-01'")
 
 
 @query(f"with {TRANSITS}, t as (select hex, day, seg, count(*) as n_points from tp group by 1, 2, 3) select * from t where contains(cast(hex as varchar), '1') order by hex, day, seg limit 8")
@@ -93,9 +107,9 @@ def durations(spark, d):
     return table(spark, d, "events").select("event_id", labels.hours(s).alias("hours"), labels.minutes(s).alias("minutes"))
 
 
-@query("select strftime(day, '%Y-%m-%d') as day from (select unnest(generate_series(date '2024-01-28', date '2024-02-03', interval 1 day)) as day)")
+@query("select strftime(day, '%Y-%m-%d') as day from (select unnest(generate_series((select cast(min(ts) as date) from events), (select cast(max(ts) as date) from events), interval 1 day)) as day)")
 def day_list(spark, d):
-    return reports.day_list(spark, "2024-01-28", "2024-02-03")
+    return reports.day_list(table(spark, d, "events"), "ts")
 
 
 @query("select c_custkey, regexp_replace(lower(c_name || ' / ' || c_mktsegment), '[^a-z0-9]', '_', 'g') as name from customer")
@@ -103,15 +117,82 @@ def file_names(spark, d):
     return table(spark, d, "customer").select("c_custkey", labels.file_name(F.concat("c_name", F.lit(" / "), "c_mktsegment")).alias("name"))
 
 
-@query(f"""with {CHAIN}, a as (select to_apt as apt, cast(floor(t_end / 86400) as bigint) as day, 1 as i, 0 as o from chain where to_apt = 'A' union all select from_apt, cast(floor(t_start / 86400) as bigint), 0, 1 from chain where from_apt = 'A')
-select day, sum(i)::bigint as n_in, sum(o)::bigint as n_out from a group by day""")
+@query(f"""with {BOTH}, x as (select direction, case when direction = 'inbound' then {_LOCAL('t_end')} else {_LOCAL('t_start')} end as day from both_)
+select day, count(*) filter (where direction = 'inbound') as inbound, count(*) filter (where direction <> 'inbound') as outbound from x group by day""")
 def daily_in_out(spark, d):
-    return reports.daily_in_out(chain(spark, d), "A")
+    return reports.daily_in_out(_both(spark, d))
+
+
+#: Facts of places A, B and C from the regions, with a city; nothing is known of D.
+PLACES = f"""places as (select chr(cast(65 + r_regionkey as int)) as ident, r_name as name, (select min(n_name) from nation where n_regionkey = r_regionkey) as city, 'R' || cast(r_regionkey as varchar) as iso_region,
+  {num(C.anchor_lat)} + r_regionkey * 4 - 3 as lat, {num(C.anchor_lon)} + r_regionkey * 5 - 4 as lon from region where r_regionkey < 3)"""
+CRAFT = """craft as (select c_custkey as hex, case when c_custkey % 9 <> 0 then c_name end as reg, case when c_custkey % 4 <> 0 then 'T' || cast(c_nationkey as varchar) end as type,
+  nullif(c_mktsegment, 'BUILDING') as "desc" from customer where c_custkey % 11 <> 0)"""
+
+
+def _places(spark, d) -> DataFrame:
+    city = table(spark, d, "nation").groupBy(F.col("n_regionkey").alias("r_regionkey")).agg(F.min("n_name").alias("city"))
+    key = F.col("r_regionkey")
+    rows = table(spark, d, "region").where(key < 3).join(city, "r_regionkey", "left")
+    return rows.select(F.char(65 + key).alias("ident"), F.col("r_name").alias("name"), "city", F.concat(F.lit("R"), key.cast("string")).alias("iso_region"), (C.anchor_lat + key * 4 - 3).alias("lat"), (C.anchor_lon + key * 5 - 4).alias("lon"))
+
+
+def _craft(spark, d) -> DataFrame:
+    return table(spark, d, "customer").where("c_custkey % 11 <> 0").selectExpr(
+        "c_custkey as hex", "if(c_custkey % 9 <> 0, c_name, null) as reg", "if(c_custkey % 4 <> 0, concat('T', c_nationkey), null) as type", "nullif(c_mktsegment, 'BUILDING') as desc"
+    )
+
+
+_BEARING = f"fmod(degrees(atan2((lon - {num(C.anchor_lon)}) * 60 * {num(C.cos_anchor)}, (lat - {num(C.anchor_lat)}) * 60)) + 360, 360)"
+_NM = f"sqrt(pow((lat - {num(C.anchor_lat)}) * 60, 2) + pow((lon - {num(C.anchor_lon)}) * 60 * {num(C.cos_anchor)}, 2))"
+REGIONED = f"""{BOTH}, {PLACES}, regioned as (select b.*, case when lat is null then 'Unknown' when {_NM} <= 100 then 'Local'
+  else list_element(['Northeast', 'Southeast', 'Southwest', 'Northwest'], cast(floor({_BEARING} / 90) as int) + 1) end as region
+  from both_ b left join places p on p.ident = case when direction = 'inbound' then origin else destination end)"""
+
+
+def _regioned(spark, d) -> DataFrame:
+    far = F.when(F.col("direction") == "inbound", F.col("origin")).otherwise(F.col("destination"))
+    rows = _both(spark, d).withColumn("ident", far).join(F.broadcast(_places(spark, d).select("ident", "lat", "lon")), "ident", "left")  # three places
+    return rows.withColumn("region", geo.region(F.col("lat"), F.col("lon"))).drop("ident", "lat", "lon")
+
+
+@query(f"""with {REGIONED}, r(place, region) as (values {', '.join(f"({i}, '{r}')" for i, r in enumerate(reports.REGIONS))})
+select cast(place as int) as place, region, count(*) filter (where direction = 'inbound') as inbound, count(*) filter (where direction = 'outbound') as outbound from r left join regioned using (region) group by all""")
+def region_counts(spark, d):
+    return reports.region_counts(_regioned(spark, d))
+
 
+@query(f"with {BOTH}, {PLACES} select destination as ident, name, city, iso_region, count(*) as n from both_ left join places on ident = destination where direction = 'outbound' and destination <> 'A' group by all order by n desc, destination limit 12")
+def top_k_destinations(spark, d):
+    return reports.busiest_far_ends(_both(spark, d).where("direction = 'outbound'"), _places(spark, d), "destination", "A")
 
-@query(f"with {CORRIDOR}, v as (select case when alt_ft = 4000 then 39 else cast(floor(alt_ft / 100.0) as int) end as bin from inside where alt_ft between 0 and 4000) select cast(r.range as int) as bin, cast(r.range * 100.0 as double) as edge, count(v.bin) as n from range(40) r left join v on v.bin = r.range group by r.range")
+
+@query(f"""with {REGIONED}, {CRAFT}, day as (select case when direction = 'inbound' then {_LOCAL('t_end')} else {_LOCAL('t_start')} end as day from regioned)
+select 'aircraft' as part, cast(count(distinct hex) as varchar) as value from regioned union all
+select direction, cast(count(*) as varchar) from regioned group by 1 union all
+select 'days', cast(count(distinct day) as varchar) from day union all
+select 'region ' || region, cast(count(*) as varchar) from regioned group by 1 union all
+select 'origins', string_agg(ident || ' ' || coalesce(name, '-') || ' ' || n, ';' order by n desc, ident) from (select origin as ident, name, count(*) as n from regioned left join places on ident = origin where direction = 'inbound' and origin <> 'A' group by all) union all
+select 'types', string_agg(label || ' ' || n, ';' order by n desc, label) from (select coalesce("desc", type) as label, count(distinct hex) as n from craft where hex in (select hex from regioned) and coalesce("desc", type) is not null group by 1 order by n desc, 1 limit 12)""")
+def statistics_document(spark, d):
+    doc = reports.statistics_document(_regioned(spark, d), _places(spark, d), _craft(spark, d), "A")
+    end = "ident string, name string, city string, iso_region string, n long"
+    shape = f"totals struct<aircraft: long, inbound: long, outbound: long>, daily array<struct<day: string, inbound: long, outbound: long>>, regions array<struct<region: string, inbound: long, outbound: long>>, top_origins array<struct<{end}>>, top_dests array<struct<{end}>>, top_types array<struct<label: string, n: long>>"
+    got = doc.select(F.from_json("doc", shape).alias("x")).select("x.*")
+    pair = lambda k, v: F.struct(F.lit(k).alias("part") if isinstance(k, str) else k.alias("part"), v.cast("string").alias("value"))
+    listed = lambda c, f: F.array_join(F.transform(c, f), ";")
+    name = lambda x: F.concat_ws(" ", x["ident"], F.coalesce(x["name"], F.lit("-")), x["n"].cast("string"))
+    parts = F.array(
+        pair("aircraft", F.col("totals.aircraft")), pair("inbound", F.col("totals.inbound")), pair("outbound", F.col("totals.outbound")), pair("days", F.size("daily")),
+        pair("origins", listed("top_origins", name)), pair("types", listed("top_types", lambda x: F.concat_ws(" ", x["label"], x["n"].cast("string")))),
+    )
+    regions = F.transform(F.filter("regions", lambda r: r["inbound"] + r["outbound"] > 0), lambda r: pair(F.concat(F.lit("region "), r["region"]), r["inbound"] + r["outbound"]))
+    return got.select(F.explode(F.concat(parts, regions)).alias("p")).select("p.part", "p.value")
+
+
+@query(f"with {WAYS}, v as (select case when alt_ft = 4000 then 39 else cast(floor(alt_ft / 100.0) as int) end as bin from ways where code = 'FISK' and alt_ft between 0 and 4000) select cast(r.range as int) as bin, cast(r.range * 100.0 as double) as edge, count(v.bin) as n from range(40) r left join v on v.bin = r.range group by r.range")
 def altitude_histogram(spark, d):
-    return corridor.histogram(corridor.in_corridor(pts(spark, d)), "alt_ft", 0.0, 4000.0, 40)
+    return corridor.histogram(_ways(spark, d).where("code = 'FISK'"), "alt_ft", 0.0, 4000.0, 40)
 
 
 @query(f"with {WAYS}, v as (select case when gs = 190 then 29 else cast(floor((gs - 40) / 5) as int) end as bin from ways where code = 'FISK' and gs between 40 and 190) select cast(r.range as int) as bin, cast(40 + r.range * 5.0 as double) as edge, count(v.bin) as n from range(30) r left join v on v.bin = r.range group by r.range")
@@ -129,10 +210,10 @@ def corridor_spacing_ripon(spark, d):
     return corridor.spacing(_ways(spark, d), "RIPON")
 
 
-@query(f"with {WAYS}, {_spacing_sql('FISK')} select hex, day, seg, gap_nm, lead_gs from gaps where gap_nm <= 2 order by lead_gs, hex, day, seg limit 200")
+@query(f"with {WAYS}, {_spacing_sql('FISK')} select hex, day, seg, gap_nm, lead_gs from gaps where gap_nm <= 2 ")
 def close_gaps_by_lead_speed(spark, d):
     near = corridor.spacing(_ways(spark, d), "FISK").where("gap_nm <= 2")
-    return near.orderBy("lead_gs", "hex", "day", "seg").limit(200).select("hex", "day", "seg", "gap_nm", "lead_gs")
+    return near.orderBy("lead_gs", "hex", "day", "seg").select("hex", "day", "seg", "gap_nm", "lead_gs")
 
 
 _AT = ("GRN", "RIPON", "FISK")
@@ -159,17 +240,74 @@ def position_and_heading(spark, d):
     return tracks.headings_at(points, points.groupBy("hex").agg((F.min("ts") + 1010).alias("q"))).select("hex", "q", F.round("lat", 9).alias("lat"), F.round("heading", 6).alias("heading"))
 
 
-@query("""select event_id, cast(round(value, 1) as double) as one, cast(round(value) as bigint) as whole from events""")
+_SCALED = "cast(value * 4611686018427387904 as hugeint)"  # by 2**62: exact for values of this size
+
+
+def _rounded_sql(digits: int) -> str:
+    """Half to even in whole numbers."""
+    x = f"({_SCALED} * {10 ** digits})"
+    low, rest = f"({x} // 4611686018427387904)", f"({x} % 4611686018427387904 * 2)"
+    return f"cast({low} + case when {rest} > 4611686018427387904 or ({rest} = 4611686018427387904 and {low} % 2 = 1) then 1 else 0 end as double) / {10 ** digits}"
+
+
+@query(f"select event_id, {_rounded_sql(1)} as one, {_rounded_sql(2)} as two, cast({_rounded_sql(0)} as bigint) as whole from events")
 def rounded(spark, d):
-    return table(spark, d, "events").select("event_id", F.round("value", 1).alias("one"), F.round("value", 0).cast("long").alias("whole"))
+    at = lambda digits: round_half_even(F.col("value"), digits)
+    return table(spark, d, "events").select("event_id", at(1).alias("one"), at(2).alias("two"), at(0).cast("long").alias("whole"))
 
 
-@query(f"""with {CHAIN}, t as (select to_apt as ident, from_apt as other, 'arrival' as dir, hex, t_start, t_end from chain where to_apt is not null
+@query(f"""with {CHAIN}, {PLACES}, {CRAFT}, t as (select to_apt as ident, from_apt as other, 'arrival' as dir, hex, t_start, t_end from chain where to_apt is not null
   union all select from_apt, to_apt, 'departure', hex, t_start, t_end from chain where from_apt is not null),
-n as (select *, (row_number() over (partition by ident order by t_start, t_end, hex, dir) - 1) // 100 as part from t)
-select ident, part, count(*) filter (where dir = 'arrival') as arrivals, count(*) filter (where dir = 'departure') as departures,
-  string_agg(cast(hex as varchar) || ' ' || dir || ' ' || coalesce(other, '-') || ' ' || cast(cast(t_start as bigint) as varchar), ';' order by t_start, t_end, hex, dir) as touches from n group by ident, part""")
+n as (select t.*, reg, type, "desc", (row_number() over (partition by ident order by t_start, t_end, hex, dir) - 1) // 100 as part from t left join craft using (hex)),
+c as (select ident, count(*) filter (where dir = 'arrival') as arrivals, count(*) filter (where dir = 'departure') as departures from t group by ident)
+select ident, part, name, city, iso_region, lat, lon, arrivals, departures,
+  string_agg(cast(hex as varchar) || ' ' || coalesce(reg, '-') || ' ' || coalesce(type, '-') || ' ' || coalesce("desc", '-') || ' ' || dir || ' ' || coalesce(other, '-') || ' ' || cast(cast(t_start as bigint) as varchar) || ' ' || cast(cast(t_end as bigint) as varchar), ';' order by t_start, t_end, hex, dir) as touches
+  from n join c using (ident) left join places using (ident) group by all""")
 def airport_documents(spark, d):
-    parts = places.airport_parts(places.touches(chain(spark, d)), 100)
-    text = lambda t: F.concat_ws(" ", t["hex"].cast("string"), t["dir"], F.coalesce(t["other"], F.lit("-")), t["t_start"].cast("long").cast("string"))
-    return parts.select("ident", "part", "arrivals", "departures", F.array_join(F.transform("touches", text), ";").alias("touches"))
+    docs = places.airport_documents(places.airport_parts(places.touches(chain(spark, d)), _places(spark, d), _craft(spark, d), 100))
+    head = F.from_json("head", "ident string, name string, city string, iso_region string, lat double, lon double, arrivals long, departures long")
+    touch = "array<struct<hex: string, reg: string, type: string, desc: string, dir: string, other: string, t_start: double, t_end: double>>"
+    filled = lambda x: F.coalesce(x, F.lit("-"))
+    text = lambda t: F.concat_ws(" ", t["hex"], filled(t["reg"]), filled(t["type"]), filled(t["desc"]), t["dir"], filled(t["other"]), t["t_start"].cast("long").cast("string"), t["t_end"].cast("long").cast("string"))
+    got = docs.select("part", head.alias("h"), F.array_join(F.transform(F.from_json("items", touch), text), ";").alias("touches"))
+    return got.select("h.ident", "part", "h.name", "h.city", "h.iso_region", "h.lat", "h.lon", "h.arrivals", "h.departures", "touches")
+
+
+@query(f"""with {CHAIN}, {PLACES}, t as (select to_apt as ident, 1 as a from chain where to_apt is not null union all select from_apt, 0 from chain where from_apt is not null)
+select ident, name, city, iso_region, lat, lon, sum(a)::bigint as arrivals, sum(1 - a)::bigint as departures from t left join places using (ident) group by all""")
+def airport_list(spark, d):
+    return places.airport_list(places.touches(chain(spark, d)), _places(spark, d))
+
+
+_SEGMENTS = f"""{PTS}, {_cut('pts', 'cut')}, sizes as (select hex, seg, count(*) as n, min(ts) as t_start from cut group by hex, seg having count(*) >= 2),
+offs as (select hex, seg, row_number() over (order by t_start, hex, seg) - 1 as segment, (coalesce(sum(n) over (order by t_start, hex, seg rows between unbounded preceding and 1 preceding), 0))::bigint as start, n from sizes)"""
+
+
+@query(f"with {_SEGMENTS} select * from offs")
+def packed_offsets(spark, d):
+    return sinks.segment_offsets(segments.with_segments(pts(spark, d)))
+
+
+@query(f"""with {_SEGMENTS} select start + row_number() over (partition by c.hex, c.seg order by ts, lon, lat) - 1 as pos, cast(cast(ts - 1784160000 as float) as double) as t, cast(cast(lon as float) as double) as lon, cast(cast(lat as float) as double) as lat
+from cut c join offs o on o.hex = c.hex and o.seg = c.seg""")
+def packed_points(spark, d):
+    cut = segments.with_segments(pts(spark, d))
+    rows = sinks.packed_rows(cut, sinks.segment_offsets(cut), 1784160000.0)
+    return rows.select("pos", *[F.col(c).cast("double").alias(c) for c in ("t", "lon", "lat")])
+
+
+@query(f"""with {TRANSITS}, q as (select day, min(ts) + 3000.5 as q from tp group by day),
+l as (select *, lead(ts) over w as ts2, lead(alt_ft) over w as alt2, lead(gs) over w as gs2 from tp window w as (partition by day, hex, seg order by ts))
+select day, q, hex, seg, round(coalesce(alt_ft + (alt2 - alt_ft) * ((q - ts) / (ts2 - ts)), case when q = ts then alt_ft end), 6) as alt_ft,
+  round(coalesce(gs + (gs2 - gs) * ((q - ts) / (ts2 - ts)), case when q = ts then gs end), 6) as gs from l join q using (day) where q >= ts and (q < ts2 or (ts2 is null and q = ts))""")
+def neighbours_at_instant(spark, d):
+    points = corridor.transit_points(pts(spark, d))
+    asked = points.groupBy("day").agg((F.min("ts") + 3000.5).alias("q"))
+    got = tracks.neighbours_at(points, asked, ["hex", "seg"], ["alt_ft", "gs"])
+    return got.select("day", "q", "hex", "seg", F.round("alt_ft", 6).alias("alt_ft"), F.round("gs", 6).alias("gs"))
+
+
+@query(f"with {LEGS}, {CHAIN} select hex, leg_idx, n_points from legs where hex in (select hex from chain where to_apt = 'B' and path_nm > 240)")
+def legs_of_selection(spark, d):
+    chosen = places.touches(chain(spark, d).where("path_nm > 240")).where("ident = 'B' and dir = 'arrival'").select("hex")
+    return segments.legs(pts(spark, d)).join(chosen, "hex", "left_semi").select("hex", "leg_idx", F.col("n_points").cast("long").alias("n_points"))

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wakeline.config import DEFAULT
-from wakeline.functions import geo
-from wakeline.operators import corridor, journeys, places, segments, tracks
+from wakeline.functions import geo, labels
+from wakeline.operators import corridor, journeys, places, reports, segments, tracks
 from wakeline.plans.adapters import CHAIN, PTS, chain, epoch, pts, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -226,7 +226,7 @@ def region_quadrants(spark, d):
 @query("""select strftime((ts at time zone 'UTC') at time zone 'America/Chicago', '%Y-%m-%d') as day, count(*) filter (where event_type = 'click') as clicks, count(*) as n
 from events group by 1""")
 def daily_local_counts(spark, d):
-    day = tracks.local_date(F.expr(epoch("ts")))
+    day = labels.local_date(F.expr(epoch("ts")))
     return table(spark, d, "events").groupBy(day.cast("string").alias("day")).agg(F.count_if(F.col("event_type") == "click").alias("clicks"), F.count("*").alias("n"))
 
 
@@ -383,10 +383,10 @@ def corridor_busiest_day(spark, d):
     return runs.groupBy("day").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "day").limit(1)
 
 
-@query(f"""with {WAYS}, {_spacing_sql('FISK')} select hex, gap_nm, lead_gs from (select *, row_number() over (partition by hex order by gap_nm, day, seg) as r from gaps where lead_gs < 90 and gap_nm < 1)
+@query(f"""with {WAYS}, {_spacing_sql('FISK')} select hex, gap_nm, lead_gs from (select *, row_number() over (partition by hex order by gap_nm, day, seg) as r from gaps where lead_gs < 120 and gap_nm < 3)
 where r = 1 order by gap_nm, hex limit 3""")
 def corridor_examples(spark, d):
-    gaps = corridor.spacing(_ways(spark, d), "FISK").where("lead_gs < 90 and gap_nm < 1")
+    gaps = corridor.spacing(_ways(spark, d), "FISK").where("lead_gs < 120 and gap_nm < 3")
     w = Window.partitionBy("hex").orderBy("gap_nm", "day", "seg")
     return gaps.withColumn("r", F.row_number().over(w)).where("r = 1").orderBy("gap_nm", "hex").limit(3).select("hex", "gap_nm", "lead_gs")
 
@@ -421,12 +421,7 @@ def interpolate_at_time(spark, d):
 
 @query(f"with {LEGS}, g as (select cast(1784160000 + range * 600 as double) as t from range(60)) select t, count(hex) as n from g left join legs on t between t_start and t_end group by t")
 def stab_counts(spark, d):
-    grid = F.sequence(F.lit(0), F.lit(59))
-    legs = segments.legs(pts(spark, d)).select("t_start", "t_end")
-    hits = legs.withColumn("i", F.explode(grid)).withColumn("t", (F.lit(1784160000) + F.col("i") * 600).cast("double")).where("t between t_start and t_end")
-    counts = hits.groupBy("t").agg(F.count("*").alias("n"))
-    times = spark.range(60).select((F.lit(1784160000) + F.col("id") * 600).cast("double").alias("t"))
-    return times.join(counts, "t", "left").select("t", F.coalesce("n", F.lit(0)).alias("n"))
+    return tracks.stab_counts(segments.legs(pts(spark, d)), 1784160000, 600, 60)
 
 
 @query("select c_custkey, c_name from customer where length('00') >= 2 and contains(lower(c_name), '00') order by c_custkey limit 40")
@@ -440,10 +435,10 @@ def prefix_filter(spark, d):
     return table(spark, d, "customer").where(~F.col("c_mktsegment").rlike("(?i)^B")).agg(F.count("*").alias("n"))
 
 
-@query("select p_type, count(*) as n from part where contains(upper(p_type), 'A') group by 1 order by n desc, p_type limit 15 offset 5")
+@query("select p_brand, count(*) as n from part where contains(upper(p_brand), 'A') group by 1 order by n desc, p_brand limit 15 offset 5")
 def type_grid_page(spark, d):
-    rows = table(spark, d, "part").where(F.upper("p_type").contains("A")).groupBy("p_type").agg(F.count("*").alias("n"))
-    return rows.orderBy(F.desc("n"), "p_type").offset(5).limit(15)
+    rows = table(spark, d, "part").where(F.upper("p_brand").contains("A")).groupBy("p_brand").agg(F.count("*").alias("n"))
+    return rows.orderBy(F.desc("n"), "p_brand").offset(5).limit(15)
 
 
 @query(f"with {LEGS} select hex, leg_idx, t_start - lag(t_end) over w as gap_s, (t_start - lag(t_end) over w) > 3600 as is_long from legs window w as (partition by hex order by leg_idx) qualify lag(t_end) over w is not null")
@@ -475,18 +470,21 @@ def day_bounds(spark, d):
     return table(spark, d, "events").groupBy(F.to_date("ts").cast("string").alias("day")).agg(F.min("value").alias("low"), F.max("value").alias("high"))
 
 
-@query(f"""with {_journey_sql('inbound')}, j as (select hex, total_nm, row_number() over (order by t_start, hex) as idx from inbound), b as (select hex, arg_max(total_nm, {{'n': total_nm, 'i': -idx}}) as nm, min(idx) as idx from j group by hex),
-pick as (select 1 as rank, hex, nm from (select * from b where nm < 600 order by nm desc, idx limit 4) union all select 2, hex, nm from (select * from b where hex % 10 = 1 order by idx limit 3)
-  union all select 3, hex, nm from (select * from b where hex % 7 <> 0 order by idx limit 4))
+_CRAFT = "select c_custkey as hex, case when c_custkey % 7 = 0 then 'N' else 'c-' end || cast(c_custkey as varchar) as reg, case when c_custkey % 31 = 3 then 'T' || cast(c_custkey as varchar) else c_mktsegment end as label from customer"
+
+
+@query(f"""with {_journey_sql('inbound')}, craft as ({_CRAFT}), best as (select i.hex, total_nm as nm, t_start as first, reg, label from inbound i join craft using (hex)),
+alone as (select label from best group by label having count(*) = 1),
+pick as (select 1 as rank, hex, nm from (select * from best where nm < 600 order by nm desc, first, hex limit 4) union all select 2, hex, nm from (select * from best where hex % 10 = 1 order by first, hex limit 3)
+  union all select 3, hex, nm from (select * from best where not regexp_matches(reg, '^[Nn]') order by first, hex limit 4) union all select 4, hex, nm from (select * from best where label in (select label from alone) order by first, hex limit 3))
 select hex, min(rank) as rank, min(nm) as nm from pick group by hex""")
 def guided_tour(spark, d):
-    rows = journeys.journeys(chain(spark, d), "inbound", ORDERS).select("hex", "total_nm", "t_start")
-    # Inbound journeys are one an entity; the order of first journeys is (t_start, hex).
-    best = rows.groupBy("hex").agg(F.max("total_nm").alias("nm"), F.min("t_start").alias("first"))
-    order = [F.col("first"), F.col("hex")]
-    pick = lambda rank, cond, k, *by: best.where(cond).orderBy(*by, *order).limit(k).select(F.lit(rank).alias("rank"), "hex", "nm")
-    chosen = pick(1, "nm < 600", 4, F.desc("nm")).union(pick(2, "hex % 10 = 1", 3)).union(pick(3, "hex % 7 <> 0", 4))
-    return chosen.groupBy("hex").agg(F.min("rank").alias("rank"), F.min("nm").alias("nm"))
+    craft = table(spark, d, "customer").selectExpr(
+        "c_custkey as hex", "concat(if(c_custkey % 7 = 0, 'N', 'c-'), c_custkey) as reg", "if(c_custkey % 31 = 3, concat('T', c_custkey), c_mktsegment) as label"
+    )
+    # Inbound journeys are one an entity, so each is its entity's longest and first.
+    rows = journeys.journeys(chain(spark, d), "inbound", ORDERS).select("hex", F.col("total_nm").alias("nm"), F.col("t_start").alias("first")).join(craft, "hex")
+    return reports.guided_tour(rows.withColumn("military", F.col("hex") % 10 == 1), 600.0)
 
 
 @query("select event_id, epoch_us(ts) // 300000000 * 300 as bucket, strftime(ts, '%a %b ') || cast(day(ts) as varchar) as label from events")
@@ -512,7 +510,7 @@ def corridor_point_series(spark, d):
     return series.select("hex", "day", "seg", F.array_max(times).alias("last_t"), F.size("p").alias("n_pts"))
 
 
-SUN = """t as (select cast(1750420800 + range * 21600 as double) as t from range(8)), a as (select t, t / 86400 + 2440587.5 - 2451545.0 as d from t),
+SUN = """t as (select distinct floor(epoch(ts) / 21600) * 21600 as t from events), a as (select t, t / 86400 + 2440587.5 - 2451545.0 as d from t),
 b as (select t, d, radians(fmod(fmod(cast(357.528 as double) + d * cast(0.9856003 as double), 360) + 360, 360)) as g from a),
 c as (select t, d, radians(fmod(fmod(280.46 + d * cast(0.9856474 as double), 360) + 360, 360) + 1.915 * sin(g) + 0.02 * sin(2 * g)) as l, radians(23.439 - d * 0.0000004) as e from b),
 f as (select t, degrees(asin(sin(e) * sin(l))) as la, degrees(atan2(cos(e) * sin(l), cos(l))) as ra, fmod(fmod(cast(280.46061837 as double) + d * cast(360.98564736629 as double), 360) + 360, 360) as st from c),
@@ -521,18 +519,19 @@ sun as (select t, la, fmod(fmod(ra - st + 180, 360) + 360, 360) - 180 as lo from
 
 @query(f"with {SUN} select t, round(la, 4) as lat, round(lo, 4) as lon from sun")
 def subsolar_points(spark, d):
-    return _sun(spark).select("t", F.round("s.lat", 4).alias("lat"), F.round("s.lon", 4).alias("lon"))
+    return _sun(spark, d).select("t", F.round("s.lat", 4).alias("lat"), F.round("s.lon", 4).alias("lon"))
 
 
-def _sun(spark) -> DataFrame:
-    times = spark.range(8).select((F.lit(1750420800) + F.col("id") * 21600).cast("double").alias("t"))
+def _sun(spark, d) -> DataFrame:
+    """Every six hours in which there are events."""
+    times = table(spark, d, "events").select((F.floor(F.expr(epoch("ts")) / 21600) * 21600).cast("double").alias("t")).distinct()
     return times.withColumn("s", geo.subsolar(F.col("t")))
 
 
 @query(f"""with {SUN} select t, cast(x as double) as lon, round(greatest(least(degrees(atan(-cos(radians(x - lo)) / tan(radians(la)))), 89.9), -89.9), 3) as lat
 from sun, (select -180 + range * 3 as x from range(121)) union all select t, x, case when la >= 0 then -90.0 else 90.0 end from sun, (values (180.0), (-180.0)) v(x)""")
 def night_rings(spark, d):
-    rings = _sun(spark).select("t", F.explode(geo.night_ring(F.col("s.lat"), F.col("s.lon"))).alias("p"))
+    rings = _sun(spark, d).select("t", F.explode(geo.night_ring(F.col("s.lat"), F.col("s.lon"))).alias("p"))
     return rings.select("t", "p.lon", F.round("p.lat", 3).alias("lat"))
 
 

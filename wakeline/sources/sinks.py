@@ -1,48 +1,57 @@
-"""Sinks: day-partitioned tables, documents by key, packed points."""
+"""Sinks: day-partitioned tables and packed points; documents by key are in ``documents``."""
 
 from __future__ import annotations
 
-import struct
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wakeline.operators.reports import numbered
+from wakeline.sources.packed import PackedRecords
+
 
 def write_traces(points: DataFrame, path: str) -> None:
     """Parquet by day, sorted by entity and time inside each file."""
     points.repartition("day", "hex").sortWithinPartitions("day", "hex", "ts").write.partitionBy("day").option("compression", "zstd").parquet(path, mode="overwrite")
 
 
-def write_documents(docs: DataFrame, key: str, path: str) -> None:
-    """One folder for each key with its JSON document; keys that are no plain names are left out."""
-    docs.where(F.col(key).rlike("^[A-Za-z0-9_-]+$")).select(key, F.col("doc").alias("value")).write.mode("overwrite").partitionBy(key).text(path)
-
+def segment_offsets(points: DataFrame, least: int = 2) -> DataFrame:
+    """(hex, seg, segment, start, n) of the segments with ``least`` points or more: their number and the points before them.
 
-def packed_points(points: DataFrame, t0: float) -> DataFrame:
-    """(hex, seg, n, points): float32 quads [t - t0, lon, lat, 0] of each segment in time order.
-
-    Segments are gathered as arrays, so a segment (capped by downsampling) is the unit of memory.
+    Segments are ordered by their first instant, then by hex and seg. Counts are summed by day first, so no
+    order over all segments is needed.
     """
-    rows = points.groupBy("hex", "seg").agg(F.sort_array(F.collect_list(F.struct("ts", "lon", "lat"))).alias("p"))
+    sizes = points.groupBy("hex", "seg").agg(F.count("*").alias("n"), F.min("ts").alias("t_start")).where(F.col("n") >= least)
+    return numbered(sizes, "t_start", ["hex", "seg"], size="n").select("hex", "seg", F.col("id").alias("segment"), "start", "n")
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hexes, segs, lists = (batch.column(i).to_pylist() for i in range(3))
-            data = [b"".join(struct.pack("<4f", q["ts"] - t0, q["lon"], q["lat"], 0.0) for q in p) for p in lists]
-            yield pa.RecordBatch.from_arrays([pa.array(hexes, pa.int64()), pa.array(segs, pa.int64()), pa.array(list(map(len, lists)), pa.int32()), pa.array(data, pa.binary())], names=["hex", "seg", "n", "points"])
 
-    return rows.select(F.col("hex").cast("long"), F.col("seg").cast("long"), "p").mapInArrow(pack, "hex long, seg long, n int, points binary")
+def packed_rows(points: DataFrame, offsets: DataFrame, t0: float) -> DataFrame:
+    """(pos, t, lon, lat, alt): each point's place in the file, and float32 quads [ts - t0, lon, lat, 0].
 
+    Points are numbered within days of their segment, so a long segment is no single window.
+    """
+    rows = numbered(points.select("hex", "seg", "ts", "lon", "lat"), "ts", ["lon", "lat"], within=["hex", "seg"])
+    rows = rows.join(offsets, ["hex", "seg"])
+    single = lambda c: c.cast("float")
+    return rows.select((F.col("start") + F.col("id")).alias("pos"), single(F.col("ts") - t0).alias("t"), single(F.col("lon")).alias("lon"), single(F.col("lat")).alias("lat"), F.lit(0.0).cast("float").alias("alt"))
 
-def unpacked_points(packed: DataFrame) -> DataFrame:
-    """The inverse of ``packed_points``: (hex, seg, i, t, lon, lat, alt)."""
 
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(h, s, i, *q) for h, s, _, b in zip(*(batch.column(i).to_pylist() for i in range(4))) for i, q in enumerate(struct.iter_unpack("<4f", b))]
-            kinds = [pa.int64(), pa.int64(), pa.int32(), *[pa.float32()] * 4]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["hex", "seg", "i", "t", "lon", "lat", "alt"])
+def write_packed(points: DataFrame, path: str, t0: float, least: int = 2) -> None:
+    """``points.bin`` of all segments of (hex, seg, ts, lon, lat), one after another, ``points.idx`` with each one's offset, and the table ``offsets``.
 
-    return packed.select("hex", "seg", "n", "points").mapInArrow(unpack, "hex long, seg long, i int, t float, lon float, lat float, alt float")
+    Ids keep their types. The folder exists. The offsets are written first and read back, so both files hold the same segments.
+    """
+    spark = points.sparkSession
+    spark.dataSource.register(PackedRecords)
+    segment_offsets(points, least).write.mode("overwrite").parquet(f"{path}/offsets")
+    offsets = spark.read.parquet(f"{path}/offsets")
+    put = lambda rows, name: rows.sortWithinPartitions("pos").write.format("packed_records").mode("overwrite").save(f"{path}/{name}")
+    put(packed_rows(points, offsets, t0).repartitionByRange("pos"), "points.bin")
+    put(offsets.select(F.col("segment").alias("pos"), "start", "n").repartitionByRange("pos"), "points.idx")
+
+
+def read_packed(spark: SparkSession, path: str, points: int | None = None) -> DataFrame:
+    """(hex, seg, i, t, lon, lat, alt) of ``write_packed``'s folder; ``points``: how many make a partition, about."""
+    spark.dataSource.register(PackedRecords)
+    reader = spark.read.format("packed_records").option("index", f"{path}/points.idx")
+    rows = (reader.option("points", points) if points else reader).load(f"{path}/points.bin")
+    return rows.join(spark.read.parquet(f"{path}/offsets").select("hex", "seg", "segment"), "segment").drop("segment")
