@@ -247,3 +247,25 @@ def test_sharding(make, prose, odd_rows):
     assert len(odd) == len(odd_rows) and {r.size for r in odd if r.text is None} == {1}
     assert len({(r.shard) for r in odd if r.doc_id == 8}) == 1
     assert sharding.shard(make([])).count() == 0
+
+
+@pytest.mark.parametrize("edits", [1, 2])
+def test_recall_with_long_decoys(make, edits):
+    """Earlier documents hold 45-word parts of the copy, each too short to count; the passage itself is edited."""
+    rng = random.Random(77 + edits)
+    words = lambda n: [f"v{rng.randrange(200_000)}" for _ in range(n)]
+    rows, near = [], set()
+    for case in range(60):
+        passage = words(rng.randint(60, 90))
+        copy = list(passage)
+        for spot in rng.sample(range(5, len(copy) - 5), edits):
+            copy[spot] = words(1)[0]
+        for k in range(0, len(copy) - 45, 15):
+            rows.append((len(rows), " ".join(words(40) + copy[k : k + 45] + words(40))))
+        rows.append((len(rows), " ".join(words(40) + copy[-45:] + words(40))))
+        a, b = ({tuple(p[i : i + 5]) for i in range(len(p) - 4)} for p in (passage, copy))
+        rows += [(1_000_000 + 2 * case, " ".join(words(70) + passage + words(60))), (1_000_001 + 2 * case, " ".join(words(50) + copy + words(80)))]
+        if len(a & b) >= 0.8 * len(b):
+            near.add(1_000_001 + 2 * case)
+    got = {r.doc_id for r in substring.find_passages(make(rows)).collect() if r.spans}
+    assert len(near) > 40 and len(near & got) >= 0.9 * len(near)

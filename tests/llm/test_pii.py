@@ -137,3 +137,14 @@ def test_entities_leave_other_columns_alone(make):
         df = df.withColumn(name, F.lit("mine"))
     got = {r.doc_id: r for r in pii.replace_entities(df).collect()}
     assert all(r[n] == "mine" for r in got.values() for n in names) and "912" not in got[1].text and got[2].text is None
+
+
+def test_long_secrets_and_titles_in_capitals(make):
+    """No length makes a secret pass; titles in capitals, possessives and both apostrophes."""
+    secrets = ["0123456789abcdef" * 10, "ghp_" + "a1B2" * 70, "eyJ" + "ab12" * 10 + "." + "c3D4" * 1500 + "." + "x9" * 900, "sk-" + "Zz9" * 200]
+    got = replaced(make, *[f"key {s} end" for s in secrets], "MR. SMITH came", "Mr. Smith saw Mr. Smith's dog", "Mr. O'Brien and Mr. O’Brien")
+    assert all(g.startswith("key ") and g.endswith(" end") and s not in g and s[:40] not in g[4:] for s, g in zip(secrets, got))
+    assert "SMITH" not in got[4] and got[4].startswith("MR. ")
+    first, second = re.fullmatch(r"Mr\. (\S+) saw Mr\. (\S+)'s dog", got[5]).groups()
+    assert first == second != "Smith"
+    assert "Brien" not in got[6]

@@ -175,3 +175,30 @@ def test_deduplicate_clashing_columns(make):
         df = df.withColumn(name, F.lit("mine"))
     got = simhash.deduplicate(df).collect()
     assert sorted(r.doc_id for r in got) == [1, 3] and all(r["_gone"] == r["root"] == "mine" for r in got)
+
+
+def test_pairs_within_a_large_template_family(make):
+    """Thousands of texts of one template, about 0.63 alike, with planted pairs of 0.8 and more among them."""
+    rng = random.Random(12)
+    words = lambda n: [f"w{rng.randrange(100_000)}" for _ in range(n)]
+    template = words(300)
+
+    def filled(base, slots):
+        out = list(base)
+        for _ in range(slots):
+            out[rng.randrange(len(out))] = words(1)[0]
+        return out
+
+    rows, pairs = [], []
+    for i in range(4_200):
+        mine = filled(template, 16)
+        rows.append((10 * i, " ".join(mine)))
+        if i % 21 == 0:
+            copy = filled(mine, 6)
+            rows.append((10 * i + 1, " ".join(copy)))
+            a, b = ({tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (mine, copy))
+            if len(a & b) >= 0.8 * len(a | b):
+                pairs.append((10 * i, 10 * i + 1))
+    got = {r.doc_id: r.component_id for r in simhash.similar(make(rows)).collect()}
+    assert len(pairs) > 100
+    assert sum(got[a] == got[b] for a, b in pairs) >= 0.95 * len(pairs)

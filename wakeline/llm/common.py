@@ -5,8 +5,10 @@ from __future__ import annotations
 import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterator, Sequence
+import zlib
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,6 +102,29 @@ def own_names(df: DataFrame, *kept: str) -> tuple[DataFrame, dict[str, Column]]:
     return df.select([F.col(f"`{c}`").alias(n) for c, n in names.items()]), {c: F.col(n).alias(c) for c, n in names.items()}
 
 
+def tree_sum(rows: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], np.ndarray]) -> np.ndarray:
+    """The sum of the arrays of counts that ``count`` makes of each task's rows, added up as a tree.
+
+    There is one array a task, so tasks are as few as the cluster has cores; arrays travel packed, as most counts are small.
+    """
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array([packed(count(batches))], pa.binary())], names=["counts"])
+
+    def packed(counts: np.ndarray) -> bytes:
+        return zlib.compress(counts.astype(np.int64).tobytes(), 1)
+
+    def unpacked(counts: bytes) -> np.ndarray:
+        return np.frombuffer(zlib.decompress(counts), np.int64)
+
+    arrays = few_tasks(rows).mapInArrow(counted, "counts binary").rdd.map(lambda r: bytes(r["counts"]))
+    return unpacked(arrays.treeReduce(lambda a, b: packed(unpacked(a) + unpacked(b)), 2))
+
+
+def few_tasks(rows: DataFrame) -> DataFrame:
+    return rows.coalesce(max(2, rows.sparkSession.sparkContext.defaultParallelism))
+
+
 _ARROW = {
     "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(),
     "boolean": pa.bool_(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64()),

@@ -49,13 +49,19 @@ CALLING = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
 #: What access tokens begin with. Fixed values.
 TOKENS = "AKIA|ASIA|AIza|gh[pousr]_|github_pat_|glpat-|sk-|xox[abeprs]-|eyJ"
 
-_TITLE = "|".join(t for names in TITLES.values() for t in names)
-_NAME = r"\p{Lu}[\p{L}’'-]++"
+def _any_case(titles: tuple[str, ...]) -> str:
+    """Forms of address as they are and in capitals."""
+    return "|".join(dict.fromkeys(x for t in titles for x in (t, t.upper())))
+
+
+_TITLE = _any_case(tuple(t for names in TITLES.values() for t in names))
+#: A capitalized word; an apostrophe belongs to it between letters, but for a possessive s.
+_NAME = r"\p{Lu}(?:[\p{L}-]|['’](?=\p{L})(?![sS](?!\p{L})))++"
 #: Kind of entity to its pattern, in order of precedence.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,24}",
-    "token": r"(?<![A-Za-z0-9_-])(?:A[KS]IA[0-9A-Z]{16}|AIza[0-9A-Za-z_-]{35}|gh[pousr]_[A-Za-z0-9]{36,255}|github_pat_[A-Za-z0-9_]{22,255}|glpat-[A-Za-z0-9_-]{20,64}|sk-[A-Za-z0-9_-]{20,255}|xox[abeprs]-[A-Za-z0-9-]{10,255}|eyJ[A-Za-z0-9_-]{8,2048}\.[A-Za-z0-9_-]{8,4096}\.[A-Za-z0-9_-]{8,1024})(?![A-Za-z0-9_-])",
-    "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![A-Za-z0-9])",
+    "token": r"(?<![A-Za-z0-9_-])(?:A[KS]IA[0-9A-Z]{16}|AIza[0-9A-Za-z_-]{35}|gh[pousr]_[A-Za-z0-9]{36,}+|github_pat_[A-Za-z0-9_]{22,}+|glpat-[A-Za-z0-9_-]{20,}+|sk-[A-Za-z0-9_-]{20,}+|xox[abeprs]-[A-Za-z0-9-]{10,}+|eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+)(?![A-Za-z0-9_-])",
+    "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?=(?:[ A-Z]{0,6}\d){8})(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "card": r"(?<![A-Za-z0-9])(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?![A-Za-z0-9])",
     "ipv6": r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=[0-9A-Fa-f:]{0,39}\d)[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?)(?![\w:])",
@@ -95,7 +101,7 @@ def bare_name(person: Column) -> Column:
 
 def _told(person: Column, gender: str) -> Column:
     """Whether a mention's form of address tells this gender."""
-    return person.rlike(rf"^(?:(?:{_TITLE})\.? )?(?:{'|'.join(TITLES[gender])})\.? ")
+    return person.rlike(rf"^(?:(?:{_TITLE})\.? )?(?:{_any_case(TITLES[gender])})\.? ")
 
 
 def names_told(found: Column, gender: str | None = None) -> Column:
@@ -124,7 +130,7 @@ def canonical(entity: Column, kind: Column) -> Column:
         .when(kind == "iban", F.regexp_replace(entity, " ", ""))
         .when(kind == "ipv6", F.array_join(_groups(F.lower(entity)), ":"))
         .when(kind == "token", entity)
-        .when(kind == "person", F.lower(bare_name(entity)))
+        .when(kind == "person", F.lower(F.translate(bare_name(entity), "’", "'")))
         .otherwise(F.lower(entity))
     )
 

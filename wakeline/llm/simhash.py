@@ -20,6 +20,8 @@ of its own, so no task holds such a group whole.
 ``similar`` is for texts: five-word shingles, a Jaccard similarity. Four bits
 are far less than similarity 0.8, so the index's links are joined by those of
 a second sketch (bands of min-hashes), and every link is verified on the texts.
+Texts of one template share bands without being similar, so a third sketch looks at the rarest quarter of a
+text's shingles alone: two texts of 0.8 share over a third of those, which no template has.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import arrow_rows, cut_lineage, documents, shuffle_partitions, text_or_empty
+from wakeline.llm.common import arrow_rows, cut_lineage, documents, shuffle_partitions, text_or_empty, tree_sum
 from wakeline.llm.components import connected
 
 BITS = 4
@@ -54,6 +56,9 @@ SIMILARITY = 0.8
 BANDS = 10
 ROWS = 4
 _ODD = np.random.default_rng(70707).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Single min-hashes over the rarest shingles, one in RAREST, and the counters that tell how rare a shingle is.
+RARE, RAREST, COUNTERS = 24, 4, 1 << 20
+_ODD_RARE = np.random.default_rng(70708).integers(0, 1 << 63, RARE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -360,8 +365,15 @@ def near_duplicates(df: DataFrame) -> DataFrame:
 _SKETCH = "at long, whole binary, fp long, bands array<long>"
 
 
-def sketch(text: str, words: int) -> tuple[bytes, int, list[int]]:
-    """A text's exact hash (of its words), SimHash and bands of min-hashes."""
+def rarest(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The quarter of the distinct hashes with the lowest counts, eight at least; ties by hash, so all texts order alike."""
+    distinct = np.unique(hashes)
+    order = np.argsort(counts[(distinct & np.uint64(len(counts) - 1)).astype(np.int64)], kind="stable")
+    return distinct[order[: max(8, -(-len(distinct) // RAREST))]]
+
+
+def sketch(text: str, words: int, counts: np.ndarray) -> tuple[bytes, int, list[int]]:
+    """A text's exact hash (of its words), SimHash, and keys: bands of min-hashes and min-hashes of its rarest shingles."""
     from xxhash import xxh3_128_digest
 
     hashes = shingle_hashes(text, words)
@@ -376,13 +388,36 @@ def sketch(text: str, words: int) -> tuple[bytes, int, list[int]]:
     bands = np.arange(BANDS, dtype=np.uint64)
     for row in low.reshape(BANDS, ROWS).T:
         bands = (bands ^ (bands >> np.uint64(29))) * _MIX + row
-    return whole, signed(fingerprint_of(hashes)), bands.view(np.int64).tolist()
+    mixed = rarest(hashes, counts)[None, :] * _ODD_RARE[:, None]
+    rare = (mixed ^ (mixed >> np.uint64(32))).min(axis=1) * _MIX + np.arange(BANDS, BANDS + RARE, dtype=np.uint64)
+    return whole, signed(fingerprint_of(hashes)), np.concatenate((bands, rare)).view(np.int64).tolist()
+
+
+def _shingle_counts(texts: DataFrame, words: int) -> np.ndarray:
+    """How many shingles of all texts fall on each counter: an upper bound for each shingle, of a fixed size."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        total = np.zeros(COUNTERS, np.int64)
+        held, size = [], 0
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                held.append((shingle_hashes(text, words) & np.uint64(COUNTERS - 1)).astype(np.int64))
+                size += len(held[-1])
+                if size >= COUNTERS:
+                    total += np.bincount(np.concatenate(held), minlength=COUNTERS)
+                    held, size = [], 0
+        return total + np.bincount(np.concatenate(held), minlength=COUNTERS) if held else total
+
+    return np.minimum(tree_sum(texts, count), np.iinfo(np.int32).max).astype(np.int32)
 
 
 def _sketches(df: DataFrame, words: int) -> DataFrame:
+    texts = df.select(text_or_empty().alias("text"))
+    told = df.sparkSession.sparkContext.broadcast(_shingle_counts(texts, words))  # 4 MB
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield arrow_rows([(d, *sketch(t, words)) for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())], _SKETCH)
+            yield arrow_rows([(d, *sketch(t, words, told.value)) for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())], _SKETCH)
 
     slim = df.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return slim.mapInArrow(run, _SKETCH).withColumnRenamed("at", "doc_id")
@@ -391,8 +426,9 @@ def _sketches(df: DataFrame, words: int) -> DataFrame:
 def _candidates(nodes: DataFrame) -> DataFrame:
     """Pairs (a, b), a < b, of nodes (first, fp, bands) that may be similar: index links, equal fingerprints, shared bands.
 
-    In a band each node meets one other, its leader by one of two random orders,
-    so that a band which very many nodes share gives no more pairs than nodes.
+    For a key each node meets one other, its leader by one of two random orders,
+    so that a key which very many nodes share gives no more pairs than nodes. Keys of rare shingles are shared
+    by few nodes, whatever text all have in common, so a node that fails with one leader has others.
     """
     heads = nodes.groupBy("fp").agg(F.min("first").alias("head"))
     links = near_links(heads.select("fp"))
@@ -422,7 +458,7 @@ def similar(df: DataFrame, words: int = SHINGLE, similarity: float = SIMILARITY)
     Texts with the same words (A-Z lower-cased) are one node. Candidate links
     come from the Gray index and from bands of min-hashes; each is verified on
     the two texts' shingle sets, so no component holds a link below
-    ``similarity``. A pair of 0.8 shares no band once in two hundred times.
+    ``similarity``. A pair of 0.8 shares no band once in two hundred times, and none of the keys of rare shingles once in many thousand.
     component_id is the component's smallest doc_id. Rows with a null doc_id
     are left out; repeated rows are one document; a null text counts as empty; an empty
     table gives no rows.

@@ -9,8 +9,10 @@ the minima of all runs of PASSAGE shingles, about 2 n / PASSAGE of them, and are
 found for many texts at once (``run_minima``). Two passages with similarity s share
 a node's hash under each of FUNCTIONS functions with probability s.
 
-Nodes meet on (function, min-hash). A node is linked with the first document
-of its hash, never with all others: blocks of documents are first
+Nodes meet on (function, min-hash). A node is linked with one other document
+of its hash, never with all: with the first for half of the hashes, for the other half with one that a seeded order
+picks. So documents that hold parts of a passage don't stand between it and its copies: another hash picks
+another document. Blocks of documents are first
 reduced inside the task that read them, so a passage that a third of all
 documents share comes to the shuffle once for each block.
 
@@ -191,6 +193,7 @@ _LINKS = "k long, b long, a long, at long"
 def _reduced(block: Block, key: np.ndarray, at: np.ndarray, kind: np.ndarray, thin: bool) -> pa.RecordBatch:
     """A block's windows: those of the first document of each key (a null), the others linked with it.
 
+    A linked row's partner is the key's first document, or for every other key (``seeded``) a seeded one of the documents before its own.
     Linked rows get a key of their own, so that the shuffle spreads them. ``at``
     holds the place in b, whether other documents of the block have the key,
     the kind and the place in a. A document's rows follow each other, which halves the
@@ -204,11 +207,15 @@ def _reduced(block: Block, key: np.ndarray, at: np.ndarray, kind: np.ndarray, th
     new[1:] = key[1:] != key[:-1]
     head = np.maximum.accumulate(np.where(new, np.arange(n), 0))
     linked = doc != doc[head]
+    new_doc = new | np.concatenate(([True], doc[1:] != doc[:-1]))[:n]
+    before = np.maximum.accumulate(np.where(new_doc, np.arange(n), 0)) - head  # the key's rows of earlier documents
+    draw = ((key ^ doc.astype(np.uint64)) * _MIX) >> np.uint64(33)
+    picked = head + np.where(linked & _seeded(key, kind), (draw % np.maximum(before, 1).astype(np.uint64)).astype(np.int64), 0)
     shared = np.zeros(n, bool)
     shared[head[linked]] = True
     shared = shared[head] & ~linked
     k = np.where(linked, (doc.astype(np.uint64) * _MIX) ^ (key >> np.uint64(8)), key)
-    a, a_place = doc[head], np.where(linked, place[head], 0)
+    a, a_place = doc[picked], np.where(linked, place[picked], 0)
     order = np.lexsort((place, a_place // THIN, np.where(linked, a, -1), doc)) if thin else np.lexsort((place, doc))
     k, b, a, a_place, place, kind, linked, shared = (x[order] for x in (k, doc, a, a_place, place, kind, linked, shared))
     packed = (place << 32) | (shared.astype(np.int64) << 31) | (kind << 28) | a_place
@@ -220,6 +227,11 @@ def _reduced(block: Block, key: np.ndarray, at: np.ndarray, kind: np.ndarray, th
     return pa.RecordBatch.from_arrays(arrays, names=["k", "b", "a", "at"])
 
 
+def _seeded(key: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Keys whose partner a seeded order picks: every other one, but none of a whole run, which its first document surely has."""
+    return (key & np.uint64(1) == 1) & (kind != RUN)
+
+
 def own_repeats(mine: np.ndarray) -> list[tuple[int, int]]:
     """Runs [s, e) of a text's shingles that repeat an earlier part of the text, as ``matching_runs`` has them."""
     _, first, back = np.unique(mine, return_index=True, return_inverse=True)
@@ -288,11 +300,15 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _with_first(rows: DataFrame) -> DataFrame:
-    """Rows whose key several documents have, with ``first`` (b, at), the key's first document and its place."""
+    """Rows whose key several documents have, with ``first`` (b, at), the key's first document and its place, or for a seeded key the one that a seeded order has first."""
     keyed = Window.partitionBy("k")
-    rows = rows.withColumns({"first": F.min(F.when(F.col("a").isNull(), F.struct("b", "at"))).over(keyed), "last": F.max("b").over(keyed)})
+    seeded = (F.col("k").bitwiseAND(F.lit(1)) == 1) & (_kind(F.col("at")) != RUN)
+    order = F.when(seeded, F.xxhash64("k", "b")).otherwise(F.lit(0))
+    least = F.min(F.when(F.col("a").isNull(), F.struct(order.alias("order"), "b", "at"))).over(keyed)
+    low, high = (f("b").over(keyed) for f in (F.min, F.max))
+    rows = rows.withColumns({"first": least, "low": low, "high": high})
     held = F.col("at").bitwiseAND(F.lit(1 << 31)) != 0
-    return rows.where(F.col("a").isNotNull() | held | (F.col("first.b") < F.col("last"))).drop("last")
+    return rows.where(F.col("a").isNotNull() | held | (F.col("low") < F.col("high"))).drop("low", "high")
 
 
 def _place(at: Column) -> Column:
@@ -304,15 +320,15 @@ def _kind(at: Column) -> Column:
 
 
 def _links(rows: DataFrame) -> DataFrame:
-    """(b, a, cb, ca, kind) of the linked rows, and of the others with their key's first document."""
+    """(b, a, cb, ca, kind) of the linked rows, and of the others with the document that their key picked; a is the earlier one."""
     linked = F.col("a").isNotNull()
-    return rows.where(linked | (F.col("b") > F.col("first.b"))).select(
-        "b",
-        F.coalesce("a", "first.b").alias("a"),
-        _place(F.col("at")).alias("cb"),
-        F.when(linked, F.col("at").bitwiseAND(F.lit((1 << 28) - 1))).otherwise(_place(F.col("first.at"))).alias("ca"),
-        _kind(F.col("at")).alias("kind"),
-    )
+    later = F.col("b") > F.col("first.b")
+    side = lambda yes, no: F.when(linked | later, yes).otherwise(no)
+    mine, its = _place(F.col("at")), F.when(linked, F.col("at").bitwiseAND(F.lit((1 << 28) - 1))).otherwise(_place(F.col("first.at")))
+    other = F.coalesce("a", "first.b")
+    return rows.where(linked | (F.col("b") != F.col("first.b"))).select(
+        side(F.col("b"), other).alias("b"), side(other, F.col("b")).alias("a"), side(mine, its).alias("cb"), side(its, mine).alias("ca"), _kind(F.col("at")).alias("kind"),
+    )
 
 
 def joined_intervals(b: np.ndarray, a: np.ndarray, cb: np.ndarray, ca: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, ...]:
