@@ -7,12 +7,10 @@ but the last stage return the columns of documents.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from wakeline.llm import packing, pii, quality, simhash, substring
-from wakeline.llm.common import checkpoint_folder
+from wakeline.llm.common import delete_folder, scratch_folder, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,26 +66,16 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``.
 
     Between stages the rows are written to the session's checkpoint folder and
-    read again; a stage's rows are deleted once the next one's are written, the last ones with the session's folder.
+    read again; a stage's rows are deleted once the next one's are written, the last ones
+    with the application's checkpoints when the driver's JVM ends.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder, last = None, None
     for name, stage in STAGES[:-1]:
         out = stage(spark, docs, sf_dir)
-        folder = folder or _folder(spark)
-        out.write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+        folder = folder or scratch_folder(spark, "pipeline")
+        docs = written(out, f"{folder}/{name}")
         if last:
-            _delete(spark, last)
+            delete_folder(spark, last)
         last = f"{folder}/{name}"
     return STAGES[-1][1](spark, docs, sf_dir)
-
-
-def _folder(spark: SparkSession) -> str:
-    """A new folder beside the checkpoints, in the store that all executors share."""
-    return f"{checkpoint_folder(spark)}/pipeline-{uuid.uuid4().hex}"
-
-
-def _delete(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
