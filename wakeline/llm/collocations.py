@@ -16,7 +16,6 @@ Bounds: counters, a part of the candidates and a part of the words have fixed si
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from itertools import repeat
@@ -26,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import arrow_batches, delete_folder, documents, scratch_folder, text_or_empty, written
+from wakeline.llm.common import arrow_batches, delete_folder, documents, few_tasks, scratch_folder, text_or_empty, tree_sum, written
 
 LEAST = 100
 LONGEST = 5
@@ -196,28 +195,16 @@ def _keys(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[np.ndarray]:
         yield np.concatenate(held)
 
 
-def _few(chunks: DataFrame) -> DataFrame:
-    """What windows need, in as many tasks as the cluster has cores: each makes one array, or each key once."""
-    return chunks.select("own", "words", "at").coalesce(max(2, chunks.sparkSession.sparkContext.defaultParallelism))
-
-
 def _tree_sum(chunks: DataFrame, k: int, size: int, places: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
-    """How often each place below ``size`` is met by the windows' keys; arrays of tasks are summed as a tree."""
+    """How often each place below ``size`` is met by the windows' keys."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         total = np.zeros(size, np.int64)
         for keys in _keys(batches, k):
             total += np.bincount(places(keys), minlength=size)
-        yield pa.RecordBatch.from_arrays([pa.array([packed(total)], pa.binary())], names=["counts"])
-
-    def packed(counts: np.ndarray) -> bytes:  # most counts are small
-        return zlib.compress(counts.tobytes(), 1)
-
-    def unpacked(counts: bytes) -> np.ndarray:
-        return np.frombuffer(zlib.decompress(counts), np.int64)
+        return total
 
-    arrays = _few(chunks).mapInArrow(count, "counts binary").rdd.map(lambda r: bytes(r["counts"]))
-    return unpacked(arrays.treeReduce(lambda a, b: packed(unpacked(a) + unpacked(b)), 2))
+    return tree_sum(chunks.select("own", "words", "at"), count)
 
 
 def _bucket(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
@@ -241,13 +228,15 @@ def _candidates(chunks: DataFrame, k: int, n_windows: int, least: int) -> DataFr
     told = spark.sparkContext.broadcast(full)  # half a MB for each 64 million windows
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = told.value
+        bits, given = told.value, np.zeros(0, np.int64)
         for keys in _keys(batches, k):
             part, bucket = _bucket(keys, parts)
             at = part * BUCKETS + bucket
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(keys[(bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1]), pa.int64())], names=["key"])
+            new = np.setdiff1d(keys[(bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1], given)
+            given = np.union1d(given, new) if len(given) < PART else new
+            yield pa.RecordBatch.from_arrays([pa.array(new, pa.int64())], names=["key"])
 
-    return chunks.select("own", "words", "at").mapInArrow(distinct, "key long").distinct()
+    return few_tasks(chunks.select("own", "words", "at")).mapInArrow(distinct, "key long").distinct()
 
 
 def _needed(words: np.ndarray, at: np.ndarray, own: int) -> tuple[int, np.ndarray, np.ndarray]:
