@@ -73,3 +73,12 @@ def test_headers_alone_are_written_and_read(spark, tmp_path):
     rows = [capture(1, "http://a.com/1", 1704067200, body="no headers"), capture(2, "http://a.com/2", 1704067200, headers={"a": "b"}, body="")]
     warc.write_warc(spark.createDataFrame(rows, warc.COLUMNS), str(tmp_path / "w"))
     assert sorted((r.url[-1], bytes(r.body)) for r in warc.read_warc(spark, str(tmp_path / "w")).collect()) == [("1", b"no headers"), ("2", b"")]
+
+
+def test_one_header_in_two_cases(spark):
+    from wakeline.llm import warc
+
+    rows = [(1, "http://a.org/", 10, "response", 200, {"ETag": "old", "etag": "x"}, "body"), (2, "http://a.org/", 20, "revisit", 304, {"etag": "x", "ETAG": "x"}, None)]
+    df = spark.createDataFrame(rows, "record_id long, url string, ts long, kind string, status int, headers map<string,string>, body string")
+    got = warc.resolve_revisits(df).collect()
+    assert [(r.source_id, r.outcome) for r in got] == [(1, "resolved")]

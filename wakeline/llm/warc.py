@@ -193,10 +193,12 @@ def resolve_revisits(captures: DataFrame, bucket: int = BUCKET) -> DataFrame:
     validator present on both sides differs) or ``no_validator`` (neither side
     shares one). Only a resolved row has merged headers and a body. Repeated
     revisits are answered one for one; responses that share a record_id are one.
-    Header names count in any case (one name in two cases is an error of the captures).
+    Header names count in any case; of one name in two cases the last holds.
     """
-    lower = F.map_from_entries(F.transform(F.map_entries("headers"), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value"))))
-    captures = captures.withColumn("headers", lower)
+    lower = F.transform(F.map_entries("headers"), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
+    later = lambda i: F.transform(F.slice("_h", i + 2, F.size("_h")), lambda e: e["key"])
+    last = F.filter("_h", lambda e, i: ~F.array_contains(later(i), e["key"]))  # of one name in two cases
+    captures = captures.withColumn("_h", lower).withColumn("headers", F.map_from_entries(last)).drop("_h")
     head = F.col("headers")
     rows = captures.select(
         "record_id", canonical_url(F.col("url")).alias("url_key"), "ts", "kind", "status",
