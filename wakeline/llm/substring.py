@@ -10,7 +10,7 @@ found for many texts at once (``run_minima``). Two passages with similarity s sh
 a node's hash under each of FUNCTIONS functions with probability s.
 
 Nodes meet on (function, min-hash). A node is linked with one other document
-of its hash, never with all: with the first for half of the hashes, for the other half with one that a seeded order
+of its hash, never with all: with the first for half of the hashes, for the other half (those that few documents have) with one that a seeded order
 picks. So documents that hold parts of a passage don't stand between it and its copies: another hash picks
 another document. Blocks of documents are first
 reduced inside the task that read them, so a passage that a third of all
@@ -60,6 +60,8 @@ PART = 1 << 22
 HALF = 64
 #: Links of a block's contexts are thinned to one in so many places.
 THIN = 16
+#: A seeded order picks the partner of a key that so many rows have; of more it would find a given one too seldom, and the first serves them all.
+FEW = 32
 #: How far a copy's place may move against the original's between neighbouring matches within one text.
 DRIFT = 24
 
@@ -210,7 +212,7 @@ def _reduced(block: Block, key: np.ndarray, at: np.ndarray, kind: np.ndarray, th
     new_doc = new | np.concatenate(([True], doc[1:] != doc[:-1]))[:n]
     before = np.maximum.accumulate(np.where(new_doc, np.arange(n), 0)) - head  # the key's rows of earlier documents
     draw = ((key ^ doc.astype(np.uint64)) * _MIX) >> np.uint64(33)
-    picked = head + np.where(linked & _seeded(key, kind), (draw % np.maximum(before, 1).astype(np.uint64)).astype(np.int64), 0)
+    picked = head + np.where(linked & _seeded(key, kind) & (before <= FEW), (draw % np.maximum(before, 1).astype(np.uint64)).astype(np.int64), 0)
     shared = np.zeros(n, bool)
     shared[head[linked]] = True
     shared = shared[head] & ~linked
@@ -303,12 +305,13 @@ def _with_first(rows: DataFrame) -> DataFrame:
     """Rows whose key several documents have, with ``first`` (b, at), the key's first document and its place, or for a seeded key the one that a seeded order has first."""
     keyed = Window.partitionBy("k")
     seeded = (F.col("k").bitwiseAND(F.lit(1)) == 1) & (_kind(F.col("at")) != RUN)
-    order = F.when(seeded, F.xxhash64("k", "b")).otherwise(F.lit(0))
+    rows = rows.withColumn("rows", F.count("*").over(keyed))
+    order = F.when(seeded & (F.col("rows") <= FEW), F.xxhash64("k", "b")).otherwise(F.lit(0))
     least = F.min(F.when(F.col("a").isNull(), F.struct(order.alias("order"), "b", "at"))).over(keyed)
     low, high = (f("b").over(keyed) for f in (F.min, F.max))
     rows = rows.withColumns({"first": least, "low": low, "high": high})
     held = F.col("at").bitwiseAND(F.lit(1 << 31)) != 0
-    return rows.where(F.col("a").isNotNull() | held | (F.col("low") < F.col("high"))).drop("low", "high")
+    return rows.where(F.col("a").isNotNull() | held | (F.col("low") < F.col("high"))).drop("low", "high", "rows")
 
 
 def _place(at: Column) -> Column:
