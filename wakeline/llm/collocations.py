@@ -204,7 +204,7 @@ def _tree_sum(chunks: DataFrame, k: int, size: int, places: Callable[[np.ndarray
             total += np.bincount(places(keys), minlength=size)
         return total
 
-    return tree_sum(chunks.select("own", "words", "at"), count)
+    return tree_sum(chunks.select("own", "words", "at"), size, count)
 
 
 def _bucket(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:

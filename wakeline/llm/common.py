@@ -102,8 +102,8 @@ def own_names(df: DataFrame, *kept: str) -> tuple[DataFrame, dict[str, Column]]:
     return df.select([F.col(f"`{c}`").alias(n) for c, n in names.items()]), {c: F.col(n).alias(c) for c, n in names.items()}
 
 
-def tree_sum(rows: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], np.ndarray]) -> np.ndarray:
-    """The sum of the arrays of counts that ``count`` makes of each task's rows, added up as a tree.
+def tree_sum(rows: DataFrame, size: int, count: Callable[[Iterator[pa.RecordBatch]], np.ndarray]) -> np.ndarray:
+    """The sum of the arrays of ``size`` counts that ``count`` makes of each task's rows, added up as a tree.
 
     There is one array a task, so tasks are as few as the cluster has cores; arrays travel packed, as most counts are small.
     """
@@ -118,6 +118,8 @@ def tree_sum(rows: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], np.nda
         return np.frombuffer(zlib.decompress(counts), np.int64)
 
     arrays = few_tasks(rows).mapInArrow(counted, "counts binary").rdd.map(lambda r: bytes(r["counts"]))
+    if not arrays.getNumPartitions():
+        return np.zeros(size, np.int64)
     return unpacked(arrays.treeReduce(lambda a, b: packed(unpacked(a) + unpacked(b)), 2))
 
 

@@ -55,6 +55,8 @@ def _any_case(titles: tuple[str, ...]) -> str:
 
 
 _TITLE = _any_case(tuple(t for names in TITLES.values() for t in names))
+#: Tells at one look whether a form of address can begin here.
+_FIRST = f"(?=[{''.join(sorted({t[0] for names in TITLES.values() for t in names}))}])"
 #: A capitalized word; an apostrophe belongs to it between letters, but for a possessive s.
 _NAME = r"\p{Lu}(?:[\p{L}-]|['’](?=\p{L})(?![sS](?!\p{L})))++"
 #: Kind of entity to its pattern, in order of precedence.
@@ -68,11 +70,11 @@ PATTERNS = {
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d)",
     "phone": r"(?<![\w+])\+(?=(?:[ .()-]{0,2}\d){8})\d{1,4}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){1,5}(?!\w)|(?<![\w+.-])(?:\(\d{3}\)[ .-]?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\w|[.-]\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "person": rf"(?<![\p{{L}}])(?:(?:{_TITLE})\.? ){{1,2}}{_NAME}(?: {_NAME})?",
+    "person": rf"{_FIRST}(?<![\p{{L}}])(?:(?:{_TITLE})\.? ){{1,2}}{_NAME}(?: {_NAME})?",
 }
 ENTITY = "|".join(PATTERNS.values())
 #: A cheap test that any text with an entity passes.
-HINT = rf"[0-9@]|sk-|xox|eyJ|glpat|github_pat|(?:{_TITLE})\.? \p{{Lu}}"
+HINT = rf"[0-9@]|sk-|xox|eyJ|glpat|github_pat|{_FIRST}(?:{_TITLE})\.? \p{{Lu}}"
 #: Kinds whose surrogates are hashes; so are persons', by their parts.
 HASHED = ("email", "token", "secret", "ipv6")
 #: Surrogates can be made longer so many times.

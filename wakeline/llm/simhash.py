@@ -408,7 +408,7 @@ def _shingle_counts(texts: DataFrame, words: int) -> np.ndarray:
                     held, size = [], 0
         return total + np.bincount(np.concatenate(held), minlength=COUNTERS) if held else total
 
-    return np.minimum(tree_sum(texts, count), np.iinfo(np.int32).max).astype(np.int32)
+    return np.minimum(tree_sum(texts, COUNTERS, count), np.iinfo(np.int32).max).astype(np.int32)
 
 
 def _sketches(df: DataFrame, words: int) -> DataFrame:
