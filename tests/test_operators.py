@@ -281,6 +281,20 @@ def test_quantiles_by_counting(spark):
                 assert got[g, "b", i] == float(np.quantile(np.arange(len(vs)), q))
 
 
+def test_quantiles_of_extremes(spark):
+    """Infinite values, and finite ones whose difference is infinite, end the counting like any other."""
+    from wakeline.operators.quantiles import exact_quantiles
+
+    inf, most = float("inf"), 1.7976931348623157e308
+    groups = {0: [-inf, -most, 0.0, most, inf], 1: [-most, most, most], 2: [inf, inf, 1.0], 3: [-inf, inf], 4: [-5e-324, 0.0, 5e-324]}
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "g int, a double")
+    got = {(r.g, r.i): r.value for r in exact_quantiles(df, "g", ["a"], [0.0, 0.5, 1.0]).collect()}
+    for g, vs in groups.items():
+        ends, middle = sorted(vs), sorted(vs)[len(vs) // 2]
+        assert (got[g, 0], got[g, 2]) == (ends[0], ends[-1])
+        assert math.isnan(got[g, 1]) if g == 3 else got[g, 1] == middle
+
+
 def test_rounding_as_python(spark):
     from wakeline.functions.rounding import round_half_even
 
@@ -327,7 +341,7 @@ def test_stream_segments_as_batch(spark, tmp_path):
         for i in range(120):
             ts += float(rng.choice([0.2, 5, 20, 20, 20, 950]))
             lat += float(rng.choice([0, 0.001, 0.001, 0.4]))
-            rows.append((h, ts, lat, -88.5, 2 if i % 37 == 36 else 0))
+            rows.append((h, ts, lat, -88.5, 2 if i % 37 == 36 else None if i % 10 == 3 else 0))
     schema = "hex string, ts double, lat double, lon double, flags int"
     late = sorted(rows, key=lambda r: r[1] + float(rng.uniform(0, 300)))
     late = [*late, (None, 5.0, 1.0, 1.0, 0), ("zz", 9_000_000.0, 44.0, -88.5, 0)]
@@ -365,7 +379,7 @@ def test_airport_file(spark, tmp_path):
 def test_airport_files_have_all_fields(spark, tmp_path):
     from wakeline.sources.documents import write_documents
 
-    legs = spark.createDataFrame([("a1", "KOSH", "KX", 10.0, 20.0), ("b2", None, "KOSH", 5.0, 8.0), ("a1", "../x", "KOSH", 30.0, 40.0)], "hex string, from_apt string, to_apt string, t_start double, t_end double")
+    legs = spark.createDataFrame([("a1", "KOSH", "KX", 10.0, 20.0), ("b2", None, "KOSH", 5.0, 8.0), ("a1", "../x", "KOSH", 30.0, 40.0), ("a1", None, "KY\n", 1.0, 2.0)], "hex string, from_apt string, to_apt string, t_start double, t_end double")
     airports = spark.createDataFrame([("KOSH", "Wittman", "Oshkosh", "US-WI", 43.98, None)], "ident string, name string, city string, iso_region string, lat double, lon double")
     craft = spark.createDataFrame([("a1", "N1", "C172", None)], "hex string, reg string, type string, desc string")
     write_documents(places.airport_documents(places.airport_parts(places.touches(legs), airports, craft, 2)), str(tmp_path), "touches")

@@ -9,6 +9,7 @@ driver sees at most ``CELLS`` counts for each stretch; groups are few.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -29,7 +30,11 @@ def _narrowed(counts: DataFrame, group: str, stretches: list[tuple], cells: int)
     """For each stretch (group, column, low, high) its cells (cell, n, least, most), in order."""
     table = counts.sparkSession.createDataFrame([(i, *s) for i, s in enumerate(stretches)], f"_s int, {group} {counts.schema[group].dataType.simpleString()}, column string, low double, high double")
     met = counts.join(F.broadcast(table.withColumnRenamed(group, "_group").withColumnRenamed("column", "_column")), F.col(group).eqNullSafe(F.col("_group")) & (F.col("column") == F.col("_column")) & F.col("v").between(F.col("low"), F.col("high")))
-    cell = F.least(F.floor((F.col("v") - F.col("low")) / (F.col("high") - F.col("low")) * cells), F.lit(cells - 1)).alias("cell")
+    # Infinite values have cells of their own; halves where the difference of two finite values is infinite.
+    low, high = (F.greatest(F.least(F.col(c), F.lit(sys.float_info.max)), F.lit(-sys.float_info.max)) for c in ("low", "high"))
+    scale = F.when(high - low == math.inf, 0.5).otherwise(1.0)
+    inner = F.least(F.floor((F.col("v") * scale - low * scale) / F.nullif(high * scale - low * scale, F.lit(0.0)) * cells), F.lit(cells - 1))
+    cell = F.when(F.col("v") == -math.inf, -1).when(F.col("v") == math.inf, cells).otherwise(F.coalesce(inner, F.lit(0))).alias("cell")
     found: dict[tuple, list[tuple]] = {}
     for r in met.groupBy("_s", cell).agg(F.sum("n").alias("n"), F.min("v").alias("a"), F.max("v").alias("b")).collect():
         found.setdefault(stretches[r["_s"]], []).append((r["cell"], r["n"], r["a"], r["b"]))
@@ -39,7 +44,7 @@ def _narrowed(counts: DataFrame, group: str, stretches: list[tuple], cells: int)
 def exact_quantiles(rows: DataFrame, group: str, columns: Sequence[str], shares: Sequence[float], cells: int = CELLS) -> DataFrame:
     """(group, column, i, value): the i-th share's quantile of each column, linear between the two values around it.
 
-    Nulls and NaN are left out; a group without values has no rows; a null group is a group. Equal values are counted together first.
+    Nulls and NaN are left out; infinite values count, and one between both infinities is NaN; a group without values has no rows; a null group is a group. Equal values are counted together first.
     """
     spark = rows.sparkSession
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns]))
@@ -71,5 +76,5 @@ def exact_quantiles(rows: DataFrame, group: str, columns: Sequence[str], shares:
     for (g, c), pairs_ in wanted.items():
         for i, (low, high, between) in enumerate(pairs_):
             a, b = known[g, c, low], known[g, c, high]
-            values.append((g, c, i, a + (b - a) * between))
+            values.append((g, c, i, a if a == b or not between else a * (1 - between) + b * between if math.isinf(b - a) else a + (b - a) * between))
     return spark.createDataFrame(values, f"{group} {rows.schema[group].dataType.simpleString()}, column string, i int, value double")

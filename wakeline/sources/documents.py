@@ -32,7 +32,7 @@ class _Writer(DataSourceWriter):
         key, out, some = None, None, False
         try:
             for row in iterator:
-                if row[0] is None or not SAFE_KEY.match(row[0]):
+                if row[0] is None or not SAFE_KEY.fullmatch(row[0]):
                     continue
                 if row[0] != key:
                     self._end(out)

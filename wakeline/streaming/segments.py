@@ -35,7 +35,7 @@ class SegmentProcessor(StatefulProcessor):
         self.last = handle.getValueState("last", "raw double, ts double, lat double, lon double, seg long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = [(float(r.ts), r.lat, r.lon, int(r.flags or 0)) for part in rows for r in part[["ts", "lat", "lon", "flags"]].itertuples(index=False)]
+        new = [(float(r.ts), r.lat, r.lon, int(r.flags)) for part in rows for r in part[["ts", "lat", "lon", "flags"]].itertuples(index=False)]
         yield from self._advance(key, new, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -81,9 +81,9 @@ class SegmentProcessor(StatefulProcessor):
 def stream_tracks(points: DataFrame, late: str = "10 minutes", cfg: Config = DEFAULT) -> DataFrame:
     """(hex, ts, lat, lon, flags, seg) of a stream (hex, ts, lat, lon, flags), ts in epoch seconds; append mode.
 
-    Needs Spark's RocksDB state store. Points without an id, an instant or a place are left out. A
+    Needs Spark's RocksDB state store. Points without an id, an instant or a place are left out; a null flag is none. A
     point comes out once the watermark, the latest instant seen less ``late``, has reached it.
     """
     kept = points.where("hex is not null and ts is not null and lat is not null and lon is not null")
-    rows = kept.select(F.col("hex").cast("string").alias("hex"), "ts", "lat", "lon", "flags", F.timestamp_seconds("ts").alias("time")).withWatermark("time", late)
+    rows = kept.select(F.col("hex").cast("string").alias("hex"), "ts", "lat", "lon", F.coalesce("flags", F.lit(0)).alias("flags"), F.timestamp_seconds("ts").alias("time")).withWatermark("time", late)
     return rows.groupBy("hex").transformWithStateInPandas(SegmentProcessor(cfg), StructType.fromDDL(_OUT), outputMode="Append", timeMode="EventTime")
