@@ -207,6 +207,24 @@ def test_order_counts():
     assert ordermin.likeness(ordermin.order_minhash(text), ordermin.order_minhash(text[:-1] + "x")) > 0.7
 
 
+def test_mixture_in_pieces():
+    """Texts longer than a piece: the same sets and shares as in one piece; a word longer than a piece is no obstacle."""
+    rng = np.random.default_rng(16)
+    model = np.log(rng.dirichlet(np.full(language.TABLE, 0.05), 5).T + 1e-9).astype(np.float32)
+    texts = [" ".join("".join(rng.choice(list("abcdefghij"), int(n))) for n in rng.integers(1, 9, 400)) for _ in range(6)]
+    texts = [*texts, "", "12 34", texts[0].replace(" ", "\n"), "ab"]
+    for text in texts:
+        cuts = list(language._cuts(text, 100))
+        assert "".join(cuts) == text and max(map(len, cuts)) <= 100
+    top, share = language.infer(texts, model)
+    for piece in (100, 1000):
+        again, shares = language.infer(texts, model, piece)
+        assert again.tolist() == top.tolist() and np.allclose(shares, share)
+    assert top.tolist()[6:8] == [-1, -1] and share.tolist()[6:8] == [0, 0] and top[8] == top[0]
+    long, sure = language.infer(["x" * 5000], model, 100)
+    assert long[0] >= 0 and 0 < sure[0] <= 1
+
+
 def test_mixture_against_plain_em():
     """EM with dictionaries, one text at a time, over the same likelihoods."""
     rng = np.random.default_rng(6)

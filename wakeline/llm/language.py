@@ -12,7 +12,7 @@ language is the one with the largest share, which is the score.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ TABLE = 1 << 16
 SAMPLE = 2_000
 ROUNDS = 12
 SMOOTHING = 0.5
-#: Documents that are worked together in a task have so many code points at most, or are one document.
+#: Documents that are worked together in a task have so many code points at most; a longer one is worked in pieces.
 BLOCK = 1 << 20
 #: With more languages than these the blocks are smaller, for a task's memory.
 WIDE = 64
@@ -106,71 +106,128 @@ def train(df: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     return names, np.log(table / table.sum(axis=0)).astype(np.float32)
 
 
-def _rise(like: np.ndarray, doc: np.ndarray, docs: int, shares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """EM for all documents of a block: shares (docs, languages) and log-likelihoods.
+def _cuts(text: str, size: int) -> Iterator[str]:
+    """The text in pieces of ``size`` code points at most, cut after a blank or line end of a piece's second half; else a word is cut."""
+    at = 0
+    while len(text) - at > size:
+        middle, end = at + size // 2, at + size
+        end = max(text.rfind(" ", middle, end), text.rfind("\n", middle, end)) + 1 or end
+        yield text[at:end]
+        at = end
+    yield text[at:]
 
-    ``like`` has the likelihood of each word under each language, scaled so
-    that its largest is 1; a share of zero stays zero and marks a language
-    outside the document's set.
-    """
-    starts = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
-    words = np.diff(np.append(starts, len(doc)))[:, None]
-    there = doc[starts]
-    for _ in range(ROUNDS):
-        joint = like * shares[doc]
-        joint /= np.maximum(joint.sum(axis=1, keepdims=True), 1e-30)
-        shares[there] = np.add.reduceat(joint, starts, axis=0) / words
-    total = np.zeros(docs)
-    total[there] = np.add.reduceat(np.log(np.maximum((like * shares[doc]).sum(axis=1), 1e-30)), starts)
-    return shares, total
 
-
-def infer(texts: list[str], model: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index and share of each text's main language (of texts that have trigrams; else -1, 0)."""
+def _likelihoods(texts: list[str], model: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each word's text and its likelihood under each language, scaled so that a word's largest is 1."""
     parts = [trigrams(t) for t in texts]
     sizes = [len(s) for _, s in parts]
-    docs = len(texts)
     if not sum(sizes):
-        return np.full(docs, -1), np.zeros(docs)
-    spots = np.concatenate([p for p, _ in parts])
+        return np.zeros(0, np.int64), np.zeros((0, model.shape[1]))
     base = np.concatenate(([0], np.cumsum([len(p) for p, _ in parts])[:-1]))
     starts = np.concatenate([s + b for (_, s), b in zip(parts, base)])
-    doc = np.repeat(np.arange(docs), sizes)
-    logs = np.add.reduceat(model[spots], starts, axis=0).astype(np.float64)
-    like = np.exp(logs - logs.max(axis=1, keepdims=True))
-    count = np.bincount(doc, minlength=docs)
-    penalty = 0.5 * np.log(np.maximum(count, 2))
+    logs = np.add.reduceat(model[np.concatenate([p for p, _ in parts])], starts, axis=0).astype(np.float64)
+    return np.repeat(np.arange(len(texts)), sizes), np.exp(logs - logs.max(axis=1, keepdims=True))
+
+
+#: A pass over (text of each word, values of each word) in parts.
+Pass = Callable[[], Iterable[tuple[np.ndarray, np.ndarray]]]
+
+
+def _passes(make: Pass, hold: bool) -> Pass:
+    """``make``, or its parts kept for all passes."""
+    if not hold:
+        return make
+    parts = list(make())
+    return lambda: parts
+
+
+def _summed(parts: Iterable[tuple[np.ndarray, np.ndarray]], docs: int, width: int) -> np.ndarray:
+    """Sums (docs, width) of the words' values by text; a part's words come text by text."""
+    sums = np.zeros((docs, width))
+    for doc, values in parts:
+        if len(doc):
+            starts = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
+            sums[doc[starts]] += np.add.reduceat(values, starts, axis=0)
+    return sums
+
+
+def _rise(words: Pass, shares: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """EM over the columns of each text's set alone: shares (docs, languages of a set) and log-likelihoods.
+
+    ``words`` passes over the likelihoods of the set's languages, in its order.
+    """
+    docs, size = shares.shape
 
-    whole = np.zeros((docs, model.shape[1]))
-    np.add.at(whole, doc, np.log(np.maximum(like, 1e-30)))
-    order = np.argsort(-whole, axis=1, kind="stable")
-    row = np.arange(docs)
-    best = np.zeros_like(whole)
-    best[row, order[:, 0]] = 1.0
-    worth = whole[row, order[:, 0]] - penalty
-    growing = count > 0
-    for size in range(2, model.shape[1] + 1):
-        live = np.flatnonzero(growing)
+    def drawn(now: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for doc, like in words():
+            joint = like * now[doc]
+            yield doc, joint / np.maximum(joint.sum(axis=1, keepdims=True), 1e-30)
+
+    for _ in range(ROUNDS):
+        shares = _summed(drawn(shares), docs, size) / count[:, None]
+    logs = ((doc, np.log(np.maximum((like * shares[doc]).sum(axis=1, keepdims=True), 1e-30))) for doc, like in words())
+    return shares, _summed(logs, docs, 1)[:, 0]
+
+
+def infer(texts: list[str], model: np.ndarray, piece: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
+    """Index and share of each text's main language (of texts that have trigrams; else -1, 0).
+
+    Of equal shares, and of equally likely first languages, the one with the smallest index counts.
+    Texts of more than ``piece`` code points in all are not held as likelihoods: every
+    pass makes them anew, piece by piece; a word longer than a piece counts as several.
+    """
+    docs, langs = len(texts), model.shape[1]
+    hold = sum(map(len, texts)) <= piece
+
+    def made() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if hold:
+            yield _likelihoods(texts, model)
+            return
+        for k, text in enumerate(texts):
+            for cut in _cuts(text, piece):
+                doc, like = _likelihoods([cut], model)
+                yield doc + k, like
+
+    words = _passes(made, hold)
+    facts = _summed(((doc, np.column_stack((np.log(np.maximum(like, 1e-30)), np.ones(len(doc))))) for doc, like in words()), docs, langs + 1)
+    whole, count = facts[:, :-1], facts[:, -1]
+    top, share = np.where(count > 0, whole.argmax(axis=1), -1), np.where(count > 0, 1.0, 0.0)
+    penalty = 0.5 * np.log(np.maximum(count, 2))
+    live = np.flatnonzero(count > 0)  # texts whose sets still grow, with their sets, shares and worth
+    sets, shares = top[live, None], np.ones((len(live), 1))
+    worth = whole[live, top[live]] - penalty[live]
+    for size in range(2, langs + 1):
         if not len(live):
             break
         place = np.full(docs, -1)
         place[live] = np.arange(len(live))
-        use = place[doc] >= 0
+
+        def of_live(place: np.ndarray = place) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for doc, like in words():
+                use = place[doc] >= 0
+                yield place[doc[use]], like[use]
+
+        def gains(sets: np.ndarray = sets, shares: np.ndarray = shares, rows: Pass = of_live) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for doc, like in rows():
+                mixed = np.maximum((np.take_along_axis(like, sets[doc], 1) * shares[doc]).sum(axis=1, keepdims=True), 1e-30)
+                yield doc, np.maximum(np.log(np.maximum(like, 1e-30) / mixed), 0)
+
         # The next language to try is the one most words gain by, given the set so far.
-        mixed = np.maximum((like[use] * best[doc[use]]).sum(axis=1, keepdims=True), 1e-30)
-        gain = np.zeros((len(live), model.shape[1]))
-        np.add.at(gain, place[doc[use]], np.maximum(np.log(np.maximum(like[use], 1e-30) / mixed), 0))
-        gain[best[live] > 0] = -1
-        added = gain.argmax(axis=1)
-        trial = best[live] * (1 - 1 / size)
-        trial[np.arange(len(live)), added] = 1 / size
-        trial, total = _rise(like[use], place[doc[use]], len(live), trial)
-        better = total - size * penalty[live] > worth[live]
-        best[live[better]] = trial[better]
-        worth[live[better]] = (total - size * penalty[live])[better]
-        growing[live[~better]] = False
-    top = best.argmax(axis=1)
-    return np.where(count > 0, top, -1), np.where(count > 0, best[row, top], 0.0)
+        gain = _summed(gains(), len(live), langs)
+        np.put_along_axis(gain, sets, -1, 1)
+        wider = np.column_stack((sets, gain.argmax(axis=1)))
+        trial = np.column_stack((shares * (1 - 1 / size), np.full(len(live), 1 / size)))
+
+        def of_set(wider: np.ndarray = wider, rows: Pass = of_live) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            return ((doc, np.take_along_axis(like, wider[doc], 1)) for doc, like in rows())
+
+        trial, total = _rise(_passes(of_set, hold), trial, count[live])
+        now = total - size * penalty[live]
+        better = now > worth
+        live, sets, shares, worth = live[better], wider[better], trial[better], now[better]
+        share[live] = shares.max(axis=1)
+        top[live] = np.where(shares == share[live, None], sets, langs).min(axis=1)
+    return top, share
 
 
 def identify(df: DataFrame, names: list[str], model: np.ndarray) -> DataFrame:
@@ -178,7 +235,7 @@ def identify(df: DataFrame, names: list[str], model: np.ndarray) -> DataFrame:
 
     A null text, one without a letter, or any text where no language could
     be learned is ``und`` with score 0. Rows are answered one for one; whole
-    texts are read, however long.
+    texts are read, however long: one of more than a block is read again, piece by piece, for each pass of EM.
     """
     schema = "doc_id long, lang_pred string, score double"
     shared = df.sparkSession.sparkContext.broadcast(model)
@@ -193,7 +250,7 @@ def identify(df: DataFrame, names: list[str], model: np.ndarray) -> DataFrame:
                 while last < len(texts) and (last == first or size + len(texts[last]) <= block):
                     size += len(texts[last])
                     last += 1
-                top, share = infer(texts[first:last], shared.value) if names else ([-1] * (last - first), [0.0] * (last - first))
+                top, share = infer(texts[first:last], shared.value, block) if names else ([-1] * (last - first), [0.0] * (last - first))
                 rows = []
                 for doc_id, text, k, s in zip(ids[first:last], texts[first:last], top, share):
                     sure = k >= 0 and has_letter(text)
