@@ -72,9 +72,12 @@ class Merges:
             whole = self.id_of[self._symbols(left) + self._symbols(right)]
             self.rank[a, b] = self.born[whole] = rank
             self.parts[whole] = (a, b)
+        self.size = max(self.spelling) + 1
         self.lookahead = max(map(len, self.id_of)) - 1
         self.beginnings = {s[:k] for s in self.id_of for k in range(1, len(s))}
-        self._fits: dict[tuple[int, int], bool] = {}
+        #: What tokens end with, and the token that is just that, or -1.
+        self.tails = {s[k:]: -1 for s in self.id_of for k in range(len(s))} | self.id_of
+        self._fits: dict[int, bool] = {}
         self._whole: dict[int, bool] = {}
 
     def _symbols(self, token: str) -> str:
@@ -96,7 +99,8 @@ class Merges:
         Both grow from their edge symbols; it fails if a merge across the border
         comes before the merges that would take one of the edge pieces away.
         """
-        known = self._fits.get((left, right))
+        pair = left * self.size + right
+        known = self._fits.get(pair)
         if known is not None:
             return known
         xs, ys = self._spine(left, 1), self._spine(right, 0)
@@ -117,7 +121,7 @@ class Merges:
                 j += 1
         if len(self._fits) >= PAIRS:
             self._fits.clear()
-        self._fits[left, right] = fine
+        self._fits[pair] = fine
         return fine
 
     def whole(self, token: int) -> bool:
@@ -148,23 +152,24 @@ class State:
 
     def __init__(self, before: int, symbols: str, ends: tuple[tuple[int, int], ...]) -> None:
         self.before, self.symbols, self.ends = before, symbols, ends
-        self.steps: dict[str, tuple[tuple[int, ...], State]] = {}
+        self.steps: dict[str, tuple[tuple[int, ...], State] | None] = {}  # None: asked for once
         self.last: list[int] | None = None
 
     def rest(self) -> list[int]:
         """The tokens that are left if the text ends here."""
         if self.last is None:
-            self.last = [token for _, token in self.chain(len(self.symbols))]
+            self.last = [token for _, token in chain(self.ends, len(self.symbols))]
         return self.last
 
-    def chain(self, upto: int) -> list[tuple[int, int]]:
-        """(end, token) of the split of the first ``upto`` symbols."""
-        out = []
-        while upto:
-            start, token = self.ends[upto - 1]
-            out.append((upto, token))
-            upto = start
-        return out[::-1]
+
+def chain(ends: Sequence[tuple[int, int]], upto: int) -> list[tuple[int, int]]:
+    """(end, token) of the split of the first ``upto`` symbols."""
+    out = []
+    while upto:
+        start, token = ends[upto - 1]
+        out.append((upto, token))
+        upto = start
+    return out[::-1]
 
 
 class Encoder:
@@ -173,14 +178,21 @@ class Encoder:
         self.states: dict[tuple[int, str], State] = {}
         self.start = State(-1, "", ())
 
-    def _last(self, state: State, symbols: str) -> tuple[int, int]:
-        """(start, token) of the last token of the state's symbols with one more."""
-        m, size = self.merges, len(symbols)
-        for start in range(max(0, size - 1 - m.lookahead), size):
-            token = m.id_of.get(symbols[start:])
-            if token is not None and m.whole(token):
-                before = state.ends[start - 1][1] if start else state.before
-                if before < 0 or m.fits(before, token):
+    def _last(self, before: int, ends: Sequence[tuple[int, int]], symbols: str) -> tuple[int, int]:
+        """(start, token) of the last token of ``symbols``, whose shorter prefixes end as ``ends`` says.
+
+        Only one token fits, as a text has one split.
+        """
+        m = self.merges
+        tails, known = m.tails, m._fits
+        for start in range(len(symbols) - 1, -1, -1):
+            token = tails.get(symbols[start:])
+            if token is None:
+                break
+            if token >= 0:
+                left = ends[start - 1][1] if start else before
+                fine = left < 0 or known.get(left * m.size + token)
+                if (m.fits(left, token) if fine is None else fine) and m.whole(token):
                     return start, token
         raise ValueError(f"no token for the symbol {symbols[-1]!r}")
 
@@ -188,12 +200,12 @@ class Encoder:
         m = self.merges
         symbols = state.symbols + symbol
         size = len(symbols)
-        found = self._last(state, symbols)
+        found = self._last(state.before, state.ends, symbols)
         new = State(state.before, symbols, (*state.ends, found))
         stable = 0
         if symbols not in m.beginnings:  # else a token may yet begin at the last stable boundary
             open_at = [k for k in range(max(1, size - m.lookahead), size) if symbols[k:] in m.beginnings] + [size]
-            chains = [new.chain(k) for k in open_at]
+            chains = [chain(new.ends, k) for k in open_at]
             while all(len(c) > stable for c in chains) and len({c[stable] for c in chains}) == 1:
                 stable += 1
         emitted: tuple[int, ...] = ()
@@ -213,21 +225,36 @@ class Encoder:
         """Token ids, each as soon as it is stable."""
         state = self.start
         for symbol in symbols:
-            step = state.steps.get(symbol) or state.steps.setdefault(symbol, self._step(state, symbol))
+            step = state.steps.get(symbol)
+            if step is None:
+                step = state.steps[symbol] = self._step(state, symbol)
             yield from step[0]
             state = step[1]
         yield from state.rest()
 
     def tokens(self, symbols: str) -> list[int]:
-        """The stream's ids of a short piece, gathered; its end is known, so the last symbol needs no state."""
-        state, out = self.start, []
-        for symbol in symbols[:-1]:
-            step = state.steps.get(symbol) or state.steps.setdefault(symbol, self._step(state, symbol))
+        """The stream's ids of a short piece, gathered; its end is known, so what follows the last tabulated state needs none.
+
+        A step is tabulated when it is asked for again; till then only the last tokens of the
+        piece's remaining prefixes are told.
+        """
+        state, out, at, last = self.start, [], 0, len(symbols) - 1
+        while at < last:
+            symbol = symbols[at]
+            step = state.steps.get(symbol)
+            if step is None:
+                if symbol not in state.steps:
+                    state.steps[symbol] = None
+                    break
+                step = state.steps[symbol] = self._step(state, symbol)
             if step[0]:
                 out += step[0]
             state = step[1]
-        start, token = self._last(state, state.symbols + symbols[-1])
-        return [*out, *(t for _, t in state.chain(start)), token]
+            at += 1
+        held, ends = state.symbols + symbols[at:], list(state.ends)
+        for size in range(len(state.symbols) + 1, len(held) + 1):
+            ends.append(self._last(state.before, ends, held[:size]))
+        return out + [token for _, token in chain(ends, len(held))]
 
 
 class Decoder:
