@@ -278,6 +278,21 @@ def test_learner_finds_a_conjunction():
     assert quality.learn_rules(values, rng.random(n) < 0.3, rng.integers(0, 3, n)) == []
 
 
+def test_a_vague_rule_hides_no_later_one():
+    """The best first rule is too imprecise to take; a rule for other bad rows is learned all the same."""
+    rng = np.random.default_rng(5)
+    n = 6_000
+    values = {name: rng.random(n) for name in ("a", "b")}
+    vague, sure = values["a"] > 0.8, values["b"] < 0.02
+    bad = (vague & (rng.random(n) < 0.7)) | sure
+    rules = quality.learn_rules(values, bad, rng.integers(0, 3, n))
+    caught = np.zeros(n, bool)
+    for rule in rules:
+        caught |= quality._covers(rule, values, np.ones(n, bool))
+    assert np.count_nonzero(caught & sure) >= 0.9 * np.count_nonzero(sure)
+    assert np.count_nonzero(caught & ~bad) <= 0.06 * np.count_nonzero(caught)
+
+
 def test_repeated_labels_count_once(make, prose, spark):
     rows = [(i, prose(i) if i % 4 else " ".join(w + "##" for w in prose(i).split())) for i in range(200)]
     labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(200)] + [(1, 1)] * 500 + [(2, None)], "doc_id long, quality int")

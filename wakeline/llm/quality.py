@@ -29,10 +29,11 @@ WHITE = " \t\n\x0b\x0c\r"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 WINDOW = 3
-MAX_RULES = 16
-MAX_CONDITIONS = 4
 MIN_PRECISION = 0.95
+#: Bad rows that each condition must keep, and that a rule must cover of those that growing did not see.
 MIN_COVER = 6
+#: Rules in a row that may be tried and not taken before the list ends.
+MISSES = 8
 THRESHOLDS = 64
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -147,7 +148,7 @@ def _covers(rule: Rule, values: dict[str, np.ndarray], rows: np.ndarray) -> np.n
 
 def _grow(values: dict[str, np.ndarray], bad: np.ndarray, rows: np.ndarray) -> Rule:
     rule: Rule = ()
-    while len(rule) < MAX_CONDITIONS:
+    while True:
         p0, n0 = np.count_nonzero(bad & rows), np.count_nonzero(~bad & rows)
         if not p0 or not n0:
             break
@@ -182,24 +183,28 @@ def _prune(rule: Rule, values: dict[str, np.ndarray], bad: np.ndarray, rows: np.
 def learn_rules(values: dict[str, np.ndarray], bad: np.ndarray, fold: np.ndarray) -> list[Rule]:
     """A decision list for the bad rows; ``fold`` (0, 1 or 2) 2 is kept for pruning.
 
-    Rules whose precision on all remaining rows, or on the pruning rows, is
-    below MIN_PRECISION end the list, so clean rows are left alone. No bad
-    rows give no rules.
+    A rule is taken if its precision on all remaining rows and on the pruning
+    rows is at least MIN_PRECISION and it covers MIN_COVER bad ones of the
+    latter, so clean rows are left alone. The bad rows of one that is not taken
+    start no other rule; after MISSES of those in a row, or when too few bad
+    rows are left, the list ends. No bad rows give no rules.
     """
     rules: list[Rule] = []
-    rest = np.ones(len(bad), bool)
-    while len(rules) < MAX_RULES and np.count_nonzero(bad & rest) >= MIN_COVER:
-        rule = _grow(values, bad, rest & (fold != 2))
+    rest, untried, misses = np.ones(len(bad), bool), np.ones(len(bad), bool), 0
+    while misses < MISSES and np.count_nonzero(bad & rest & untried) >= MIN_COVER:
+        rule = _grow(values, bad, rest & untried & (fold != 2))
         if not rule:
             break
         rule = _prune(rule, values, bad, rest & (fold == 2))
         took = _covers(rule, values, rest)
         unseen = took & (fold == 2)
-        sure = np.count_nonzero(bad & took) >= max(MIN_COVER, MIN_PRECISION * np.count_nonzero(took))
-        if not sure or np.count_nonzero(bad & unseen) < MIN_PRECISION * np.count_nonzero(unseen):
-            break
-        rules.append(rule)
-        rest &= ~took
+        if all(np.count_nonzero(bad & rows) >= max(MIN_COVER, MIN_PRECISION * np.count_nonzero(rows)) for rows in (took, unseen)):
+            rules.append(rule)
+            rest &= ~took
+            misses = 0
+        else:
+            untried &= ~(took & bad)
+            misses += 1
     return rules
 
 
