@@ -97,15 +97,17 @@ def airport_parts(traffic: DataFrame, airports: DataFrame, aircraft: DataFrame,
     """(ident, part, known, name, city, iso_region, lat, lon, arrivals, departures, touches) of touches: an airport's touches by time, ``size`` of them a part.
 
     ``arrivals`` and ``departures`` are the whole airport's; ``touches`` are structs with the aircraft's reg, type and desc (hex, reg, type, desc),
-    null where it isn't known, as are the airport's facts (``known`` tells). Touches are numbered within days, so a hub is neither one value nor one window.
+    null where it isn't known, as are the airport's facts (``known`` tells). Touches are numbered within days, and an airport's counts and facts come to
+    its parts by ident and part, so a hub is neither one value nor one window nor one task's.
     """
     rows = numbered(traffic, "t_start", ["t_end", "hex", "dir"], within=["ident"]).withColumn("part", F.floor(F.col("id") / size))
     rows = rows.join(aircraft.select("hex", "reg", "type", "desc"), "hex", "left")
     item = F.struct("id", F.struct("hex", "reg", "type", "desc", "dir", "other", F.col("t_start").cast("double").alias("t_start"), F.col("t_end").cast("double").alias("t_end")).alias("x"))
     parts = rows.groupBy("ident", "part").agg(F.transform(F.sort_array(F.collect_list(item)), lambda i: i["x"]).alias("touches"))
     facts = airports.select("ident", "name", "city", "iso_region", "lat", "lon", F.lit(True).alias("known"))
-    heads = airport_index(traffic).join(facts, "ident", "left")
-    return parts.join(heads, "ident").withColumn("known", F.coalesce("known", F.lit(False)))
+    last = F.floor((F.col("arrivals") + F.col("departures") - 1) / size)  # ids are gapless, so every part up to it is there
+    heads = airport_index(traffic).join(facts, "ident", "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    return parts.join(heads, ["ident", "part"]).withColumn("known", F.coalesce("known", F.lit(False)))
 
 
 def airport_documents(parts: DataFrame) -> DataFrame:
