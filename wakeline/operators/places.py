@@ -103,6 +103,7 @@ def airport_parts(traffic: DataFrame, airports: DataFrame, aircraft: DataFrame,
     rows = numbered(traffic, "t_start", ["t_end", "hex", "dir"], within=["ident"]).withColumn("part", F.floor(F.col("id") / size))
     rows = rows.join(aircraft.select("hex", "reg", "type", "desc"), "hex", "left")
     item = F.struct("id", F.struct("hex", "reg", "type", "desc", "dir", "other", F.col("t_start").cast("double").alias("t_start"), F.col("t_end").cast("double").alias("t_end")).alias("x"))
+    rows = rows.repartition("ident", "part")  # rows of an entity are in many parts: lists before the shuffle would be of one touch each
     parts = rows.groupBy("ident", "part").agg(F.transform(F.sort_array(F.collect_list(item)), lambda i: i["x"]).alias("touches"))
     facts = airports.select("ident", "name", "city", "iso_region", "lat", "lon", F.lit(True).alias("known"))
     last = F.floor((F.col("arrivals") + F.col("departures") - 1) / size)  # ids are gapless, so every part up to it is there
