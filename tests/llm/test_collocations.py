@@ -3,6 +3,7 @@
 import random
 import re
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -80,3 +81,22 @@ def test_slots_are_minimal_and_verified():
     others = np.setdiff1d(rng.integers(0, 1 << 62, 50_000), keys)
     assert (slots[others] == -1).all()
     assert (c.Slots(keys[:0])[others] == -1).all()
+
+
+def test_more_buckets_take_no_more_jobs(spark, monkeypatch):
+    """The buckets' passes over the words once grew with the words, each of them reading all."""
+    rows = corpus(7, 150)
+    df = spark.createDataFrame([(i, t, lang, "clash", "clash") for i, (t, lang) in enumerate(rows)], SCHEMA)
+    context, jobs = spark.sparkContext, []
+    for load in (c.LOAD, Fraction(256, c.BUCKETS)):  # 256 windows for each part of the buckets
+        monkeypatch.setattr(c, "LOAD", load)
+        context.setJobGroup(f"collocations {load}", "")
+        assert sorted(map(tuple, c.collocations(df, 5).collect())) == plain(rows, 5, 5, c.TOP)
+        jobs.append(len(context.statusTracker().getJobIdsForGroup(f"collocations {load}")))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] and jobs[1] <= jobs[0] + 4
+
+
+@pytest.mark.parametrize("numbers", [[0], [5, 5, 5, 6], [0, 0, 1 << 61], list(range(0, 70_000, 255)), [1 << 40] * 3])
+def test_packed_numbers(numbers):
+    assert c.unpacked(c.packed(np.array(numbers, np.uint64))).tolist() == numbers

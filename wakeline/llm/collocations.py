@@ -7,35 +7,39 @@ its last k - 1 words are frequent (Apriori), and if the hash bucket that it fall
 filled often enough (a bucket holds all windows of its keys, so no frequent phrase is lost).
 A candidate's key is the number of its first k - 1 words' phrase with its last word's, so keys are
 exact at every level. Candidates get slots by a minimal perfect hash; a slot's
-stored key tells other windows that hash there. Tasks count slots into numpy arrays, which
-are summed as a tree. A last pass of the level writes down which frequent phrase begins at each place.
+stored key tells other windows that hash there. A task counts slots into a numpy array.
+A last pass of the level writes down which frequent phrase begins at each place.
 
-Bounds: counters, a part of the candidates and a part of the words have fixed sizes (``BUCKETS``, ``PART``,
-``WORDS``), whatever the corpus; more of them take more passes. The driver sees one part at a time.
+A level reads the word numbers three times, however many there are: for the buckets, for the candidates' counts and to write
+phrases down. Tasks deal what they meet, in sorted blocks, to parts of fixed size (``BUCKETS`` counters, ``PART`` windows), each of which is
+counted in one task. Only more than ``PART`` frequent phrases of a level, or ``WORDS`` frequent words, take more passes. The driver
+sees one such part at a time, and a bit for each bucket.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterator
-from itertools import repeat
+from itertools import groupby, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wakeline.llm.common import arrow_batches, delete_folder, documents, few_tasks, scratch_folder, text_or_empty, tree_sum, written
+from wakeline.llm.common import arrow_batches, delete_folder, documents, scratch_folder, shuffle_partitions, text_or_empty, written
 
 LEAST = 100
 LONGEST = 5
 TOP = 2_000
-#: Counters of a pass over the buckets, and windows for each of them, about.
-BUCKETS = 1 << 20
+#: Counters of a part of the buckets, and windows for each of them, about.
+BUCKETS = 1 << 17
 LOAD = 32
-#: Candidates of a pass, about, and words of one.
-PART = 1 << 21
+#: Windows whose candidates are counted in one part and frequent phrases of a pass, about, and words of one.
+PART = 1 << 22
 WORDS = 1 << 20
+#: Windows that a task sorts at a time, and hashes at a time.
+BLOCK, FEW = 1 << 23, 1 << 18
 #: Words of a chunk.
 CHUNK = 1 << 14
 #: Bytes of an Arrow batch and of a row group of chunks: a task holds some of its chunks at a time, not all.
@@ -57,36 +61,44 @@ def mix(keys: np.ndarray, seed: int) -> np.ndarray:
 class Slots:
     """Minimal perfect hash of distinct keys: each has a slot of its own below their number.
 
-    A level gives slots to the keys that are alone in their cell; the others go to the next, smaller one.
+    A level gives slots to the keys that are alone in their cell; the others go to the next, smaller one. A cell
+    is a bit, and a slot is the number of bits before it.
     """
 
     def __init__(self, keys: np.ndarray) -> None:
-        self.levels: list[np.ndarray] = []
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
         rest, taken = keys, 0
         while len(rest):
-            cells = np.full(max(8, len(rest) * 3 // 2), -1, np.int32)
-            at = (mix(rest, len(self.levels)) % np.uint64(len(cells))).astype(np.int64)
-            alone = np.bincount(at, minlength=len(cells))[at] == 1
-            cells[np.sort(at[alone])] = np.arange(taken, taken + int(alone.sum()), dtype=np.int32)
-            taken += int(alone.sum())
-            rest = rest[~alone]
-            self.levels.append(cells)
+            size = -(-max(8, len(rest) * 3 // 2) // 64) * 64
+            at = self._cell(rest, len(self.levels), size)
+            met = np.bincount(at, minlength=size)
+            bits = np.packbits(met == 1, bitorder="little").view("<u8")
+            n = np.bitwise_count(bits).astype(np.int32)
+            self.levels.append((bits, taken + np.cumsum(n, dtype=np.int32) - n))
+            taken += int(n.sum())
+            rest = rest[met[at] != 1]
         self.keys = np.zeros(len(keys), np.int64)
-        self.keys[self._cells(keys)] = keys
+        self.keys[self._slots(keys)] = keys
 
-    def _cells(self, keys: np.ndarray) -> np.ndarray:
+    @staticmethod
+    def _cell(keys: np.ndarray, level: int, size: int) -> np.ndarray:
+        return (mix(keys, level) % np.uint64(size)).astype(np.int64)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
         slots, todo = np.full(len(keys), -1, np.int64), np.arange(len(keys))
-        for level, cells in enumerate(self.levels):
+        for level, (bits, before) in enumerate(self.levels):
             if not len(todo):
                 break
-            got = cells[(mix(keys[todo], level) % np.uint64(len(cells))).astype(np.int64)]
-            slots[todo[got >= 0]] = got[got >= 0]
-            todo = todo[got < 0]
+            at = self._cell(keys[todo], level, 64 * len(bits))
+            word, bit = bits[at >> 6], np.uint64(1) << (at & 63).astype(np.uint64)
+            got = word & bit != 0
+            slots[todo[got]] = before[at[got] >> 6] + np.bitwise_count(word[got] & (bit[got] - np.uint64(1)))
+            todo = todo[~got]
         return slots
 
     def __getitem__(self, keys: np.ndarray) -> np.ndarray:
         """The keys' slots; -1 for any other key, told by the one that is stored."""
-        slots = self._cells(keys)
+        slots = self._slots(keys)
         if not len(self.keys):
             return slots
         return np.where((slots >= 0) & (self.keys[np.maximum(slots, 0)] == keys), slots, -1)
@@ -181,62 +193,121 @@ def windows(words: np.ndarray, at: np.ndarray, k: int, own: int) -> tuple[np.nda
     return places, (at[places].astype(np.int64) << BITS) | words[places + k - 1]
 
 
-def _keys(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[np.ndarray]:
-    """Keys of all windows of a task's chunks (own, words, at), a few chunks' at a time."""
-    held, size = [], 0
-    for own, words, at in (tuple(c[i].as_py() for c in b.columns) for b in batches for i in range(b.num_rows)):
-        keys = windows(np.frombuffer(words, np.int32), np.frombuffer(at, np.int32), k, own)[1]
-        held.append(keys)
-        size += len(keys)
-        if size >= BUCKETS // 4:
+def _blocks(arrays: Iterator[np.ndarray], size: int) -> Iterator[np.ndarray]:
+    """The arrays' numbers, about ``size`` at a time."""
+    held, n = [], 0
+    for one in arrays:
+        held.append(one)
+        n += len(one)
+        if n >= size:
             yield np.concatenate(held)
-            held, size = [], 0
-    if held:
+            held, n = [], 0
+    if n:
         yield np.concatenate(held)
 
 
-def _tree_sum(chunks: DataFrame, k: int, size: int, places: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
-    """How often each place below ``size`` is met by the windows' keys."""
+def _keys(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[np.ndarray]:
+    """Keys of all windows of a task's chunks (own, words, at), a few chunks' at a time."""
+    chunks = (tuple(c[i].as_py() for c in b.columns) for b in batches for i in range(b.num_rows))
+    return _blocks((windows(np.frombuffer(words, np.int32), np.frombuffer(at, np.int32), k, own)[1] for own, words, at in chunks), FEW)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        total = np.zeros(size, np.int64)
-        for keys in _keys(batches, k):
-            total += np.bincount(places(keys), minlength=size)
-        return total
 
-    return tree_sum(chunks.select("own", "words", "at"), size, count)
+def packed(numbers: np.ndarray) -> bytes:
+    """Sorted whole numbers from 0 on as steps, all lowest bytes first, then the next ones, as many as the largest step has."""
+    steps = np.diff(numbers.astype("<i8"), prepend=0)
+    width = max(1, (int(steps.max()).bit_length() + 7) // 8)
+    return bytes([width]) + steps.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
 
-def _bucket(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    h = mix(keys, 1 << 20)
-    return ((h >> np.uint64(40)) % np.uint64(parts)).astype(np.int64), (h & np.uint64(BUCKETS - 1)).astype(np.int64)
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
+    steps = np.zeros((planes.shape[1], 8), np.uint8)
+    steps[:, : len(planes)] = planes.T
+    return np.cumsum(steps.view("<i8").ravel())
 
 
-def _candidates(chunks: DataFrame, k: int, n_windows: int, least: int) -> DataFrame:
-    """Distinct keys of the windows of k words whose bucket is met ``least`` times."""
-    spark = chunks.sparkSession
-    parts = max(1, -(-n_windows // (BUCKETS * LOAD)))
+def _rows(dealt: Iterator[tuple[int, np.ndarray, np.ndarray | None]]) -> pa.RecordBatch:
+    """Numbers by part, and how often each was met where repeats don't tell it; parts without numbers have no row."""
+    rows = [(part, packed(numbers), None if counts is None else packed(np.cumsum(counts))) for part, numbers, counts in dealt if len(numbers)]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int32(), pa.binary(), pa.binary()))], names=["part", "numbers", "counts"])
 
-    def of_part(j: int) -> Callable[[np.ndarray], np.ndarray]:
-        def places(keys: np.ndarray) -> np.ndarray:
-            part, bucket = _bucket(keys, parts)
-            return bucket[part == j]
 
-        return places
+_PACKED = "part int, numbers binary, counts binary"
 
-    full = np.concatenate([np.packbits(_tree_sum(chunks, k, BUCKETS, of_part(j)) >= least) for j in range(parts)])
-    told = spark.sparkContext.broadcast(full)  # half a MB for each 64 million windows
 
-    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, given = told.value, np.zeros(0, np.int64)
+def _dealt(chunks: DataFrame, n_windows: int, parts: int, met: Callable, summed: Callable, schema: str) -> DataFrame:
+    """What ``summed`` makes of each part's rows that ``met`` makes of the chunks; they meet in one task, a task's parts one after another."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
+        for part, own in groupby(rows, key=lambda row: row[0]):
+            yield summed(part, ((unpacked(numbers), counts) for _, numbers, counts in own))
+
+    tasks = max(2, chunks.sparkSession.sparkContext.defaultParallelism, n_windows // (4 * BLOCK))  # tasks that fill their blocks
+    rows = chunks.select("own", "words", "at").coalesce(tasks).mapInArrow(met, _PACKED)
+    return rows.repartition(min(parts, shuffle_partitions(chunks.sparkSession)), "part").sortWithinPartitions("part").mapInArrow(each, schema)
+
+
+def _places(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The keys' buckets, numbered over all parts."""
+    h = mix(keys, 1 << 20)
+    return (h >> np.uint64(40)) % np.uint64(parts) * np.uint64(BUCKETS) + (h & np.uint64(BUCKETS - 1))
+
+
+def _full(chunks: DataFrame, k: int, n_windows: int, parts: int, least: int) -> np.ndarray:
+    """A bit for each bucket: whether the windows of k words meet it ``least`` times."""
+    kind = np.uint32 if parts * BUCKETS <= 1 << 32 else np.uint64
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for places in _blocks((_places(keys, parts).astype(kind) for keys in _keys(batches, k)), BLOCK):
+            places.sort()
+            needed = np.ones(len(places), bool)
+            needed[least:] = places[least:] != places[:-least]  # more of a bucket than ``least`` in a block tell nothing
+            places = places[needed]
+            dealt = np.split(places, np.searchsorted(places, np.arange(1, parts, dtype=kind) * kind(BUCKETS)))
+            yield _rows((part, own & kind(BUCKETS - 1), None) for part, own in enumerate(dealt))
+
+    def summed(part: int, rows: Iterator[tuple]) -> pa.RecordBatch:
+        total = np.zeros(BUCKETS, np.int64)
+        for places in _blocks((numbers for numbers, _ in rows), FEW):
+            total += np.bincount(places, minlength=BUCKETS)
+        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([np.packbits(total >= least).tobytes()], pa.binary())], names=["part", "bits"])
+
+    bits = np.zeros((parts, BUCKETS // 8), np.uint8)
+    rows = _dealt(chunks, n_windows, parts, met, summed, "part int, bits binary").toArrow()
+    for part, own in zip(*(rows.column(i).to_pylist() for i in range(2))):
+        bits[part] = np.frombuffer(own, np.uint8)
+    return bits.ravel()
+
+
+def _frequent(chunks: DataFrame, k: int, n_windows: int, least: int, part: int) -> DataFrame:
+    """(key, f) of the windows of k words that are met ``least`` times, from those whose bucket is."""
+    buckets, parts = max(1, -(-n_windows // (BUCKETS * LOAD))), max(1, -(-n_windows // part))
+    told = chunks.sparkSession.sparkContext.broadcast(_full(chunks, k, n_windows, buckets, least))  # half a MB for each 128 million windows
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        bits = told.value
         for keys in _keys(batches, k):
-            part, bucket = _bucket(keys, parts)
-            at = part * BUCKETS + bucket
-            new = np.setdiff1d(keys[(bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1], given)
-            given = np.union1d(given, new) if len(given) < PART else new
-            yield pa.RecordBatch.from_arrays([pa.array(new, pa.int64())], names=["key"])
+            at = _places(keys, buckets)
+            yield keys[(bits[at >> np.uint64(3)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8)) & 1 == 1]
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(candidates(batches), BLOCK // 2):
+            keys, counts = np.unique(block, return_counts=True)
+            own = (mix(keys, 1 << 21) % np.uint64(parts)).astype(np.int32)
+            order = np.argsort(own, kind="stable")
+            dealt = np.split(order, np.searchsorted(own[order], np.arange(1, parts)))
+            yield _rows((j, keys[at], counts[at]) for j, at in enumerate(dealt))
+
+    def summed(_: int, rows: Iterator[tuple]) -> pa.RecordBatch:
+        met = [(keys, np.diff(unpacked(counts), prepend=0)) for keys, counts in rows]
+        keys = np.concatenate([keys for keys, _ in met])
+        slots = Slots(np.unique(keys))
+        f = np.zeros(len(slots.keys), np.int64)
+        np.add.at(f, slots[keys], np.concatenate([counts for _, counts in met]))
+        return pa.RecordBatch.from_arrays([pa.array(slots.keys[f >= least], pa.int64()), pa.array(f[f >= least], pa.int64())], names=["key", "f"])
 
-    return few_tasks(chunks.select("own", "words", "at")).mapInArrow(distinct, "key long").distinct()
+    return _dealt(chunks, n_windows, parts, met, summed, "key long, f long")
 
 
 def _needed(words: np.ndarray, at: np.ndarray, own: int) -> tuple[int, np.ndarray, np.ndarray]:
@@ -276,7 +347,7 @@ class _Levels:
     """The chunks and the phrase tables of one run, in a folder of its own."""
 
     def __init__(self, spark: SparkSession, least: int, part: int) -> None:
-        self.spark, self.least, self.part = spark, least, part
+        self.spark, self.least, self.part = spark, max(1, least), part
         self.folder, self.steps = scratch_folder(spark, "phrases"), 0
         self.chunks: DataFrame | None = None
         self.held: str | None = None
@@ -303,18 +374,14 @@ class _Levels:
 
     def grow(self, k: int, n_windows: int) -> tuple[DataFrame, int]:
         """(id, key, f) of the frequent phrases of k words, and how many windows they have in all."""
-        keys = written(_candidates(self.chunks, k, n_windows, self.least), f"{self.folder}/keys{k}")
+        keys = written(_frequent(self.chunks, k, n_windows, self.least, self.part), f"{self.folder}/keys{k}")
         parts = max(1, -(-keys.count() // self.part))
         place, found, met = f"{self.folder}/phrases{k}", 0, 0
         for j in range(parts):
-            own = keys.where(F.pmod(F.xxhash64("key"), F.lit(parts)) == j).toArrow().column("key").to_numpy()
-            slots = Slots(own)
-            told = self.spark.sparkContext.broadcast(slots)
-            counts = _tree_sum(self.chunks, k, len(own) + 1, lambda x, told=told: told.value[x] + 1)[1:]
-            told.destroy()
-            often = counts >= self.least
-            kept = Slots(slots.keys[often])
-            f = counts[slots[kept.keys]] if len(kept.keys) else np.zeros(0, np.int64)
+            own = keys.where(F.pmod(F.xxhash64("key"), F.lit(parts)) == j).toArrow()
+            kept = Slots(own.column("key").to_numpy())
+            f = np.zeros(len(kept.keys), np.int64)
+            f[kept[own.column("key").to_numpy()]] = own.column("f").to_numpy()
             rows = pa.table({"id": pa.array(found + np.arange(len(f)), pa.int64()), "key": pa.array(kept.keys, pa.int64()), "f": pa.array(f, pa.int64())})
             self.spark.createDataFrame(rows).write.mode("append").parquet(place)
             numbers = self.spark.sparkContext.broadcast(kept)
